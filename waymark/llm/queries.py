@@ -23,6 +23,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from waymark.llm.quality import classify
+
+    return classify(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
 def op3_bpe_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -31,6 +37,13 @@ def op3_bpe_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding_digests(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from waymark.llm.toxicity import classify, fold
+
+    found = classify(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    return found.select("doc_id", (fold(found.doc_id) == 0).alias("held_out"), "score", "predicted")
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from waymark.llm.token_count import count_tokens
 
@@ -44,7 +57,9 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality": op1_quality,
     "op3_bpe_chunks": op3_bpe_chunks,
+    "op4_toxicity": op4_toxicity,
     "op6_token_counts": op6_token_counts,
     "op7_packing": op7_packing,
 }
