@@ -153,7 +153,7 @@ def label_model(patterns: dict[int, int], rounds: int = 60) -> tuple[dict[int, f
     return dict(zip(keys.tolist(), good.tolist())), table
 
 
-def fit_scorer(features: list[np.ndarray], weights: list[np.ndarray], target: np.ndarray, rounds: int = 400) -> np.ndarray:
+def fit_scorer(features: list[np.ndarray], weights: list[np.ndarray], target: np.ndarray, rounds: int = 150) -> np.ndarray:
     """Weights of a logistic scorer, the last one its bias, by full-batch Adam on soft labels."""
     size = np.array([len(f) for f in features])
     row = np.repeat(np.arange(len(size)), size)

@@ -13,7 +13,7 @@ from pyspark.sql.types import DoubleType, IntegerType, StructType
 from waymark.llm.arrowtext import LOWER, Spans, distinct_words, flat, ragged, sliced, words
 
 #: Most training documents of either label, drawn by hash of doc_id.
-SAMPLE = 900
+SAMPLE = 1_500
 #: Hash buckets of character n-grams, their vectors' length, lengths of n-grams, and words in an averaged window.
 BUCKETS, WIDTH, GRAMS, WINDOW = 1 << 16, 8, (3, 4, 5, 6), 2
 EDGE = np.frombuffer(b"<>", np.uint8)
@@ -81,7 +81,7 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -50, 50)))
 
 
-def fit(texts: pa.Array, toxic: np.ndarray, epochs: int = 8, seed: int = 5) -> Model:
+def fit(texts: pa.Array, toxic: np.ndarray, epochs: int = 10, seed: int = 5) -> Model:
     """Train on whole documents of which only the label is known.
 
     A document is a bag of windows; it is toxic if one of them is. Each epoch takes the windows that the model finds most toxic,
