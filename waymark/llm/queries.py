@@ -56,11 +56,18 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from waymark.llm.minhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"), k=2, percent=80)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op3_bpe_chunks": op3_bpe_chunks,
     "op4_toxicity": op4_toxicity,
     "op6_token_counts": op6_token_counts,
     "op7_packing": op7_packing,
+    "op10_minhash": op10_minhash,
 }
 SQL: dict[str, str] = {}

@@ -30,12 +30,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def salted(left: DataFrame, right: DataFrame, key: str, spread: Column, how: str, salts: int = 16) -> DataFrame:
+def salted(left: DataFrame, right: DataFrame, keys: list[str], spread: Column, how: str, salts: int = 8) -> DataFrame:
     """Join with a key that may hold a large share of left's rows; right has few rows for each key.
 
-    left is dealt by (key, salt), the salt being spread modulo salts, and each row of right goes to every salt.
+    left is dealt by (keys, salt), the salt being spread modulo salts, and each row of right goes to every salt.
     """
     salt = "__salt"
     every = right.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     dealt = left.withColumn(salt, F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
-    return dealt.join(every, [key, salt], how).drop(salt)
+    return dealt.join(every, [*keys, salt], how).drop(salt)
