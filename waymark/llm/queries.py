@@ -56,6 +56,12 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+def op8_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from waymark.llm.substring import remove_repeats
+
+    return remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from waymark.llm.minhash import near_duplicates
 
@@ -68,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_toxicity": op4_toxicity,
     "op6_token_counts": op6_token_counts,
     "op7_packing": op7_packing,
+    "op8_substring": op8_substring,
     "op10_minhash": op10_minhash,
 }
 SQL: dict[str, str] = {}
