@@ -44,6 +44,12 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (fold(found.doc_id) == 0).alias("held_out"), "score", "predicted")
 
 
+def op5_graph_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from waymark.llm.graph_search import search
+
+    return search(table(spark, sf_dir, "embeddings"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from waymark.llm.token_count import count_tokens
 
@@ -62,6 +68,12 @@ def op8_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op9_hamming(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from waymark.llm.hamming import search, sign_codes
+
+    return search(sign_codes(table(spark, sf_dir, "embeddings")))
+
+
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from waymark.llm.minhash import near_duplicates
 
@@ -72,9 +84,24 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op3_bpe_chunks": op3_bpe_chunks,
     "op4_toxicity": op4_toxicity,
+    "op5_graph_search": op5_graph_search,
     "op6_token_counts": op6_token_counts,
     "op7_packing": op7_packing,
     "op8_substring": op8_substring,
+    "op9_hamming": op9_hamming,
     "op10_minhash": op10_minhash,
 }
-SQL: dict[str, str] = {}
+OP9 = """
+with codes as (
+  select vec_id, array_to_string([case when x > 0 then '1' else '0' end for x in embedding], '')::bit as code
+  from embeddings where embedding is not null and len(embedding) > 0 and vec_id is not null
+), found as (
+  select q.vec_id as query_id, c.vec_id, bit_count(xor(q.code, c.code))::bigint as distance
+  from codes q join codes c on q.vec_id % 20 = 0 and q.vec_id <> c.vec_id
+), placed as (
+  select *, row_number() over (partition by query_id order by distance, vec_id) as place from found
+)
+select query_id, place::int as rank, vec_id, distance from placed where place <= 20
+"""
+
+SQL: dict[str, str] = {"op9_hamming": OP9}
