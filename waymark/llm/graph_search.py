@@ -10,21 +10,23 @@ from waymark.llm.runtime import written
 from waymark.llm.shards import deal, nearest, sharded, smallest_of_class
 
 #: Out-edges of a node, width of the beam that proposes neighbours and of the one that answers, slack of pruning, vectors in a shard.
-DEGREE, PROPOSE, BEAM, SLACK, SHARD = 24, 48, 64, 1.2, 4_096
-#: Points inserted against one state of the graph, and double steps a search may take.
-INSERT = 256
+DEGREE, PROPOSE, BEAM, SLACK, SHARD = 24, 48, 160, 1.2, 4_096
+#: Points inserted against one state of the graph; points that searches start from beside the medoid, so that a tight
+#: group of points around it cannot fill the beam of a query from elsewhere.
+INSERT, ENTRIES = 256, 40
 
 
 class Graph:
     """A directed graph over points whose squared distance orders neighbours; every point is reached from the medoid."""
 
     def __init__(self, points: np.ndarray, seed: int = 1):
-        self.points = points.astype(np.float32)
+        self.points = points
         self.norms = (self.points**2).sum(1)
         n = len(points)
         self.edges = np.full((n, DEGREE), -1, np.int64)
-        self.entry = int(np.argmin(((self.points - self.points.mean(0)) ** 2).sum(1)))
+        medoid = int(np.argmin(((self.points - self.points.mean(0)) ** 2).sum(1)))
         rng = np.random.default_rng(seed)
+        self.entry = np.unique(np.append(rng.permutation(n)[:ENTRIES], medoid))
         order = rng.permutation(n)
         if n > 1:
             self.edges[:, : min(8, n - 1)] = (np.arange(n)[:, None] + rng.integers(1, n, (n, min(8, n - 1)))) % n
@@ -44,8 +46,11 @@ class Graph:
         ids = np.full((q, width), -1, np.int64)
         far = np.full((q, width), np.inf)
         open_ = np.zeros((q, width), bool)
-        ids[:, 0], open_[:, 0] = self.entry, True
-        far[:, 0] = self.distance(queries, ids[:, :1])[:, 0]
+        e = len(self.entry[:width])
+        ids[:, :e], open_[:, :e] = self.entry[:width], True
+        far[:, :e] = self.distance(queries, ids[:, :e])
+        order = np.argsort(far, 1, kind="stable")
+        ids, far = np.take_along_axis(ids, order, 1), np.take_along_axis(far, order, 1)
         seen[:, self.entry] = True
         active = np.arange(q)
         while len(active):
@@ -53,7 +58,7 @@ class Graph:
             open_[active, at] = False
             new = self.edges[ids[active, at]]
             fresh = (new >= 0) & ~seen[active[:, None], new]
-            seen[active[:, None], np.where(fresh, new, self.entry)] = True
+            seen[active[:, None], np.where(fresh, new, self.entry[0])] = True
             new = np.where(fresh, new, -1)
             distance = self.distance(queries[active], new)
             all_ids = np.concatenate([ids[active], new], 1)
@@ -116,7 +121,7 @@ def shard_search(ids: np.ndarray, vectors: np.ndarray, largest: float, k: int):
     def search(query_ids: np.ndarray, queries: np.ndarray) -> tuple:
         queries = queries.astype(np.float64)
         flat = np.concatenate([queries, np.zeros((len(queries), 1))], 1)
-        near, _ = graph.search(flat.astype(np.float32), max(BEAM, 2 * k))
+        near, _ = graph.search(flat, max(BEAM, 2 * k))
         row, column = np.nonzero(near >= 0)
         found = near[row, column]
         score = np.einsum("nd,nd->n", queries[row], vectors[found])
