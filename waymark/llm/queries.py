@@ -29,6 +29,13 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
 
+def op2_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from waymark.llm.warc import archive_pages
+
+    index = archive_pages(table(spark, sf_dir, "pages"), least=0)
+    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured", "position")
+
+
 def op3_bpe_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -82,6 +89,7 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
+    "op2_warc_index": op2_warc_index,
     "op3_bpe_chunks": op3_bpe_chunks,
     "op4_toxicity": op4_toxicity,
     "op5_graph_search": op5_graph_search,

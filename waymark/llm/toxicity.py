@@ -13,30 +13,35 @@ from pyspark.sql.types import DoubleType, IntegerType, StructType
 from waymark.llm.arrowtext import LOWER, Spans, distinct_words, flat, ragged, sliced, words
 
 #: Most training documents of either label, drawn by hash of doc_id.
-SAMPLE = 1_500
+SAMPLE = 1_000
 #: Hash buckets of character n-grams, their vectors' length, lengths of n-grams, and words in an averaged window.
-BUCKETS, WIDTH, GRAMS, WINDOW = 1 << 16, 8, (3, 4, 5, 6), 2
+BUCKETS, WIDTH, GRAMS, WINDOW = 1 << 16, 8, (3, 4, 5), 2
 EDGE = np.frombuffer(b"<>", np.uint8)
 _TRIM = bytes(range(33, 48)) + b":;<=>?@[\\]^_`{|}~"
 
 
 def grams(forms: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Flat n-gram buckets of each word form between edge marks, and their n + 1 offsets."""
+    parts = [few_grams(forms[i : i + 20_000]) for i in range(0, len(forms), 20_000)]
+    return np.concatenate([b for b, _ in parts]), np.append(0, np.cumsum(np.concatenate([n for _, n in parts])))
+
+
+def few_grams(forms: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Flat n-gram buckets of each form, and how many it has; the temporary arrays are as large as the list is long."""
     marked = [b"<" + (f.strip(_TRIM) or f) + b">" for f in forms]
     size = np.fromiter(map(len, marked), np.int64, len(marked))
     data = LOWER[np.frombuffer(b"".join(marked), np.uint8)]
     end = np.repeat(np.cumsum(size), size)
     hashes = Spans(data.astype(np.uint64) + np.uint64(1), 0x9E3779B97F4A7C15)
     at = np.arange(len(data))
-    owner, bucket = [], []
     which = np.repeat(np.arange(len(size)), size)
+    owner, bucket = [], []
     for n in GRAMS:
         ok = np.flatnonzero(at + n <= end)
         bucket.append((hashes.of(ok, ok + n) % np.uint64(BUCKETS)).astype(np.int32))
-        owner.append(which[ok].astype(np.int32))
-    owner, bucket = np.concatenate(owner), np.concatenate(bucket)
-    order = np.argsort(owner, kind="stable")
-    return bucket[order], np.append(0, np.cumsum(np.bincount(owner, minlength=len(size))))
+        owner.append(which[ok])
+    owner = np.concatenate(owner)
+    return np.concatenate(bucket)[np.argsort(owner, kind="stable")], np.bincount(owner, minlength=len(size))
 
 
 class Texts:
@@ -91,12 +96,11 @@ def fit(texts: pa.Array, toxic: np.ndarray, epochs: int = 10, seed: int = 5) ->
     bag, rng = Texts(texts), np.random.default_rng(seed)
     toxic = toxic.astype(bool)
     n_words = np.diff(bag.at)
-    doc = np.repeat(np.arange(len(n_words)), n_words)
-    forms = np.unique(doc.astype(np.int64) << 32 | bag.index)
-    owner, form = forms >> 32, forms & 0xFFFFFFFF
-    sizes = np.diff(bag.gram_at)[form]
-    pairs = np.unique(np.repeat(owner, sizes) * BUCKETS + bag.bucket[ragged(bag.gram_at[form], sizes)])
-    df = np.stack([np.bincount(pairs[toxic[pairs // BUCKETS] == c] % BUCKETS, minlength=BUCKETS) for c in (False, True)])
+    doc = np.repeat(np.arange(len(n_words), dtype=np.int32), n_words)
+    df, grams_of = np.zeros((2, BUCKETS)), np.diff(bag.gram_at)
+    for d in range(len(n_words)):
+        form = np.unique(bag.index[bag.at[d] : bag.at[d + 1]])
+        df[int(toxic[d]), np.unique(bag.bucket[ragged(bag.gram_at[form], grams_of[form])])] += 1
     per_gram = np.log((df[1] + 0.5) / (toxic.sum() + 1)) - np.log((df[0] + 0.5) / ((~toxic).sum() + 1))
     per_gram = np.where(df.sum(0) >= 3, np.clip(per_gram, -3, 3), 0)
     table = rng.normal(0, 0.3, (BUCKETS, WIDTH))
@@ -118,7 +122,7 @@ def fit(texts: pa.Array, toxic: np.ndarray, epochs: int = 10, seed: int = 5) ->
             size = bag.window_end[part] - part
             who = np.repeat(np.arange(len(part)), size)
             form = bag.index[ragged(part, size)]
-            count = np.diff(bag.gram_at)[form]
+            count = grams_of[form]
             ids, owner = bag.bucket[ragged(bag.gram_at[form], count)], np.repeat(who, count)
             n = np.maximum(np.bincount(owner, minlength=len(part)), 1)
             mean = np.stack([np.bincount(owner, table[ids, k], minlength=len(part)) for k in range(WIDTH)], 1) / n[:, None]
