@@ -47,7 +47,7 @@ def grid(lat: Column, lon: Column, digits: int = 4) -> Column:
 
 def entity_id(name: Column, locality: Column, lat: Column, lon: Column) -> Column:
     """Slug of the name and 12 digits of a hash of name, place and rounded position."""
-    where = F.when(lat.isNotNull() & lon.isNotNull(), F.concat(F.format_number(F.round(lat, 4), "0.0000"), F.lit(":"), F.format_number(F.round(lon, 4), "0.0000")))
+    where = F.when(lat.isNotNull() & lon.isNotNull(), F.format_string("%.4f:%.4f", F.round(lat, 4), F.round(lon, 4)))
     seed = F.concat_ws("|", F.nullif(plain(name), F.lit("")), F.nullif(plain(locality), F.lit("")), where)
     head = F.regexp_replace(F.substring(F.replace(plain(name), F.lit(" "), F.lit("-")), 1, 48), "-+$", "")
     return F.concat(F.coalesce(F.nullif(head, F.lit("")), F.lit("entity")), F.lit("-"), F.substring(F.sha1(seed), 1, 12))

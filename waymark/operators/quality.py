@@ -54,7 +54,8 @@ def popularity(count: Column, reviews: Column, sources: Column) -> Column:
 
 
 def hidden_gem(count: Column, sources: Column) -> Column:
-    return F.round(F.when(count == 0, 0.5).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), 0.85 - count / F.lit(2000) + 0.03 * sources))), 3)
+    """The 1e-9 settles ties of decimal rounding alike in every engine."""
+    return F.round(F.when(count == 0, 0.5).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), 0.85 - count / F.lit(2000) + 0.03 * sources))) + 1e-9, 3)
 
 
 def suitability(hits: Column, rating_share: Column, reviews: Column) -> Column:
