@@ -419,4 +419,4 @@ def fuzzy_resolve(spark, sf):
     from waymark.operators.resolve import best_matches
 
     e = entities(spark, sf).withColumn("website", F.concat(F.lit("https://site"), (F.col("id") % 50).cast("string"), F.lit(".example"))).withColumn("name", F.concat(F.lit("Garden cafe "), (F.col("id") % 40).cast("string"))).select("id", "name", "address", "website", "latitude", "longitude")
-    return best_matches(e.where("id % 10 = 0"), e.where("id % 10 <> 0"))
+    return best_matches(e.where("id % 7 = 0"), e.where("id % 7 <> 0"))
