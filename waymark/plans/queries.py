@@ -194,10 +194,10 @@ def geo_pairs_banded(spark, sf):
     return near.groupBy("id").agg(F.count("*").alias("n_near"))
 
 
-@query(ENTITIES + "select locality, round(avg(latitude), 4) as latitude, round(avg(longitude), 4) as longitude from e where latitude is not null and locality is not null group by 1")
+@query(ENTITIES + "select locality, round(avg(latitude) + 1e-9::double, 4) as latitude, round(avg(longitude) + 1e-9::double, 4) as longitude from e where latitude is not null and locality is not null group by 1")
 def locality_centroids(spark, sf):
     e = entities(spark, sf).where("latitude is not null and locality is not null")
-    return e.groupBy("locality").agg(F.round(F.avg("latitude"), 4).alias("latitude"), F.round(F.avg("longitude"), 4).alias("longitude"))
+    return e.groupBy("locality").agg(F.round(F.avg("latitude") + 1e-9, 4).alias("latitude"), F.round(F.avg("longitude") + 1e-9, 4).alias("longitude"))
 
 
 # Quality -------------------------------------------------------------------------------------------------------------
@@ -361,9 +361,9 @@ def anti_delete(spark, sf):
     return tb.delete_unlisted(table(spark, sf, "customer").select("c_custkey", "c_name"), listed, "c_custkey")
 
 
-@query("select l_partkey, round(avg(l_quantity), 2) as mean_rating, count(*) as ratings from lineitem group by 1")
+@query("select l_partkey, round(avg(l_quantity) + 1e-9::double, 2) as mean_rating, count(*) as ratings from lineitem group by 1")
 def rating_summary(spark, sf):
-    return table(spark, sf, "lineitem").groupBy("l_partkey").agg(F.round(F.avg("l_quantity"), 2).alias("mean_rating"), F.count("*").alias("ratings"))
+    return table(spark, sf, "lineitem").groupBy("l_partkey").agg(F.round(F.avg("l_quantity") + 1e-9, 2).alias("mean_rating"), F.count("*").alias("ratings"))
 
 
 @query("select o_orderkey, l_linenumber, l_extendedprice from (select l_orderkey as o_orderkey, l_linenumber, l_extendedprice, row_number() over (partition by l_orderkey order by l_extendedprice desc, l_linenumber) as p from lineitem) where p <= 4")
