@@ -219,7 +219,7 @@ def quality_rows(spark, sf):
     return ql.with_quality(entities(spark, sf)).select("id", "missing", "blockers", "warnings", "quality_score", "production_ready")
 
 
-@query(_RATED + "select count(*) as total, count_if(production_ready) as ready, count_if(not production_ready) as blocked from q")
+@query(_RATED + "select count(*) as total, count_if(production_ready)::bigint as ready, count_if(not production_ready)::bigint as blocked from q")
 def quality_summary(spark, sf):
     return ql.with_quality(entities(spark, sf)).agg(F.count("*").alias("total"), F.count_if("production_ready").alias("ready"), F.count_if(~F.col("production_ready")).alias("blocked"))
 
