@@ -21,6 +21,8 @@ HASHES = BANDS * ROWS
 BATCH, MISS = 32, 1e-9
 #: Rows of a bucket's block in the second round, and of members beside one copy of a group's centre.
 BLOCK, BESIDE = 2_000, 500
+#: Members of a family's block, whose sets are in memory together.
+FAMILY = 500
 U64 = np.uint64
 _A = mixed(np.arange(1, HASHES + 1, dtype=U64)) | U64(1)
 _B = mixed(np.arange(1001, HASHES + 1001, dtype=U64))
@@ -86,17 +88,23 @@ def signature_rows(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, HASHES)
 
 
+def band_keys(sig: np.ndarray) -> np.ndarray:
+    """Bucket of each band of each signature."""
+    sig = sig.astype(U64)
+    key = np.zeros((len(sig), BANDS), U64) + np.arange(1, BANDS + 1, dtype=U64)
+    for r in range(ROWS):
+        key = mixed(key * U64(0x9E3779B97F4A7C15) + sig[:, r::ROWS])
+    return signed(key)
+
+
 def banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(bucket, id) of each band of each signature."""
     for batch in batches:
         for at in range(0, batch.num_rows, 4096):
             part = batch.slice(at, 4096)
-            sig = signature_rows(part.column("sig")).astype(U64)
-            key = np.zeros((len(sig), BANDS), U64) + np.arange(1, BANDS + 1, dtype=U64)
-            for r in range(ROWS):
-                key = mixed(key * U64(0x9E3779B97F4A7C15) + sig[:, r::ROWS])
+            key = band_keys(signature_rows(part.column("sig")))
             ids = np.repeat(part.column("id").to_numpy(), BANDS)
-            yield pa.RecordBatch.from_arrays([pa.array(signed(key.reshape(-1))), pa.array(ids)], names=["bucket", "id"])
+            yield pa.RecordBatch.from_arrays([pa.array(key.reshape(-1)), pa.array(ids)], names=["bucket", "id"])
 
 
 def least_matches(threshold: float, miss: float = MISS) -> list[tuple[int, int]]:
@@ -147,41 +155,110 @@ def grouped(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.R
             yield batch.slice(a, b - a)
 
 
+def pruned(sx: np.ndarray, sig: np.ndarray, alive: np.ndarray, table: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Of the rows alive of sig those that no batch of hashes prunes beside sx, and their matches."""
+    matches, done = np.zeros(len(alive), np.int64), 0
+    for n, least in table:
+        if not len(alive):
+            break
+        matches = matches + (sig[alive, done:n] == sx[done:n]).sum(1)
+        go = matches >= least
+        alive, matches, done = alive[go], matches[go], n
+    return alive, matches
+
+
 def crossed(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
     """Compare each block of a bucket with the bucket's stragglers; rows come by (bucket, block, role), role 0 the block's own.
 
-    Only pairs of different components are looked at. The block's rows stay in memory, stragglers stream past them.
+    Only pairs of different components are looked at. Survivors are not listed: edges (a, b) join the ids that survivors connect,
+    about one for each id. The block's rows stay in memory, stragglers stream past them.
     """
-    now, ids, label, sig = None, np.empty(0, np.int64), np.empty(0, np.int64), np.empty((0, HASHES), np.uint32)
-    table = least_matches(threshold)
+    now, blocks, table = None, [], least_matches(threshold)
     for part in grouped(batches, ["bucket", "block", "role"]):
         key = part.column("bucket")[0].as_py(), part.column("block")[0].as_py()
         if key != now:
-            now, ids, label, sig = key, np.empty(0, np.int64), np.empty(0, np.int64), np.empty((0, HASHES), np.uint32)
+            now, blocks = key, []
         own = part.column("id").to_numpy(), part.column("label").to_numpy(), signature_rows(part.column("sig"))
         if part.column("role")[0].as_py() == 0:
-            ids, label, sig = np.concatenate([ids, own[0]]), np.concatenate([label, own[1]]), np.concatenate([sig, own[2]])
+            blocks.append(own)
             continue
-        a, b = [], []
+        if len(blocks) > 1:
+            blocks = [tuple(np.concatenate(c) for c in zip(*blocks))]
+        ids, label, sig = blocks[0]
+        root = np.full(len(ids), -1)  # of each row of the block, the place among parents of the straggler that it met
+        parents, met, a, b = [], [], [], []
         for x, lx, sx in zip(*own):
-            alive = np.flatnonzero(label != lx)
-            matches, done = np.zeros(len(alive), np.int64), 0
-            for n, least in table:
-                if not len(alive):
-                    break
-                matches = matches + (sig[alive, done:n] == sx[done:n]).sum(1)
-                go = matches >= least
-                alive, matches, done = alive[go], matches[go], n
-            a.append(np.minimum(ids[alive], x))
-            b.append(np.maximum(ids[alive], x))
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
+            alive, _ = pruned(sx, sig, np.flatnonzero(label != lx), table)
+            if not len(alive):
+                continue
+            mine = len(parents)
+            parents.append(mine)
+            for other in np.unique(root[alive]).tolist():
+                if other < 0:
+                    continue
+                while parents[other] != other:
+                    other = parents[other]
+                if other != mine:
+                    parents[other] = mine
+                    a.append(int(x))
+                    b.append(met[other])
+            met.append(int(x))
+            new = alive[root[alive] < 0]
+            a += [int(x)] * len(new)
+            b += ids[new].tolist()
+            root[alive] = mine
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
+def settled(batches: Iterator[pa.RecordBatch], threshold: float, percent: int) -> Iterator[pa.RecordBatch]:
+    """Links of a family, exactly verified; rows come by (family, block, role), role 0 the block's own and 1 the stragglers.
+
+    A survivor is verified unless a link found here has joined its component with the straggler's; likeliest ones come first.
+    """
+    now, block, table = None, [], least_matches(threshold)
+    for part in grouped(batches, ["family", "block", "role"]):
+        key = part.column("family")[0].as_py(), part.column("block")[0].as_py()
+        if key != now:
+            now, block, joined = key, [], {}
+        rows = list(zip(*(part.column(c).to_pylist() for c in ("id", "label", "straggler"))))
+        sets = [np.frombuffer(h, U64) for h in part.column("hashes").to_pylist()]
+        sig = signature_rows(part.column("sig"))
+        if part.column("role")[0].as_py() == 0:
+            block.append((rows, sets, sig))
+            continue
+        if len(block) > 1:
+            block = [([r for x in block for r in x[0]], [h for x in block for h in x[1]], np.concatenate([x[2] for x in block]))]
+        own_rows, own_sets, own_sig = block[0]
+        ids, labels, late = (np.array(c) for c in zip(*own_rows))
+
+        def root(label: int) -> int:
+            while label in joined:
+                label = joined[label]
+            return label
+
+        a, b = [], []
+        for (x, lx, _), hx, sx in zip(rows, sets, sig):
+            alive, matches = pruned(sx, own_sig, np.flatnonzero((labels != lx) & (~late | (ids > x))), table)
+            for i in alive[np.argsort(-matches, kind="stable")].tolist():
+                mine, other = root(lx), root(int(labels[i]))
+                if mine == other:
+                    continue
+                hy = own_sets[i]
+                same = int((hx[np.minimum(np.searchsorted(hx, hy), len(hx) - 1)] == hy).sum())
+                if 100 * same >= percent * (len(hx) + len(hy) - same):
+                    a.append(x)
+                    b.append(int(ids[i]))
+                    joined[mine] = other
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
 def sets_of(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+    """The batches with each text's sorted shingle hashes in place of the text."""
     for batch in sliced(batches, "text", 3 << 20):
         values, at = shingles(batch.column("text"), k)
         raw = pa.LargeBinaryArray.from_buffers(pa.large_binary(), batch.num_rows, [None, pa.py_buffer(at.astype(np.int64) * 8), pa.py_buffer(values.tobytes())]).cast(pa.binary())
-        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("grp", "part", "role", "id")), raw], names=["grp", "part", "role", "id", "hashes"])
+        names = [c for c in batch.schema.names if c != "text"]
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), raw], names=[*names, "hashes"])
 
 
 def verified(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
@@ -211,11 +288,27 @@ def exact(pairs: DataFrame, documents: DataFrame, k: int, percent: int) -> DataF
     members = salted(pairs, size, ["a"], F.col("b"), "inner").select(F.col("b").alias("id"), F.col("a").alias("grp"), F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("role"))
     centres = size.select(F.col("a").alias("id"), F.col("a").alias("grp"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("role"))
     rows = members.unionByName(centres)
-    texts = documents.select(F.col("doc_id").alias("id"), "text").join(rows, "id")
+    texts = documents.select(F.col("doc_id").alias("id"), "text").join(rows, "id").select("grp", "part", "role", "id", "text")
     sets = texts.mapInArrow(lambda it: sets_of(it, k), "grp bigint, part int, role int, id bigint, hashes binary")
     return sets.repartition("grp", "part").sortWithinPartitions("grp", "part", "role", "id").mapInArrow(lambda it: verified(it, percent), "a bigint, b bigint")
 
 
+def family_links(families: DataFrame, labels: DataFrame, sigs: DataFrame, documents: DataFrame, k: int, percent: int) -> DataFrame:
+    """Verified links between components of a family, at least one for each two that are linked. families: (id, label).
+
+    A family's members go to blocks; those outside its largest component, the stragglers, go to every block, with their sets.
+    """
+    of = written(families.select("id", F.col("label").alias("family")).join(labels, "id", "left").select("id", "family", F.coalesce("label", "id").alias("label")), "families")
+    parts = of.groupBy("family", "label").agg(F.count("*").alias("size")).groupBy("family").agg(F.max_by("label", F.struct("size", -F.col("label"))).alias("largest"), F.sum("size").alias("n"))
+    rows = salted(of, parts.where("n > 1"), ["family"], F.col("id"), "inner").withColumn("straggler", F.expr("label <> largest")).withColumn("blocks", F.ceil(F.col("n") / FAMILY).cast("int"))
+    texts = documents.select(F.col("doc_id").alias("id"), "text").join(rows, "id").join(sigs, "id").select("family", "id", "label", "straggler", "blocks", "sig", "text")
+    sets = texts.mapInArrow(lambda it: sets_of(it, k), "family bigint, id bigint, label bigint, straggler boolean, blocks int, sig binary, hashes binary")
+    own = F.array(F.struct(F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"), F.lit(0).alias("role")))
+    every = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda i: F.struct(i.alias("block"), F.lit(1).alias("role")))
+    dealt = sets.withColumn("to", F.explode(F.when(F.col("straggler"), F.concat(own, every)).otherwise(own))).select("family", F.col("to.block").alias("block"), F.col("to.role").alias("role"), "id", "label", "straggler", "sig", "hashes")
+    return dealt.repartition("family", "block").sortWithinPartitions("family", "block", "role", "id").mapInArrow(lambda it: settled(it, percent / 100, percent), "a bigint, b bigint")
+
+
 def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable over links of percent % Jaccard similarity) and kept.
 
@@ -223,7 +316,8 @@ def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80) -> Data
     2. Each class takes, of the smallest classes of its band buckets, the one whose signature agrees best; pairs that survive the
        Bayesian pruning are verified on full sets. This links groups of copies to their centre without any pairs within them.
     3. Buckets that still hold several components are compared in blocks: every member outside the bucket's largest component
-       against all others, pruned and verified in the same way. No bucket, candidate or partner is capped.
+       against all others. Those that pruning leaves connected are a family, whose components are compared again in blocks that hold the full
+       sets, until they are joined or every survivor is verified. No bucket, candidate or partner is capped.
 
     Losses: a pair at the threshold shares no band with probability 3e-6, and is pruned with one below 1e-9 a batch.
 
@@ -243,20 +337,21 @@ def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80) -> Data
     found = with_sigs(stars).select("a", "b", "sig_a", "sig_b").mapInArrow(lambda it: likely(it, threshold), "a bigint, b bigint, matches bigint")
     best = found.groupBy("b").agg(F.max_by("a", F.struct("matches", -F.col("a"))).alias("a")).select("a", "b")
     edges = written(exact(written(best, "pairs"), documents, k, percent), "links")
-    first = components(edges)
-    member = bands.join(shared.select("bucket", "n"), "bucket").join(first, "id", "left").select("bucket", "id", "n", F.coalesce("label", "id").alias("label"))
-    parts = written(member.groupBy("bucket", "label").agg(F.count("*").alias("size"), F.first("n").alias("n")), "parts")
-    mixed_buckets = parts.groupBy("bucket").agg(F.max_by("label", F.struct("size", -F.col("label"))).alias("largest"), F.min("label").alias("lo"), F.max("label").alias("hi"), F.first("n").alias("n")).where("lo < hi")
-    mixed_buckets = written(mixed_buckets.select("bucket", "largest", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "mixed")
-    open_ = salted(bands, mixed_buckets, ["bucket"], F.col("id"), "inner").join(first, "id", "left").join(sigs, "id")
+    labels = components(edges)
+
+    named = bands.join(shared.select("bucket", "n"), "bucket").join(labels, "id", "left").select("bucket", "id", "n", F.coalesce("label", "id").alias("label"))
+    parts = named.groupBy("bucket", "label").agg(F.count("*").alias("size"), F.first("n").alias("n"))
+    several = parts.groupBy("bucket").agg(F.max_by("label", F.struct("size", -F.col("label"))).alias("largest"), F.min("label").alias("lo"), F.max("label").alias("hi"), F.first("n").alias("n")).where("lo < hi")
+    several = written(several.select("bucket", "largest", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "mixed")
+    open_ = salted(bands, several, ["bucket"], F.col("id"), "inner").join(labels, "id", "left").join(sigs, "id")
     open_ = open_.select("bucket", "id", "sig", "largest", "blocks", F.coalesce("label", "id").alias("label"))
     own = open_.select("bucket", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"), F.lit(0).alias("role"), "id", "label", "sig")
     others = open_.where("label <> largest").select("bucket", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(1).alias("role"), "id", "label", "sig")
     dealt = own.unionByName(others).repartition("bucket", "block").sortWithinPartitions("bucket", "block", "role", "id")
-    more = written(dealt.mapInArrow(lambda it: crossed(it, threshold), "a bigint, b bigint").distinct(), "more")
-    links = edges.unionByName(written(exact(more, documents, k, percent), "links")) if not more.isEmpty() else edges
-    final = components(links) if not more.isEmpty() else first
-    named = classes.select("k1", "k2", "id").join(final, "id", "left").select("k1", "k2", F.coalesce("label", "id").alias("component_id"))
+    near = written(dealt.mapInArrow(lambda it: crossed(it, threshold), "a bigint, b bigint").distinct(), "near")
+    if not near.isEmpty():
+        labels = components(edges.unionByName(written(family_links(components(near), labels, sigs, documents, k, percent), "links")))
+    named = classes.select("k1", "k2", "id").join(labels, "id", "left").select("k1", "k2", F.coalesce("label", "id").alias("component_id"))
     with_sets = salted(sketch.where("k1 is not null").select("doc_id", "n_shingles", "k1", "k2"), named, ["k1", "k2"], F.col("doc_id"), "inner").select("doc_id", "n_shingles", "component_id")
     without = sketch.where("k1 is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return with_sets.unionByName(without).withColumn("kept", F.expr("doc_id = component_id"))
