@@ -189,9 +189,10 @@ def test_near_duplicates_of_an_empty_table(spark):
     assert minhash.near_duplicates(table(spark, [])).count() == 0
 
 
-def test_components(spark):
+@pytest.mark.parametrize("one_task", [400_000, 0])
+def test_components(spark, one_task):
     edges = [(i, i + 1) for i in range(1, 30)] + [(50, 40), (40, 45), (60, 60), (None, 3)]
-    got = {r.id: r.label for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    got = {r.id: r.label for r in graph.components(spark.createDataFrame(edges, "a long, b long"), one_task).collect()}
     assert got == {i: 1 for i in range(1, 31)} | {40: 40, 45: 40, 50: 40}
 
 
