@@ -121,7 +121,7 @@ def shard_search(ids: np.ndarray, vectors: np.ndarray, largest: float, k: int):
     def search(query_ids: np.ndarray, queries: np.ndarray) -> tuple:
         queries = queries.astype(np.float64)
         flat = np.concatenate([queries, np.zeros((len(queries), 1))], 1)
-        near, _ = graph.search(flat, max(BEAM, 2 * k))
+        near = graph.search(flat, max(BEAM, 2 * k))[0][:, : k + 2]  # the k + 1 classes that can matter, and the query itself
         row, column = np.nonzero(near >= 0)
         found = near[row, column]
         score = np.einsum("nd,nd->n", queries[row], vectors[found])
