@@ -70,6 +70,17 @@ NON_SERVING = [
     "kindergarten", "parking", "path", "primary", "primary_link", "residential", "road", "secondary", "secondary_link", "service",
     "tertiary", "tertiary_link", "ticket", "track", "trunk", "unclassified",
 ]
+NON_SERVING_NAMES = [
+    r"^address\s*:", r"^timings?\s*:", r"^entry fee\b", r"^skip to content$", r"^read now$", r"^view details$",
+    r"^(?:add|apply|create|submit|register|sign\s*up|login|log\s*in|join|follow|share|save|view|read|learn)\b",
+    r"^(?:why|what|how|where|when|who)\b", r"^request quote$", r"^upcoming community(?: trips)?$", r"\btour packages?\b", r"\btrips?\b",
+    r"\broad\b", r"\broad\s+(?:no|number)\b", r"\brd\s*\d+\b", r"\bward\s+\d+\b", r"\bpolice station\b", r"\bbasthi dawakhana\b",
+    r"\bprimary health centre\b", r"\bcheck\s*post\b", r"\bkaman\b",
+    r"\b(?:logo|badge|primary image|contribution instructions|privacy policy|terms|cancellation policy|user profile)\b",
+    r"\b(?:events|places|restaurants|cafes|clubs|pubs|activities|meetups|conferences|workshops|webinars)\s+in\s+hyderabad\b",
+    r"^(?:tech|startup|business|ai|data|web|webinar|workshop|founder|investor)\s+(?:meetups?|events?|conferences?|summits?)$",
+    r"^(?:free\s+)?(?:workshop|hackathon|rave party|party night|user group)$",
+]
 REQUIRED = ["name", "category", "locality", "address", "latitude", "longitude", "image", "source", "not_source_page"]
 BRANCHES = ["build", "network", "explore", "date"]
 BRANCH_BY_CATEGORY = {

@@ -15,7 +15,7 @@ def source_like(name: Column, lat: Column, lon: Column) -> Column:
 
 
 def recommendable(name: Column, category: Column) -> Column:
-    return ~is_blank(name) & ~is_blank(category) & ~F.lower(category).isin(lex.NON_SERVING)
+    return ~is_blank(name) & ~is_blank(category) & ~F.lower(category).isin(lex.NON_SERVING) & ~F.lower(F.trim(name)).rlike("|".join(lex.NON_SERVING_NAMES))
 
 
 def with_quality(entities: DataFrame) -> DataFrame:

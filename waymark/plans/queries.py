@@ -413,6 +413,69 @@ def price_levels(spark, sf):
     return table(spark, sf, "part").groupBy(tx.price_level(F.col("p_retailprice")).alias("price_level")).agg(F.count("*").alias("n"))
 
 
+# More reports and merges ---------------------------------------------------------------------------------------------
+
+
+@query(ENTITIES + "select category, count(*) as n, round(100 * count(*) / 5000::double, 2) as percent from e group by 1")
+def bulk_report(spark, sf):
+    return entities(spark, sf).groupBy("category").agg(F.count("*").alias("n"), F.round(100 * F.count("*") / F.lit(5000.0), 2).alias("percent"))
+
+
+@query(" union all ".join(f"select '{t}' as table_name, count(*) as n from {t}" for t in ("customer", "orders", "lineitem", "part", "events", "pages")))
+def table_counts(spark, sf):
+    counts = [table(spark, sf, t).agg(F.count("*").alias("n")).select(F.lit(t).alias("table_name"), "n") for t in ("customer", "orders", "lineitem", "part", "events", "pages")]
+    out = counts[0]
+    for c in counts[1:]:
+        out = out.unionByName(c)
+    return out
+
+
+@query("select o_custkey, list_sort(list_distinct(list(o_orderpriority))) as priorities, count(distinct o_orderpriority) as distinct_priorities, count(*) as records from orders group by 1")
+def source_counts(spark, sf):
+    o = table(spark, sf, "orders")
+    return o.groupBy("o_custkey").agg(F.array_sort(F.collect_set("o_orderpriority")).alias("priorities"), F.count_distinct("o_orderpriority").alias("distinct_priorities"), F.count("*").alias("records"))
+
+
+@query("select p_brand, min(p_retailprice) as low, max(p_retailprice) as high, list_sort(list(p_partkey))[1:10] as first_parts from part group by 1")
+def observed_prices(spark, sf):
+    place = F.row_number().over(Window.partitionBy("p_brand").orderBy("p_partkey"))
+    p = table(spark, sf, "part").withColumn("place", place)
+    return p.groupBy("p_brand").agg(F.min("p_retailprice").alias("low"), F.max("p_retailprice").alias("high"), F.array_sort(F.collect_list(F.when(F.col("place") <= 10, F.col("p_partkey")))).alias("first_parts"))
+
+
+@query("with v as (select l_orderkey, arg_max(l_returnflag, struct_pack(p := l_extendedprice, n := -l_linenumber)) as flag, max(l_extendedprice) as confidence, count(*) as records from lineitem group by 1) select o_orderkey, coalesce(case when o_orderkey % 2 = 0 then null else o_orderstatus end, flag) as status, coalesce(confidence, 0) as confidence, coalesce(records, 0)::bigint as records from orders left join v on o_orderkey = l_orderkey")
+def evidence_merge(spark, sf):
+    """The best evidence fills what is missing; all of it is counted."""
+    best = F.max_by("l_returnflag", F.struct("l_extendedprice", -F.col("l_linenumber"))).alias("flag")
+    v = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(best, F.max("l_extendedprice").alias("confidence"), F.count("*").alias("records"))
+    known = F.when(F.col("o_orderkey") % 2 != 0, F.col("o_orderstatus"))
+    return table(spark, sf, "orders").join(v, "o_orderkey", "left").select("o_orderkey", F.coalesce(known, "flag").alias("status"), F.coalesce("confidence", F.lit(0.0)).alias("confidence"), F.coalesce("records", F.lit(0).cast("bigint")).alias("records"))
+
+
+@query("select lower(url) as key, min(page_id) as page_id from pages group by 1 order by 2 limit 12")
+def search_union(spark, sf):
+    return table(spark, sf, "pages").groupBy(F.lower("url").alias("key")).agg(F.min("page_id").alias("page_id")).orderBy("page_id").limit(12)
+
+
+@query("select l_orderkey, l_linenumber, round(0.35::double + 0.4::double * l_discount * 10 + case when l_returnflag = 'R' then 0.25::double else 0 end - case when l_linestatus = 'F' then 0.4::double else 0 end, 3) as score from lineitem where round(0.35::double + 0.4::double * l_discount * 10 + case when l_returnflag = 'R' then 0.25::double else 0 end - case when l_linestatus = 'F' then 0.4::double else 0 end, 3) >= 0.45 qualify row_number() over (partition by l_orderkey order by score desc, l_linenumber) <= 4")
+def image_top4(spark, sf):
+    score = F.round(0.35 + 0.4 * F.col("l_discount") * 10 + F.when(F.col("l_returnflag") == "R", 0.25).otherwise(0.0) - F.when(F.col("l_linestatus") == "F", 0.4).otherwise(0.0), 3)
+    place = F.row_number().over(Window.partitionBy("l_orderkey").orderBy(F.desc("score"), "l_linenumber"))
+    return table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", score.alias("score")).where("score >= 0.45").withColumn("place", place).where("place <= 4").drop("place")
+
+
+@query(ENTITIES + "select id, coalesce(map {'building': 'build', 'automobile': 'network', 'household': 'date'}[category], 'explore') as branch from e")
+def branch_map(spark, sf):
+    known = F.create_map(*[F.lit(x) for x in ("building", "build", "automobile", "network", "household", "date")])
+    return entities(spark, sf).select("id", F.coalesce(known[F.col("category")], F.lit("explore")).alias("branch"))
+
+
+@query(ENTITIES + "select id, coalesce(length(address) between 12 and 220 and regexp_matches(lower(address), '[0-9]') and regexp_matches(lower(address), '\\b(?:road|street|lane|nagar|colony)\\b'), false) as valid from e")
+def address_valid(spark, sf):
+    a = F.lower("address")
+    return entities(spark, sf).select("id", F.coalesce(F.length("address").between(12, 220) & a.rlike("[0-9]") & a.rlike(r"\b(?:road|street|lane|nagar|colony)\b"), F.lit(False)).alias("valid"))
+
+
 @query()
 def fuzzy_resolve(spark, sf):
     """Suppliers against customers; similarity of names has no SQL form."""
