@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from waymark.functions import text as tx
 from waymark.operators import extract, quality, resolve, search, tables
 from waymark.plans.queries import QUERIES, SQL
-from waymark.plans.views import entities
+from waymark.plans.views import entities, resolvable
 from waymark.sources import landed
 from waymark.streaming.batches import Versions, crawl, stream_upserts
 
@@ -60,6 +60,18 @@ def test_blocking_loses_no_match(spark):
     assert pairs(every) == pairs(resolve.blocked_pairs(a, b)) != set()
 
 
+@pytest.mark.skipif(not os.path.isdir(SF), reason="needs the star-schema tables")
+def test_fuzzy_resolve_asks_every_supplier_of_every_customer(spark):
+    a, b = (resolvable(spark, SF, *x) for x in (("supplier", "s_suppkey", "s_nationkey"), ("customer", "c_custkey", "c_nationkey")))
+    assert (a.count(), b.count()) == (spark.read.parquet(f"{SF}/supplier.parquet").count(), spark.read.parquet(f"{SF}/customer.parquet").count())
+    every = resolve.similar(a.select(F.struct(*a.columns).alias("a")).crossJoin(b.select(F.struct(*b.columns).alias("b")))).where(F.col("score") >= resolve.MATCH)
+    want = {}
+    for r in every.select("a.id", F.col("b.id").alias("known"), F.round("score", 6).alias("score")).collect():
+        want[r.id] = min(want.get(r.id, (0, 0)), (-r.score, r.known))
+    got = {r.incoming_id: (-r.score, r.known_id) for r in QUERIES["fuzzy_resolve"](spark, SF).collect()}
+    assert got == want != {}
+
+
 def test_table_operations_are_idempotent(spark):
     old = spark.createDataFrame([(1, "a", 10), (2, "b", 20)], "k long, v string, first long")
     new = spark.createDataFrame([(2, "B", 99), (3, "C", 30)], "k long, v string, first long")

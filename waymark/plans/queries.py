@@ -13,7 +13,7 @@ from waymark.functions import text as tx
 from waymark.operators import quality as ql
 from waymark.operators import search as se
 from waymark.operators import tables as tb
-from waymark.plans.views import ENTITIES, FRONTIER, entities, frontier, table
+from waymark.plans.views import ENTITIES, FRONTIER, entities, frontier, resolvable, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -478,8 +478,8 @@ def address_valid(spark, sf):
 
 @query()
 def fuzzy_resolve(spark, sf):
-    """Suppliers against customers; similarity of names has no SQL form."""
+    """All suppliers against all customers; similarity of names has no SQL form."""
     from waymark.operators.resolve import best_matches
 
-    e = entities(spark, sf).withColumn("website", F.concat(F.lit("https://site"), (F.col("id") % 50).cast("string"), F.lit(".example"))).withColumn("name", F.concat(F.lit("Garden cafe "), (F.col("id") % 40).cast("string"))).select("id", "name", "address", "website", "latitude", "longitude")
-    return best_matches(e.where("id % 7 = 0"), e.where("id % 7 <> 0"))
+    incoming, known = resolvable(spark, sf, "supplier", "s_suppkey", "s_nationkey"), resolvable(spark, sf, "customer", "c_custkey", "c_nationkey")
+    return best_matches(incoming, known, one_table=False)

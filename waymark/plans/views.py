@@ -42,6 +42,16 @@ with e as (
 """
 
 
+def resolvable(spark: SparkSession, sf_dir: str, name: str, key: str, nation_key: str) -> DataFrame:
+    """Every row of supplier or customer as a place to resolve: name, site, address and position are functions of the key, with gaps."""
+    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    t = table(spark, sf_dir, name)
+    return t.join(F.broadcast(nation), F.col(nation_key) == F.col("n_nationkey"), "left").selectExpr(  # 25 rows
+        f"cast({key} as bigint) as id", f"concat('Garden cafe ', cast({key} % 40 as string)) as name", f"if({key} % 7 = 0, null, concat(cast({key} as string), ' ', n_name, ' lake road')) as address",
+        f"concat('https://site', cast({key} % 50 as string), '.example') as website", f"if({key} % 13 = 0, null, 17.2D + ({key} * 37 % 1000) / 2000D) as latitude", f"if({key} % 13 = 0, null, 78.2D + ({key} * 53 % 1000) / 2500D) as longitude",
+    )
+
+
 def frontier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as candidates: their type is the kind, their user the value, and depth and retries follow from ids."""
     return table(spark, sf_dir, "events").selectExpr(
