@@ -98,6 +98,28 @@ def test_text_functions(spark):
     assert (list(r.p), r.r, r.d, tuple(r.c), r.b, r.f) == ([1200, 50], 4.5, "mar 3, 2024", (17.44, 78.46), False, "Cafe")
 
 
+def test_review_signals_are_cued_sentences(spark, tmp_path):
+    import hashlib
+    import re
+
+    fill = "and nobody there knew of any other thing to tell"
+    texts = [
+        f"Nothing to see here {fill}. Visitors say it is good, safe and  clean {fill}! Too short, bad. It is crowded, rude and costs ₹ 50 {fill}? The end of it {fill}.",
+        " ".join(f"Number {i} is a quiet lake {fill}." for i in range(15)), "", None, f"No cue {fill}.",
+    ]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    want = {}
+    for d, t in enumerate(texts):
+        kept = [re.sub(r"\s+", " ", x).strip() for x in re.split(r"(?<=[.!?])\s+", t or "") if len(x.strip()) > 40]
+        cued = [(i, x) for i, x in enumerate(kept) if any(c in x.lower() for c in ("review", "people say", "visitors", "users", "crowded", "quiet", "safe", "expensive", "good", "bad"))]
+        want |= {hashlib.sha256(f"{d}:{i}:{x}".encode()).hexdigest()[:16]: (d, i, x) for i, x in cued[:12]}
+    rows = {r.id: r for r in QUERIES["review_signal_rows"](spark, str(tmp_path)).collect()}
+    assert {k: (r.doc_id, r.idx, r.text) for k, r in rows.items()} == want and len(want) == 14
+    first, second = (next(r for r in rows.values() if (r.doc_id, r.idx) == (0, i)) for i in (1, 2))
+    assert (first.sentiment, first.sentiment_score, first.topics[:4], first.mentioned_intents, first.mentioned_safety_signals) == ("positive", 1.0, ["visitors", "say", "good", "safe"], ["women_friendly"], ["safety"])
+    assert (second.sentiment, second.sentiment_score, second.mentioned_price_signals) == ("negative", -1.0, ["price"])
+
+
 def test_crawl_expands_and_retries(spark, tmp_path):
     schema = "kind string, source string, value string, priority double, depth int, retry_count int, seq long"
     frontier = Versions(spark, f"file://{tmp_path}/f")

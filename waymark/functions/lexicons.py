@@ -96,3 +96,27 @@ DATE_PATTERNS = [
 ]
 EMAIL, PHONE, POSTAL = r"[\w.+-]+@[\w-]+\.[\w.-]+", r"(?:\+91[-\s]?)?[6-9]\d{9}", r"\b(50[0-9]{4})\b"
 SERVING_STOPS = r"\b(?:the|near|at|in|hyderabad|telangana|india)\b"
+SIGNAL_CUES = ["review", "people say", "visitors", "users", "crowded", "quiet", "safe", "expensive", "good", "bad"]
+SIGNAL_POSITIVE = ["good", "great", "best", "safe", "clean", "friendly", "beautiful", "amazing"]
+SIGNAL_NEGATIVE = ["bad", "worst", "unsafe", "dirty", "expensive", "crowded", "rude"]
+SIGNAL_INTENTS = {
+    "investors": ["investor", "vc", "angel", "funding", "capital"],
+    "founders": ["founder", "cofounder", "entrepreneur"],
+    "tech": ["tech", "technology", "software", "ai", "developer", "startup"],
+    "networking": ["network", "networking", "meetup", "community"],
+    "quiet": ["quiet", "calm", "peaceful", "less crowded", "serene"],
+    "walking": ["walk", "walking", "trail", "promenade", "lake", "park"],
+    "late_night": ["late night", "midnight", "after midnight", "open late"],
+    "date": ["date", "romantic", "couple"],
+    "family": ["family", "kids", "children"],
+    "budget": ["budget", "cheap", "affordable", "free"],
+    "luxury": ["luxury", "premium", "fine dining"],
+    "spiritual": ["temple", "spiritual", "pray", "darshan", "mosque", "church"],
+    "work_friendly": ["wifi", "laptop", "work friendly", "power outlet", "cowork"],
+    "women_friendly": ["women friendly", "safe for women", "well lit", "safe"],
+    "first_timer_friendly": ["first timer", "beginner friendly", "friendly staff"],
+    "hidden_gem": ["hidden gem", "underrated", "less known"],
+}
+SIGNAL_SAFETY = {"safety": ["safe", "unsafe", "well lit"]}
+SIGNAL_PRICE = {"price": ["free", "budget", "expensive", "₹", "rs"]}
+KEYWORD_STOPS = ["with", "from", "that", "this", "https", "http", "html", "image", "photo", "and", "the"]

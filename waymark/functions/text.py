@@ -99,6 +99,21 @@ def sentences(x: Column, least: int = 40) -> Column:
     return F.filter(F.transform(parts, F.trim), lambda s: F.length(s) > least)
 
 
+def keywords(x: Column, most: int = 16) -> Column:
+    """First distinct words of three characters or more that are no stop words."""
+    found_ = F.regexp_extract_all(F.lower(x), F.lit(r"[a-z][a-z0-9_-]{2,}"), F.lit(0))
+    return F.slice(F.array_distinct(F.filter(found_, lambda w: ~w.isin(lex.KEYWORD_STOPS))), 1, most)
+
+
+def review_signals(entity: Column, x: Column, most: int = 12) -> Column:
+    """id, idx and text of the first sentences longer than 40 characters that hold a cue; idx counts all such sentences, as the id does."""
+    parts = F.filter(F.split(x, r"(?U)(?<=[.!?])\s+"), lambda s: F.length(F.regexp_replace(s, r"(?U)^\s+|\s+$", "")) > 40)
+    each = F.transform(parts, lambda s, i: F.struct(i.alias("idx"), clean(s).alias("text")))
+    cued = F.slice(F.filter(each, lambda r: F.lower(r.text).rlike("|".join(lex.SIGNAL_CUES))), 1, most)
+    named = lambda r: F.substring(F.sha2(F.concat_ws(":", entity.cast("string"), r.idx.cast("string"), r.text), 256), 1, 16)
+    return F.transform(cued, lambda r: F.struct(named(r).alias("id"), r.idx.alias("idx"), r.text.alias("text")))
+
+
 def found(x: Column, pattern: str) -> Column:
     """Sorted distinct matches."""
     return F.array_sort(F.array_distinct(F.regexp_extract_all(x, F.lit(pattern), F.lit(0))))

@@ -146,6 +146,22 @@ def review_signals(spark, sf):
     return s.select("doc_id", F.size("s").alias("n_sentences"), F.get("s", F.lit(0)).alias("first_sentence"))
 
 
+@query()
+def review_signal_rows(spark, sf):
+    """One row for each of a document's signals, at most 12; no SQL form, tests hold it against brute force."""
+    d = table(spark, sf, "documents")
+    s = d.select("doc_id", F.explode(tx.review_signals(F.col("doc_id"), F.col("text"))).alias("s")).select("doc_id", "s.*")
+    low, text = F.lower("text"), F.col("text")
+    hits = lambda terms: sum(((F.length(low) - F.length(F.replace(low, F.lit(t), F.lit("")))) / F.lit(len(t)) for t in terms), F.lit(0.0))
+    p, n = hits(lex.SIGNAL_POSITIVE), hits(lex.SIGNAL_NEGATIVE)
+    s = s.withColumn("sentiment_score", F.when(p + n == 0, F.lit(0.0)).otherwise(F.bround((p - n) / (p + n), 3)))
+    label = F.when(F.col("sentiment_score") > 0.2, "positive").when(F.col("sentiment_score") < -0.2, "negative").otherwise("mixed")
+    return s.select(
+        "id", "doc_id", "idx", F.lit("web_page_extracted").alias("source"), F.substring("text", 1, 1000).alias("text"), label.alias("sentiment"), "sentiment_score", tx.keywords(text).alias("topics"),
+        tx.tags(text, lex.SIGNAL_INTENTS).alias("mentioned_intents"), tx.tags(text, lex.SIGNAL_SAFETY).alias("mentioned_safety_signals"), tx.tags(text, lex.SIGNAL_PRICE).alias("mentioned_price_signals"), F.lit(0.35).alias("confidence"),
+    )
+
+
 @query("select c_custkey, nullif(regexp_replace(lower(c_name), '[^a-z0-9]+', '', 'g'), '') as fingerprint, regexp_replace(regexp_replace(lower(c_name), '[^a-z0-9]+', '_', 'g'), '^_+|_+$', '', 'g') as slug from customer")
 def fingerprints(spark, sf):
     return table(spark, sf, "customer").select("c_custkey", tx.fingerprint(F.col("c_name")).alias("fingerprint"), tx.slug(F.col("c_name")).alias("slug"))
