@@ -120,6 +120,15 @@ def test_review_signals_are_cued_sentences(spark, tmp_path):
     assert (second.sentiment, second.sentiment_score, second.mentioned_price_signals) == ("negative", -1.0, ["price"])
 
 
+def test_source_pages_by_terms_and_numbered_items(spark, tmp_path):
+    rows = [
+        ("<title>Things to do in town</title>", "u", True), ("<p>1. Blue Cup 2. Red Fort 3. Old Lake</p>", "u", True), ("<ul><li>Home<li>News<li>Us</ul>", "u", False), ("<p>1. Blue Cup 2. Red Fort</p>", "u", False),
+        ("<p>a</p>", "https://x.example/romantic-guide", True), ("<script>best</script><p>Hours</p>", "u", False), (None, None, False), ("", "", False), ("<p>" + "x " * 1600 + "best</p>", "u", False),
+    ]
+    spark.createDataFrame([(i, *r[:2]) for i, r in enumerate(rows)], "page_id long, html string, url string").write.parquet(f"{tmp_path}/pages.parquet")
+    assert {r.page_id: r.is_source_page for r in QUERIES["source_page_flag"](spark, str(tmp_path)).collect()} == {i: r[2] for i, r in enumerate(rows)}
+
+
 def test_crawl_expands_and_retries(spark, tmp_path):
     schema = "kind string, source string, value string, priority double, depth int, retry_count int, seq long"
     frontier = Versions(spark, f"file://{tmp_path}/f")

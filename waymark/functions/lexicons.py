@@ -120,3 +120,7 @@ SIGNAL_INTENTS = {
 SIGNAL_SAFETY = {"safety": ["safe", "unsafe", "well lit"]}
 SIGNAL_PRICE = {"price": ["free", "budget", "expensive", "₹", "rs"]}
 KEYWORD_STOPS = ["with", "from", "that", "this", "https", "http", "html", "image", "photo", "and", "the"]
+ARTICLE_TERMS = [
+    "best", "top", "places to visit", "things to do", "weekend getaway", "guide", "list", "hangout places", "romantic places", "cheap things",
+    "cafes in hyderabad", "restaurants in hyderabad", "where to", "what to",
+]

@@ -114,6 +114,14 @@ def review_signals(entity: Column, x: Column, most: int = 12) -> Column:
     return F.transform(cued, lambda r: F.struct(named(r).alias("id"), r.idx.alias("idx"), r.text.alias("text")))
 
 
+def source_page(title_: Column, text: Column, url: Column) -> Column:
+    """Whether a page is a list or an article: one of the terms anywhere in title, text and url, a top or best number, or three numbered items."""
+    some = lambda c: F.coalesce(c, F.lit(""))
+    hay = F.lower(clean(F.concat_ws(" ", some(title_), F.substring(some(text), 1, 3000), some(url))))
+    items = F.regexp_count(F.substring(some(text), 1, 8000), F.lit(r"(?U)\b\d{1,2}\.\s+[A-Z]"))
+    return (hay != "") & (hay.rlike("|".join(lex.ARTICLE_TERMS)) | hay.rlike(r"(?U)\b(?:top|best)\s+\d{1,3}\b") | (items >= 3))
+
+
 def found(x: Column, pattern: str) -> Column:
     """Sorted distinct matches."""
     return F.array_sort(F.array_distinct(F.regexp_extract_all(x, F.lit(pattern), F.lit(0))))

@@ -424,6 +424,17 @@ def list_page_flag(spark, sf):
     return table(spark, sf, "pages").select("page_id", ((F.regexp_count("html", F.lit("(?i)<li")) >= 3) | F.lower("html").rlike(r"\b(?:top|best)\s+[0-9]+")).alias("is_list"))
 
 
+_TITLE = "coalesce(nullif(" + _TEXT.format(x=_UNESCAPE.format(x="regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)")) + ", ''), nullif(" + _TEXT.format(x=_UNESCAPE.format(x="regexp_extract(html, '(?is)<h1[^>]*>(.*?)</h1>', 1)")) + ", ''))"
+_VISIBLE = _TEXT.format(x=_UNESCAPE.format(x="regexp_replace(regexp_replace(html, '(?is)<(script|style|noscript|svg)[^>]*>.*?</(script|style|noscript|svg)>', ' ', 'g'), '(?s)<[^>]*>', ' ', 'g')"))
+
+
+@query(rf"""with p as (select page_id, coalesce(url, '') as url, coalesce({_TITLE}, '') as title, coalesce({_VISIBLE}, '') as text from pages),
+h as (select *, lower(trim(regexp_replace(title || ' ' || substr(text, 1, 3000) || ' ' || url, '\s+', ' ', 'g'))) as hay from p)
+select page_id, hay <> '' and ({" or ".join(f"contains(hay, '{t}')" for t in lex.ARTICLE_TERMS)} or regexp_matches(hay, '\b(?:top|best)\s+[0-9]{{1,3}}\b') or len(regexp_extract_all(substr(text, 1, 8000), '\b[0-9]{{1,2}}\.\s+[A-Z]')) >= 3) as is_source_page from h""")
+def source_page_flag(spark, sf):
+    return table(spark, sf, "pages").select("page_id", tx.source_page(tx.title(F.col("html")), tx.visible_text(F.col("html")), F.col("url")).alias("is_source_page"))
+
+
 @query("select case when p_retailprice = 0 then 'free' when p_retailprice <= 300 then 'budget' when p_retailprice <= 1200 then 'mid' when p_retailprice <= 3000 then 'premium' else 'luxury' end as price_level, count(*) as n from part group by 1")
 def price_levels(spark, sf):
     return table(spark, sf, "part").groupBy(tx.price_level(F.col("p_retailprice")).alias("price_level")).agg(F.count("*").alias("n"))
