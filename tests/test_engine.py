@@ -20,6 +20,16 @@ def test_query_is_compiled_to_terms_moods_and_centre():
     assert q.terms == ("quiet", "walk", "begumpet") and q.moods == ("good_for_walking", "quiet") and q.hint == "begumpet" and q.centre == (17.4447, 78.4665)
 
 
+def test_relevance_counts_suitability_and_hints_come_from_entities(spark):
+    schema = "id long, name string, category string, locality string, address string, description string, intent_tags array<string>, latitude double, longitude double, image_id string, popularity double, n_sources int, suitability_scores map<string,double>"
+    rows = [(i, "Old Fort", "museum", "In Alwal", None, "quiet", tags, None, None, None, 0.0, 1, scores) for i, (tags, scores) in enumerate([(["solo", "quiet", "odd"], {"solo": 0.5, "quiet": 0.65, "other": 1.0}), (["solo"], None), (None, {"solo": 0.5})])]
+    e = spark.createDataFrame(rows, schema)
+    got = {r.id: r.relevance_score for r in search.cards(e, search.compiled("museum")).collect()}
+    assert got == {0: 2.05, 1: 0.9, 2: 0.9}
+    assert search.hinted(search.compiled("quiet museum in alwal"), e).hint == "alwal" and search.hinted(search.compiled("quiet museum"), e).hint is None
+    assert search.hinted(search.compiled("alwal near begumpet for kids"), e).hint == "begumpet" and search.compiled("parks near places with kids").hint is None
+
+
 def test_linked_data_and_mentions(spark):
     html = '<script type="application/ld+json">{"@graph":[{"@type":["Cafe"],"name":"Blue  Cup","address":{"streetAddress":"1 Lake Road","postalCode":"500016"},"geo":{"latitude":17.4,"longitude":78.4}}]}</script><script type="application/ld+json">{bad</script>'
     got = extract.linked_entities(spark.createDataFrame([(1, html), (2, None), (3, "")], "page_id long, html string")).collect()

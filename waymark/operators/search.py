@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,15 +27,30 @@ def compiled(text: str, lat: float | None = None, lon: float | None = None) -> Q
     terms = tuple(t for t in (lex.QUERY_ALIASES.get(w, w) for w in raw) if len(t) > 2 and t not in lex.QUERY_STOPS)
     moods = tuple(sorted(m for m, words in lex.MOOD_TERMS.items() if any(t == m or any(t in k.split() or k.startswith(t) for k in words) for t in terms)))
     hint = None
-    if near := re.search(r"\bnear\s+([a-z0-9 ]+)", text.lower()):
-        words = near[1].split()
-        hint = " ".join(words[:2]) if " ".join(words[:2]) in lex.CENTRES else words[0]
+    if near := re.search(r"\bnear\s+([a-z][a-z\s-]{2,40})", text.lower()):
+        words = [w for w in re.findall("[a-z0-9]+", re.split(r"\b(?:for|with|and|that|which|where)\b", near[1])[0]) if w not in ("place", "places")]
+        if words:
+            hint = " ".join(words[:2]) if " ".join(words[:2]) in lex.CENTRES else words[0]
     centre = (lat, lon) if lat is not None and lon is not None else lex.CENTRES.get(hint or "")
     return Query(terms, moods, hint, centre)
 
 
+def hinted(query: Query, entities: DataFrame) -> Query:
+    """The query with the first of its terms that is a locality, an address or a name of the entities as its hint, if it has none yet."""
+    if query.hint or not query.terms:
+        return query
+    words = F.filter(F.regexp_extract_all(F.lower("value"), F.lit("[a-z0-9]+"), F.lit(0)), lambda w: F.length(w) > 2)
+    values = entities.select(F.explode(F.array("locality", "address", "name")).alias("value")).select(F.array_join(F.slice(words, 1, 3), " ").alias("value"))
+    known = {r.value for r in values.where(F.col("value").isin(*query.terms)).distinct().collect()}  # no more than the query has terms
+    hint = next((t for t in query.terms if t in known), None)
+    return replace(query, hint=hint, centre=query.centre or lex.CENTRES.get(hint or ""))
+
+
 def cards(entities: DataFrame, query: Query) -> DataFrame:
-    """Entities that match the query, with matched terms, distance and relevance."""
+    """Entities that match the query, with matched terms, distance and relevance.
+
+    suitability_scores, a map that entities may have, counts with the sum over the intent tags; a tag without a score counts 0.
+    """
     hay = F.lower(F.concat_ws(" ", "name", "category", "locality", "address", "description", F.array_join("intent_tags", " ")))
     terms = F.array(*map(F.lit, query.terms)) if query.terms else F.array().cast("array<string>")
     out = entities.withColumn("matched_terms", F.array_compact(F.array(*[F.when(hay.rlike(bounded(t)), F.lit(t)) for t in dict.fromkeys(query.terms)])) if query.terms else terms)
@@ -45,12 +60,16 @@ def cards(entities: DataFrame, query: Query) -> DataFrame:
     if query.centre:
         d = F.round(haversine_m(F.lit(query.centre[0]), F.lit(query.centre[1]), F.col("latitude"), F.col("longitude"), 6_371_008.8) / 1000, 2)
     out = out.withColumn("distance_km", d)
-    hinted = F.lower(F.concat_ws(" ", "name", "locality", "address")).contains(query.hint) if query.hint else F.lit(False)
+    at_hint = F.lower(F.concat_ws(" ", "name", "locality", "address")).contains(query.hint) if query.hint else F.lit(False)
     if query.terms or query.moods:
         out = out.where((F.size("matched_terms") > 0) | (F.size("moods") > 0) | (F.lit(bool(query.hint)) & F.coalesce(F.col("distance_km") <= 8, F.lit(False))))
         near = F.coalesce(F.greatest(F.lit(0.0), 2.5 - 0.25 * F.least(F.col("distance_km"), F.lit(10.0))), F.lit(0.0))
         flag = lambda x, w: F.when(x, w).otherwise(0.0)
-        score = 0.9 * F.size("matched_terms") + 1.4 * F.size("moods") + flag(hinted, 3.0) + near
+        score = 0.9 * F.size("matched_terms") + 1.4 * F.size("moods")
+        if "suitability_scores" in entities.columns:
+            each = F.transform("intent_tags", lambda t: F.coalesce(F.try_element_at("suitability_scores", t).cast("double"), F.lit(0.0)))
+            score = score + F.coalesce(F.aggregate(each, F.lit(0.0), lambda a, x: a + x), F.lit(0.0))
+        score = score + flag(at_hint, 3.0) + near
         score = score + flag(F.col("latitude").isNotNull(), 0.5) + flag(F.col("address").isNotNull(), 0.25) + flag(F.col("image_id").isNotNull(), 0.25)
     else:
         score = F.coalesce(F.col("popularity"), F.lit(0.0)) + 0.03 * F.col("n_sources")

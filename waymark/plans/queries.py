@@ -301,6 +301,21 @@ def search_cards(spark, sf):
     return se.top(se.cards(entities(spark, sf), ASKED), 10).select("id", "name", "matched_terms", "moods", "distance_km", "relevance_score")
 
 
+_SUITED = ("solo", "quiet", "nightlife")
+_SUM = " + ".join(f"""case when list_contains(intent_tags, '{tag}') then round(least(1.0::double, 0.35::double + 0.15::double * ({" + ".join(f"regexp_matches(lower(description), '(^|[^a-z0-9]){t}($|[^a-z0-9])')::int" for t in lex.INTENT_TERMS[tag])})), 3) else 0.0::double end""" for tag in _SUITED)
+
+
+# Ties of the third digit go up in decimal, as Spark rounds; a double's product with 1000 may fall below them.
+@query(_CARDS + f""", w as (select *, round((0.9::double * len(matched_terms) + 1.4::double * len(moods) + ({_SUM}) + case when hinted then 3 else 0 end + coalesce(greatest(0, 2.5::double - 0.25::double * least(distance_km, 10)), 0)
+ + case when latitude is null then 0 else 0.5::double end + case when address is null then 0 else 0.25::double end + case when image_id is null then 0 else 0.25::double end)::decimal(18, 9), 3)::double as suited_score from s)
+select id, name, matched_terms, moods, distance_km, suited_score as relevance_score from w order by suited_score desc, coalesce(distance_km, 9999), id limit 10""")
+def search_cards_suited(spark, sf):
+    """search_cards with the intent tags' suitability, by the terms of each tag in the description."""
+    scores = F.create_map(*[x for t in _SUITED for x in (F.lit(t), tx.keyword_score(F.col("description"), lex.INTENT_TERMS[t]))])
+    e = entities(spark, sf).withColumn("suitability_scores", scores)
+    return se.top(se.cards(e, se.hinted(ASKED, e)), 10).select("id", "name", "matched_terms", "moods", "distance_km", "relevance_score")
+
+
 @query(_CARDS + "select count(*) as total_cards from s")
 def search_total(spark, sf):
     return se.cards(entities(spark, sf), ASKED).agg(F.count("*").alias("total_cards"))
