@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from waymark.llm import minhash, packing, quality, substring, toxicity
 from waymark.llm.queries import table, vocabulary
-from waymark.llm.runtime import scratch
+from waymark.llm.runtime import scratch, written
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,9 +21,18 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the smallest doc_id, of each component of 5-word shingle similarity 0.8 or more; rows without a doc_id stay."""
-    gone = minhash.near_duplicates(docs, k=5, percent=80).where("not kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    """One document, the smallest doc_id, of each component of 5-word shingle similarity 0.8 or more.
+
+    Rows that repeat a doc_id and its text are one document: the smallest row by all columns stays. Rows of one doc_id with different texts
+    stay or go together, each text once. Rows without a doc_id are compared too, under a number of 2 ** 62 or more from a hash of their text.
+    """
+    keyed = docs.withColumn("row_key", F.coalesce("doc_id", F.lit(1 << 62) + F.xxhash64("text").bitwiseAND(F.lit((1 << 62) - 1))))
+    found = minhash.near_duplicates(keyed.select(F.col("row_key").alias("doc_id"), "text"), k=5, percent=80)
+    gone = written(found.where("not kept").select(F.col("doc_id").alias("row_key")).distinct(), "gone")
+    again = written(keyed.groupBy("row_key").agg(F.count("*").alias("n")).where("n > 1").select("row_key").join(gone, "row_key", "left_anti"), "again")
+    once = keyed.join(gone.unionByName(again), "row_key", "left_anti").select(docs.columns)
+    least = keyed.join(again, "row_key", "left_semi").groupBy("row_key", "text").agg(F.min(F.struct(*docs.columns)).alias("least"))
+    return once.unionByName(least.select("least.*"))
 
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
