@@ -1,8 +1,16 @@
-"""The pipeline's stages on rows that repeat."""
+"""The pipeline's stages against brute force and direct scoring, and rows that repeat."""
+
+import os
+import re
+
+import pyarrow as pa
+import pytest
 
 import corpus_pipeline
+from waymark.llm import quality, toxicity
 
 SF = "/root/testdata/sf0.001"
+WORDS = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
 def test_near_dedup_keeps_one_row_of_each_document(spark):
@@ -13,3 +21,25 @@ def test_near_dedup_keeps_one_row_of_each_document(spark):
     assert out.columns == docs.columns
     want = [(1, text, "x"), (3, other, "x"), (None, third, "x"), (4, "", "x"), (5, None, "x"), (6, "p q r", "x"), (6, "s t u", "x")]
     assert sorted(map(repr, map(tuple, out.collect()))) == sorted(map(repr, want))
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="needs the tables")
+def test_stages_drop_what_brute_force_drops(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    kept = lambda stage: {r.doc_id for r in stage(spark, docs, SF).collect()}
+    rows = docs.collect()
+    assert kept(corpus_pipeline.quality_stage) == {r.doc_id for r in quality.classify(docs).collect() if r.quality_score >= quality.LEAST} != {r.doc_id for r in rows}
+    model = toxicity.train(docs, spark.read.parquet(f"{SF}/labels.parquet"))
+    assert kept(corpus_pipeline.toxicity_stage) == {r.doc_id for r in rows if model.score(pa.array([r.text], pa.string()))[0] < 0.5} != {r.doc_id for r in rows}
+    sets, parent = {}, {r.doc_id: r.doc_id for r in rows}
+    for r in rows:
+        w = [x.lower() for x in WORDS.findall((r.text or "").encode())]
+        sets[r.doc_id] = {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set()
+    root = lambda x: x if parent[x] == x else root(parent[x])
+    ids = sorted(sets)
+    for i, x in enumerate(ids):
+        for y in ids[:i]:
+            if sets[x] and sets[y] and 100 * len(sets[x] & sets[y]) >= 80 * len(sets[x] | sets[y]):
+                a, b = root(x), root(y)
+                parent[max(a, b)] = min(a, b)
+    assert kept(corpus_pipeline.near_duplicate_stage) == {x for x in ids if root(x) == x} != set(ids)
