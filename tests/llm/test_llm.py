@@ -11,6 +11,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from waymark.llm import bpe, graph, graph_search, hamming, minhash, packing, quality, substring, token_count, toxicity, warc
 from waymark.llm.tokens import Encoder
@@ -284,6 +285,18 @@ def test_toxicity_finds_unseen_forms(spark):
     assert none[0].score == 0 and toxicity.classify(table(spark, []), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).count() == 0
 
 
+def test_toxicity_trains_on_present_documents_once_each(spark):
+    """Labels without documents and rows that repeat a doc_id leave both labels in the sample."""
+    rng = random.Random(9)
+    texts = [prose(rng, 30) + (" grumbled grumbling" if i % 4 == 0 else "") for i in range(120)]
+    labels = spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i in range(120)] + [(i, 1, i % 2) for i in range(1000, 9000)], "doc_id long, quality int, toxic int")
+    twice = table(spark, texts)
+    for i in [i for i in range(120) if i % 4 and zlib.crc32(str(i).encode()) % 5][:3]:
+        twice = twice.unionByName(table(spark, [texts[i]] * 1000).drop("doc_id").withColumn("doc_id", F.lit(i).cast("long")))
+    got = {r.doc_id: r.predicted for r in toxicity.classify(twice, labels, sample=40).collect()}
+    assert np.mean([got[i] == int(i % 4 == 0) for i in range(120)]) > 0.95
+
+
 SF = "/root/testdata/sf0.001"
 
 

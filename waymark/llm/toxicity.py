@@ -171,11 +171,16 @@ def fold(doc_id: Column) -> Column:
 
 
 def train(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE, seed: int = 3) -> Model | None:
-    """Fit on at most `sample` labelled documents of either label outside the held-out fold; None without both labels."""
-    known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (fold(F.col("doc_id")) != 0)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    """Fit on at most `sample` labelled documents of either label outside the held-out fold; None without both labels.
+
+    Drawn from the labels that a document with a text has, so labels of absent documents take no place. Rows that repeat a doc_id count once, with the smallest text.
+    """
+    usable = F.col("doc_id").isNotNull() & (fold(F.col("doc_id")) != 0)
+    there = documents.where(usable & F.col("text").isNotNull()).select("doc_id").distinct()
+    known = labels.where(F.col("toxic").isNotNull() & usable).groupBy("doc_id").agg(F.max("toxic").alias("toxic")).join(there, "doc_id", "left_semi")
     drawn = [known.where(F.col("toxic") == c).orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id").limit(sample) for c in (0, 1)]
     few = F.broadcast(drawn[0].unionByName(drawn[1]))  # 2 * sample rows of two numbers at most
-    rows = documents.select("doc_id", "text").join(few, "doc_id").select("text", "toxic").limit(3 * sample).toArrow()
+    rows = documents.select("doc_id", "text").join(few, "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic")).toArrow().sort_by("doc_id")
     toxic = rows["toxic"].to_numpy().astype(int)
     if not len(toxic) or toxic.min() == toxic.max():
         return None
@@ -195,7 +200,7 @@ def classify(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> D
     a document's score is that of its most toxic window of words. doc_id, lang, source and labels are no inputs of a score.
 
     Null or empty text: the score of a document without evidence. Null doc_id: scored too. Repeated rows are scored each.
-    Columns of documents stay, but for any named score or predicted. Labels without both values: score 0. Empty table: no rows.
+    A doc_id trains once, however often its row is repeated. Columns of documents stay, but for any named score or predicted. Labels without both values: score 0. Empty table: no rows.
     """
     documents = documents.drop("score", "predicted")
     model = train(documents, labels, sample)
