@@ -12,15 +12,29 @@ SETTING = "spark.checkpoint.dir"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, as the cluster names it; a new local one where none is set."""
+    """The folder that driver and executors share, as the cluster names it. Where none is set: a new local one for a local master, else an error."""
     if not spark.conf.get(SETTING, None):
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError(f"{SETTING} must name a folder that driver and executors share")
         spark.conf.set(SETTING, tempfile.mkdtemp(prefix="waymark-"))
     return spark.conf.get(SETTING).rstrip("/")
 
 
+def scratch_root(spark: SparkSession) -> str:
+    """The part of the shared folder that this application's tables lie in."""
+    return f"{shared_dir(spark)}/waymark/{spark.conf.get('spark.app.id', 'application')}"
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder."""
-    return f"{shared_dir(spark)}/waymark/{uuid.uuid4().hex}-{name}"
+    return f"{scratch_root(spark)}/{uuid.uuid4().hex}-{name}"
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete every table that this application has written to the shared folder; results that were not yet read go with them."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
