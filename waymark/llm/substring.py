@@ -9,18 +9,23 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructType
+from pyspark.sql import types as T
+from pyspark.sql.types import StructType
 
 from waymark.llm.arrowtext import BASES, Spans, flat, ragged, signed, sliced, word_hashes, words
 from waymark.llm.runtime import written
 
 #: Words of an anchor. Of the windows of `length` words, each picks the least of its length - ANCHOR + 1 anchors.
 ANCHOR = 8
-ANCHORS = "anchor bigint, extent bigint, doc_id bigint, start bigint, windows int"
-RANGES = "doc_id bigint, start bigint, windows int, kind int"
-WINDOWS = "w1 bigint, w2 bigint, doc_id bigint, start bigint"
-#: Kinds of ranges of windows: those that start earlier elsewhere, and those still to be told.
-REPEATED, OPEN = 0, 1
+#: One of so many documents is looked at for hot anchors; these are so many of their most frequent anchors at most, with so many runs or more each.
+LOOKED_AT, HOT, OFTEN = 64, 2_000, 16
+ANCHORS = "anchor bigint, extent bigint, doc_id bigint, start bigint, windows int, kind int, of_doc bigint, of_start bigint"
+RANGES = "doc_id bigint, start bigint, windows int, kind int, of_doc bigint, of_start bigint"
+WINDOWS = "w1 bigint, w2 bigint, doc_id bigint, start bigint, of_doc bigint, of_start bigint"
+MATCHES = "doc_id bigint, start bigint, of_doc bigint, of_start bigint"
+REPEATS = "array<struct<start: bigint, words: bigint, of_doc: bigint, of_start: bigint>>"
+#: Kinds of runs of windows: those that start earlier elsewhere, those to be extended word by word, and seeds.
+REPEATED, OPEN, SEED = 0, 1, 2
 BATCH = 6 << 20
 
 
@@ -69,8 +74,8 @@ def anchors(seq: Sequence, length: int) -> tuple[np.ndarray, np.ndarray, np.ndar
     return signed(best[first]), signed(extent), first, count
 
 
-def later_ones(keys: list[np.ndarray], doc: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Order by (keys, doc, start), and in that order whether a row of the same keys stands earlier."""
+def later_ones(keys: list[np.ndarray], doc: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order by (keys, doc, start), and in that order whether a row of the same keys stands earlier, and the place of the earliest."""
     order = np.lexsort((start, doc, *keys[::-1]))
     d, s = doc[order], start[order]
     head = np.ones(len(order), bool)
@@ -79,11 +84,18 @@ def later_ones(keys: list[np.ndarray], doc: np.ndarray, start: np.ndarray) -> tu
     head[1:] = ~head[1:]
     head[:1] = True
     first = np.maximum.accumulate(np.where(head, np.arange(len(order)), 0))
-    return order, (d > d[first]) | ((d == d[first]) & (s > s[first]))
+    return order, (d > d[first]) | ((d == d[first]) & (s > s[first])), first
 
 
-def seeded(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """Anchor runs of whole texts. Rows whose extent stands earlier in the same batch are told at once (anchor null)."""
+def batch_of(columns: list, names: str) -> pa.RecordBatch:
+    fields = [c.split() for c in names.split(", ")]
+    kinds = {"bigint": pa.int64(), "int": pa.int32()}
+    return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, kinds[k]) for c, (_, k) in zip(columns, fields)], names=[n for n, _ in fields])
+
+
+def seeded(batches: Iterator[pa.RecordBatch], length: int, hot: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Seeds: anchor runs of whole texts. Runs whose extent stands earlier in the same batch are told at once, and runs of
+    hot anchors go on to be extended: neither has an anchor to be joined on."""
     for batch in sliced(batches, "text", BATCH):
         seq = Sequence(batch.column("text"))
         anchor, extent, first, count = anchors(seq, length)
@@ -91,42 +103,60 @@ def seeded(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Record
             continue
         of = np.searchsorted(seq.at, first, side="right") - 1
         doc, start = batch.column("doc_id").to_numpy()[of], first - seq.at[of]
-        order, known = later_ones([anchor, extent], doc, start)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(anchor[order], mask=known), pa.array(extent[order]), pa.array(doc[order]), pa.array(start[order]), pa.array(count[order].astype(np.int32))],
-            names=[c.split()[0] for c in ANCHORS.split(", ")],
-        )
+        order, known, lead = later_ones([anchor, extent], doc, start)
+        anchor, doc, start = anchor[order], doc[order], start[order]
+        kind = np.where(known, REPEATED, np.where(np.isin(anchor, hot), OPEN, SEED)).astype(np.int32)
+        yield batch_of([pa.array(anchor, mask=kind != SEED), extent[order], doc, start, count[order], kind, doc[lead], start[lead]], ANCHORS)
 
 
 def extended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Ranges from anchor runs sorted by (anchor, extent, doc_id, start); constant memory, whatever an anchor's rows.
+    """The join of seeds sorted by (anchor, extent, doc_id, start): what each run is; constant memory, whatever an anchor's rows.
 
-    A run after the first of its extent is repeated as a whole. A first run is open if the anchor has another extent; whether it has is
+    A run after the first of its extent repeats that one as a whole. A first run is open if the anchor has another extent; whether it has is
     known from its neighbours: the row before with the same anchor, or the next first row.
     """
     anchor = extent = None
-    first: tuple = ()
-    waiting = False  # the first run of the anchor, not yet known to have company
+    lead: tuple = (0, 0)  # document and start of the extent's first run
+    waiting: tuple | None = None  # the only first run of the anchor so far, not yet known to have company
+    company = False
     for batch in batches:
-        out: list[tuple] = []
-        for a, e, d, s, n in zip(*(c.to_pylist() for c in batch.columns)):
-            if a is None:
-                out.append((d, s, n, REPEATED))
-            elif a != anchor:
-                anchor, extent, first, waiting = a, e, (d, s, n), True
-            elif e != extent:
-                if waiting:
-                    out.append((*first, OPEN))
-                waiting, extent, first = False, e, (d, s, n)
-                out.append((d, s, n, OPEN))
-            elif (d, s) > first[:2]:
-                out.append((d, s, n, REPEATED))
-        columns = list(zip(*out)) if out else [()] * 4
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int32(), pa.int32()))], names=[c.split()[0] for c in RANGES.split(", ")])
+        told = batch.filter(batch.column("anchor").is_null())
+        if told.num_rows:
+            yield batch_of([told.column(c) for c in ("doc_id", "start", "windows", "kind", "of_doc", "of_start")], RANGES)
+        rest = batch.filter(batch.column("anchor").is_valid())
+        if not rest.num_rows:
+            continue
+        a, e, d, s, n = (rest.column(c).to_numpy() for c in ("anchor", "extent", "doc_id", "start", "windows"))
+        new_a, new_e = np.ones(len(a), bool), np.ones(len(a), bool)
+        new_a[1:] = a[1:] != a[:-1]
+        new_a[0] = a[0] != anchor
+        new_e[1:] = new_a[1:] | (e[1:] != e[:-1])
+        new_e[0] = new_a[0] or e[0] != extent
+        at = np.maximum.accumulate(np.where(new_e, np.arange(len(a)), -1))
+        fd, fs = np.where(at < 0, lead[0], d[at]), np.where(at < 0, lead[1], s[at])
+        later = ~new_e & ((d > fd) | ((d == fd) & (s > fs)))
+        group = np.cumsum(new_a)  # 0: the anchor of the rows before
+        heads = np.bincount(group[new_e], minlength=group[-1] + 1)
+        before = 0 if anchor is None else 2 if company else 1
+        open_ = new_e & (np.where(group == 0, heads[0] + before, heads[group]) > 1)
+        if waiting and heads[0]:
+            yield batch_of([np.array([x]) for x in (*waiting, OPEN, waiting[0], waiting[1])], RANGES)
+        out = np.flatnonzero(later | open_)
+        yield batch_of([d[out], s[out], n[out], np.where(later[out], REPEATED, OPEN).astype(np.int32), fd[out], fs[out]], RANGES)
+        anchor, extent, lead = a[-1], e[-1], (int(fd[-1]), int(fs[-1]))
+        if group[-1]:
+            company = heads[-1] > 1
+            only = int(np.flatnonzero(new_a)[-1])
+            waiting = None if company else (d[only], s[only], n[only])
+        elif heads[0]:
+            company, waiting = True, None
 
 
 def opened(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """Hashes of the windows of open ranges; of equal ones in a batch only the first, the others are told at once (w1 null)."""
+    """Extensions of open runs: each takes the anchor some words to the left and the rest of `length` to the right, and is known by a hash.
+
+    Of equal ones in a batch only the first goes on, the others are told at once (w1 null).
+    """
     for batch in sliced(batches, "text", BATCH):
         seq = Sequence(batch.column("text"))
         starts, counts = batch.column("starts"), batch.column("counts")
@@ -139,15 +169,16 @@ def opened(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Record
         start, of, spot = start[ok], of[ok], spot[ok]
         doc = batch.column("doc_id").to_numpy()[of]
         w1, w2 = signed(seq.one.of(spot, spot + length)), signed(seq.two.of(spot, spot + length))
-        order, known = later_ones([w1, w2], doc, start)
-        yield pa.RecordBatch.from_arrays([pa.array(w1[order], mask=known), pa.array(w2[order]), pa.array(doc[order]), pa.array(start[order])], names=[c.split()[0] for c in WINDOWS.split(", ")])
+        order, known, lead = later_ones([w1, w2], doc, start)
+        doc, start = doc[order], start[order]
+        yield batch_of([pa.array(w1[order], mask=known), w2[order], doc, start, doc[lead], start[lead]], WINDOWS)
 
 
 def settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Windows that have an equal one earlier; rows sorted by (w1, w2, doc_id, start). Constant memory."""
+    """Extensions that have an equal one earlier, with the first of these; rows sorted by (w1, w2, doc_id, start). Constant memory."""
     last, first = None, (0, 0)
     for batch in batches:
-        w1, w2, doc, start = (c.to_numpy() for c in batch.columns)
+        w1, w2, doc, start = (batch.column(c).to_numpy() for c in ("w1", "w2", "doc_id", "start"))
         if not len(w1):
             continue
         head = np.ones(len(w1), bool)
@@ -157,18 +188,40 @@ def settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fd, fs = np.where(at < 0, first[0], doc[at]), np.where(at < 0, first[1], start[at])
         later = (doc > fd) | ((doc == fd) & (start > fs))
         last, first = (w1[-1], w2[-1]), (int(fd[-1]), int(fs[-1]))
-        yield pa.RecordBatch.from_arrays([pa.array(doc[later]), pa.array(start[later])], names=["doc_id", "start"])
+        yield batch_of([doc[later], start[later], fd[later], fs[later]], MATCHES)
+
+
+def maximal(row: np.ndarray, start: np.ndarray, windows: np.ndarray, of_doc: np.ndarray, of_start: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Matches of windows that go on from one another, in one row and with one earlier document at one distance, as one: the same columns, by row and start."""
+    shift = start - of_start
+    order = np.lexsort((start, shift, of_doc, row))
+    row, start, windows, of_doc, of_start, shift = (x[order] for x in (row, start, windows, of_doc, of_start, shift))
+    if not len(row):
+        return row, start, windows, of_doc, of_start
+    other = np.ones(len(row), bool)
+    other[1:] = (row[1:] != row[:-1]) | (of_doc[1:] != of_doc[:-1]) | (shift[1:] != shift[:-1])
+    line = np.cumsum(other)
+    end = start + windows
+    span = int(end.max()) + 1
+    reach = np.maximum.accumulate(end + line * span) - line * span  # the farthest end of the line so far
+    head = other.copy()
+    head[1:] |= start[1:] > reach[:-1]
+    at = np.flatnonzero(head)
+    tail = np.append(at[1:], len(row)) - 1
+    row, first, of_doc, of_start, windows = row[at], start[at], of_doc[at], of_start[at], reach[tail] - start[at]
+    order = np.lexsort((first, row))
+    return tuple(x[order] for x in (row, first, windows, of_doc, of_start))
 
 
 def cut(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """Texts without the words that repeated windows cover: columns of the batch but starts and counts, then the counts and both forms."""
+    """Texts without the words that maximal repeats cover: columns of the batch but found, then the counts, both forms and the repeats."""
     for batch in sliced(batches, "text", BATCH):
         data, offsets = flat(batch.column("text"))
         starts, ends, at = words(data, offsets)
         gone = np.zeros(len(starts) + 1, np.int64)
-        ranges, counts = batch.column("starts"), batch.column("counts")
-        row = np.repeat(np.arange(batch.num_rows), np.diff(ranges.offsets.to_numpy()))
-        first, count = ranges.flatten().to_numpy(), counts.flatten().to_numpy().astype(np.int64)
+        found = batch.column("found")
+        row = np.repeat(np.arange(batch.num_rows), np.diff(found.offsets.to_numpy()))
+        row, first, count, of_doc, of_start = maximal(row, *(found.flatten().field(i).to_numpy().astype(np.int64) for i in range(4)))
         low = np.minimum(first + at[row], at[row + 1])
         high = np.minimum(low + count - 1 + length, at[row + 1])
         np.add.at(gone, low, 1)
@@ -184,51 +237,64 @@ def cut(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBat
         raw = packed.tobytes()
         texts = [raw[a : max(a, b - 1)] for a, b in zip(edge[:-1].tolist(), edge[1:].tolist())]
         n = np.diff(at)
-        rest = [(batch.column(c), c) for c in batch.schema.names if c not in ("starts", "counts")]
+        rest = [(batch.column(c), c) for c in batch.schema.names if c != "found"]
+        spans = pa.StructArray.from_arrays([pa.array(x, pa.int64()) for x in (first, high - low, of_doc, of_start)], names=["start", "words", "of_doc", "of_start"])
         extra = [
             (pa.array(n), "n_words"), (pa.array(n - kept_n), "n_removed"),
             (pa.array([hashlib.sha256(t).hexdigest() for t in texts], pa.string()), "kept_sha256"),
             (pa.array([t.decode() for t in texts], pa.string()), "kept_text"),
+            (pa.ListArray.from_arrays(pa.array(np.searchsorted(row, np.arange(batch.num_rows + 1)), pa.int32()), spans), "repeats"),
         ]
         yield pa.RecordBatch.from_arrays([c for c, _ in rest + extra], names=[c for _, c in rest + extra])
 
 
+def hot_anchors(documents: DataFrame, length: int) -> np.ndarray:
+    """The most frequent anchors of one in LOOKED_AT documents. They only choose a run's way, not its result."""
+    some = documents.where(F.pmod(F.xxhash64("doc_id"), F.lit(LOOKED_AT)) == 0)
+    counts = some.mapInArrow(lambda it: seeded(it, length, np.empty(0, np.int64)), ANCHORS).groupBy("anchor").agg(F.count("*").alias("n"))
+    most = counts.where(F.col("anchor").isNotNull() & (F.col("n") >= OFTEN)).orderBy(F.desc("n"), "anchor").limit(HOT).collect()
+    return np.array([r["anchor"] for r in most], np.int64)
+
+
 def repeats(documents: DataFrame, length: int) -> DataFrame:
-    """(doc_id, start, windows): ranges of windows that start earlier too, as a table of few numbers for each range.
+    """(doc_id, start, windows, of_doc, of_start): runs of windows, and the earlier place whose windows they repeat.
 
-    Seed: each run of windows with one winnowed anchor is a row. Extend: within an anchor, runs with equal words all round are told
-    by one comparison; runs that differ somewhere are compared window by window. Equal rows of a batch are reduced to their
-    first before they are dealt, so a passage in very many documents brings one row for each batch and not for each document.
+    Seed: each run of windows with one winnowed anchor is a row, and documents are joined on anchors. Extend: within an anchor, runs with equal
+    words all round are told by one comparison; runs that differ somewhere are extended by each number of words to the left and the
+    rest to the right, and each extension finds its first equal one. Equal rows of a batch are reduced to their first before
+    they are dealt, so a passage in very many documents brings one row for each batch and not for each document; an anchor in
+    very many contexts skips the join, as its extensions are dealt by all their words.
     """
-    seeds = documents.mapInArrow(lambda it: seeded(it, length), ANCHORS)
+    hot = hot_anchors(documents, length)
+    seeds = documents.mapInArrow(lambda it: seeded(it, length, hot), ANCHORS)
     dealt = seeds.repartition(F.coalesce("anchor", F.xxhash64("doc_id", "start"))).sortWithinPartitions("anchor", "extent", "doc_id", "start")
     ranges = written(dealt.mapInArrow(extended, RANGES), "ranges")
     open_ = ranges.where(F.col("kind") == OPEN).groupBy("doc_id").agg(F.collect_list(F.struct("start", "windows")).alias("r"))
     with_text = documents.join(open_, "doc_id").select("doc_id", "text", F.col("r.start").alias("starts"), F.col("r.windows").alias("counts"))
     windows = written(with_text.mapInArrow(lambda it: opened(it, length), WINDOWS), "windows")
-    own = windows.where("w1 is null").select("doc_id", "start")
-    over = windows.where("w1 is not null").repartition("w1", "w2").sortWithinPartitions("w1", "w2", "doc_id", "start").mapInArrow(settled, "doc_id bigint, start bigint")
-    single = own.unionByName(over).select("doc_id", "start", F.lit(1).alias("windows"))
-    return ranges.where(F.col("kind") == REPEATED).select("doc_id", "start", "windows").unionByName(single)
+    own = windows.where("w1 is null").select("doc_id", "start", "of_doc", "of_start")
+    over = windows.where("w1 is not null").select("w1", "w2", "doc_id", "start").repartition("w1", "w2").sortWithinPartitions("w1", "w2", "doc_id", "start").mapInArrow(settled, MATCHES)
+    single = own.unionByName(over).select("doc_id", "start", F.lit(1).alias("windows"), "of_doc", "of_start")
+    return ranges.where(F.col("kind") == REPEATED).select("doc_id", "start", "windows", "of_doc", "of_start").unionByName(single)
 
 
 def remove_repeats(documents: DataFrame, length: int = 20) -> DataFrame:
-    """documents with n_words, n_removed, kept_sha256 and kept_text: the text's words without those that an earlier window repeats.
+    """documents with n_words, n_removed, kept_sha256, kept_text (the text's words without those that an earlier window repeats) and repeats.
 
     A window is `length` consecutive words of one document (split at 0x20 and 0x09-0x0D). It is a repeat if its words also
     start at a smaller doc_id or earlier in the same document; all words that a repeat covers go. Windows are
-    compared by 128-bit hashes of their words, over all documents.
+    compared by 128-bit hashes of their words, over all documents. repeats lists the document's maximal repeats of `length` words or more: first
+    word, number of words, and the document and word where an earlier occurrence starts (the first one known to the step that found it).
 
-    Null or empty text: no words, kept_text is empty. A null doc_id: the row stays whole and makes no other a repeat. Rows that share an
-    id precede one another only by their start; each loses what any of them repeats. Other columns stay; the four new names
-    and starts and counts replace columns of the same names. An empty table gives no rows.
+    Null or empty text: no words, kept_text is empty, no repeats. A null doc_id: the row stays whole and makes no other a repeat. Rows that share
+    an id precede one another only by their start; each loses what any of them repeats. Other columns stay; the five new names
+    and found replace columns of the same names. An empty table gives no rows.
     """
-    documents = documents.drop("n_words", "n_removed", "kept_sha256", "kept_text", "starts", "counts")
+    documents = documents.drop("n_words", "n_removed", "kept_sha256", "kept_text", "repeats", "found")
     known = documents.where("doc_id is not null").select("doc_id", "text")
-    ranges = repeats(known, length).groupBy("doc_id").agg(F.collect_list(F.struct("start", "windows")).alias("r"))
-    none = F.array().cast("array<bigint>")
-    joined = documents.join(ranges, "doc_id", "left").select(
-        *documents.columns, F.coalesce(F.col("r.start"), none).alias("starts"), F.coalesce(F.col("r.windows"), F.array().cast("array<int>")).alias("counts")
-    )
-    schema = StructType([*documents.schema.fields]).add("n_words", LongType()).add("n_removed", LongType()).add("kept_sha256", StringType()).add("kept_text", StringType())
-    return joined.mapInArrow(lambda it: cut(it, length), schema)
+    parts = ("start", "windows", "of_doc", "of_start")
+    ranges = repeats(known, length).groupBy("doc_id").agg(F.collect_list(F.struct(*parts)).alias("found"))
+    none = F.array().cast("array<struct<start: bigint, windows: int, of_doc: bigint, of_start: bigint>>")
+    joined = documents.join(ranges, "doc_id", "left").select(*documents.columns, F.coalesce("found", none).alias("found"))
+    added = T._parse_datatype_string(f"n_words bigint, n_removed bigint, kept_sha256 string, kept_text string, repeats {REPEATS}")
+    return joined.mapInArrow(lambda it: cut(it, length), StructType([*documents.schema.fields, *added.fields]))
