@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from waymark.llm.runtime import salted, scratch, written
 
-#: Captures of an index range, about; rows sampled from all runs for the ranges' bounds, about.
-RANGE_ROWS, SAMPLE = 50_000, 20_000
+#: Captures of an index range, about; rows sampled from all runs for the ranges' bounds: at least, about, and for each range.
+RANGE_ROWS, SAMPLE, FOR_RANGE = 50_000, 20_000, 8
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 CAPTURES = (
     "url_key string, captured string, page_id bigint, url string, record_type string, refers_to bigint, payload_bytes bigint, "
@@ -58,8 +58,8 @@ def records(pages: DataFrame, least: int) -> DataFrame:
     rows = pages.select("page_id", F.coalesce("url", F.lit("")).alias("url"), body.alias("html"), base32_sha1(body.cast("binary")).alias("digest"), F.octet_length(body).alias("size"))
     slim = rows.select("page_id", "digest", "size")
     first = slim.where(F.col("size") >= least).groupBy("digest").agg(F.min("page_id").alias("refers_to"), F.count("*").alias("n")).where("n > 1").select("digest", "refers_to")
-    found = salted(slim.select("page_id", "digest"), first, ["digest"], F.col("page_id"), "inner").where("page_id <> refers_to").select("page_id", "refers_to").distinct()
-    return rows.join(found, "page_id", "left").withColumn("record_type", F.when(F.col("refers_to").isNull(), "response").otherwise("revisit"))
+    found = salted(slim.select("page_id", "digest"), first, ["digest"], F.col("page_id"), "inner").where("page_id <> refers_to").select("page_id", "digest", "refers_to").distinct()
+    return rows.join(found, ["page_id", "digest"], "left").withColumn("record_type", F.when(F.col("refers_to").isNull(), "response").otherwise("revisit"))
 
 
 def write_archives(pages: DataFrame, path: str, captured: Column, least: int = 0) -> None:
@@ -192,7 +192,7 @@ class LoserTree:
 
 
 def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Merge the runs of each range; rows come by (range, run, place), a range's rows being of bounded number."""
+    """Merge the runs of each range; rows come by (range, run, place), a run's rows in its order, a range's rows being of bounded number."""
 
     def out(table: pa.Table) -> pa.Table:
         run = table["run"].to_numpy()
@@ -220,38 +220,58 @@ def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from out(pa.concat_tables(held)).to_batches()
 
 
+def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The place of each row in its sorted run."""
+    place = 0
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.arange(place, place + batch.num_rows))], names=[*batch.schema.names, "place"])
+        place += batch.num_rows
+
+
 def ranged(batches: Iterator[pa.RecordBatch], bounds: list[tuple]) -> Iterator[pa.RecordBatch]:
-    """The range of each row of a sorted run, and its place in it."""
+    """The range of each row. Adjoining rows of a run are sorted, so those of one range adjoin: ranges are looked up by halving."""
     from bisect import bisect_right
 
-    place = 0
     for batch in batches:
-        keys = zip(*(batch.column(c).to_pylist() for c in ("url_key", "captured", "page_id")))
-        which = [bisect_right(bounds, k) for k in keys]
-        columns = [*batch.columns, pa.array(which, pa.int32()), pa.array(np.arange(place, place + batch.num_rows))]
-        place += batch.num_rows
-        yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "range", "place"])
+        if not batch.num_rows:
+            continue
+        keys = list(zip(*(batch.column(c).to_pylist() for c in ("url_key", "captured", "page_id"))))
+        which = np.zeros(len(keys), np.int32)
+        steps = np.diff(batch.column("place").to_numpy()) != 1
+        edges = [0, *(np.flatnonzero(steps | (np.diff(batch.column("run").to_numpy()) != 0)) + 1).tolist(), len(keys)]
+        spans = list(zip(edges, edges[1:]))
+        while spans:
+            a, b = spans.pop()
+            low = bisect_right(bounds, keys[a])
+            if b - a == 1 or low == bisect_right(bounds, keys[b - 1]):
+                which[a:b] = low
+            else:
+                spans += [(a, (a + b) // 2), ((a + b) // 2, b)]
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(which)], names=[*batch.schema.names, "range"])
 
 
 def capture_index(captures: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
     """Captures with position, ordered over the whole index by URL key, time and page.
 
-    Each partition is sorted into a run and written. Bounds from a bounded sample of all runs cut every run into ranges of about range_rows
-    captures; a bound is a key with its time and page, so one URL or host with very many captures spreads over many ranges. Each range's
-    pieces of all runs are merged by a loser tree.
+    Each partition is sorted into a run, whose rows are numbered, and written. Bounds from a sample of all runs cut every run into ranges of
+    about range_rows captures; a bound is a key with its time and page, so one URL or host with very many captures spreads over
+    many ranges. The shuffle that deals ranges brings a run's rows back in order by their numbers alone, and a loser tree merges the
+    runs of a range: keys are compared there only. The sample has some FOR_RANGE keys a range, so a range stays of bounded size; the
+    driver holds one key for each 6,000 captures.
     """
-    runs = captures.withColumn("run", F.spark_partition_id()).sortWithinPartitions("url_key", "captured", "page_id", "file", "offset")
-    runs = written(runs, "runs")
+    names = [f.name for f in captures.schema.fields]
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in captures.schema.fields)
+    runs = captures.sortWithinPartitions("url_key", "captured", "page_id", "file", "offset").mapInArrow(numbered, f"{columns}, place bigint")
+    runs = written(runs.withColumn("run", F.spark_partition_id()), "runs")
     n = runs.count()
-    share = min(1.0, SAMPLE / max(1, n))
-    drawn = runs.select("url_key", "captured", "page_id").where(F.pmod(F.xxhash64("page_id", "offset"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
-    sample = sorted(tuple(r) for r in drawn.limit(4 * SAMPLE).collect())
-    ranges = min(len(sample) + 1, max(1, -(-n // range_rows)))
+    ranges = max(1, -(-n // range_rows))
+    share = min(1.0, max(SAMPLE, FOR_RANGE * ranges) / max(1, n))
+    drawn = runs.select("url_key", "captured", "page_id").where(F.pmod(F.xxhash64("run", "place"), F.lit(1 << 30)) <= int(share * (1 << 30)))
+    sample = sorted(tuple(r) for r in drawn.collect())
+    ranges = min(len(sample) + 1, ranges)
     bounds = [sample[len(sample) * i // ranges] for i in range(1, ranges)]
-    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in runs.schema.fields)
-    # A file of a run may be read in several tasks: place only orders rows within one of them, and keys order the rest.
-    cut = runs.mapInArrow(lambda it: ranged(it, bounds), f"{columns}, range int, place bigint")
-    dealt = cut.repartition(ranges, "range").sortWithinPartitions("range", "run", "url_key", "captured", "page_id", "file", "offset")
+    cut = runs.select(*names, "run", "place").mapInArrow(lambda it: ranged(it, bounds), f"{columns}, run int, place bigint, range int")
+    dealt = cut.repartitionById(ranges, F.col("range")).sortWithinPartitions("range", "run", "place")
     return dealt.mapInArrow(merged, f"{CAPTURES}, position bigint")
 
 
@@ -259,7 +279,7 @@ def archive_pages(pages: DataFrame, least: int = 0) -> DataFrame:
     """Archive all pages, read the archives back, and return their ordered index.
 
     WARC-Date is 2020-01-01 plus page_id seconds, as pages have no time. Payload is html in UTF-8; a null is empty. Rows that repeat a page_id are
-    archived each; of equal payloads those with the smallest page_id are responses. A row with a null page_id takes no part. A null url is empty.
+    archived each, by their own payloads; of equal payloads those with the smallest page_id are responses. A row with a null page_id takes no part. A null url is empty.
     Other columns are ignored. An empty table gives an empty index.
     """
     spark = pages.sparkSession
