@@ -11,11 +11,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waymark.llm.arrowtext import sliced
+from waymark.llm.runtime import written
 from waymark.llm.tokens import encoder
 
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 PACKED = f"{PIECES}, sequence_id bigint, offset bigint"
-#: Documents expected in a group; a group is packed in one task.
+#: Pieces expected in a group; a group is packed in one task.
 GROUP = 20_000
 BATCH = 6 << 20
 
@@ -107,15 +108,16 @@ def packed(batches: Iterator[pa.RecordBatch], capacity: int) -> Iterator[pa.Reco
 def pack(documents: DataFrame, vocabulary: str, capacity: int = 4096, end_id: int = 2, group: int = GROUP, seed: int = 7) -> DataFrame:
     """Pack all documents into sequences of at most capacity tokens; one row for each piece.
 
-    A document's ids and end_id are cut into pieces of capacity ids and a rest, so whole pieces fill a sequence. Groups
-    are dealt by a seeded hash of the document and the piece, about group pieces each, whatever the ids or sources are;
-    each is packed alone by first-fit decreasing. Only lengths and checksums leave the task that encodes.
+    A document's ids and end_id are cut into pieces of capacity ids and a rest, so whole pieces fill a sequence. The pieces' lengths and
+    checksums are written, and counted; groups are dealt by a seeded hash of the document and the piece, about group
+    pieces each, whatever the ids or sources are and however long texts are. Each is packed alone by first-fit decreasing.
 
     Null or empty text: end_id alone. A null doc_id stays null. Repeated rows are packed each. Other columns are ignored.
     An empty table gives no rows. sequence_id is the group's number shifted left by 32 bits plus the bin.
     """
-    cut = documents.select("doc_id", "text").mapInArrow(lambda it: pieces(it, vocabulary, capacity, end_id), PIECES)
-    groups = max(1, -(-documents.count() // group))
-    dealt = cut.withColumn("group", F.pmod(F.xxhash64(F.lit(seed), "doc_id", "start", "ids_crc32"), F.lit(groups)))
-    own = dealt.repartition(groups, "group").sortWithinPartitions("group", F.desc("length"), "doc_id", "start", "ids_crc32")
+    cut = written(documents.select("doc_id", "text").mapInArrow(lambda it: pieces(it, vocabulary, capacity, end_id), PIECES), "pieces")
+    groups = max(1, -(-cut.count() // group))
+    # Rows that are alike in every column differ by a number, so that a group of copies is spread as well.
+    dealt = cut.withColumn("copy", F.monotonically_increasing_id()).withColumn("group", F.pmod(F.xxhash64(F.lit(seed), "doc_id", "start", "ids_crc32", "copy"), F.lit(groups)).cast("int"))
+    own = dealt.drop("copy").repartitionById(groups, F.col("group")).withColumn("group", F.col("group").cast("bigint")).sortWithinPartitions("group", F.desc("length"), "doc_id", "start", "ids_crc32")
     return own.mapInArrow(lambda it: packed(it, capacity), PACKED)
