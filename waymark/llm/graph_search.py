@@ -7,20 +7,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waymark.llm.runtime import written
-from waymark.llm.shards import deal, nearest, sharded, smallest_of_class
+from waymark.llm.shards import deal, nearest, one_for_each_id, sharded, smallest_of_class
 
 #: Out-edges of a node, width of the beam that proposes neighbours and of the one that answers, slack of pruning, vectors in a shard.
-DEGREE, PROPOSE, BEAM, SLACK, SHARD = 24, 48, 160, 1.2, 4_096
+DEGREE, PROPOSE, BEAM, SLACK, SHARD = 24, 48, 64, 1.2, 16_384
 #: Points inserted against one state of the graph; points that searches start from beside the medoid, so that a tight
-#: group of points around it cannot fill the beam of a query from elsewhere.
-INSERT, ENTRIES = 256, 40
+#: group of points around it cannot fill the beam of a query from elsewhere; nodes of the beam whose edges are followed at a time.
+INSERT, ENTRIES, AHEAD = 256, 40, 4
 
 
 class Graph:
     """A directed graph over points whose squared distance orders neighbours; every point is reached from the medoid."""
 
     def __init__(self, points: np.ndarray, seed: int = 1):
-        self.points = points
+        self.points = points.astype(np.float32)
+        self.compared = 0  # distances computed so far
         self.norms = (self.points**2).sum(1)
         n = len(points)
         self.edges = np.full((n, DEGREE), -1, np.int64)
@@ -36,6 +37,7 @@ class Graph:
 
     def distance(self, queries: np.ndarray, ids: np.ndarray) -> np.ndarray:
         """Squared distance of each query to each of its ids; infinite for -1."""
+        self.compared += int(np.count_nonzero(ids >= 0))
         got = self.norms[ids] - 2 * np.einsum("qd,qkd->qk", queries, self.points[ids]) + (queries**2).sum(1)[:, None]
         return np.where(ids < 0, np.inf, np.maximum(got, 0))
 
@@ -44,7 +46,7 @@ class Graph:
         q, n = len(queries), len(self.points)
         seen = np.zeros((q, n), bool)
         ids = np.full((q, width), -1, np.int64)
-        far = np.full((q, width), np.inf)
+        far = np.full((q, width), np.inf, np.float32)
         open_ = np.zeros((q, width), bool)
         e = len(self.entry[:width])
         ids[:, :e], open_[:, :e] = self.entry[:width], True
@@ -54,12 +56,20 @@ class Graph:
         seen[:, self.entry] = True
         active = np.arange(q)
         while len(active):
-            at = np.argmax(open_[active], 1)  # the beam is sorted: the first open one is the nearest
-            open_[active, at] = False
-            new = self.edges[ids[active, at]]
+            rank = np.cumsum(open_[active], 1)  # the beam is sorted: the first open ones are the nearest
+            follow = open_[active] & (rank <= AHEAD)
+            at = np.where(follow.any(1)[:, None], np.argsort(~follow, 1, kind="stable")[:, :AHEAD], 0)
+            real = np.take_along_axis(follow, at, 1)
+            open_[active] &= ~follow
+            new = np.where(real[:, :, None], self.edges[np.take_along_axis(ids[active], at, 1)], -1).reshape(len(active), -1)
+            new = np.sort(new, 1)
             fresh = (new >= 0) & ~seen[active[:, None], new]
+            fresh[:, 1:] &= new[:, 1:] != new[:, :-1]
             seen[active[:, None], np.where(fresh, new, self.entry[0])] = True
-            new = np.where(fresh, new, -1)
+            most = int(fresh.sum(1).max())
+            front = np.argsort(~fresh, 1, kind="stable")[:, :most]
+            fresh = np.take_along_axis(fresh, front, 1)
+            new = np.where(fresh, np.take_along_axis(new, front, 1), -1)
             distance = self.distance(queries[active], new)
             all_ids = np.concatenate([ids[active], new], 1)
             all_far = np.concatenate([far[active], distance], 1)
@@ -106,12 +116,18 @@ class Graph:
         row = np.repeat(np.arange(len(nodes)), count)
         offered[row, np.arange(len(target)) - first[row]] = source
         for at in range(0, len(nodes), 1024):  # a batch's points can all choose one node: bounded by INSERT offers
-            part = nodes[at : at + 1024]
-            both = np.concatenate([self.edges[part], offered[at : at + 1024]], 1)
-            self.edges[part] = self.pruned(part, both, self.distance(self.points[part], both), slack)
-
-
-def shard_search(ids: np.ndarray, vectors: np.ndarray, largest: float, k: int):
+            part, more = nodes[at : at + 1024], offered[at : at + 1024]
+            more = np.where((more[:, :, None] == self.edges[part][:, None, :]).any(2), -1, more)
+            both = np.concatenate([self.edges[part], more], 1)
+            room = (both >= 0).sum(1) <= DEGREE  # no need to prune: the edges are moved to the front
+            front = np.argsort(both[room] < 0, 1, kind="stable")[:, :DEGREE]
+            self.edges[part[room]] = np.take_along_axis(both[room], front, 1)
+            full = part[~room]
+            if len(full):
+                self.edges[full] = self.pruned(full, both[~room], self.distance(self.points[full], both[~room]), slack)
+
+
+def shard_search(ids: np.ndarray, vectors: np.ndarray, largest: float, k: int, beam: int = BEAM):
     """Index a shard and return its search. Largest inner product becomes least distance by one more coordinate: with norms
     brought to the corpus's largest, |x - q|^2 = largest^2 + |q|^2 - 2 x.q."""
     vectors = vectors.astype(np.float64)
@@ -120,8 +136,8 @@ def shard_search(ids: np.ndarray, vectors: np.ndarray, largest: float, k: int):
 
     def search(query_ids: np.ndarray, queries: np.ndarray) -> tuple:
         queries = queries.astype(np.float64)
-        flat = np.concatenate([queries, np.zeros((len(queries), 1))], 1)
-        near = graph.search(flat, max(BEAM, 2 * k))[0][:, : k + 2]  # the k + 1 classes that can matter, and the query itself
+        flat = np.concatenate([queries, np.zeros((len(queries), 1))], 1).astype(np.float32)
+        near = graph.search(flat, max(beam, 2 * k))[0][:, : k + 2]  # the k + 1 classes that can matter, and the query itself
         row, column = np.nonzero(near >= 0)
         found = near[row, column]
         score = np.einsum("nd,nd->n", queries[row], vectors[found])
@@ -131,15 +147,17 @@ def shard_search(ids: np.ndarray, vectors: np.ndarray, largest: float, k: int):
     return search
 
 
-def search(vectors: DataFrame, k: int = 20, every: int = 20, shard: int = SHARD, seed: int = 9) -> DataFrame:
+def search(vectors: DataFrame, k: int = 20, every: int = 20, shard: int = SHARD, beam: int = BEAM, seed: int = 9) -> DataFrame:
     """The k rows of largest inner product for each row whose vec_id is divisible by `every`: query_id, rank, vec_id, score.
 
     Equal vectors are one class of which the k + 1 smallest ids are enough. Classes are dealt to shards of about `shard` vectors; a task builds
-    its shard's graph and streams all queries past it, in blocks. The graph holds one node for each distinct vector. Scores are
-    exact inner products in double precision. Recall is not 1 by nature: raise BEAM or DEGREE for more.
+    its shard's graph and streams all queries past it, in blocks. The graph holds one node for each distinct vector and orders them in single
+    precision; scores are exact inner products in double precision. Recall is not 1 by nature: a wider beam finds more, and a larger
+    shard compares less: a query's distances in a shard grow far slower than the shard. A task holds 8 * width + 200 bytes
+    a vector, and a byte for each of its vectors and 512 queries.
 
     Null ids; null, empty or zero vectors; vectors with null or non-finite components or another length than most: no part.
-    Rows that repeat an id and vector count once. Fewer candidates than k: all of them. Other columns are ignored. Empty table: no rows.
+    Rows that share an id count as one, with the least vector (as arrays compare). Fewer candidates than k: all of them. Other columns are ignored. Empty table: no rows.
     """
     whole = F.expr("size(embedding) > 0 and forall(embedding, x -> x is not null and not isnan(x) and abs(x) < double('infinity')) and exists(embedding, x -> x <> 0)")
     rows = vectors.select(F.col("vec_id").cast("bigint").alias("id"), F.col("embedding").cast("array<double>").alias("embedding")).where("id is not null and embedding is not null").where(whole)
@@ -148,13 +166,13 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20, shard: int = SHARD,
     if not sizes:
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     width, n, largest = sizes[0]["d"], sizes[0]["n"], sizes[0]["largest"]
-    rows = rows.where(F.size("embedding") == width).dropDuplicates(["id", "embedding"])
+    rows = one_for_each_id(rows.where(F.size("embedding") == width), "embedding")
     queries = rows.where(F.col("id") % every == 0)
     few = written(smallest_of_class(rows, F.xxhash64("embedding"), k + 1).withColumn("class", F.struct(F.xxhash64("embedding"), F.hash("embedding"))), "vectors")
     heads = few.groupBy("class").agg(F.min("id").alias("id"), F.first("embedding").alias("embedding"))
     shards = max(1, -(-n // shard))
     found = deal(heads.select("id", "embedding"), queries, shards, seed).mapInArrow(
-        lambda it: sharded(it, "embedding", lambda ids, v: shard_search(ids, v, largest, k), ["query_id", "id", "score"]), "query_id bigint, id bigint, score double"
+        lambda it: sharded(it, "embedding", lambda ids, v: shard_search(ids, v, largest, k, beam), ["query_id", "id", "score"]), "query_id bigint, id bigint, score double"
     )
     best = nearest(found, F.desc("score"), k + 1)
     # Members of the classes found; a query's own class is found through its head, or is looked up when the query is the head.

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from waymark.llm.arrowtext import ragged
 from waymark.llm.runtime import written
-from waymark.llm.shards import deal, nearest, sharded, smallest_of_class
+from waymark.llm.shards import deal, nearest, one_for_each_id, sharded, smallest_of_class
 
 #: Bits of a segment, and distinct rows of a shard.
 SEGMENT, SHARD = 16, 16_384
@@ -93,13 +93,14 @@ def search(codes: DataFrame, k: int = 20, every: int = 20, shard: int = SHARD, s
     Exact. codes has id, code (64-bit words) and bits. Of equal codes the k + 1 smallest ids are enough. Codes are dealt to shards of about
     `shard` rows; a task indexes its shard and all queries stream past it, in blocks; shards' lists are merged.
 
-    Codes of another length than most take no part. Rows that repeat an id and code count once. Fewer rows than k: all of them.
+    Codes of another length than most take no part. Rows that share an id count as one, with the least code (as arrays of signed words compare). Fewer rows than k: all of them.
     The query's own id is no neighbour; ties go to smaller ids. Empty table: no rows.
     """
     sizes = codes.groupBy("bits").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "bits").limit(1).collect()
     if not sizes:
         return codes.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, distance long")
-    rows = codes.where(F.col("bits") == sizes[0]["bits"]).select("id", "code").dropDuplicates(["id", "code"])
+    rows = codes.where(F.col("bits") == sizes[0]["bits"]).select("id", "code")
+    rows = one_for_each_id(rows, "code")
     few = written(smallest_of_class(rows, F.col("code"), k + 1), "codes")
     shards = max(1, -(-few.count() // shard))
     found = deal(few, rows.where(F.col("id") % every == 0), shards, seed).mapInArrow(

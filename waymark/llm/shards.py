@@ -14,6 +14,11 @@ from pyspark.sql.window import Window
 BLOCK = 512
 
 
+def one_for_each_id(rows: DataFrame, value: str) -> DataFrame:
+    """(id, value): of the rows that share an id the one with the least value, so that no answer lists an id twice."""
+    return rows.groupBy("id").agg(F.min(value).alias(value))
+
+
 def smallest_of_class(rows: DataFrame, key: Column, keep: int) -> DataFrame:
     """Of the rows with equal keys those with the `keep` smallest ids, in two steps so that a key with very many rows is spread.
 
@@ -67,7 +72,7 @@ def deal(rows: DataFrame, queries: DataFrame, shards: int, seed: int) -> DataFra
     asked = queries.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).withColumn("role", F.lit(1))
     columns = ["shard", "role", *[c for c in rows.columns]]
     both = own.select(columns).unionByName(asked.select(columns))
-    return both.repartition(shards, "shard").sortWithinPartitions("shard", "role", "id")
+    return both.repartitionById(shards, "shard").sortWithinPartitions("shard", "role", "id")
 
 
 def nearest(found: DataFrame, measure: Column, k: int) -> DataFrame:
