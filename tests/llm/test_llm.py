@@ -99,6 +99,18 @@ def test_packing_is_whole_and_gapless(spark):
     assert packing.pack(table(spark, []), WORD).count() == 0
 
 
+def test_packing_pads_little_and_bounds_groups(spark):
+    """Groups hold pieces, not documents: long documents do not make them larger. Full sequences but for a few in each group."""
+    texts = ["word " * n for n in (3, 900, 4000, 12, 700)] * 12
+    rows = packing.pack(table(spark, texts), WORD, capacity=256, group=40).collect()
+    groups, used = {}, {}
+    for r in rows:
+        groups[r.sequence_id >> 32] = groups.get(r.sequence_id >> 32, 0) + 1
+        used[r.sequence_id] = used.get(r.sequence_id, 0) + r.length
+    assert len(groups) == -(-len(rows) // 40) and max(groups.values()) < 80
+    assert sum(256 - n for n in used.values()) < 0.1 * 256 * len(used)
+
+
 def test_first_fit_decreasing_equals_the_plain_loop():
     rng = np.random.default_rng(1)
     lengths = rng.integers(1, 100, 300)
@@ -116,27 +128,76 @@ def test_first_fit_decreasing_equals_the_plain_loop():
     assert (bins == want).all()
 
 
-def test_substrings_equal_brute_force(spark):
-    texts = corpus(5)
+def without_repeats(texts, length=20):
+    """Words, removed words and kept words of each text in order, by a set of all windows."""
     seen, want = set(), {}
     for i, t in enumerate(texts):
-        if t == "NULLID":
-            continue
         w = WORDS.findall((t or "").encode())
         gone = [False] * len(w)
-        for s in range(len(w) - 19):
-            key = tuple(w[s : s + 20])
+        for s in range(len(w) - length + 1):
+            key = tuple(w[s : s + length])
             if key in seen:
-                gone[s : s + 20] = [True] * 20
+                gone[s : s + length] = [True] * length
             seen.add(key)
-        kept = [x for x, g in zip(w, gone) if not g]
-        want[i] = (len(w), len(w) - len(kept), hashlib.sha256(b" ".join(kept)).hexdigest())
-    got = substring.remove_repeats(table(spark, texts).repartition(3)).collect()
-    assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in got if r.doc_id is not None} == want
-    assert [r.n_removed for r in got if r.doc_id is None] == [0] and got[0].lang == "en"
+        want[i] = (w, [x for x, g in zip(w, gone) if not g])
+    return want
+
+
+@pytest.mark.parametrize("looked_at,often", [(64, 16), (1, 2)])
+def test_substrings_equal_brute_force(spark, monkeypatch, looked_at, often):
+    """With and without hot anchors; extra columns of clashing names go or stay as stated."""
+    for name, value in (("LOOKED_AT", looked_at), ("OFTEN", often)):
+        monkeypatch.setattr(substring, name, value)
+    rng = random.Random(5)
+    often_said = prose(rng, 9)  # one anchor in many contexts
+    texts = [t for t in corpus(5) if t != "NULLID"] + [f"{prose(rng, 15)} {often_said} {prose(rng, 15)}" for _ in range(20)] + ["NULLID"]
+    want = {i: (len(w), len(w) - len(k), hashlib.sha256(b" ".join(k)).hexdigest()) for i, (w, k) in without_repeats([t if t != "NULLID" else "" for t in texts]).items()}
+    want.pop(len(texts) - 1)
+    rows = substring.remove_repeats(table(spark, texts).withColumn("found", F.lit(1)).repartition(3)).collect()
+    assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in rows if r.doc_id is not None} == want
+    assert [(r.n_removed, r.repeats) for r in rows if r.doc_id is None] == [(0, [])] and rows[0].lang == "en" and rows[0].starts == "s"
+    for r in rows:
+        w, covered = WORDS.findall((r.text or "").encode()), set()
+        for x in r.repeats:
+            of = WORDS.findall(texts[x.of_doc].encode())
+            assert x.words >= 20 and (x.of_doc, x.of_start) < (r.doc_id, x.start) and w[x.start : x.start + x.words] == of[x.of_start : x.of_start + x.words]
+            covered |= set(range(x.start, x.start + x.words))
+        assert len(covered) == r.n_removed
+
+
+def test_substrings_of_repeated_ids_and_empty_tables(spark):
+    """Rows of one id precede one another by their start alone: equal ones keep their words, and each loses what the other repeats."""
+    rng = random.Random(6)
+    x, y = prose(rng, 30), prose(rng, 30)
+    rows = substring.remove_repeats(table(spark, [x]).unionByName(table(spark, [x])).unionByName(table(spark, [y, x]))).collect()
+    assert sorted((r.doc_id, r.n_removed) for r in rows) == [(0, 0), (0, 0), (0, 0), (1, 30)]
     assert substring.remove_repeats(table(spark, [])).count() == 0
 
 
+def test_joining_seeds_is_the_same_over_any_batches():
+    rng = random.Random(8)
+    keys = [(rng.randrange(6), rng.randrange(4)) for _ in range(120)]
+    rows = sorted((a, e, rng.randrange(9), rng.randrange(9), 1 + rng.randrange(4)) for a, e in keys)
+    want = []
+    for a in {a for a, _ in keys}:
+        extents = {e for b, e in keys if a == b}
+        for e in extents:
+            own = [r for r in rows if r[:2] == (a, e)]
+            want += [(*own[0][2:], substring.OPEN, *own[0][2:4])] if len(extents) > 1 else []
+            want += [(*r[2:], substring.REPEATED, *own[0][2:4]) for r in own if r[2:4] > own[0][2:4]]
+    for size in (1, 2, 7, 200):
+        told = [(None, 1, 5, 6, 7, substring.OPEN, 5, 6)] + [(*r, substring.SEED, r[2], r[3]) for r in rows]
+        batches = [substring.batch_of(list(zip(*told[i : i + size])), substring.ANCHORS) for i in range(0, len(told), size)]
+        got = [tuple(x.values()) for b in substring.extended(iter(batches)) for x in b.to_pylist()]
+        assert sorted(got) == sorted(want + [(5, 6, 7, substring.OPEN, 5, 6)]), size
+
+
+def test_matches_on_one_line_are_one_maximal_repeat():
+    row, start, windows, of_doc, of_start = (np.array(x) for x in ([0, 0, 0, 1], [4, 0, 9, 0], [3, 5, 1, 2], [7, 7, 7, 7], [14, 10, 19, 10]))
+    got = [x.tolist() for x in substring.maximal(row, start, windows, of_doc, of_start)]
+    assert got == [[0, 0, 1], [0, 9, 0], [7, 1, 2], [7, 7, 7], [10, 19, 10]]
+
+
 @pytest.mark.parametrize("k", [2, 5])
 def test_near_duplicates_equal_brute_force(spark, k):
     texts = [t for t in corpus(6, 60) if t != "NULLID"]
@@ -213,6 +274,19 @@ def test_archives_round_trip_and_index_order(spark):
     assert warc.archive_pages(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_archives_of_repeated_pages_and_many_ranges(spark, monkeypatch):
+    """Rows of one page_id are archived by their own payloads; runs cut into many ranges merge to one order."""
+    rows = [(1, "http://a/", "A"), (5, "http://a/", "A"), (5, "http://a/", "BB"), (5, "http://a/", "BB")] + [(10 + i, f"http://h{i % 3}/p{i % 7}", f"x{i % 40}") for i in range(300)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    got = warc.archive_pages(df).where("page_id < 10").select("page_id", "payload_bytes", "record_type", "refers_to").collect()
+    assert sorted((tuple(r) for r in got), key=str) == sorted([(1, 1, "response", None), (5, 1, "revisit", 1), (5, 2, "response", None), (5, 2, "response", None)], key=str)
+    path = f"{spark.conf.get('spark.checkpoint.dir')}/many"
+    warc.write_archives(df.where("page_id >= 10"), path, F.date_format(F.timestamp_seconds(F.lit(0)), "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+    index = warc.capture_index(warc.read_archives(spark, path), range_rows=20).orderBy("position").collect()
+    keys = [(r.url_key, r.captured, r.page_id) for r in index]
+    assert len(keys) == 300 and keys == sorted(keys) and len({r.position >> 32 for r in index}) >= 10
+
+
 def test_loser_tree_merges():
     rng = random.Random(2)
     runs = [sorted((rng.randrange(50),) for _ in range(rng.randrange(0, 20))) for _ in range(7)]
@@ -244,6 +318,29 @@ def test_graph_search_recall(spark):
     assert graph_search.search(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("find,value", [(lambda d: graph_search.search(d, every=1), "score"), (lambda d: hamming.search(hamming.sign_codes(d), every=1), "distance")])
+def test_searches_list_a_repeated_id_once(spark, find, value):
+    """Rows that share an id stand for its least vector; other widths and clashing columns take no part."""
+    rows = [(0, [1.0, 1.0], 7), (1, [2.0, 0.5], 7), (1, [-3.0, 1.0], 7), (2, [1.0, -1.0], 7), (3, [1.0, 1.0, 1.0], 7)]
+    got = {(r.query_id, r.rank): (r.vec_id, r[value]) for r in find(spark.createDataFrame(rows, "vec_id long, embedding array<double>, rank int")).collect()}
+    want = {(0, 1): (2, 0.0), (0, 2): (1, -2.0), (1, 1): (0, -2.0), (1, 2): (2, -4.0), (2, 1): (0, 0.0), (2, 2): (1, -4.0)}
+    assert got == want if value == "score" else sorted(got) == sorted(want) and got[0, 1][0] == 1 and got[0, 2][0] == 2
+
+
+def test_graph_search_compares_a_small_part_of_a_large_shard():
+    """On clustered vectors: few distances a query, and a recall of 0.9 or more."""
+    rng = np.random.default_rng(3)
+    v = rng.normal(size=(8_000, 24)) + 4 * rng.normal(size=(200, 24))[rng.integers(0, 200, 8_000)]
+    largest = np.sqrt((v**2).sum(1).max())
+    graph_ = graph_search.Graph(np.concatenate([v, np.sqrt(largest**2 - (v**2).sum(1, keepdims=True).clip(0, largest**2))], 1))
+    q = v[::20]
+    graph_.compared = 0
+    near = graph_.search(np.concatenate([q, np.zeros((len(q), 1))], 1).astype(np.float32), graph_search.BEAM)[0][:, :20]
+    exact = np.argsort(-(q @ v.T), 1)[:, :20]
+    assert graph_.compared / len(q) < 0.15 * len(v)
+    assert np.mean([len(set(a) & set(b)) / 20 for a, b in zip(near.tolist(), exact.tolist())]) >= 0.9
+
+
 def test_hamming_search_is_exact(spark):
     v, df = vectors(spark, 300, 70)
     bits = np.vstack([v > 0, np.zeros((1, 70), bool)])
