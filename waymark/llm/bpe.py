@@ -3,23 +3,29 @@
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from waymark.llm.arrowtext import distinct_spans, flat, mixed, ragged, sliced
 from waymark.llm.tokens import Encoder, byte_letters, encoder
 
 #: Bits of the rolling hash that are 0 at a cut: chunks of 2 KiB on average. The hash sees the last 32 bytes.
 CUT_BITS, WINDOW = 11, 32
-#: Bytes of chunk ids that a worker keeps; past it the table starts anew, which changes no result.
+#: Chunk ids that a worker keeps beside the shared ones; past it the table starts anew, which changes no result.
 KEPT_IDS = 4_000_000
+#: Chunks that all workers share: so many at most, with so many bytes together, of so many bytes each. They are those that save the most.
+SHARED, SHARED_BYTES, SHARED_EACH = 16_384, 32 << 20, 16 << 10
 GEAR = (mixed(np.arange(1, 257, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32)
 BATCH = 4 << 20
-COLUMNS = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string, n_chunks bigint, n_reused bigint"
+COLUMNS = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string, n_chunks bigint, n_reused bigint, n_shared bigint"
+MET = "chunk binary, n bigint, size bigint, doc_id bigint"
+ENCODED = "chunk binary, row array<bigint>, ids array<int>"
 
 
 def chunk_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -42,24 +48,27 @@ def chunk_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 class Chunks:
-    """ids of chunks met so far, with their first two and last two inner cuts (byte, token)."""
+    """ids of chunks met so far, with their first two and last two inner cuts (byte, token); shared ones are there from the start."""
 
-    def __init__(self, encode: Encoder):
-        self.encode = encode
+    def __init__(self, encode: Encoder, shared: tuple[list[bytes], np.ndarray, np.ndarray] | None = None):
+        self.encode, self.shared = encode, shared
         self.clear()
 
     def clear(self) -> None:
-        self.slots: dict[bytes, int] = {}
-        self.ids = np.empty(0, np.int32)
+        keys, rows, ids = self.shared or ([], np.empty((0, 11), np.int64), np.empty(0, np.int32))
+        self.slots: dict[bytes, int] = dict(zip(keys, range(len(keys))))
+        self.ids = ids
         #: first id, number of ids, units, then byte and token of: first, second, last but one and last inner cut.
-        self.rows = np.empty((0, 11), np.int64)
+        self.rows = rows
 
-    def of(self, forms: list[bytes]) -> tuple[np.ndarray, int]:
-        """Row of each distinct chunk, and how many were met before."""
-        if len(self.ids) > KEPT_IDS:
+    def of(self, forms: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Row of each distinct chunk, and whether it was met before and is a shared one."""
+        if len(self.ids) - (len(self.shared[2]) if self.shared else 0) > KEPT_IDS:
             self.clear()
         keys = [xxhash.xxh3_128_digest(f) for f in forms]
         new = [i for i, k in enumerate(keys) if k not in self.slots]
+        known = np.ones(len(forms), bool)
+        known[new] = False
         if new:
             lengths = np.fromiter((len(forms[i]) for i in new), np.int64, len(new))
             offsets = np.append(0, np.cumsum(lengths))
@@ -74,33 +83,33 @@ class Chunks:
                 rows += [bounds[u] - offsets[:-1], token[u] - token[a]]
             self.slots.update(zip((keys[i] for i in new), range(len(self.rows), len(self.rows) + len(new))))
             self.ids, self.rows = np.concatenate([self.ids, ids]), np.concatenate([self.rows, np.stack(rows, 1)])
-        return np.array([self.slots[k] for k in keys], np.int64), len(forms) - len(new)
+        found = np.array([self.slots[k] for k in keys], np.int64)
+        return found, known, found < (len(self.shared[0]) if self.shared else 0)
 
 
-def encode_chunked(encode: Encoder, chunks: Chunks, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Flat ids and offsets of all texts, and for each text the number of its chunks and of those already known.
+def encode_chunked(encode: Encoder, chunks: Chunks, texts: pa.Array, starts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Flat ids and offsets of all texts, and for each text the number of its chunks, of those already known and of shared ones.
 
     Chunks are encoded apart, so the units that a chunk's edge cuts may be wrong. Between the last inner cut of a chunk and
     the first one of the next that has any, the text is encoded again, together with the unit on either side; the ids of these two
-    must come out as the chunks have them. Where they don't, the whole document is encoded again.
+    must come out as the chunks have them. Where they don't, the chunks on either side become one, and the document's joins are
+    tried again, until all agree or the document is one chunk. starts: where chunks begin, if not where the rolling hash says.
     """
     data, offsets = flat(texts)
     n_docs = len(offsets) - 1
-    starts = chunk_starts(data, offsets)
+    starts = chunk_starts(data, offsets) if starts is None else starts
     if not len(starts):
         none = np.zeros(n_docs, np.int64)
-        return np.empty(0, np.int32), np.zeros(n_docs + 1, np.int64), none, none
+        return np.empty(0, np.int32), np.zeros(n_docs + 1, np.int64), none, none, none
     bounds = np.append(starts, len(data))
     index, forms = distinct_spans(data, bounds)
-    known = len(chunks.rows)
-    row_of, _ = chunks.of(forms)
-    known = known if len(chunks.rows) >= known else 0
+    row_of, met, common = chunks.of(forms)
     row = chunks.rows[row_of[index]]
     doc = np.searchsorted(offsets, starts, side="right") - 1
     head, tail = np.append(True, doc[1:] != doc[:-1]), np.append(doc[1:] != doc[:-1], True)
     first_met = np.zeros(len(index), bool)
     first_met[np.unique(index, return_index=True)[1]] = True
-    reused = ~first_met | (row_of[index] < known)
+    reused, common = ~first_met | met[index], common[index]
     length, has = np.diff(bounds), row[:, 2] > 1
     low_byte, low_tok = np.where(has, row[:, 3], length), np.where(has, row[:, 4], row[:, 1])
     high_byte, high_tok = np.where(has, row[:, 9], 0), np.where(has, row[:, 10], 0)
@@ -147,12 +156,71 @@ def encode_chunked(encode: Encoder, chunks: Chunks, texts: pa.Array) -> tuple[np
     at = np.append(0, np.cumsum(sizes))
     if wrong.any():
         again = np.unique(doc_k[left[wrong]])
-        full, full_at = encode.encode(texts.take(pa.array(again)))
+        # In these documents, chunks that a wrong join touches or skips are one from now on.
+        merged = np.zeros(len(starts), bool)
+        merged[ragged(keep[left[wrong]] + 1, keep[right[wrong]] - keep[left[wrong]])] = True
+        these = np.flatnonzero(np.isin(doc, again) & ~merged)
+        shift = offsets[again] - np.append(0, np.cumsum(np.diff(offsets)[again]))[:-1]
+        fresh = starts[these] - shift[np.searchsorted(again, doc[these])]
+        full, full_at, *_ = encode_chunked(encode, chunks, texts.take(pa.array(again)), fresh)
         parts = [ids[at[i] : at[i + 1]] for i in range(n_docs)]
         for k, i in enumerate(again.tolist()):
             parts[i] = full[full_at[k] : full_at[k + 1]]
         ids, at = np.concatenate(parts), np.append(0, np.cumsum([len(p) for p in parts]))
-    return ids, at, np.bincount(doc, minlength=n_docs), np.bincount(doc, reused, minlength=n_docs).astype(np.int64)
+    counts = [np.bincount(doc, x, minlength=n_docs).astype(np.int64) for x in (np.ones(len(doc)), reused, common)]
+    return ids, at, *counts
+
+
+def met_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Chunks of each batch: hash, how often it stands there, bytes, and a document that holds it."""
+    for batch in sliced(batches, "text", BATCH):
+        data, offsets = flat(batch.column("text"))
+        starts = chunk_starts(data, offsets)
+        if not len(starts):
+            continue
+        index, forms = distinct_spans(data, np.append(starts, len(data)))
+        doc = np.searchsorted(offsets, starts, side="right") - 1
+        first = np.unique(index, return_index=True)[1]
+        columns = [pa.array([xxhash.xxh3_128_digest(f) for f in forms], pa.binary()), pa.array(np.bincount(index, minlength=len(forms))), pa.array([len(f) for f in forms], pa.int64()), batch.column("doc_id").cast(pa.int64()).take(pa.array(doc[first]))]
+        yield pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in MET.split(", ")]).filter(pa.array([len(f) <= SHARED_EACH for f in forms]))
+
+
+def encoded_chunks(batches: Iterator[pa.RecordBatch], wanted: set[bytes], vocabulary: str, ranks: str, pattern: str) -> Iterator[pa.RecordBatch]:
+    """The wanted chunks that the documents hold, encoded: their row among Chunks with the first id at 0, and their ids."""
+    encode = encoder(vocabulary, ranks, pattern)
+    for batch in sliced(batches, "text", BATCH):
+        data, offsets = flat(batch.column("text"))
+        starts = chunk_starts(data, offsets)
+        forms = [f for f in distinct_spans(data, np.append(starts, len(data)))[1] if xxhash.xxh3_128_digest(f) in wanted] if len(starts) else []
+        if not forms:
+            continue
+        chunks = Chunks(encode)
+        chunks.of(forms)
+        rows, ids = chunks.rows, [chunks.ids[r[0] : r[0] + r[1]] for r in chunks.rows]
+        rows[:, 0] = 0
+        yield pa.RecordBatch.from_arrays([pa.array([xxhash.xxh3_128_digest(f) for f in forms], pa.binary()), pa.array(list(rows), pa.list_(pa.int64())), pa.array(ids, pa.list_(pa.int32()))], names=[c.split()[0] for c in ENCODED.split(", ")])
+
+
+def shared_chunks(documents: DataFrame, vocabulary: str, ranks: str, pattern: str) -> tuple[list[bytes], np.ndarray, np.ndarray] | None:
+    """The chunks that stand in the corpus more than once and save the most, encoded once: hashes, rows and ids as Chunks takes them.
+
+    Hashes are counted over all documents; only they are shuffled. The bounds keep the table below 32 MB of text, and so below
+    32 million ids, at any size of the corpus; a chunk beyond them is shared by the documents that a worker meets.
+    """
+    spark = documents.sparkSession
+    counts = documents.select("doc_id", "text").mapInArrow(met_chunks, MET).groupBy("chunk").agg(F.sum("n").alias("n"), F.first("size").alias("size"), F.min("doc_id").alias("doc_id"))
+    best = counts.where("n > 1 and doc_id is not null").orderBy(F.desc(F.expr("(n - 1) * size")), "chunk").limit(SHARED).collect()
+    total = np.cumsum([r["size"] for r in best])
+    best = best[: int(np.searchsorted(total, SHARED_BYTES, side="right"))]
+    if not best:
+        return None
+    wanted = {bytes(r["chunk"]) for r in best}
+    owners = F.broadcast(spark.createDataFrame([(i,) for i in sorted({r["doc_id"] for r in best})], "doc_id bigint"))  # SHARED rows at most
+    held = documents.select("doc_id", "text").join(owners, "doc_id", "left_semi")
+    rows = held.mapInArrow(lambda it: encoded_chunks(it, wanted, vocabulary, ranks, pattern), ENCODED).dropDuplicates(["chunk"]).toArrow()
+    table = np.array(rows["row"].to_pylist(), np.int64).reshape(-1, 11)
+    table[:, 0] = np.cumsum(table[:, 1]) - table[:, 1]
+    return rows["chunk"].to_pylist(), table, rows["ids"].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.int32)
 
 
 class Decoder:
@@ -190,29 +258,48 @@ class Decoder:
         return [raw[a : max(a, b - 1)] for a, b in zip(spots[:-1].tolist(), spots[1:].tolist())]
 
 
-_KEPT: dict[str, tuple[Chunks, Decoder]] = {}
+#: Of the last vocabulary and shared table that this worker used.
+_KEPT: dict[tuple, tuple[Chunks, Decoder]] = {}
 
 
-def encoded(batches: Iterator[pa.RecordBatch], vocabulary: str, ranks: str, pattern: str) -> Iterator[tuple[pa.RecordBatch, tuple, Decoder]]:
+def encoded(batches: Iterator[pa.RecordBatch], vocabulary: str, ranks: str, pattern: str, shared) -> Iterator[tuple[pa.RecordBatch, tuple, Decoder]]:
     """Each sub-batch with its ids and the decoder."""
     encode = encoder(vocabulary, ranks, pattern)
-    if vocabulary not in _KEPT:
-        _KEPT[vocabulary] = Chunks(encode), Decoder(encode)
-    chunks, decoder = _KEPT[vocabulary]
+    key = vocabulary, ranks, None if shared is None else shared.id
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = Chunks(encode, shared and shared.value), Decoder(encode)
+    chunks, decoder = _KEPT[key]
     for batch in sliced(batches, "text", BATCH):
         yield batch, encode_chunked(encode, chunks, batch.column("text")), decoder
 
 
-def digests(batches: Iterator[pa.RecordBatch], vocabulary: str, ranks: str, pattern: str) -> Iterator[pa.RecordBatch]:
-    for batch, (ids, at, n_chunks, n_reused), decoder in encoded(batches, vocabulary, ranks, pattern):
+class Shared:
+    """The shared table as a broadcast that knows which one it is."""
+
+    def __init__(self, broadcast, name: str):
+        self.broadcast, self.id = broadcast, name
+
+    @property
+    def value(self):
+        return self.broadcast.value
+
+
+def handed_out(documents: DataFrame, vocabulary: str, ranks: str, pattern: str) -> Shared | None:
+    found = shared_chunks(documents, vocabulary, ranks, pattern)
+    return found and Shared(documents.sparkSession.sparkContext.broadcast(found), uuid.uuid4().hex)
+
+
+def digests(batches: Iterator[pa.RecordBatch], vocabulary: str, ranks: str, pattern: str, shared) -> Iterator[pa.RecordBatch]:
+    for batch, (ids, at, *counts), decoder in encoded(batches, vocabulary, ranks, pattern, shared):
         hexed = [hashlib.sha256(x).hexdigest() for x in decoder.joined(ids, at)]
         texts = [hashlib.sha256(x).hexdigest() for x in decoder.decode(ids, at)]
-        columns = [batch.column("doc_id").cast(pa.int64()), pa.array(np.diff(at)), pa.array(hexed, pa.string()), pa.array(texts, pa.string()), pa.array(n_chunks), pa.array(n_reused)]
+        columns = [batch.column("doc_id").cast(pa.int64()), pa.array(np.diff(at)), pa.array(hexed, pa.string()), pa.array(texts, pa.string()), *map(pa.array, counts)]
         yield pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in COLUMNS.split(", ")])
 
 
-def ids_of(batches: Iterator[pa.RecordBatch], vocabulary: str, ranks: str, pattern: str) -> Iterator[pa.RecordBatch]:
-    for batch, (ids, at, _, _), decoder in encoded(batches, vocabulary, ranks, pattern):
+def ids_of(batches: Iterator[pa.RecordBatch], vocabulary: str, ranks: str, pattern: str, shared) -> Iterator[pa.RecordBatch]:
+    for batch, (ids, at, *_), decoder in encoded(batches, vocabulary, ranks, pattern, shared):
         lists = pa.LargeListArray.from_arrays(pa.array(at), pa.array(ids)).cast(pa.list_(pa.int32()))
         texts = pa.array([t.decode() for t in decoder.decode(ids, at)], pa.string())
         yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), lists, texts], names=["doc_id", "ids", "decoded"])
@@ -220,15 +307,18 @@ def ids_of(batches: Iterator[pa.RecordBatch], vocabulary: str, ranks: str, patte
 
 def encode_documents(documents: DataFrame, vocabulary: str, ranks: str = "", pattern: str = "") -> DataFrame:
     """doc_id, the ids of every whole text, and the text decoded from them."""
-    return documents.select("doc_id", "text").mapInArrow(lambda it: ids_of(it, vocabulary, ranks, pattern), "doc_id bigint, ids array<int>, decoded string")
+    shared = handed_out(documents, vocabulary, ranks, pattern)
+    return documents.select("doc_id", "text").mapInArrow(lambda it: ids_of(it, vocabulary, ranks, pattern, shared), "doc_id bigint, ids array<int>, decoded string")
 
 
 def encoding_digests(documents: DataFrame, vocabulary: str, ranks: str = "", pattern: str = "") -> DataFrame:
-    """As encode_documents, but only counts and digests leave the task: n_tokens, ids_sha256, decoded_sha256, n_chunks, n_reused.
+    """As encode_documents, but only counts and digests leave the task: n_tokens, ids_sha256, decoded_sha256, n_chunks, n_reused, n_shared.
 
-    ranks and pattern name the same vocabulary for the faster library. Chunks are shared by all documents that a worker
-    meets, in one narrow pass; no shuffle.
+    ranks and pattern name the same vocabulary for the faster library. A first pass counts the corpus's chunks by their hashes; those that save the
+    most are encoded once and handed to all workers, within fixed bounds (n_shared of a document's chunks). A worker shares the
+    others among the documents that it meets (n_reused counts both, and depends on who met what). Texts are not shuffled.
 
     Null or empty text: no ids, decoded to an empty text. A null doc_id stays null; repeated rows are encoded each; other columns are ignored.
     """
-    return documents.select("doc_id", "text").mapInArrow(lambda it: digests(it, vocabulary, ranks, pattern), COLUMNS)
+    shared = handed_out(documents, vocabulary, ranks, pattern)
+    return documents.select("doc_id", "text").mapInArrow(lambda it: digests(it, vocabulary, ranks, pattern, shared), COLUMNS)
