@@ -399,6 +399,74 @@ def test_hamming_search_is_exact(spark):
     assert hamming.search(hamming.sign_codes(df.limit(0))).count() == 0
 
 
+def test_label_model_equals_a_plain_em():
+    """Expectation-maximisation by loops over documents gives the posteriors and the accuracies of the one over pattern counts."""
+    rng = np.random.default_rng(2)
+    m = len(quality.LABELLERS)
+    good = rng.random(400) < 0.7
+    ballots = [[quality.ABSTAIN if rng.random() < 0.3 else (quality.GOOD if g == (rng.random() < 0.6 + 0.04 * i) else quality.BAD) for i in range(m)] for g in good]
+    patterns = {}
+    for b in ballots:
+        key = int("".join(map(str, b)), 3)
+        patterns[key] = patterns.get(key, 0) + 1
+    got, table_ = quality.label_model(patterns, rounds=15)
+    first = {0: 0.95, 1: 0.4}
+    p = [first.get(sum(v == quality.BAD for v in b), 0.05) for b in ballots]
+    for _ in range(15):
+        prior = [sum(p) + 1, sum(1 - x for x in p) + 1]
+        seen = [[[0.5] * 3, [0.1] * 3] for _ in range(m)]
+        for b, x in zip(ballots, p):
+            for i, v in enumerate(b):
+                seen[i][0][v] += x
+                seen[i][1][v] += 1 - x
+        share = [[[n / sum(c) for n in c] for c in one] for one in seen]
+        p = []
+        for b in ballots:
+            like = [prior[c] / sum(prior) for c in (0, 1)]
+            for i, v in enumerate(b):
+                if v != quality.ABSTAIN:
+                    like = [like[c] * share[i][c][v] for c in (0, 1)]
+            p.append(like[0] / sum(like))
+    assert np.allclose([got[int("".join(map(str, b)), 3)] for b in ballots], p, atol=1e-6) and np.allclose(table_, share, atol=1e-6)
+
+
+def test_scorer_follows_its_gradient_to_the_plain_optimum():
+    """The scorer's loss, by plain loops, is as low as that of many more plain steps, and its direction parts the classes."""
+    rng = np.random.default_rng(3)
+    features = [np.sort(rng.choice(30, 6, replace=False)) for _ in range(200)]
+    target = np.array([0.9 if (f < 10).sum() > 1 else 0.1 for f in features])
+    weights = [np.full(6, 1 / 6) for _ in features]
+    theta = quality.fit_scorer(features, weights, target)
+    share = [0.5 / max(1, (target > 0.5).sum()) if t > 0.5 else 0.5 / max(1, (target <= 0.5).sum()) for t in target]
+
+    def loss(w):
+        total = 0.0
+        for f, t, s in zip(features, target, share):
+            p = 1 / (1 + np.exp(-(sum(w[j] / 6 for j in f) + w[-1])))
+            total -= s * (t * np.log(p) + (1 - t) * np.log(1 - p))
+        return total
+
+    plain = np.zeros(len(theta))
+    for _ in range(1500):
+        slope = np.zeros(len(theta))
+        for f, t, s in zip(features, target, share):
+            e = s * (1 / (1 + np.exp(-(plain[f].sum() / 6 + plain[-1]))) - t)
+            slope[f] += e / 6
+            slope[-1] += e
+        plain -= 4.0 * slope
+    assert loss(theta) < loss(np.zeros(len(theta))) - 0.05 and loss(theta) < loss(plain) + 0.02
+
+
+def test_quality_of_odd_rows(spark):
+    """Null ids, repeated rows, very long texts and columns of clashing names have results of their own."""
+    rng = random.Random(17)
+    texts = [prose(rng, 120) for _ in range(60)] + [prose(rng, 60_000), "NULLID"]
+    df = table(spark, texts).withColumn("keep", F.lit("x")).withColumn("quality_score", F.lit(7))
+    rows = quality.classify(df.unionByName(df.where("doc_id = 3"))).collect()
+    assert len(rows) == 63 and {type(r.keep) for r in rows} == {bool} and all(0 <= r.quality_score <= 1 for r in rows)
+    assert len({round(r.quality_score, 9) for r in rows if r.doc_id == 3}) == 1 and len({r.keep for r in rows if r.doc_id == 3}) == 1
+
+
 def test_quality_keeps_prose_and_rejects_junk(spark):
     rng = random.Random(7)
     good = [prose(rng, rng.randrange(60, 200)) for _ in range(150)]
@@ -428,6 +496,39 @@ def test_toxicity_finds_unseen_forms(spark):
     assert none[0].score == 0 and toxicity.classify(table(spark, []), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).count() == 0
 
 
+def test_toxicity_scores_equal_plain_averages():
+    """A document's score, by loops over windows and n-grams, from the model's n-gram values."""
+    rng = random.Random(18)
+    texts = [prose(rng, rng.randrange(1, 40)) + (" grumbling grumbled" if i % 3 == 0 else "") for i in range(90)]
+    model = toxicity.fit(pa.array(texts), np.array([i % 3 == 0 for i in range(90)]))
+
+    def bag(word):
+        buckets, at = toxicity.grams([word.encode()])
+        return buckets[: at[1]].tolist()
+
+    want = []
+    for t in texts + ["", "x"]:
+        w = t.split()
+        best = []
+        for i in range(len(w)):
+            g = [x for word in w[i : i + toxicity.WINDOW] for x in bag(word)]
+            best.append(sum(model.per_gram[x] for x in g) / max(1, len(g)))
+        z = model.scale * (max(best) if best else model.empty) + model.shift
+        want.append(1 / (1 + np.exp(-np.clip(z, -50, 50))))
+    assert np.allclose(model.score(pa.array(texts + ["", "x"])), want, atol=1e-9)
+    assert np.mean([(p >= 0.5) == (i % 3 == 0) for i, p in enumerate(want[:90])]) > 0.95
+
+
+def test_toxicity_of_odd_rows(spark):
+    """Contradictory labels count as toxic; null ids, very long texts and clashing columns are scored."""
+    rng = random.Random(19)
+    texts = [prose(rng, 30) + (" grumbled grumbling" if i % 4 == 0 else "") for i in range(120)] + [prose(rng, 60_000), "NULLID"]
+    labels = spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i in range(120)] + [(4, 1, 0), (None, 1, 1)], "doc_id long, quality int, toxic int")
+    rows = toxicity.classify(table(spark, texts).withColumn("predicted", F.lit("x")), labels).collect()
+    assert len(rows) == 122 and all(0 <= r.score <= 1 and r.predicted in (0, 1) for r in rows)
+    assert next(r for r in rows if r.doc_id == 4).predicted == 1 and next(r for r in rows if r.doc_id == 120).predicted == 0
+
+
 def test_toxicity_trains_on_present_documents_once_each(spark):
     """Labels without documents and rows that repeat a doc_id leave both labels in the sample."""
     rng = random.Random(9)

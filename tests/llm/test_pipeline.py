@@ -43,3 +43,21 @@ def test_stages_drop_what_brute_force_drops(spark):
                 a, b = root(x), root(y)
                 parent[max(a, b)] = min(a, b)
     assert kept(corpus_pipeline.near_duplicate_stage) == {x for x in ids if root(x) == x} != set(ids)
+
+
+def test_stages_take_odd_tables(spark):
+    """Null ids and texts, repeated rows, empty tables, and tables without n_chars or with columns named like the operators'."""
+    text, other = (" ".join(f"{w}{i}" for i in range(60)) for w in "ab")
+    rows = [(1, text, "x", 1), (1, text, "x", 1), (2, other + " " + text, "y", 2), (None, text, "z", 3), (3, None, "w", 4), (4, "", "v", 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, repeats string, keep int").repartition(3)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF) if name != "toxicity" or os.path.isdir(SF) else None
+        if out is None:
+            continue
+        assert out.schema.simpleString() == docs.schema.simpleString(), name
+        assert {tuple(r)[2:] for r in out.collect()} <= {tuple(r)[2:] for r in docs.collect()}, name
+        assert stage(spark, docs.limit(0), SF).count() == 0, name
+    cut = {(r.doc_id, r.repeats): r.text for r in corpus_pipeline.substring_stage(spark, docs, SF).collect()}
+    assert cut == {(1, "x"): text, (2, "y"): other, (None, "z"): text, (3, "w"): None, (4, "v"): ""}
+    packed = corpus_pipeline.packing_stage(spark, docs, SF).collect()
+    assert len(packed) == 6 and sorted(r.length for r in packed)[:2] == [1, 1] and corpus_pipeline.packing_stage(spark, docs.limit(0), SF).count() == 0
