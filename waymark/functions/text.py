@@ -23,8 +23,10 @@ def clean(x: Column) -> Column:
 
 
 def plain(x: Column) -> Column:
-    """Lower-case words of letters and digits, for ASCII text."""
-    return F.trim(F.regexp_replace(F.lower(F.regexp_replace(F.coalesce(x, F.lit("")), "[^a-zA-Z0-9]+", " ")), " +", " "))
+    """Lower-case words of letters and digits, accents and other marks folded."""
+    from waymark.functions.names import folded as ascii_form
+
+    return F.trim(F.lower(F.regexp_replace(ascii_form(F.coalesce(x, F.lit(""))), "[^a-zA-Z0-9]+", " ")))
 
 
 @F.pandas_udf(StringType())
@@ -45,11 +47,11 @@ def grid(lat: Column, lon: Column, digits: int = 4) -> Column:
     return F.concat(F.round(lat, digits).cast("string"), F.lit(":"), F.round(lon, digits).cast("string"))
 
 
-def entity_id(name: Column, locality: Column, lat: Column, lon: Column) -> Column:
-    """Slug of the name and 12 digits of a hash of name, place and rounded position."""
-    where = F.when(lat.isNotNull() & lon.isNotNull(), F.format_string("%.4f:%.4f", F.round(lat, 4), F.round(lon, 4)))
+def entity_id(name: Column, locality: Column, lat: Column, lon: Column, padded: bool = False) -> Column:
+    """Slug of the name and 12 digits of a hash of name, place and rounded position; padded: positions always with four digits."""
+    where = F.when(lat.isNotNull() & lon.isNotNull(), F.format_string("%.4f:%.4f", F.round(lat, 4), F.round(lon, 4)) if padded else grid(lat, lon))
     seed = F.concat_ws("|", F.nullif(plain(name), F.lit("")), F.nullif(plain(locality), F.lit("")), where)
-    head = F.regexp_replace(F.substring(F.replace(plain(name), F.lit(" "), F.lit("-")), 1, 48), "-+$", "")
+    head = F.substring(F.replace(plain(name), F.lit(" "), F.lit("-")), 1, 48)
     return F.concat(F.coalesce(F.nullif(head, F.lit("")), F.lit("entity")), F.lit("-"), F.substring(F.sha1(seed), 1, 12))
 
 
@@ -153,9 +155,14 @@ def coordinates(x: Column) -> Column:
     return F.when(inside(lat, lon), F.struct(lat.alias("lat"), lon.alias("lon"))).when(inside(lon, lat), F.struct(lon.alias("lat"), lat.alias("lon")))
 
 
-def evidence_window(x: Column, name: Column) -> Column:
-    """First line that holds the name, at most 1000 characters of it."""
-    return F.substring(F.get(F.filter(F.split(x, "\n"), lambda line: F.contains(F.lower(line), F.lower(name))), F.lit(0)), 1, 1000)
+def evidence_window(x: Column, name: Column, most: int = 1000, before: int = 350, after: int = 650) -> Column:
+    """First line that holds the name and more than white space, at most `most` characters; else the text around the name's first place; else empty."""
+    lines = F.transform(F.split(x, r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"), clean)
+    line = F.get(F.filter(lines, lambda s: F.contains(F.lower(s), F.lower(name)) & (s != "")), F.lit(0))
+    at = F.instr(F.lower(x), F.lower(name))
+    start = F.greatest(F.lit(1), at - before)
+    around = F.when(at > 0, clean(F.substring(x, start, at + F.length(name) + after - start)))
+    return F.coalesce(F.substring(line, 1, most), around, F.lit(""))
 
 
 def unescaped(x: Column) -> Column:

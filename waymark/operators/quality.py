@@ -4,18 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from waymark.functions import lexicons as lex
 from waymark.functions.text import is_blank
 
 
-def source_like(name: Column, lat: Column, lon: Column) -> Column:
-    """Titles of lists and articles; a position speaks against it, a bad exact name for it."""
-    return F.when(F.lower(F.trim(name)).isin(lex.BAD_NAMES), True).when(lat.isNotNull() & lon.isNotNull(), False).otherwise(F.lower(name).rlike("|".join(lex.SOURCE_LIKE)))
+def source_like(name: Column, lat: Column, lon: Column, mode: Column | None = None) -> Column:
+    """Titles of lists and articles. A bad exact name is one; what a page mentions or what has a position is none."""
+    low = F.lower(F.trim(F.coalesce(name, F.lit(""))))
+    mentioned = F.coalesce(mode == "mentioned_entity", F.lit(False)) if mode is not None else F.lit(False)
+    return F.when(low.isin(lex.BAD_NAMES), True).when(mentioned | (lat.isNotNull() & lon.isNotNull()), False).otherwise(low.rlike("|".join(lex.SOURCE_LIKE)))
 
 
-def recommendable(name: Column, category: Column) -> Column:
-    return ~is_blank(name) & ~is_blank(category) & ~F.lower(category).isin(lex.NON_SERVING) & ~F.lower(F.trim(name)).rlike("|".join(lex.NON_SERVING_NAMES))
+def recommendable(name: Column, category: Column, status: Column | None = None) -> Column:
+    """Named things of a category that is served: no rejected ones, no other city's lists, no words of pages, roads and posts, no strays."""
+    low, kind = F.lower(F.trim(F.coalesce(name, F.lit("")))), F.lower(F.trim(F.coalesce(category, F.lit(""))))
+    listy = F.contains(kind, F.lit(" hyderabad")) & ~kind.isin("hyderabad", "secunderabad")
+    fit = (low != "") & (kind != "") & ~kind.isin(lex.NON_SERVING) & ~listy & ~low.rlike("|".join(lex.NON_SERVING_NAMES)) & ~low.isin(lex.STRAY_NAMES)
+    return fit if status is None else fit & F.coalesce(status != "REJECTED_PAGE_FRAGMENT", F.lit(True))
 
 
 def with_quality(entities: DataFrame) -> DataFrame:
@@ -67,3 +74,22 @@ def data_confidence(fields: list[Column], lat: Column, lon: Column, text: Column
     for f in fields:
         score = score + F.when(~is_blank(f), 0.08).otherwise(0.0)
     return F.round(F.least(F.lit(1.0), score + F.when(lat.isNotNull() & lon.isNotNull(), 0.15).otherwise(0.0) + F.when(F.length(text) > 500, 0.1).otherwise(0.0)), 3)
+
+
+def gap_candidates(rows: DataFrame, sources: tuple[tuple[str, float], ...] = (("openstreetmap", 0.9), ("firecrawl_search", 0.7))) -> DataFrame:
+    """id, query, source and priority: each of the rows' queries for each source that is asked."""
+    asked = F.array(*[F.struct(F.lit(s).alias("source"), F.lit(p).alias("priority")) for s, p in sources])
+    return rows.select("id", F.explode("queries").alias("query")).select("id", "query", F.explode(asked).alias("s")).select("id", "query", "s.*")
+
+
+def capped_candidates(rows: DataFrame, most: int) -> DataFrame:
+    """Rows (id, queries) in the order of ids up to and with the one whose candidates reach 3 * most: the cap is looked at after each row.
+
+    Sizes before a row are summed by ranges of ids: a sum for each range, then a running sum within it, so no task holds all rows.
+    """
+    sized = rows.withColumn("__size", F.size("queries")).repartitionByRange("id").withColumn("__part", F.spark_partition_id())
+    own = Window.partitionBy("__part").orderBy("id")
+    ran = sized.withColumn("__run", F.sum("__size").over(own) - F.col("__size"))
+    ends = sized.groupBy("__part").agg(F.sum("__size").alias("total"))  # one row for each partition
+    before = ends.alias("a").join(F.broadcast(ends.alias("b")), F.col("b.__part") < F.col("a.__part"), "left").groupBy(F.col("a.__part").alias("__part")).agg(F.coalesce(F.sum("b.total"), F.lit(0)).alias("__before"))
+    return ran.join(F.broadcast(before), "__part").where(F.col("__run") + F.col("__before") < 3 * most).drop("__size", "__part", "__run", "__before")

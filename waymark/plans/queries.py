@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -13,24 +10,9 @@ from waymark.functions import text as tx
 from waymark.operators import quality as ql
 from waymark.operators import search as se
 from waymark.operators import tables as tb
+from waymark.plans.registry import QUERIES, SQL, query
 from waymark.plans.views import ENTITIES, FRONTIER, entities, frontier, resolvable, table
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    """Register a function under its name, with SQL for the same rows where there is any."""
-
-    def add(f):
-        QUERIES[f.__name__] = f
-        if sql is not None:
-            SQL[f.__name__] = sql
-        return f
-
-    return add
-
-
 def boundary(term: str) -> str:
     """SQL for the hits of a term between characters that are no letters or digits; separators are doubled first."""
     return f"len(regexp_extract_all(' ' || regexp_replace(lower(text), '([^a-z0-9])', '\\1\\1', 'g') || ' ', '[^a-z0-9]{term}[^a-z0-9]'))"
@@ -170,7 +152,7 @@ def fingerprints(spark, sf):
 @query(ENTITIES + r""", p as (select id, trim(regexp_replace(lower(name), '[^a-z0-9]+', ' ', 'g')) as n, trim(regexp_replace(lower(coalesce(locality, '')), '[^a-z0-9]+', ' ', 'g')) as l, latitude as a, longitude as o from e)
 select id, regexp_replace(substr(replace(n, ' ', '-'), 1, 48), '-+$', '') || '-' || substr(sha1(concat_ws('|', nullif(n, ''), nullif(l, ''), case when a is not null then printf('%.4f', round(a, 4)) || ':' || printf('%.4f', round(o, 4)) end)), 1, 12) as entity_id from p""")
 def entity_ids(spark, sf):
-    return entities(spark, sf).select("id", tx.entity_id(F.col("name"), F.col("locality"), F.col("latitude"), F.col("longitude")).alias("entity_id"))
+    return entities(spark, sf).select("id", tx.entity_id(F.col("name"), F.col("locality"), F.col("latitude"), F.col("longitude"), padded=True).alias("entity_id"))
 
 
 @query("select event_id, (props->>'$.k')::bigint as k from events")
@@ -525,3 +507,8 @@ def fuzzy_resolve(spark, sf):
 
     incoming, known = resolvable(spark, sf, "supplier", "s_suppkey", "s_nationkey"), resolvable(spark, sf, "customer", "c_custkey", "c_nationkey")
     return best_matches(incoming, known, one_table=False)
+
+
+from waymark.plans import survey  # noqa: E402, F401  registers the queries of the remaining operators
+
+__all__ = ["QUERIES", "SQL"]
