@@ -98,7 +98,7 @@ def substring_sentiment(x: Column, positive: list[str], negative: list[str]) ->
 def sentences(x: Column, least: int = 40) -> Column:
     """Parts after . ! or ? and white space that are longer than `least`, trimmed."""
     parts = F.split(F.regexp_replace(x, r"([.!?])\s+", "$1\u0001"), "\u0001")
-    return F.filter(F.transform(parts, F.trim), lambda s: F.length(s) > least)
+    return F.filter(F.transform(parts, lambda s: F.trim(s)), lambda s: F.length(s) > least)
 
 
 def keywords(x: Column, most: int = 16) -> Column:

@@ -73,3 +73,8 @@ def top_tokens(df: DataFrame, key: str, text: str, most: int = 12, longer: int =
     counted = tokens.groupBy(key, "token").agg(F.count("*").alias("n"), F.min("pos").alias("first"))
     place = F.row_number().over(Window.partitionBy(key).orderBy(F.desc("n"), "first"))
     return counted.withColumn("place", place.cast("int")).where(F.col("place") <= most).select(key, "token", "n", "place")
+
+
+def share_of_target(df: DataFrame, group: Column, target: int) -> DataFrame:
+    """Rows of each group, and their percentage of a target."""
+    return df.groupBy(group).agg(F.count("*").alias("n"), F.round(100 * F.count("*") / F.lit(float(target)), 2).alias("percent_of_target"))

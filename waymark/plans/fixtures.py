@@ -136,3 +136,82 @@ def chain(x: str, steps: list[tuple[str, str, str]]) -> str:
     for p, by, flags in steps:
         x = f"regexp_replace({x}, {quoted(p)}, {quoted(by)}{', ' + quoted(flags) if flags else ''})"
     return x
+
+
+LINKS = [
+    '<a href="https://www.instagram.com/x">Follow us</a><a href="/book-now">Reserve a table</a><img src="/img/a.png" alt="Blue Cup interior by night"><img src="//cdn.example/b.png" title="Old fort">',
+    '<a href="https://events.example/hyderabad-cafe?x=1#y">Buy tickets</a><a href="menu.html">Our Menu</a><meta property="og:image" content="/og.png"><img src="data:image/png;base64,AA"><h2>Places to eat</h2><h4>Blue Cup Cafe</h4>',
+    '<a href="https://maps.google.com/maps?q=17.44470,78.46650">Find us</a><a href="https://wa.me/123">Chat</a><a href="../up/venue">Venue</a><a href="?page=2">Calendar</a><a href="#top">places</a><li>Old Fort Museum</li>',
+    '<a href="mailto:a@b.org">events mail</a><a href="javascript:void(0)">cafe</a><a href="/login?next=cafe">cafe login</a><a href="https://x.com/abc">x</a>',
+    "",
+]
+
+
+def web_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages with links, pictures and headings of an entity behind each whole html."""
+    p = table(spark, sf_dir, "pages")
+    return p.select("page_id", "url", F.concat(F.coalesce("html", F.lit("")), pick(LINKS, "page_id")).alias("html"))
+
+
+WEB_PAGES = f"with w as (select page_id, url, coalesce(html, '') || {sql_pick(LINKS, 'page_id')} as html from pages)\n"
+
+_AMENITY = ["cafe", "bank", "place_of_worship", None, "college", "fuel", "nightclub"]
+_TOURISM = [None, "museum", None, "viewpoint", None]
+_SPORT = [None, None, "cricket"]
+_NATURAL = [None, "water", None, None, None, None, None, None, None, None, "tree"]
+
+
+def map_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as map elements with tags, of which some lack a name, a position or a category."""
+    k = "p_partkey"
+    t = table(spark, sf_dir, "part").select(k, "p_name")
+    entries = {
+        "name": F.expr(f"if({k} % 10 = 0, null, if({k} % 10 = 1, 'ab', concat('  ', p_name)))"), "brand": F.expr(f"if({k} % 10 < 2 and {k} % 3 = 0, 'Blue  Brand', null)"), "amenity": pick(_AMENITY, k), "tourism": pick(_TOURISM, k),
+        "sport": pick(_SPORT, k), "natural": pick(_NATURAL, k), "historic": F.expr(f"if({k} % 41 = 0, 'yes', null)"), "addr:suburb": F.expr(f"if({k} % 6 = 0, 'Alwal', if({k} % 6 = 1, 'Hyderabad', null))"),
+        "addr:street": F.expr(f"if({k} % 5 = 0, 'Lake Road', null)"), "addr:housenumber": F.expr(f"if({k} % 5 = 0, cast({k} as string), null)"), "alt_name": F.expr(f"if({k} % 8 = 0, 'Two; One |Two', null)"),
+        "cuisine": F.expr(f"if({k} % 9 = 0, 'thai; indian,thai', null)"), "wifi": F.expr(f"if({k} % 12 = 0, 'yes', null)"), "wheelchair": F.expr(f"if({k} % 14 = 0, 'Limited', null)"), "opening_hours": F.expr(f"if({k} % 15 = 0, '24/7', null)"),
+        "phone": F.expr(f"if({k} % 16 = 0, '123', null)"), "website": F.expr(f"if({k} % 17 = 0, 'https://w.example', null)"), "wikipedia": F.expr(f"if({k} % 18 = 0, 'te:Old Fort', if({k} % 18 = 1, 'Old Fort', null))"), "fee": F.expr(f"if({k} % 20 = 0, 'no', null)"),
+        "contact:facebook": F.expr(f"if({k} % 22 = 0, 'fb', null)"), "image": F.expr(f"if({k} % 26 = 0, 'http://i.example/1.png', if({k} % 26 = 1, 'x.png', null))"), "wikimedia_commons": F.expr(f"if({k} % 28 = 0, 'File:Old fort.jpg', null)"),
+    }
+    pairs = F.array_compact(F.array(*[F.when(v.isNotNull(), F.struct(F.lit(n).alias("key"), v.alias("value"))) for n, v in entries.items()]))
+    return t.select(
+        F.lit("node").alias("type"), F.col(k).cast("bigint").alias("id"), F.expr(f"if({k} % 11 = 0, null, 17.3D + ({k} % 300) / 1000D)").alias("lat"), F.expr(f"if({k} % 13 = 0, null, 78.3D + ({k} % 200) / 1000D)").alias("lon"),
+        F.expr(f"if({k} % 22 = 0, named_struct('lat', 17.4D, 'lon', 78.4D), null)").alias("center"), F.map_from_entries(F.when(F.col(k) % 97 != 0, pairs).otherwise(F.slice(pairs, 1, 0))).alias("tags"),
+    )
+
+
+_P = "p_partkey"
+MAP_ELEMENTS = f"""
+with m as (select p_partkey::bigint as id, p_partkey % 97 = 0 as untagged, case when {_P} % 10 = 0 then null when {_P} % 10 = 1 then 'ab' else '  ' || p_name end as name, case when {_P} % 10 < 2 and {_P} % 3 = 0 then 'Blue  Brand' end as brand,
+  {sql_pick(_AMENITY, _P)} as amenity, {sql_pick(_TOURISM, _P)} as tourism, {sql_pick(_SPORT, _P)} as sport, {sql_pick(_NATURAL, _P)} as natural_, case when {_P} % 41 = 0 then 'yes' end as historic,
+  case when {_P} % 6 = 0 then 'Alwal' when {_P} % 6 = 1 then 'Hyderabad' end as suburb, case when {_P} % 5 = 0 then 'Lake Road' end as street, case when {_P} % 5 = 0 then {_P}::varchar end as house, {_P} % 8 = 0 as aliased,
+  {_P} % 9 = 0 as thai, {_P} % 12 = 0 as wifi, {_P} % 14 = 0 as limited, {_P} % 15 = 0 as always, {_P} % 16 = 0 as phoned, {_P} % 17 = 0 as sited, {_P} % 18 as wiki, {_P} % 20 = 0 as fee, {_P} % 22 = 0 as fb, {_P} % 26 as pictured, {_P} % 28 = 0 as commons,
+  coalesce(case when {_P} % 11 = 0 then null else 17.3::double + ({_P} % 300) / 1000::double end, case when {_P} % 22 = 0 then 17.4::double end) as lat,
+  coalesce(case when {_P} % 13 = 0 then null else 78.3::double + ({_P} % 200) / 1000::double end, case when {_P} % 22 = 0 then 78.4::double end) as lon from part)
+"""
+
+
+def served(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The star schema's places as whole entities, with sources, pictures, relations and scores; some repeat others' names and positions."""
+    from waymark.plans.views import entities
+
+    e = entities(spark, sf_dir)
+    arr = lambda n, row: f"if({n} <= 0, array(), transform(sequence(0, greatest({n}, 1) - 1), j -> {row}))"
+    source = "named_struct('source', concat('src', cast(j as string)), 'url', if(j = 1, null, concat('http://s', cast(id % 50 as string), '.example')), 'source_type', 'webpage', 'raw_path', cast(null as string), 'extraction_confidence', 0.5D)"
+    picture = "named_struct('id', if(j = 0, image_id, cast(null as string)), 'url', concat('http://img', cast(id as string), '/', cast(j % 2 as string)), 'source', 'web_page', 'caption', 'front', 'labels', array('a'), 'is_primary', j = 1)"
+    return e.selectExpr(
+        "id", "concat('Place ', cast(id % 200 as string), if(id % 2 = 0, ' near the Golkonda', '')) as name", "'place' as entity_type", "category", "cast(null as string) as primary_category", "array(category) as subcategories", "description", "locality", "address", "latitude", "longitude",
+        "concat('http://w', cast(id as string)) as website", "if(id % 53 = 0, 'REJECTED_PAGE_FRAGMENT', 'ACTIVE') as status", "confidence", "rating", "rating_count", "timings", "intent_tags", "array_sort(array_union(intent_tags, array(category))) as context_keys", "array('places') as branch_ids",
+        "if(size(intent_tags) = 0, map(), map('solo', 0.25D + (id % 4) / 10D)) as suitability_scores", f"{arr('n_sources', source)} as sources", f"if(image_id is null, array(), {arr('(id % 3) + 1', picture)}) as media",
+        "array(named_struct('predicate', 'near', 'object_id', cast(id + 1 as string), 'object_name', 'next', 'confidence', 0.35D, 'evidence', 'first', 'source_url', cast(null as string)), named_struct('predicate', if(id % 2 = 0, 'near', 'in'), 'object_id', cast(id + 1 as string), 'object_name', 'next', 'confidence', 0.4D, 'evidence', 'second', 'source_url', cast(null as string))) as relationships",
+    )
+
+
+def sidecars(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Reviews (conversations), source pages (pages) and landed pictures of the served places."""
+    r = table(spark, sf_dir, "conversations").selectExpr(
+        "if(turn % 5 = 4, null, concat('r', cast(conv_id as string), '-', cast(turn as string))) as id", "cast(conv_id * 3 as string) as entity_id", "role as source", "cast(turn % 6 as double) as rating", "text", "'mixed' as sentiment", "0D as sentiment_score", "array(role) as topics"
+    )
+    p = table(spark, sf_dir, "pages").selectExpr("url", "concat('t', cast(page_id as string)) as title", "cast(null as string) as description", "'web_page' as source", "'source_page' as source_type", "lpad(cast(page_id as string), 9, '0') as raw_path", "if(page_id % 3 = 0, null, page_id % 3 = 1) as is_source_page", "'q' as search_query", "cast(page_id % 10 as int) as search_rank")
+    i = table(spark, sf_dir, "customer").selectExpr("c_custkey", "explode(array(0, 1)) as j").where("(c_custkey + j) % 7 <> 0").selectExpr("concat('http://img', cast(c_custkey as string), '/', cast(j as string)) as url", "'image/png' as mime_type", "cast(1000 + j as bigint) as byte_size", "if(c_custkey % 4 = 0, 'same', concat('h', cast(c_custkey as string), '-', cast(j as string))) as content_hash")
+    return r, p, i

@@ -11,7 +11,7 @@ from waymark.operators import quality as ql
 from waymark.operators import search as se
 from waymark.operators import tables as tb
 from waymark.plans.registry import QUERIES, SQL, query
-from waymark.plans.views import ENTITIES, FRONTIER, entities, frontier, resolvable, table
+from waymark.plans.views import ENTITIES, FRONTIER, entities, frontier, metres, resolvable, table
 
 def boundary(term: str) -> str:
     """SQL for the hits of a term between characters that are no letters or digits; separators are doubled first."""
@@ -162,14 +162,6 @@ def event_props_json(spark, sf):
 
 # Places --------------------------------------------------------------------------------------------------------------
 
-_HAVERSINE = "2 * 6371000.0::double * atan2(sqrt({a}), sqrt(1 - ({a})))"
-
-
-def metres(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
-    a = f"pow(sin(radians({lat2} - {lat1}) / 2), 2) + cos(radians({lat1})) * cos(radians({lat2})) * pow(sin(radians({lon2} - {lon1}) / 2), 2)"
-    return _HAVERSINE.format(a=a)
-
-
 @query(ENTITIES + ", s(i, n, a, o) as (values " + ", ".join(f"({i}, '{n}', {a}::double, {o}::double)" for i, (n, a, o) in enumerate(lex.SEEDS)) + f"), p as (select id, n, i, {metres('latitude', 'longitude', 'a', 'o')} as d from e, s where latitude is not null) select id, n as seed, round(d, 1) as metres from p qualify row_number() over (partition by id order by d, i) = 1")
 def nearest_seed(spark, sf):
     return se.nearest_seed(entities(spark, sf).where("latitude is not null"), lex.SEEDS).select("id", F.col("seed.n").alias("seed"), F.round("seed.d", 1).alias("metres"))

@@ -8,12 +8,13 @@ from pyspark.sql.window import Window
 from waymark.functions import documents as dc
 from waymark.functions import lexicons as lex
 from waymark.functions import names as nm
+from waymark.functions import pages as pg
 from waymark.functions import text as tx
 from waymark.operators import quality as ql
 from waymark.operators import refine as rf
-from waymark.plans.fixtures import CANDIDATES, PHRASES, SITES, TEXTS, any_in, any_match, bounded_any, candidates, chain, first_case, keys_where, pick, quoted, sql_list, sql_pick, texts
+from waymark.plans.fixtures import CANDIDATES, MAP_ELEMENTS, NAMES, PHRASES, SITES, TEXTS, WEB_PAGES, any_in, any_match, bounded_any, candidates, chain, first_case, keys_where, map_elements, pick, quoted, served, sidecars, sql_list, sql_pick, texts, web_pages
 from waymark.plans.registry import query
-from waymark.plans.views import table
+from waymark.plans.views import ENTITIES, entities, metres, table
 
 CLEAN = "trim(regexp_replace({x}, '\\s+', ' ', 'g'))"
 
@@ -345,3 +346,370 @@ def page_filters(spark, sf):
     """P10, P13, N23 over whole texts."""
     t = texts(spark, sf).select("doc_id", tx.clean(F.col("text")).alias("text"))
     return t.select("doc_id", nm.relevant(F.col("text")).alias("relevant"), (F.length("text") < 500).alias("too_short"), nm.page_category(F.lit(None).cast("string"), F.lit(None).cast("string"), F.col("text")).alias("category"))
+
+
+# Pages ---------------------------------------------------------------------------------------------------------------
+
+_A = quoted(pg.ANCHOR)
+_TEXT_OF = "trim(regexp_replace(replace(replace(replace(replace(replace(replace(regexp_replace({x}, '(?s)<[^>]*>', ' ', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&nbsp;', ' '), '&amp;', '&'), '\\s+', ' ', 'g'))"
+_ROOT = "regexp_extract(url, '^[A-Za-z]+://[^/?#]*')"
+#: The hrefs of the pages are absolute, from the root, from the folder, one folder up, a query or a fragment.
+_FOLDER = f"({_ROOT} || coalesce(nullif(regexp_extract(regexp_extract(regexp_replace(url, '[?#].*$', ''), '^[A-Za-z]+://[^/]*(/.*)?$', 1), '^(.*/)', 1), ''), '/'))"
+_UP = f"({_ROOT} || coalesce(nullif(regexp_extract(regexp_extract(regexp_replace(url, '[?#].*$', ''), '^[A-Za-z]+://[^/]*(/.*)?$', 1), '^(.*/)[^/]+/[^/]*$', 1), ''), '/'))"
+
+
+def _joined(h: str) -> str:
+    return f"""case when regexp_matches({h}, '^[A-Za-z][A-Za-z0-9+.-]*:') then {h} when {h} = '' then url when starts_with({h}, '//') then regexp_extract(url, '^[A-Za-z]+:') || {h} when starts_with({h}, '#') then regexp_replace(url, '#.*$', '') || {h}
+     when starts_with({h}, '?') then regexp_replace(url, '[?#].*$', '') || {h} when starts_with({h}, '/') then {_ROOT} || {h} when starts_with({h}, '../') then {_UP} || substr({h}, 4) else {_FOLDER} || {h} end"""
+
+
+_LINKS = WEB_PAGES + f""", a as (select page_id, url, html, unnest(regexp_extract_all(html, {_A}, 0)) as tag, unnest(range(len(regexp_extract_all(html, {_A}, 0))))::int as pos from w),
+h as (select *, regexp_extract(tag, {_A}, 1) as raw, {_TEXT_OF.format(x=f"regexp_extract(tag, {_A}, 2)")} as label from a), l as (select *, {_joined("raw")} as href from h)
+"""
+_SITE = "lower(regexp_extract(href, '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)', 1))"
+
+
+@query(_LINKS + "select page_id, pos, href, label from l")
+def labelled_links(spark, sf):
+    """Every link as it resolves."""
+    p = web_pages(spark, sf)
+    return p.select("page_id", F.posexplode(pg.links(F.col("html"), F.col("url"))).alias("pos", "l")).select("page_id", "pos", "l.*")
+
+
+@query(_LINKS + f""", g as (select *, row_number() over (partition by page_id order by pos) as n from l where regexp_matches(lower(href), '^https?:') and ({_SITE} = lower(regexp_extract(url, '^[A-Za-z]+://([^/?#]*)', 1)) or {any_in("lower(label || ' ' || href)", lex.RELEVANT)})
+  and {any_in("lower(label || ' ' || href)", lex.USEFUL_LINKS)} and not {any_in("lower(label || ' ' || href)", lex.BLOCKED_LINKS)})
+select page_id, href, substr(label, 1, 160) as anchor, greatest(0.05::double, 0.6::double - 0.15::double) as priority, 1 as depth from g where n <= 20""")
+def link_candidates(spark, sf):
+    """The candidates that a page's links bring."""
+    p = web_pages(spark, sf)
+    own = p.select("page_id", F.explode(pg.followed(pg.links(F.col("html"), F.col("url")), F.col("url"))).alias("l"))
+    return own.select("page_id", F.col("l.href").alias("href"), F.substring("l.label", 1, 160).alias("anchor"), F.greatest(F.lit(0.05), F.lit(0.6) - F.lit(0.15)).alias("priority"), F.lit(1).alias("depth"))
+
+
+_FIRST = {"booking_url": any_in("lower(label)", ["book", "reserve"]), "menu_url": any_in("lower(label)", ["menu"]), "ticket_url": any_in("lower(label)", ["ticket", "register"]), "google_maps_url": f"(contains({_SITE}, 'maps.google') or contains(href, 'google.com/maps'))", "whatsapp_url": any_in(_SITE, ["wa.me", "whatsapp"])}
+
+
+@query(_LINKS + "select page_id, " + ", ".join(f"arg_min(href, pos) filter (where {c}) as {k}" for k, c in _FIRST.items()) + ", list_filter([" + ", ".join(f"{quoted(s.replace('.com', '') + '=')} || arg_max(href, pos) filter (where contains({_SITE}, {quoted(s)}))" for s in lex.SOCIAL) + "], lambda x: x is not null) as social from l group by page_id")
+def page_contacts(spark, sf):
+    """E2 and social links of the pages that have links."""
+    p = web_pages(spark, sf).select("page_id", pg.links(F.col("html"), F.col("url")).alias("l")).where(F.size("l") > 0)
+    return p.select("page_id", *[c.alias(k) for k, c in dc.link_urls(F.col("l")).items()], pg.social_links(F.col("l")).alias("social"))
+
+
+_IMG = "regexp_extract_all(html, '(?is)<img\\b[^>]*\\bsrc=\"[^\"]*\"[^>]*>')"
+
+
+@query(WEB_PAGES + f""", i as (select page_id, url, unnest({_IMG}) as tag, unnest(range(len({_IMG})))::int as pos from w), s as (select *, regexp_extract(tag, 'src="([^"]*)"', 1) as raw from i), r as (select page_id, {_joined("raw")} as src, pos from s where raw <> '' and pos < 20),
+o as (select page_id, url, regexp_extract(html, '<meta property="og:image" content="([^"]*)"', 1) as raw from w), b as (select page_id, src, pos from r union all select page_id, {_joined("raw")}, -1 from o where raw <> ''),
+u as (select page_id, src, min(pos) as pos from b group by 1, 2) select page_id, list(src order by pos) as image_urls from u group by 1""")
+def page_images(spark, sf):
+    """H5: the page's own picture first."""
+    return web_pages(spark, sf).select("page_id", pg.image_urls(F.col("html"), F.col("url")).alias("image_urls")).where(F.size("image_urls") > 0)
+
+
+_NAMES_OF = ["Blue Cup", "Old Fort Gate", "AB cd", "Interior", None]
+
+
+@query(WEB_PAGES + f""", i as (select page_id, url, unnest({_IMG}) as tag, unnest(range(len({_IMG})))::int as pos from w),
+s as (select page_id, pos, {_joined("regexp_extract(tag, 'src=" + chr(34) + "([^" + chr(34) + "]*)" + chr(34) + "', 1)")} as src, regexp_extract(tag, '\\balt="([^"]*)"', 1) as alt, regexp_extract(tag, '\\btitle="([^"]*)"', 1) as title, {sql_pick(_NAMES_OF, "page_id")} as name from i),
+f as (select *, list_filter(regexp_extract_all(lower(name), '[a-z0-9]+'), lambda v: length(v) > 3) as own, lower(alt || ' ' || title || ' ' || src) as hay from s where regexp_matches(src, '^https?://')),
+m as (select page_id, src, min(pos) as pos, arg_min(coalesce(nullif(title, ''), nullif(alt, '')), pos) as caption from f where len(list_filter(own, lambda v: contains(hay, v))) > 0 group by 1, 2),
+n as (select *, row_number() over (partition by page_id order by pos) as place from m) select page_id, src as url, caption, place = 1 as is_primary from n where place <= 4""")
+def mention_pictures(spark, sf):
+    """Pictures of a page that belong to a name."""
+    p = web_pages(spark, sf).select("page_id", F.explode(rf.mention_media(pick(_NAMES_OF, "page_id"), pg.pictures(F.col("html"), F.col("url")))).alias("m"))
+    return p.select("page_id", "m.url", "m.caption", "m.is_primary")
+
+
+_HEAD = r"(?is)<h2\b[^>]*>.*?</h2\s*>|<h3\b[^>]*>.*?</h3\s*>|<h4\b[^>]*>.*?</h4\s*>|<li\b[^>]*>.*?</li\s*>"
+
+
+@query(WEB_PAGES + f", n as (select page_id, list_filter(list_transform(regexp_extract_all(html, {quoted(_HEAD)}), lambda v: {_TEXT_OF.format(x='v')}), lambda v: length(v) <= 100 and v <> '') as names from w) select page_id, names from n where len(names) > 0")
+def list_names(spark, sf):
+    """H4: names that headings and list items give."""
+    return web_pages(spark, sf).select("page_id", pg.list_names(F.col("html")).alias("names")).where(F.size("names") > 0)
+
+
+# Map elements --------------------------------------------------------------------------------------------------------
+
+
+def _map_value(column: str) -> str:
+    return f"map {{{', '.join(f'{quoted(k)}: {quoted(v)}' for k, v in lex.MAP_CATEGORIES.items())}}}[{column}]"
+
+
+_NEAR = ", ".join(f"struct_pack(d := {metres('lat', 'lon', f'{a}::double', f'{b}::double')}, i := {i}, n := {quoted(n)})" for i, (n, a, b) in enumerate(lex.SEEDS))
+_MAPPED = MAP_ELEMENTS + f""", n as (select *, case when untagged then null else coalesce(case when length(trim(name)) >= 3 then trim(regexp_replace(trim(name), '\\s+', ' ', 'g')) end, case when length(trim(brand)) >= 3 then trim(regexp_replace(trim(brand), '\\s+', ' ', 'g')) end) end as title,
+  coalesce(case when not untagged then coalesce({_map_value("amenity")}, {_map_value("tourism")}, case when historic is not null then 'historic' end, {_map_value("natural_")}, case when sport is not null then 'sports_venue' end) end, 'place') as category,
+  case when lat is not null and lon is not null then coalesce(case when not untagged and suburb <> 'Hyderabad' then suburb end, list_aggregate([{_NEAR}], 'min').n) end as locality from m),
+r as (select *, case when untagged then 'missing_tags' when title is null then 'missing_name' when amenity in ({", ".join(map(quoted, lex.UNSERVED_TAGS))}) then 'non_serving_category' when lat is null or lon is null then 'missing_coordinates'
+  when category not in ({", ".join(map(quoted, sorted({*lex.MAP_CATEGORIES.values(), *lex.MAP_EXTRA})))}) then 'unmapped_category' end as reject_reason from n)
+"""
+
+
+@query(_MAPPED + "select id as element_id, title as name, category, locality, lat as latitude, lon as longitude, reject_reason from r")
+def map_decisions(spark, sf):
+    """The element's own place before the nearest one, and the first reason that rejects it."""
+    from waymark.sources.landed import map_entities
+
+    return map_entities(map_elements(spark, sf)).select("element_id", "name", "category", "locality", "latitude", "longitude", "reject_reason")
+
+
+@query(_MAPPED + "select coalesce(reject_reason, 'accepted') as outcome, count(*) as n, round(100 * count(*) / 5000::double, 2) as percent_of_target from r group by 1")
+def bulk_counters(spark, sf):
+    """A5 over map elements."""
+    from waymark.operators.tables import share_of_target
+    from waymark.sources.landed import map_entities
+
+    return share_of_target(map_entities(map_elements(spark, sf)), F.coalesce("reject_reason", F.lit("accepted")).alias("outcome"), 5000)
+
+
+_CROWD = " , ".join(f"case when category in ({', '.join(map(quoted, kinds))}) then {sql_list(people)} else []::varchar[] end" for kinds, people in lex.MAP_AUDIENCE)
+_BASE_TAGS = f"case {' '.join(f'when category = {quoted(c)} then {sql_list(t)}' for c, t in lex.MAP_TAGS.items())} else ['explore', 'local'] end"
+_DISTINCT = "list_sort(list_distinct({x}))"
+_MAP_TAGS = _DISTINCT.format(x=f"flatten([{_BASE_TAGS}, case when wifi then ['wifi', 'work'] else []::varchar[] end, case when always then ['late_night', 'after_midnight'] else []::varchar[] end])")
+
+
+@query(_MAPPED + f"""select id as element_id, list_sort(case when aliased then ['One', 'Two'] else []::varchar[] end) as aliases,
+ concat_ws(', ', house, street, suburb, 'Hyderabad') as address,
+ list_filter([case when amenity is not null then 'amenity:' || amenity end, case when tourism is not null then 'tourism:' || tourism end, case when historic is not null then 'historic:' || historic end, case when sport is not null then 'sport:' || sport end, case when thai then 'cuisine:thai; indian,thai' end], lambda x: x is not null) as subcategories,
+ list_sort(flatten([case when wifi then ['wifi:yes'] else []::varchar[] end, case when limited then ['wheelchair:Limited'] else []::varchar[] end, case when thai then ['cuisine:indian', 'cuisine:thai'] else []::varchar[] end])) as amenities,
+ {_DISTINCT.format(x=f"flatten([{_CROWD}, case when limited then ['accessibility'] else []::varchar[] end])")} as audience, case when phoned then '123' end as phone, case when sited then 'https://w.example' end as website,
+ case when wiki = 0 then 'https://te.wikipedia.org/wiki/Old_Fort' when wiki = 1 then 'https://en.wikipedia.org/wiki/Old_Fort' end as wikipedia_url,
+ list_filter([case when pictured = 0 then 'http://i.example/1.png' end, case when commons then 'https://commons.wikimedia.org/wiki/Special:FilePath/Old%20fort.jpg?width=1280' end], lambda x: x is not null) as media_urls,
+ case when fb then ['facebook=fb'] else []::varchar[] end as social, case when fee then ['fee=no'] else []::varchar[] end as pricing, always as open_24_hours, {_MAP_TAGS} as intent_tags,
+ {_DISTINCT.format(x=f"list_concat([category, locality], {_MAP_TAGS})")} as context_keys, {_DISTINCT.format(x="[category, 'places', 'hyderabad']")} as branch_ids from r where reject_reason is null""")
+def map_fields(spark, sf):
+    """Every field that tags give an accepted element."""
+    from waymark.sources.landed import map_entities
+
+    e = map_entities(map_elements(spark, sf)).where("reject_reason is null")
+    return e.drop("name", "category", "locality", "latitude", "longitude", "reject_reason")
+
+
+# Publication ---------------------------------------------------------------------------------------------------------
+
+_STOPS = lex.SERVING_STOPS
+_SERVED = ENTITIES + f""", b as (select id, 'Place ' || (id % 200)::varchar || case when id % 2 = 0 then ' near the Golkonda' else '' end as name, category, locality, address, latitude, longitude, case when id % 53 = 0 then 'REJECTED_PAGE_FRAGMENT' else 'ACTIVE' end as status,
+  confidence, rating, rating_count, timings, intent_tags, image_id, n_sources, description from e),
+r as (select *, list_sort(list_filter([case when locality is null then 'locality' end, case when address is null then 'address' end, case when latitude is null then 'latitude' end, case when longitude is null then 'longitude' end, case when image_id is null then 'image' end, case when n_sources = 0 then 'source' end], lambda x: x is not null)) as missing,
+  list_sort(list_filter([case when latitude is null then 'missing_coordinates' end, case when image_id is null then 'missing_image' end, case when locality is null then 'missing_locality' end, case when address is null then 'missing_address' end, case when n_sources = 0 then 'missing_source_provenance' end, case when confidence < 0.35 then 'low_confidence' end], lambda x: x is not null)) as blockers,
+  list_sort(list_filter([case when rating is null then 'missing_rating' end, case when timings is null then 'missing_timings' end, case when len(intent_tags) = 0 then 'missing_intent_tags' end], lambda x: x is not null)) as warnings from b),
+q as (select *, round(least(1.0::double, greatest(0.0::double, 1 - 0.18::double * len(missing) - 0.25::double * len(blockers) - 0.04::double * len(warnings) + case when address is null then 0 else 0.05::double end + case when image_id is null then 0 else 0.05::double end
+  + case when rating is null then 0 else 0.05::double end + case when len(intent_tags) = 0 then 0 else 0.05::double end)), 3) as quality_score, len(blockers) = 0 and len(missing) = 0 as ready from r),
+g as (select *, trim(regexp_replace(regexp_replace(regexp_replace(replace(lower(name), 'golkonda', 'golconda'), '[^a-z0-9]+', ' ', 'g'), {quoted(_STOPS)}, ' ', 'g'), ' +', ' ', 'g')) || '|' || round(latitude, 4)::varchar || ':' || round(longitude, 4)::varchar as key from q where ready and status = 'ACTIVE'),
+k as (select * from g qualify row_number() over (partition by key order by id::varchar) = 1),
+i as (select c_custkey as id, j, case when c_custkey % 4 = 0 then 'same' else 'h' || c_custkey::varchar || '-' || j::varchar end as hash from customer, (values (0), (1)) v(j) where (c_custkey + j) % 7 <> 0),
+a as (select k.id, k.name, k.image_id, pos, pos % 2 as j from k, (select unnest(range(3)) as pos) where pos <= k.id % 3),
+m as (select a.id, a.name, a.image_id, pos, a.j, hash from a join i using (id, j) qualify row_number() over (partition by a.id, hash order by pos) = 1),
+s as (select k.* from k where id in (select id from m))
+"""
+
+
+def published(spark, sf, name: str):
+    from waymark.operators.publish import served_tables
+
+    return served_tables(served(spark, sf), *sidecars(spark, sf))[name]
+
+
+@query(_SERVED + "select id::varchar as id, name as canonical_name, 'place' as entity_type, category as primary_category, locality, address, latitude, longitude, 'http://w' || id::varchar as website, image_id is not null as has_media, ready as production_ready, quality_score, blockers as quality_blockers, missing as quality_missing_fields from q")
+def served_raw(spark, sf):
+    """K10."""
+    return published(spark, sf, "crawler_entities_raw")
+
+
+_AT = "name || ' ' || coalesce(nullif(locality, ''), 'Hyderabad')"
+
+
+@query(_SERVED + f"select id::varchar as entity_id, name, ready as production_ready, quality_score as score, missing as missing_fields, blockers, warnings, list_filter([case when latitude is null then {_AT} || ' exact location' end, case when latitude is null then {_AT} || ' address' end, case when address is null then {_AT} || ' address timings' end, case when image_id is null then {_AT} || ' photos' end, case when image_id is null then {_AT} || ' images' end], lambda x: x is not null) as enrichment_queries from q")
+def served_quality(spark, sf):
+    """K11, J7."""
+    return published(spark, sf, "crawler_entity_quality")
+
+
+_ID_OF = "case when pos = 0 then id::varchar || ':' || image_id else id::varchar || ':' || substr(hash, 1, 20) end"
+
+
+@query(_SERVED + f"select s.id::varchar as id, name as canonical_name, 'place' as entity_type, category as primary_category, [category] as secondary_categories, list_sort(list_distinct(list_append(intent_tags, category))) as context_keys, ['places'] as branch_ids, intent_tags, description, locality, address, latitude, longitude, 'http://w' || s.id::varchar as website, rating, rating_count, confidence as confidence_score, n_sources as source_count, 'PRODUCTION_READY' as status, (select arg_min({_ID_OF}, pos) from m where m.id = s.id) as primary_image_id from s")
+def served_entities(spark, sf):
+    """Gated, one for each name and position, with a landed picture."""
+    return published(spark, sf, "city_entities")
+
+
+@query(_SERVED + "select id::varchar as entity_id, 'solo' as intent_tag, 0.25::double + (id % 4) / 10::double as score, 'crawler suitability score' as evidence from s where len(intent_tags) > 0 union all select id::varchar, unnest(list_filter(intent_tags, lambda x: x <> 'solo')), 0.5::double, 'crawler intent tag' from s")
+def served_intents(spark, sf):
+    return published(spark, sf, "entity_intents")
+
+
+@query(_SERVED + "select id::varchar || ':src' || j::varchar || ':' || case when j = 1 then '' else 'http://s' || (id % 50)::varchar || '.example' end || ':' as source_key, id::varchar as entity_id, 'src' || j::varchar as source, case when j = 1 then null else 'http://s' || (id % 50)::varchar || '.example' end as source_url, 'webpage' as source_type, null::varchar as raw_path, 0.5::double as extraction_confidence from s, (select unnest(range(4)) as j) where j < n_sources")
+def served_sources(spark, sf):
+    return published(spark, sf, "entity_sources")
+
+
+@query(_SERVED + f"select {_ID_OF} as id, id::varchar as entity_id, 'http://img' || id::varchar || '/' || j::varchar as source_url, 'image/png' as mime_type, (1000 + j)::bigint as byte_size, hash as content_hash, 'front' as caption, ['a'] as labels, 'web_page' as source, pos <= 1 as is_primary from m")
+def served_media(spark, sf):
+    return published(spark, sf, "entity_media")
+
+
+@query(_SERVED + "select id::varchar as from_entity_id, case when id % 2 = 1 and n = 1 then 'in' else 'near' end as relation_type, (id + 1)::varchar as to_entity_id, 'next' as target_name, case when id % 2 = 0 or n = 1 then 0.4::double else 0.35::double end as weight, case when id % 2 = 0 or n = 1 then 'second' else 'first' end as evidence, null::varchar as source_url from s, (values (0), (1)) v(n) where id % 2 = 1 or n = 0")
+def served_relationships(spark, sf):
+    return published(spark, sf, "entity_relationships")
+
+
+@query(_SERVED + "select 'r' || conv_id::varchar || '-' || turn::varchar as id, (conv_id * 3)::varchar as entity_id, arg_max(role, text) as source, arg_max((turn % 6)::double, text) as rating, max(text) as text, 'mixed' as sentiment, 0::double as sentiment_score, [arg_max(role, text)] as topics from conversations where turn % 5 <> 4 and conv_id * 3 in (select id from s) group by conv_id, turn")
+def served_reviews(spark, sf):
+    return published(spark, sf, "entity_reviews")
+
+
+@query("with p as (select url, 't' || page_id::varchar as title, null::varchar as description, 'web_page' as source, 'source_page' as source_type, lpad(page_id::varchar, 9, '0') as raw_path, page_id % 3 <> 2 as is_source_page, 'q' as search_query, (page_id % 10)::int as search_rank from pages where coalesce(url, '') <> '') select * from p qualify row_number() over (partition by url order by raw_path desc) = 1")
+def served_pages(spark, sf):
+    """K12, S3."""
+    return published(spark, sf, "crawler_source_pages")
+
+
+@query(ENTITIES + """, t as (select conv_id * 3 as id, case when turn % 2 = 0 then 0 else 1 end as kind, lpad(turn::varchar, 6, '0') as n, coalesce(text, '') as text from conversations),
+g as (select id, list(text order by kind, n, text) as texts from t group by 1)
+select e.id, coalesce(len(texts), 0)::int as review_count, sha256(coalesce(array_to_string(texts, ' '), '')) as text_hash, coalesce(list_transform(list_filter(texts[1:3], lambda x: trim(x) <> ''), lambda x: substr(trim(regexp_replace(x, '[\\s\\x0b\\x{85}\\p{Z}]+', ' ', 'g')), 1, 220)), []) as review_snippets from e left join g using (id)""")
+def review_joins(spark, sf):
+    """Reviews before comments."""
+    from waymark.operators.publish import with_reviews
+
+    t = table(spark, sf, "conversations").selectExpr("conv_id * 3 as entity_id", "turn", "lpad(cast(turn as string), 6, '0') as id", "text")
+    rows = with_reviews(entities(spark, sf), t.where("turn % 2 = 0").drop("turn"), t.where("turn % 2 <> 0").drop("turn"))
+    return rows.select("id", "review_count", F.sha2("review_text", 256).alias("text_hash"), "review_snippets")
+
+
+@query("select o_custkey as id, round((sum(case when o_orderkey % 4 <> 0 then o_orderkey % 20 / 4::double end) / count(case when o_orderkey % 4 <> 0 then 1 end))::decimal(18, 9), 2)::double as rating, sum(case when o_orderkey % 3 <> 0 then o_orderkey % 900 end)::double as rating_count from orders group by 1")
+def rating_means(spark, sf):
+    """Mean of the scores there are, sum of the counts there are."""
+    from waymark.operators.publish import rating_of
+
+    r = table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("id")).agg(F.sort_array(F.collect_list(F.expr("named_struct('key', o_orderkey, 'score', if(o_orderkey % 4 = 0, null, o_orderkey % 20 / 4D), 'count', if(o_orderkey % 3 = 0, null, o_orderkey % 900))"))).alias("ratings"))
+    return plainly(r.select("id", *[c.alias(k) for k, c in rating_of(F.col("ratings")).items()]), "id")
+
+
+# Enrichment and evidence ---------------------------------------------------------------------------------------------
+
+
+def described(spark, sf):
+    """Candidates with a text and a description of their own."""
+    c = candidates(spark, sf)
+    return c.withColumns({"text": F.concat_ws(" ", "name", pick(PHRASES, "id")), "description": F.when(F.col("id") % 3 != 0, F.lit("a place"))})
+
+
+_DESCRIBED = CANDIDATES + f""", x as (select *, trim(regexp_replace(name || ' ' || {sql_pick(PHRASES, "id")}, '[\\s\\p{{Z}}]+', ' ', 'g')) as text, case when id % 3 <> 0 then 'a place' end as description from p),
+c as (select *, lower(text) as low, ' ' || regexp_replace(lower(text), '([^a-z0-9])', '\\1\\1', 'g') || ' ' as hay from x),
+d as (select *, {_PLACE} as named, {_tagged(lex.CONTEXTS)} as context_keys, {_tagged(lex.TEXT_BRANCHES)} as branch_ids, {_tagged(lex.SIGNAL_INTENTS)} as intent_tags, list_sort({keys_where({m: any_in("low", [m]) for m in lex.MOODS})}) as atmosphere,
+  list_sort({keys_where({k: any_in("low", [stem]) for k, stem in lex.CROWDS.items()})}) as crowd, {_LINE} as hours, {_ALWAYS} as always, {_LATE} as late, len(regexp_extract_all(low, {quoted(lex.PRICE)}, 1)) > 0 as priced, {any_in("low", lex.FREE_ENTRY)} as free,
+  {_one("low", lex.RATING)} as rated, {_one("low", lex.RATING_COUNT)} as counted, {_EMAILS} as emails, {_PHONES} as phones, {_one("text", lex.POSTAL)} as postal, {_EVENT} as is_event, {_CLUB} as is_club, {_DATES} as dated from c),
+f as (select *, coalesce(nullif(locality, ''), named) as place, list_sort(list_distinct(list_filter([
+  case when name <> '' then 'name' end, case when coalesce(category, '') <> '' then 'category' end, case when description is not null then 'description' end, case when coalesce(nullif(locality, ''), named) is not null then 'locality' end, case when coalesce(address, '') <> '' then 'address' end,
+  case when latitude is not null then 'latitude' end, case when longitude is not null then 'longitude' end, case when website is not null then 'website' end, case when always or hours is not null then 'opening_hours_raw' end, case when priced then 'pricing' end,
+  case when len(emails) > 0 then 'emails' end, case when len(phones) > 0 then 'phone_numbers' end, case when named is not null then 'locality' end, case when postal is not null then 'postal_code' end, case when always then 'open_24_hours' end, case when late then 'late_night' end,
+  case when free then 'free_entry' end, case when rated is not null then 'rating' end, case when counted is not null then 'rating_count' end, case when len(context_keys) > 0 then 'context_keys' end, case when len(branch_ids) > 0 then 'branch_ids' end, case when len(intent_tags) > 0 then 'intent_tags' end,
+  case when is_event and dated is not null then 'event_date_text' end, case when is_event then 'event_details' end, case when is_club then 'community_details' end], lambda v: v is not null))) as fields from d)
+"""
+
+
+@query(_DESCRIBED + f"select id, fields as fields_extracted, list_sort(list_filter({sql_list(dc.IMPORTANT)}, lambda v: not list_contains(fields, v))) as fields_missing, nullif(regexp_replace(lower(name), '[^a-z0-9]+', '', 'g'), '') as name_fingerprint, case when latitude is not null then printf('%.4f,%.4f', latitude, longitude) end as geo_hash, sha256(substr(text, 1, 2000)) as content_fingerprint, nullif(substr(text, 1, 2000), '') as full_text_excerpt from f")
+def enriched_audit(spark, sf):
+    """The enrichment of whole entities, what it found and their fingerprints."""
+    return dc.enriched(described(spark, sf)).select("id", "fields_extracted", "fields_missing", "name_fingerprint", "geo_hash", "content_fingerprint", "full_text_excerpt")
+
+
+_WHY = "list_filter([case when len(context_keys) > 0 then 'Matches ' || replace(lower(array_to_string(context_keys[1:2], ', ')), '_', ' ') end, case when len(crowd) > 0 then 'Popular with ' || array_to_string(crowd[1:2], ', ') end, case when place is not null then 'Located in ' || place end], lambda v: v is not null)"
+
+
+@query(_DESCRIBED + f"select id, name as title, concat_ws(' · ', nullif(category, ''), place) as subtitle, coalesce(place, address) as address_short, coalesce(case when always then '24 hours' end, hours) as timing_label, list_sort(list_distinct(list_concat(intent_tags, atmosphere)))[1:8] as mood_tags, {_WHY} as why_match from f")
+def enriched_cards(spark, sf):
+    e = dc.enriched(described(spark, sf))
+    return e.select("id", *[F.col(f"card.{c}").alias(c) for c in ("title", "subtitle", "address_short", "timing_label", "mood_tags", "why_match")])
+
+
+_BRANCH_OF = f"coalesce(map {{{', '.join(f'{quoted(k)}: {quoted(v)}' for k, v in lex.BRANCH_BY_CATEGORY.items())}}}[lower(coalesce(category, ''))], {first_case([(b, bounded_any(t)) for b, t in lex.BRANCH_TERMS], 'explore')})"
+_ENGINE = keys_where({k: bounded_any(t) for k, t in lex.INTENT_TERMS.items()})
+
+
+@query(_DESCRIBED + f""", b as (select *, {_BRANCH_OF} as branch, {_ENGINE} as own from c), g as (select *, case when len(own) > 0 then own else ['explore'] end as tags from b)
+select id, branch, tags as intent_tags, {keys_where({k: any_in("low", [stem]) for k, stem in lex.ENGINE_CROWDS.items()})} as crowd_type, {keys_where({m: bounded_any([m]) for m in lex.ENGINE_MOODS})} as atmosphere, list_sort(list_distinct(['old', branch, 'places'])) as branch_ids,
+ list_sort(list_distinct(list_concat(list_concat(['old'], tags), [branch, coalesce(nullif(locality, ''), 'Hyderabad')]))) as context_keys from g""")
+def engine_metadata(spark, sf):
+    """J10, J12, E19 with the engine's own rules."""
+    d, old = described(spark, sf), F.array(F.lit("old"))
+    m = dc.engine_metadata(F.col("category"), F.col("locality"), tx.clean(F.col("text")), old, old)
+    return d.select("id", *[c.alias(k) for k, c in m.items()])
+
+
+_CARD_BRANCH = f"coalesce(map {{{', '.join(f'{quoted(k)}: {quoted(v)}' for k, v in lex.APP_BRANCHES.items())}}}[lower(coalesce(category, ''))], {first_case([(b, f'regexp_matches(low, {quoted(p)})') for b, p in lex.APP_BRANCH_WORDS], 'explore')})"
+_EXTRA = "case branch " + " ".join(f"when {quoted(b)} then {sql_list(t)}" for b, t in lex.BRANCH_TAGS.items()) + " end"
+
+
+@query(_DESCRIBED + f", b as (select id, {_CARD_BRANCH} as branch, case when id % 2 = 0 then ['explore'] else ['date', 'friends'] end as old from c), t as (select *, list_sort(list_distinct(list_concat(old, {_EXTRA}))) as tags from b), k as (select *, list_sort(list_distinct(list_append(tags, branch))) as keys from t) select id, branch, tags as intent_tags, keys as context_keys, list_sort(list_distinct([branch, 'places'])) as branch_ids, not (old = tags and old = keys and [branch, 'places'] = list_sort(list_distinct([branch, 'places']))) as changed from k")
+def branch_normalisation(spark, sf):
+    """Branches of served entities and the tags that they bring."""
+    d = described(spark, sf).withColumn("branch", dc.card_branch(F.col("category"), F.lower(tx.clean(F.col("text")))))
+    old = F.when(F.col("id") % 2 == 0, F.array(F.lit("explore"))).otherwise(F.array(F.lit("date"), F.lit("friends")))
+    return d.select("id", "branch", *[c.alias(k) for k, c in dc.branch_normalised(F.col("branch"), old, old, F.array("branch", F.lit("places"))).items()])
+
+
+def evidence(spark, sf):
+    """Events as pages that a search found for candidates: text, url and place in the search, with the fields that the text gives."""
+    e = table(spark, sf, "events").select((F.col("event_id") % 97).cast("bigint").alias("id"), F.col("event_id").alias("position_in_search"), pick(PHRASES, "event_id").alias("phrase"), pick(NAMES, "user_id").alias("said"), pick(SITES, "event_id").alias("url"))
+    e = e.where("url is not null").withColumn("text", F.concat_ws(" ", "said", "phrase", F.when(F.col("position_in_search") % 3 != 0, F.lit("in Hyderabad"))))
+    e = e.withColumns(rf.evidence_fields(F.col("text")))
+    e = e.withColumns({"latitude": F.col("position.lat"), "longitude": F.col("position.lon"), "source": nm.source_name(F.col("url"))}).drop("position")
+    named = e.join(candidates(spark, sf).select("id", F.col("name").alias("entity_name")), "id")
+    filled = F.col("address").isNotNull().cast("int") + (F.col("latitude").isNotNull() & F.col("longitude").isNotNull()).cast("int") + F.col("phone").isNotNull().cast("int") + F.coalesce(F.col("rating") != 0, F.lit(False)).cast("int")
+    hay = F.concat_ws(" ", "text", F.coalesce("address", F.lit("")), "url")
+    return named.withColumn("confidence", F.round(rf.evidence_confidence(F.col("entity_name"), hay, F.col("source"), filled), 6)).drop("entity_name", "said", "phrase")
+
+
+_EVIDENCE = CANDIDATES + f""", v as (select (event_id % 97)::bigint as id, event_id as pos, {sql_pick(NAMES, "user_id")} || ' ' || {sql_pick(PHRASES, "event_id")} || case when event_id % 3 <> 0 then ' in Hyderabad' else '' end as raw, {sql_pick(SITES, "event_id")} as url from events),
+t as (select id, pos, url, trim(regexp_replace(raw, '\\s+', ' ', 'g')) as text, lower(trim(regexp_replace(raw, '\\s+', ' ', 'g'))) as low, raw, {_HOST} as h from v where url is not null),
+x as (select *, {_ADDRESS} as x from t),
+y as (select *, case when {_GOOD_ADDRESS} then x end as address, case when {_LAT} between 17 and 18 and {_LON} between 78 and 79 then {_LAT} end as lat, case when {_LAT} between 17 and 18 and {_LON} between 78 and 79 then {_LON} end as lon, try_cast({_one("low", lex.EVIDENCE_RATING)} as double) as rating,
+  {_one("text", chr(40) + "?:" + chr(92) + "+91[-" + chr(92) + "s]?)?[6-9][0-9]{9}", 0)} as phone, {_number(_one("low", lex.RATING_COUNT))} as rating_count, {_one("low", lex.EVIDENCE_HOURS)} as hours, '₹' || {_one("low", lex.EVIDENCE_PRICE)} as price, {keys_where({a: any_in("low", [a]) for a in lex.EVIDENCE_AMENITIES})} as amenities,
+  {keys_where({a: any_in("low", [a]) for a in lex.CUISINES})} as cuisines, case {" ".join(f"when contains(h, {quoted(b)}) then {quoted(b)}" for b in lex.BRANDS)} when h = '' then 'web' else split_part(h, '.', 1) end as source from x),
+n as (select y.*, p.name, {_own(lex.EVIDENCE_STOPS)} as own, lower(raw || ' ' || coalesce(y.address, '') || ' ' || url) as hay from y join p using (id)),
+z as (select *, least(1.0::double, len(list_filter(own, lambda w: contains(hay, w))) / greatest(1, len(own))::double * 0.55::double + ((address is not null)::int + (lat is not null)::int + (phone is not null)::int + (coalesce(rating, 0) <> 0)::int) * 0.12::double + case when source in ({", ".join(map(quoted, lex.TRUSTED_SITES))}) then 0.1::double else 0.0::double end) as score from n),
+w as (select *, case when (contains(hay, 'hyderabad') or contains(hay, 'telangana')) and len(own) > 0 and not (regexp_matches(lower(trim(name)), {quoted(lex.EVENT_NAME)}) or lower(trim(name)) in ({", ".join(map(quoted, lex.EVENT_NAMES))})) and score >= 0.45::double then round(score, 6) end as confidence from z)
+"""
+
+
+@query(_EVIDENCE + "select pos as position_in_search, id, source, confidence from w")
+def evidence_matches(spark, sf):
+    """P25 over the fields of E17."""
+    return evidence(spark, sf).select("position_in_search", "id", "source", "confidence")
+
+
+_BEST = _EVIDENCE + f""", four as (select * from w where confidence is not null qualify row_number() over (partition by id order by pos, url) <= 4), ranked as (select *, row_number() over (partition by id order by confidence desc, pos, url) as rank from four),
+m as (select p.*, b.text as said, b.address as b_address, b.lat as b_lat, b.lon as b_lon, b.rating as b_rating, b.rating_count as b_count, b.hours, b.price, b.phone, coalesce(b.amenities, []) as b_amenities, list_transform(coalesce(b.cuisines, []), lambda c: regexp_replace(c, '[^a-z0-9]+', '_', 'g')) as slugs, b.id is not null as touched,
+  (select count(*) from four f where f.id = p.id) as n from p left join (select * from ranked where rank = 1) b on b.id = p.id),
+u as (select *, coalesce(nullif(address, ''), b_address) as addr from m)
+"""
+_TOLD = "coalesce(" + ", ".join(f"case when contains(lower(coalesce(addr, said, '')), {quoted(x)}) then {quoted(x.title())} end" for x in lex.EVIDENCE_LOCALITIES) + ", case when contains(lower(coalesce(addr, said, '')), 'hyderabad') then 'Hyderabad' end)"
+
+
+@query(_BEST + f"""select id, addr as address, case when latitude is null and b_lat is not null then b_lat else latitude end as latitude, case when latitude is null and b_lat is not null then b_lon else longitude end as longitude,
+ case when latitude is null and b_lat is not null then 'source_page_coordinates' else geo_precision end as geo_precision, case when touched then coalesce(case when lower(locality) <> 'hyderabad' then nullif(locality, '') end, {_TOLD}, 'Hyderabad') else locality end as locality,
+ list_filter([phone], lambda v: v is not null) as phone_numbers, hours as opening_hours_raw, price as price_level, b_rating as rating, case when b_rating is not null then b_count end::double as rating_count, list_sort(b_amenities) as amenities, list_sort(slugs) as subcategories, n as evidence_count from u""")
+def evidence_merges(spark, sf):
+    """The best evidence fills what candidates lack."""
+    none = F.array().cast("array<string>")
+    c = candidates(spark, sf).withColumns({"phone_numbers": none, "opening_hours_raw": F.lit(None).cast("string"), "price_level": F.lit(None).cast("string"), "rating": F.lit(None).cast("double"), "rating_count": F.lit(None).cast("bigint"), "amenities": none, "subcategories": none, "intent_tags": none})
+    rows = rf.merged_evidence(c, rf.best_evidence(evidence(spark, sf)))
+    return plainly(rows.select("id", "address", "latitude", "longitude", "geo_precision", "locality", "phone_numbers", "opening_hours_raw", "price_level", "rating", "rating_count", "amenities", "subcategories", "evidence_count"), "id", "evidence_count")
+
+
+_IMAGES = ["http://i.example/blue-cup-%20cafe.jpg", "http://i.example/logo.png", "data:x", "https://i.example/old%20fort.png", "http://i.example/icon-fort.gif", "http://i.example/plain.jpg", "http://i.example/temple.jpg"]
+
+
+@query(CANDIDATES + f""", i as (select (o_orderkey % 211)::bigint as id, {sql_pick(_IMAGES, "o_orderkey")} || case when o_orderkey % 5 = 0 then '' else '?' || (o_orderkey % 5)::varchar end as url, max(o_orderkey % 11 / 10::double) as confidence from orders group by 1, 2),
+s as (select i.*, {_own(lex.EVIDENCE_STOPS)} as own, replace(lower(url), '%20', ' ') as low from i join p using (id) where regexp_matches(url, '^https?://') and not (id % 4 = 0 and url = {quoted(_IMAGES[0])})),
+r as (select id, url, id % 4 = 0 as had, 0.35::double + confidence * 0.4::double + case when len(list_filter(own, lambda w: contains(low, w))) > 0 then 0.25::double else 0.0::double end - case when {any_in("low", lex.POOR_IMAGES)} then 0.4::double else 0.0::double end as score from s),
+k as (select *, row_number() over (partition by id order by score desc, url desc) as place from r)
+select id, place::int as rank, url, round(least(1.0::double, score), 3) as score, place = 1 and not had as is_primary from k where place <= 4 and score >= 0.45::double""")
+def evidence_images(spark, sf):
+    """The best pictures of each entity."""
+    c = candidates(spark, sf).select("id", "name", F.when(F.col("id") % 4 == 0, F.array(F.lit(_IMAGES[0]))).otherwise(F.array().cast("array<string>")).alias("media_urls"))
+    o = table(spark, sf, "orders").select((F.col("o_orderkey") % 211).cast("bigint").alias("id"), F.concat(pick(_IMAGES, "o_orderkey"), F.when(F.col("o_orderkey") % 5 == 0, "").otherwise(F.concat(F.lit("?"), (F.col("o_orderkey") % 5).cast("string")))).alias("url"), (F.col("o_orderkey") % 11 / F.lit(10.0)).alias("confidence"))
+    return rf.best_images(c, o.groupBy("id", "url").agg(F.max("confidence").alias("confidence")))

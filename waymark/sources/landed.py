@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from waymark.functions import lexicons as lex
 from waymark.functions.text import clean
+from waymark.operators.search import nearest_seed
 from waymark.operators.tables import keep_first
 
 PAGE = "description string, raw_path string, search_query string, search_rank int, source string, source_type string, title string, url string, is_source_page boolean, metadata map<string,string>"
@@ -19,9 +21,8 @@ REGISTRY = [
     ("youtube", "official_api_required", False), ("facebook", "official_api_required", False), ("instagram", "official_api_required", False), ("google_maps", "official_api_required", False),
     ("tripadvisor", "official_api_required", False), ("zomato", "official_api_required", False), ("swiggy", "official_api_required", False), ("bookmyshow", "official_api_required", False),
     ("district", "official_api_required", False), ("paytm_insider", "official_api_required", False), ("meetup", "official_api_required", False), ("eventbrite", "official_api_required", False),
+    ("news_blogs_tourism_government", "html_allowed", False),
 ]
-# Map tags whose places are not served, looked for under amenity, highway, shop and healthcare.
-UNSERVED = ["bank", "bus_station", "clinic", "crossing", "hospital", "kindergarten", "parking", "path", "police", "primary", "residential", "road", "secondary", "service", "tertiary", "trunk", "bus_stop"]
 
 
 def scan(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -68,20 +69,83 @@ def search_hits(payloads: DataFrame, priority: float = 0.8) -> DataFrame:
     return each.select("query", F.coalesce("hit.url", "hit.link").alias("url"), clean(F.coalesce("hit.title", F.lit(""))).alias("title"), "rank", F.round(decayed, 4).alias("priority")).where("url is not null")
 
 
-def map_entities(elements: DataFrame, categories: dict[str, str]) -> DataFrame:
-    """Map elements as entities, or with the first reason that rejects them."""
-    t = F.col("tags")
-    lat, lon = F.coalesce("lat", "center.lat"), F.coalesce("lon", "center.lon")
-    name = F.coalesce(t["name"], t["brand"], t["operator"])
-    keys = F.array_compact(F.array(t["amenity"], t["highway"], t["shop"], t["healthcare"]))
-    mapped = F.coalesce(*[F.when(F.array_contains(F.map_values(t), tag), F.lit(cat)) for tag, cat in categories.items()])
-    reason = (
-        F.when(t.isNull() | (F.size(t) == 0), "missing_tags").when(name.isNull() | (name == ""), "missing_name").when(F.arrays_overlap(keys, F.array(*map(F.lit, UNSERVED))), "non_serving_category")
-        .when(lat.isNull() | lon.isNull(), "missing_coordinates").when(~lat.between(-90, 90) | ~lon.between(-180, 180), "invalid_coordinates").when(mapped.isNull(), "unmapped_category")
+def map_category(tags: Column, group: Column) -> Column:
+    """Category by the first key with a known value; any historic or sport value has one too; else the group's."""
+    table = F.create_map(*[F.lit(x) for pair in lex.MAP_CATEGORIES.items() for x in pair])
+    rules = []
+    for key in lex.MAP_KEYS:
+        value = F.nullif(F.lower(tags[key]), F.lit(""))
+        rules.append(F.try_element_at(table, value))
+        if key in ("historic", "sport"):
+            rules.append(F.when(value.isNotNull(), {"historic": "historic", "sport": "sports_venue"}[key]))
+    return F.coalesce(*rules, F.when(group == "community_ngo", "community_space"), group)
+
+
+def map_name(tags: Column) -> Column:
+    """The first of name, brand, official name and operator with three characters or more."""
+    trimmed = [F.trim(tags[k]) for k in ("name", "brand", "official_name", "operator")]
+    return F.coalesce(*[F.when(F.length(v) >= 3, clean(v)) for v in trimmed])
+
+
+def map_reject(tags: Column, lat: Column, lon: Column, category: Column) -> Column:
+    """The first reason that rejects a map element, or null."""
+    kinds = F.transform(F.array_compact(F.array(*[tags[k] for k in ("amenity", "highway", "shop", "healthcare")])), F.lower)
+    served = sorted({*lex.MAP_CATEGORIES.values(), *lex.MAP_EXTRA})
+    return (
+        F.when(tags.isNull() | (F.size(tags) == 0), "missing_tags").when(map_name(tags).isNull(), "missing_name").when(F.arrays_overlap(kinds, F.array(*map(F.lit, lex.UNSERVED_TAGS))), "non_serving_category")
+        .when(lat.isNull() | lon.isNull(), "missing_coordinates").when(F.isnan(lat) | F.isnan(lon), "invalid_coordinates").when(~category.isin(served), "unmapped_category")
     )
-    address = F.nullif(F.concat_ws(", ", t["addr:housenumber"], t["addr:street"], t["addr:suburb"], t["addr:city"], t["addr:postcode"]), F.lit(""))
-    contact = F.coalesce(t["phone"], t["contact:phone"])
-    return elements.select(F.col("id").alias("element_id"), name.alias("name"), mapped.alias("category"), lat.alias("latitude"), lon.alias("longitude"), address.alias("address"), contact.alias("phone"), F.coalesce(t["website"], t["contact:website"]).alias("website"), reason.alias("reject_reason"))
+
+
+def split_values(value: Column, pattern: str) -> Column:
+    return F.filter(F.transform(F.split(F.coalesce(value, F.lit("")), pattern), lambda v: F.trim(v)), lambda v: v != "")
+
+
+def map_fields(tags: Column, name: Column, category: Column, locality: Column) -> dict[str, Column]:
+    """The fields that tags give an entity."""
+    some = lambda k: F.nullif(F.trim(tags[k]), F.lit(""))
+    listed = lambda keys: F.array_compact(F.array(*[F.when(some(k).isNotNull(), F.concat(F.lit(f"{k}:"), tags[k])) for k in keys]))
+    parts = F.concat_ws(", ", some("addr:housenumber"), some("addr:street"), some("addr:neighbourhood"), some("addr:suburb"), F.coalesce(some("addr:city"), F.lit("Hyderabad")), some("addr:postcode"))
+    aliases = F.array_sort(F.array_distinct(F.flatten(F.array(*[split_values(tags[k], r"[;|]") for k in lex.MAP_ALIASES]))))
+    cuisines = F.transform(split_values(tags["cuisine"], "[;,]"), lambda c: F.concat(F.lit("cuisine:"), c))
+    crowd = [F.when(category.isin(kinds), F.array(*map(F.lit, people))).otherwise(F.array().cast("array<string>")) for kinds, people in lex.MAP_AUDIENCE]
+    reach = F.when(F.lower(tags["wheelchair"]).isin("yes", "limited"), F.array(F.lit("accessibility"))).otherwise(F.array().cast("array<string>"))
+    amenities = F.array_sort(F.array_distinct(F.concat(listed(lex.MAP_AMENITIES), cuisines)))
+    base = F.coalesce(*[F.when(category == c, F.array(*map(F.lit, t))) for c, t in lex.MAP_TAGS.items()], F.array(F.lit("explore"), F.lit("local")))
+    online = F.lower(F.array_join(amenities, " ")).rlike("internet_access|wifi")
+    always = F.contains(F.coalesce(tags["opening_hours"], F.lit("")), F.lit("24/7"))
+    extra = lambda c, t: F.when(c, F.array(*map(F.lit, t))).otherwise(F.array().cast("array<string>"))
+    own = F.array_sort(F.array_distinct(F.concat(base, extra(online, ["wifi", "work"]), extra(always, ["late_night", "after_midnight"]))))
+    wiki, title = some("wikipedia"), lambda t: F.replace(F.url_encode(F.replace(t, F.lit(" "), F.lit("_"))), F.lit("+"), F.lit("%20"))
+    language = F.when(F.contains(wiki, F.lit(":")), F.substring_index(wiki, ":", 1)).otherwise("en")
+    page = F.when(F.contains(wiki, F.lit(":")), F.expr("null").cast("string")).otherwise(wiki)
+    page = F.coalesce(page, F.regexp_extract(wiki, r"^[^:]*:(.*)$", 1))
+    commons = some("wikimedia_commons")
+    file = F.when(F.lower(commons).startswith("file:"), F.concat(F.lit("https://commons.wikimedia.org/wiki/Special:FilePath/"), F.replace(F.url_encode(F.trim(F.regexp_extract(commons, r"^[^:]*:(.*)$", 1))), F.lit("+"), F.lit("%20")), F.lit("?width=1280")))
+    image = F.when(some("image").rlike("^https?://"), some("image"))
+    phone = F.coalesce(some("contact:phone"), some("phone"))
+    return {
+        "address": F.coalesce(F.trim(some("addr:full")), F.nullif(parts, F.lit("")), F.concat_ws(", ", name, locality, F.lit("Hyderabad"), F.lit("Telangana"))), "aliases": aliases, "subcategories": listed(lex.MAP_SUBCATEGORIES), "amenities": amenities,
+        "audience": F.array_sort(F.array_distinct(F.concat(*crowd, reach))), "phone": phone, "website": F.coalesce(some("website"), some("contact:website")), "wikipedia_url": F.concat(F.lit("https://"), language, F.lit(".wikipedia.org/wiki/"), title(page)),
+        "media_urls": F.array_distinct(F.array_compact(F.array(image, F.coalesce(F.when(commons.rlike("^https?://"), commons), file)))), "social": F.array_compact(F.array(*[F.when(some(k).isNotNull(), F.concat(F.lit(k.replace("contact:", "") + "="), tags[k])) for k in ("facebook", "instagram", "twitter", "contact:facebook", "contact:instagram")])),
+        "pricing": F.array_compact(F.array(*[F.when(some(k).isNotNull(), F.concat(F.lit(f"{n}="), tags[k])) for k, n in (("fee", "fee"), ("payment:cash", "cash"), ("payment:cards", "cards"))])),
+        "open_24_hours": F.coalesce(F.trim(tags["opening_hours"]) == "24/7", F.lit(False)), "intent_tags": own, "context_keys": F.array_sort(F.array_distinct(F.concat(F.array(category, locality), own))),
+        "branch_ids": F.array_sort(F.array_distinct(F.array(category, F.lit("places"), F.lit("hyderabad")))),
+    }
+
+
+def map_entities(elements: DataFrame, group: str = "place", seeds: list[tuple[str, float, float]] | None = None) -> DataFrame:
+    """Map elements as entities, or with the first reason that rejects them. group: the category of elements whose tags have none."""
+    tags = F.col("tags")
+    e = elements.withColumns({"lat": F.coalesce("lat", "center.lat"), "lon": F.coalesce("lon", "center.lon")})
+    told = [F.nullif(F.trim(tags[k]), F.lit("")) for k in ("addr:suburb", "addr:neighbourhood", "addr:quarter", "addr:city", "is_in:suburb")]
+    own = F.coalesce(*[F.when(~F.lower(t).isin("hyderabad", "secunderabad"), t) for t in told])
+    near = nearest_seed(e.withColumnsRenamed({"lat": "latitude", "lon": "longitude"}), seeds or lex.SEEDS)
+    placed = F.col("latitude").isNotNull() & F.col("longitude").isNotNull()
+    rows = near.withColumns({"name": map_name(tags), "category": map_category(tags, F.lit(group)), "locality": F.when(placed, F.coalesce(own, "seed.n"))}).drop("seed")
+    rows = rows.withColumn("reject_reason", map_reject(tags, F.col("latitude"), F.col("longitude"), F.col("category")))
+    fields = map_fields(tags, F.col("name"), F.col("category"), F.col("locality"))
+    return rows.select(F.col("id").alias("element_id"), "name", "category", "latitude", "longitude", "locality", *[c.alias(k) for k, c in fields.items()], "reject_reason")
 
 
 def geocoded(payloads: DataFrame, accepted: list[str]) -> DataFrame:
