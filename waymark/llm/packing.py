@@ -18,7 +18,7 @@ PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_toke
 PACKED = f"{PIECES}, sequence_id bigint, offset bigint"
 #: Pieces expected in a group; a group is packed in one task.
 GROUP = 20_000
-BATCH = 6 << 20
+BATCH = 4 << 20
 
 
 class Tournament:

@@ -26,7 +26,7 @@ MATCHES = "doc_id bigint, start bigint, of_doc bigint, of_start bigint"
 REPEATS = "array<struct<start: bigint, words: bigint, of_doc: bigint, of_start: bigint>>"
 #: Kinds of runs of windows: those that start earlier elsewhere, those to be extended word by word, and seeds.
 REPEATED, OPEN, SEED = 0, 1, 2
-BATCH = 6 << 20
+BATCH = 4 << 20
 
 
 class Sequence:

@@ -21,6 +21,8 @@ from waymark.llm.arrowtext import IS_SPACE, LOWER, distinct_spans, flat, ragged
 #: Units kept by a worker; past it those met least often go, which changes no result.
 KEPT_UNITS = 500_000
 KEPT_IDS = 8_000_000
+#: New units that are encoded at a time: the arrays of their merges are as large as the list is long.
+LEARNT = 20_000
 #: Text of which both byte-level libraries are known to see the same letters, numbers and white space.
 LATIN = re.compile("[\x00-\x7f\u00c0-\u024f]*")
 
@@ -305,7 +307,8 @@ class Encoder:
         of = np.array([met(u, -1) for u in forms], np.int64)
         if len(new := np.flatnonzero(of < 0)):
             units = [forms[i] for i in new]
-            self.learn(units)
+            for at in range(0, len(units), LEARNT):
+                self.learn(units[at : at + LEARNT])
             of[new] = [self.slots[u] for u in units]
         self.hits[of] += np.bincount(index, minlength=len(forms))
         return bounds, of[index]
