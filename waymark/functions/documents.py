@@ -168,11 +168,35 @@ def fingerprints(name: Column, address: Column, website: Column, phones: Column,
     }
 
 
+#: Columns whose values are united with those that an entity has; columns that the text alone tells.
+UNITED = ("context_keys", "branch_ids", "intent_tags", "negative_intent_tags", "atmosphere", "crowd_type", "amenities")
+ALONE = ("hours_line", "is_event", "is_community", "noise_level", *[f"{k}_friendly" for k in lex.FRIENDLY])
+
+
+def beside(entities: DataFrame, out: Named) -> Named:
+    """New values where the entities have none of these columns' values yet, united sets, and the larger of two scores."""
+    kinds, mixed = dict(entities.dtypes), {}
+    for k, v in out.items():
+        if k not in kinds or k in ALONE:
+            mixed[k] = v
+        elif k in UNITED:
+            mixed[k] = united(F.col(k), v)
+        elif kinds[k].startswith("array"):
+            mixed[k] = F.when(F.size(F.coalesce(k, none())) > 0, F.col(k)).otherwise(v)
+        elif kinds[k].startswith("map"):
+            had = F.coalesce(k, F.create_map().cast("map<string,double>"))
+            mixed[k] = F.map_zip_with(had, v, lambda _, a, b: F.greatest(a, b))
+        else:
+            mixed[k] = F.coalesce(F.nullif(k, F.lit("")) if kinds[k] == "string" else F.col(k), v)
+    return mixed
+
+
 def enriched(entities: DataFrame) -> DataFrame:
     """Entities with what their text column says. Fixed order: contact, place, hours, prices, rating, tags, mood, amenities, events, then
     what is derived. name, category, description, locality, address, latitude, longitude and website are read; where locality is null it is filled.
 
-    Null text: as an empty one. Columns of the results' names are replaced; others stay.
+    Null text: as an empty one. Values that an entity has in columns of the results' names stay, sets are united, and what tells of
+    the text alone is replaced; other columns stay.
     """
     text = clean(F.coalesce("text", F.lit("")))
     given = {c: F.col(c) for c in ("name", "category", "description", "locality", "address", "latitude", "longitude", "website")}
@@ -185,8 +209,9 @@ def enriched(entities: DataFrame) -> DataFrame:
     out["summary"] = F.coalesce(F.substring(clean(first), 1, 500), F.nullif(F.substring(text, 1, 500), F.lit("")))
     out["full_text_excerpt"] = F.nullif(F.substring(text, 1, 2000), F.lit(""))
     out["suitability_scores"] = suitability_scores(text)
+    out = beside(entities, out)
     # The longer expressions read the shorter ones as columns of the table before, so each is computed once.
-    step = entities.withColumns({**out, "named_locality": named, "text": text})
+    step = entities.withColumns({**out, "named_locality": named, "text": text})  # locality reads the column of before
     e = {**{c: F.col(c) for c in step.columns}}
     derived = fingerprints(e["name"], e["address"], e["website"], e["phone_numbers"], e["latitude"], e["longitude"], e["text"])
     derived |= {"card": card(e), "event_topics": F.when(e["is_event"], united(e["intent_tags"], e["branch_ids"])), "event_audience": F.when(e["is_event"], e["crowd_type"]), "community_topics": F.when(e["is_community"], e["intent_tags"])}

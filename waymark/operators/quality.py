@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from waymark.functions import lexicons as lex
 from waymark.functions.text import is_blank
@@ -80,16 +79,3 @@ def gap_candidates(rows: DataFrame, sources: tuple[tuple[str, float], ...] = (("
     """id, query, source and priority: each of the rows' queries for each source that is asked."""
     asked = F.array(*[F.struct(F.lit(s).alias("source"), F.lit(p).alias("priority")) for s, p in sources])
     return rows.select("id", F.explode("queries").alias("query")).select("id", "query", F.explode(asked).alias("s")).select("id", "query", "s.*")
-
-
-def capped_candidates(rows: DataFrame, most: int) -> DataFrame:
-    """Rows (id, queries) in the order of ids up to and with the one whose candidates reach 3 * most: the cap is looked at after each row.
-
-    Sizes before a row are summed by ranges of ids: a sum for each range, then a running sum within it, so no task holds all rows.
-    """
-    sized = rows.withColumn("__size", F.size("queries")).repartitionByRange("id").withColumn("__part", F.spark_partition_id())
-    own = Window.partitionBy("__part").orderBy("id")
-    ran = sized.withColumn("__run", F.sum("__size").over(own) - F.col("__size"))
-    ends = sized.groupBy("__part").agg(F.sum("__size").alias("total"))  # one row for each partition
-    before = ends.alias("a").join(F.broadcast(ends.alias("b")), F.col("b.__part") < F.col("a.__part"), "left").groupBy(F.col("a.__part").alias("__part")).agg(F.coalesce(F.sum("b.total"), F.lit(0)).alias("__before"))
-    return ran.join(F.broadcast(before), "__part").where(F.col("__run") + F.col("__before") < 3 * most).drop("__size", "__part", "__run", "__before")

@@ -22,10 +22,15 @@ class Query:
     centre: tuple[float, float] | None
 
 
+def moods_of(terms: tuple[str, ...]) -> tuple[str, ...]:
+    """Moods that terms ask for: by name, or by a word or the start of one of the mood's terms."""
+    return tuple(sorted(m for m, words in lex.MOOD_TERMS.items() if any(t == m or any(t in k.split() or k.startswith(t) for k in words) for t in terms)))
+
+
 def compiled(text: str, lat: float | None = None, lon: float | None = None) -> Query:
     raw = re.findall("[a-z0-9]+", text.lower())
     terms = tuple(t for t in (lex.QUERY_ALIASES.get(w, w) for w in raw) if len(t) > 2 and t not in lex.QUERY_STOPS)
-    moods = tuple(sorted(m for m, words in lex.MOOD_TERMS.items() if any(t == m or any(t in k.split() or k.startswith(t) for k in words) for t in terms)))
+    moods = moods_of(terms)
     hint = None
     if near := re.search(r"\bnear\s+([a-z][a-z\s-]{2,40})", text.lower()):
         words = [w for w in re.findall("[a-z0-9]+", re.split(r"\b(?:for|with|and|that|which|where)\b", near[1])[0]) if w not in ("place", "places")]
@@ -46,21 +51,51 @@ def hinted(query: Query, entities: DataFrame) -> Query:
     return replace(query, hint=hint, centre=query.centre or lex.CENTRES.get(hint or ""))
 
 
-def cards(entities: DataFrame, query: Query) -> DataFrame:
+SEARCHED = ("name", "category", "subcategories", "locality", "address", "description", "amenities", "intent_tags", "atmosphere", "topics", "review_text")
+WALKS = ["park", "garden", "water", "viewpoint", "fitness_station"]
+
+
+def whole_terms(entities: DataFrame, query: Query) -> DataFrame:
+    """matched_terms and moods by all that entities say: all searched columns that they have, their own tags and their category.
+
+    A term is matched by the text, or by a mood that it asks for or names and that the entity has.
+    """
+    kinds = dict(entities.dtypes)
+    hay = F.lower(F.concat_ws(" ", *[F.array_join(c, " ") if kinds[c].startswith("array") else F.col(c) for c in SEARCHED if c in kinds]))
+    none = F.array().cast("array<string>")
+    own = F.concat(*[F.coalesce(c, none) for c in ("intent_tags", "atmosphere") if c in kinds], none)
+    told = F.array_compact(F.array(*[F.when(hay.rlike("|".join(bounded(k) for k in words)), F.lit(m)) for m, words in lex.MOOD_TERMS.items()]))
+    walks = F.when(F.col("category").isin(WALKS), F.array(F.lit("outdoor"), F.lit("good_for_walking"))).otherwise(none)
+    out = entities.withColumns({"__hay": hay, "mood_tags": F.array_sort(F.array_distinct(F.concat(own, told, walks)))})
+
+    def met(term: str):
+        moods = [m for m in {*moods_of((term,)), term}]
+        return F.col("__hay").rlike(bounded(term)) | F.arrays_overlap("mood_tags", F.array(*map(F.lit, moods)))
+
+    terms = sorted(set(query.terms))
+    matched = F.array_compact(F.array(*[F.when(met(t), F.lit(t)) for t in terms])) if terms else none
+    asked = F.array(*map(F.lit, query.moods)) if query.moods else none
+    return out.withColumns({"matched_terms": matched, "moods": F.array_sort(F.array_intersect("mood_tags", asked))}).drop("__hay")
+
+
+def cards(entities: DataFrame, query: Query, whole: bool = False) -> DataFrame:
     """Entities that match the query, with matched terms, distance and relevance.
 
     suitability_scores, a map that entities may have, counts with the sum over the intent tags; a tag without a score counts 0.
+    whole: terms, moods and the hint by all that entities say (whole_terms); else by six columns and the text alone.
     """
     hay = F.lower(F.concat_ws(" ", "name", "category", "locality", "address", "description", F.array_join("intent_tags", " ")))
     terms = F.array(*map(F.lit, query.terms)) if query.terms else F.array().cast("array<string>")
     out = entities.withColumn("matched_terms", F.array_compact(F.array(*[F.when(hay.rlike(bounded(t)), F.lit(t)) for t in dict.fromkeys(query.terms)])) if query.terms else terms)
     mood = lambda m: hay.rlike("|".join(bounded(k) for k in lex.MOOD_TERMS[m]))
     out = out.withColumn("moods", F.array_compact(F.array(*[F.when(mood(m), F.lit(m)) for m in query.moods])) if query.moods else F.array().cast("array<string>"))
+    out = whole_terms(entities, query) if whole else out
     d = F.lit(None).cast("double")
     if query.centre:
         d = F.round(haversine_m(F.lit(query.centre[0]), F.lit(query.centre[1]), F.col("latitude"), F.col("longitude"), 6_371_008.8) / 1000, 2)
     out = out.withColumn("distance_km", d)
-    at_hint = F.lower(F.concat_ws(" ", "name", "locality", "address")).contains(query.hint) if query.hint else F.lit(False)
+    where = F.lower(F.concat_ws(" ", "name", "locality", "address"))
+    at_hint = (where.rlike(bounded(query.hint)) if whole else where.contains(query.hint)) if query.hint else F.lit(False)
     if query.terms or query.moods:
         out = out.where((F.size("matched_terms") > 0) | (F.size("moods") > 0) | (F.lit(bool(query.hint)) & F.coalesce(F.col("distance_km") <= 8, F.lit(False))))
         near = F.coalesce(F.greatest(F.lit(0.0), 2.5 - 0.25 * F.least(F.col("distance_km"), F.lit(10.0))), F.lit(0.0))

@@ -290,6 +290,26 @@ def search_cards_suited(spark, sf):
     return se.top(se.cards(e, se.hinted(ASKED, e)), 10).select("id", "name", "matched_terms", "moods", "distance_km", "relevance_score")
 
 
+_OWN_MOODS = f"""list_sort(list_distinct(list_concat(intent_tags, list_filter([{", ".join(f"case when {_HIT(words)} > 0 then '{m}' end" for m, words in lex.MOOD_TERMS.items())}], lambda x: x is not null))))"""
+
+
+def _met(term: str) -> str:
+    moods = ", ".join(f"'{m}'" for m in {*se.moods_of((term,)), term})
+    return f"case when {_HIT([term])} > 0 or list_has_any(mood_tags, [{moods}]) then '{term}' end"
+
+
+@query(_CARDS + f""", t as (select *, {_OWN_MOODS} as mood_tags from c), y as (select *, list_filter([{", ".join(_met(t) for t in sorted(set(ASKED.terms)))}], lambda x: x is not null) as met, list_sort(list_intersect(mood_tags, [{", ".join(f"'{m}'" for m in ASKED.moods)}])) as felt,
+ regexp_matches(lower(concat_ws(' ', name, locality, address)), '(^|[^a-z0-9])begumpet($|[^a-z0-9])') as at_hint from t),
+w as (select *, round((0.9::double * len(met) + 1.4::double * len(felt) + ({_SUM}) + case when at_hint then 3 else 0 end + coalesce(greatest(0, 2.5::double - 0.25::double * least(distance_km, 10)), 0)
+ + case when latitude is null then 0 else 0.5::double end + case when address is null then 0 else 0.25::double end + case when image_id is null then 0 else 0.25::double end)::decimal(18, 9), 3)::double as score from y where len(met) > 0 or len(felt) > 0 or coalesce(distance_km <= 8, false))
+select id, name, met as matched_terms, felt as moods, mood_tags, distance_km, score as relevance_score from w order by score desc, coalesce(distance_km, 9999), id limit 10""")
+def search_cards_whole(spark, sf):
+    """Terms, moods and the hint by all that entities say, with their suitability."""
+    scores = F.create_map(*[x for t in _SUITED for x in (F.lit(t), tx.keyword_score(F.col("description"), lex.INTENT_TERMS[t]))])
+    e = entities(spark, sf).withColumn("suitability_scores", scores)
+    return se.top(se.cards(e, se.hinted(ASKED, e), whole=True), 10).select("id", "name", "matched_terms", "moods", "mood_tags", "distance_km", "relevance_score")
+
+
 @query(_CARDS + "select count(*) as total_cards from s")
 def search_total(spark, sf):
     return se.cards(entities(spark, sf), ASKED).agg(F.count("*").alias("total_cards"))
@@ -314,7 +334,7 @@ def branches(spark, sf):
 
 @query(_BRANCH + " select id, branch, row_number() over (partition by branch order by c_acctbal desc, lower(name) desc, id)::int as turn, (1 + id % 4)::bigint as group_order from b")
 def branch_round_robin(spark, sf):
-    return tb.round_robin(branches(spark, sf), "branch", lex.BRANCHES, [F.desc("c_acctbal"), F.desc(F.lower("name")), F.col("id")]).select("id", "branch", "turn", "group_order")
+    return tb.round_robin(branches(spark, sf), "branch", lex.BRANCHES, [F.desc("c_acctbal"), F.desc(F.lower("name")), F.col("id")], -F.col("c_acctbal")).select("id", "branch", "turn", "group_order")
 
 
 @query(_BRANCH + " select branch, count(*) as n from b group by 1")

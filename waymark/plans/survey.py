@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from waymark.functions import documents as dc
 from waymark.functions import lexicons as lex
@@ -12,6 +11,7 @@ from waymark.functions import pages as pg
 from waymark.functions import text as tx
 from waymark.operators import quality as ql
 from waymark.operators import refine as rf
+from waymark.operators import tables as tb
 from waymark.plans.fixtures import CANDIDATES, MAP_ELEMENTS, NAMES, PHRASES, SITES, TEXTS, WEB_PAGES, any_in, any_match, bounded_any, candidates, chain, first_case, keys_where, map_elements, pick, quoted, served, sidecars, sql_list, sql_pick, texts, web_pages
 from waymark.plans.registry import query
 from waymark.plans.views import ENTITIES, entities, metres, table
@@ -713,3 +713,95 @@ def evidence_images(spark, sf):
     c = candidates(spark, sf).select("id", "name", F.when(F.col("id") % 4 == 0, F.array(F.lit(_IMAGES[0]))).otherwise(F.array().cast("array<string>")).alias("media_urls"))
     o = table(spark, sf, "orders").select((F.col("o_orderkey") % 211).cast("bigint").alias("id"), F.concat(pick(_IMAGES, "o_orderkey"), F.when(F.col("o_orderkey") % 5 == 0, "").otherwise(F.concat(F.lit("?"), (F.col("o_orderkey") % 5).cast("string")))).alias("url"), (F.col("o_orderkey") % 11 / F.lit(10.0)).alias("confidence"))
     return rf.best_images(c, o.groupBy("id", "url").agg(F.max("confidence").alias("confidence")))
+
+
+# Frontier, mentions and merges ---------------------------------------------------------------------------------------
+
+_SEEDS = [("query", "openstreetmap", c, 1.0) for c in lex.SEED_CATEGORIES] + [("query", x, "Hyderabad", 0.9) for x in ("wikipedia", "wikidata")] + [("query", "google_search", q, 0.85) for q in lex.SEED_QUERIES]
+
+
+@query("select kind, source, value, priority, 0 as depth, 0 as retry_count, seq::bigint as seq from (values " + ", ".join(f"({quoted(k)}, {quoted(x)}, {quoted(v)}, {p}::double, {i + 1})" for i, (k, x, v, p) in enumerate(_SEEDS)) + ") s(kind, source, value, priority, seq)")
+def seed_frontier(spark, sf):
+    """S28."""
+    from waymark.streaming.batches import first_frontier
+
+    return first_frontier(spark)
+
+
+_FROM = ["openstreetmap", "web_page", "firecrawl_page", "reddit", "google_search", "wikipedia", "firecrawl_search", None]
+
+
+@query(f"with f as (select event_id as seq, case when event_type = 'click' then 'source_url' else 'query' end as kind, {sql_pick(_FROM, 'event_id')} as source from events) select seq, case when (kind = 'source_url') = (source in ('web_page', 'firecrawl_page')) and source in ({', '.join(map(quoted, tb.ADAPTERS))}) then source end as adapter from f")
+def adapters_dispatched(spark, sf):
+    """P29 with the adapters that there are."""
+    f = table(spark, sf, "events").select(F.col("event_id").alias("seq"), F.expr("if(event_type = 'click', 'source_url', 'query')").alias("kind"), pick(_FROM, "event_id").alias("source"))
+    return tb.dispatched(f).select("seq", "adapter")
+
+
+@query(CANDIDATES + "select value, count(*) as n from (select array_to_string(list_filter(regexp_extract_all(lower(v), '[a-z0-9]+'), lambda w: length(w) > 2)[1:3], ' ') as value from (select unnest([locality, address, name]) as v from p) where v is not null) where value <> '' group by 1")
+def name_histogram(spark, sf):
+    """A8, N10."""
+    return tb.name_histogram(candidates(spark, sf))
+
+
+@query("""with r as (select o_custkey as id, (o_orderkey % 5)::int as query_no, o_orderkey as pos, case when o_orderkey % 7 = 0 then '' else 'http://U' || (o_orderkey % 9)::varchar end as url, case when o_orderkey % 21 = 0 then '' else 'T' || (o_orderkey % 4)::varchar end as title from orders),
+k as (select *, lower(coalesce(nullif(url, ''), title)) as key from r), f as (select * from k where key <> '' qualify row_number() over (partition by id, key order by query_no, pos) = 1),
+n as (select id, query_no, count(*) as n from f group by 1, 2), b as (select id, query_no, coalesce(sum(n) over (partition by id order by query_no rows between unbounded preceding and 1 preceding), 0) as before from n)
+select id, query_no, pos, url, title from f join b using (id, query_no) where before < 6""")
+def search_results_union(spark, sf):
+    """First by url or title over queries, until enough are there."""
+    r = table(spark, sf, "orders").selectExpr("o_custkey as id", "cast(o_orderkey % 5 as int) as query_no", "o_orderkey as pos", "if(o_orderkey % 7 = 0, '', concat('http://U', cast(o_orderkey % 9 as string))) as url", "if(o_orderkey % 21 = 0, '', concat('T', cast(o_orderkey % 4 as string))) as title")
+    return tb.first_results(r, 6)
+
+
+@query(CANDIDATES + "select id, kind, n from (select id, case when id % 3 = 0 then 2 else 0 end as n, 'queries' as kind from p), (select 300 as most) where n > 0 qualify coalesce(sum(n) over (order by id rows between unbounded preceding and 1 preceding), 0) < 300")
+def capped_enqueue(spark, sf):
+    """Whole rows in the order of ids until the cap is reached."""
+    rows = candidates(spark, sf).select("id", F.lit("queries").alias("kind"), F.when(F.col("id") % 3 == 0, 2).otherwise(0).alias("n"))
+    return tb.capped(rows, F.col("n"), 300).select("id", "kind", "n")
+
+
+_LIST = ["1. Hidden Leaf Cafe\n- Old Fort Museum - a walk\n", "See **Blue Cup** and [Green Lake Park](https://x.example/a) today\n", "3) read more\n* Top Cafes\n- Trip Policy\n", "From Salar Jung Museum to Necklace Road\n", "- Hidden Leaf Cafe\n- hidden leaf cafe\n- Hidden Leaf CAFE\n", ""]
+_MNAME = strip_sql(chain(CLEAN.format(x="raw"), [(p, "", "") for p in lex.MENTION_CUTS]), lex.MENTION_STRIP)
+_FOUND = "flatten([" + ", ".join(f"regexp_extract_all(text, {quoted(p)}, 1)" for p in lex.MENTIONS) + "])"
+
+
+@query(f"""with t as (select doc_id, substr({sql_pick(_LIST, "doc_id")} || coalesce(text, ''), 1, 30000) as text from documents), f as (select doc_id, unnest({_FOUND}) as raw, unnest(range(len({_FOUND}))) as pos from t),
+n as (select doc_id, pos, {_MNAME} as n from f), v as (select * from n where {_VALID}), g as (select doc_id, arg_min(n, pos) as name, min(pos) as pos from v group by doc_id, lower(n)), r as (select *, row_number() over (partition by doc_id order by pos) as rank from g)
+select doc_id, name, rank::int as rank from r where rank <= 40""")
+def mentioned_names(spark, sf):
+    """The names that texts mention."""
+    from waymark.operators.extract import mentions
+
+    d = table(spark, sf, "documents").select(F.col("doc_id").alias("page_id"), F.concat(pick(_LIST, "doc_id"), F.coalesce("text", F.lit(""))).alias("text"))
+    return mentions(d).select(F.col("page_id").alias("doc_id"), "name", "rank")
+
+
+_TOWNS = ["in Begumpet, by Hitec City", "nowhere", "Abids and Kukatpally", "madhapur", None]
+
+
+@query(CANDIDATES + f""", t as (select id, lower(coalesce({sql_pick(_TOWNS, "id")}, '')) as low, lower(nullif(locality, '')) as own, case when id % 3 = 0 then [] else ['quiet', 'date'] end as tags from p)
+select id, 'near' as predicate, replace(x, ' ', '_') as object, 0.35::double as confidence, 'mentions ' || x as evidence from t, (select unnest({sql_list(lex.LOCALITIES)}) as x) where contains(low, x) and own is not null and own <> x
+union all select id, 'recommended_for', tag, 0.5::double, 'matched intent tag ' || tag from (select id, unnest(tags) as tag from t)""")
+def relations(spark, sf):
+    """E10, J9."""
+    from waymark.operators.extract import relations as edges
+
+    c = candidates(spark, sf).select("id", "locality", pick(_TOWNS, "id").alias("text"), F.when(F.col("id") % 3 == 0, F.array().cast("array<string>")).otherwise(F.array(F.lit("quiet"), F.lit("date"))).alias("intent_tags"))
+    return edges(c)
+
+
+@query(CANDIDATES + """, e as (select id, name, case when id % 4 = 0 then null else ['x' || (id % 3)::varchar, name] end as aliases, address, latitude, longitude, [category] as subcategories, case when id % 3 = 0 then null else id::double / 10 end as confidence_score, ['img' || (id % 2)::varchar] as media, id % 5 as fee, id % 7 as seen from p)
+select a.id, a.name, coalesce(nullif(a.address, ''), b.address) as address, coalesce(a.latitude, b.latitude) as latitude, coalesce(a.longitude, b.longitude) as longitude, list_sort(list_distinct(list_filter(list_concat(coalesce(a.aliases, []), coalesce(b.aliases, []), [b.name]), lambda x: x <> a.name))) as aliases,
+ list_sort(list_distinct(list_filter(list_concat(a.subcategories, b.subcategories), lambda x: x is not null))) as subcategories, greatest(a.confidence_score, b.confidence_score) as confidence_score, case when a.media = b.media then a.media else list_concat(a.media, b.media) end as media_ids, b.fee::varchar as fee, b.seen as last_seen_at from e a join e b on b.id = a.id + 1 where a.id % 2 = 0""")
+def merged_entities(spark, sf):
+    """Matched entities, field by field."""
+    e = candidates(spark, sf).select(
+        "id", "name", F.when(F.col("id") % 4 != 0, F.array(F.concat(F.lit("x"), (F.col("id") % 3).cast("string")), "name")).alias("aliases"), "address", "latitude", "longitude", F.array_compact(F.array("category")).alias("subcategories"),
+        F.when(F.col("id") % 3 != 0, F.col("id").cast("double") / 10).alias("confidence_score"), F.array(F.struct(F.concat(F.lit("img"), (F.col("id") % 2).cast("string")).alias("id"), F.lit("u").alias("url"))).alias("media"),
+        F.create_map(F.lit("fee"), (F.col("id") % 5).cast("string")).alias("pricing"), (F.col("id") % 7).alias("last_seen_at"),
+    )
+    whole = F.struct(*e.columns)
+    a, b = e.where("id % 2 = 0").select(whole.alias("a"), "id"), e.select(whole.alias("b"), (F.col("id") - 1).alias("id"))
+    m = tb.merged_entities(a.join(b, "id"))
+    return m.select("id", "name", "address", "latitude", "longitude", "aliases", "subcategories", "confidence_score", F.transform("media", lambda x: x.id).alias("media_ids"), F.col("pricing")["fee"].alias("fee"), "last_seen_at")

@@ -162,6 +162,34 @@ def claims(payloads: DataFrame) -> DataFrame:
     return payloads.select("qid", first("P18").alias("image"), first("P856").alias("website"), F.get_json_object("payload", "$.sitelinks.enwiki.title").alias("article"))
 
 
+def claim_values(payload: Column, qid: Column, prop: str) -> Column:
+    """All main values of a property of a knowledge-base record, as texts: plain ones, or the id of another record."""
+    at = F.concat(F.lit("$.entities['"), qid, F.lit(f"'].claims.{prop}"))
+    items = F.from_json(F.call_function("get_json_object", payload, at), "array<string>")
+    value = lambda c: F.coalesce(F.get_json_object(c, "$.mainsnak.datavalue.value.id"), F.get_json_object(c, "$.mainsnak.datavalue.value"))
+    return F.array_compact(F.transform(F.coalesce(items, F.array().cast("array<string>")), value))
+
+
+def page_summaries(payloads: DataFrame) -> DataFrame:
+    """Title, extract and thumbnail of each page of an encyclopedia answer (query.pages, a list or a map by id)."""
+    kind = "struct<title: string, extract: string, thumbnail: struct<source: string>, missing: string>"
+    pages = F.get_json_object("payload", "$.query.pages")
+    each = F.coalesce(F.when(pages.startswith("["), F.from_json(pages, f"array<{kind}>")), F.map_values(F.from_json(pages, f"map<string,{kind}>")))
+    rows = payloads.select("id", F.explode(each).alias("p")).where("p.title is not null and p.missing is null")
+    return rows.select("id", "p.title", F.nullif(F.trim("p.extract"), F.lit("")).alias("extract"), F.col("p.thumbnail.source").alias("image_url"))
+
+
+def summary_images(payloads: DataFrame) -> DataFrame:
+    """The picture of each page summary (id, name, payload) that is of the entity: the original before the thumbnail, none of disambiguations."""
+    from waymark.operators.refine import image_page_matches
+
+    at = lambda p: F.get_json_object("payload", p)
+    url = F.coalesce(F.nullif(at("$.originalimage.source"), F.lit("")), F.nullif(at("$.thumbnail.source"), F.lit("")))
+    fit = image_page_matches(F.col("name"), F.coalesce(at("$.title"), F.lit("")), F.lower(F.coalesce(at("$.extract"), F.lit(""))))
+    rows = payloads.where(F.lower(F.coalesce(at("$.type"), F.lit(""))) != "disambiguation").where(fit).withColumn("image_url", url)
+    return rows.where("image_url is not null").select("id", "image_url", at("$.title").alias("page_title"), at("$.content_urls.desktop.page").alias("page_url"))
+
+
 def image_files(spark: SparkSession, path: str, most_bytes: int = 5_000_000) -> DataFrame:
     """Image files up to a size, with their checksum and type by suffix."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).where(F.col("length") <= most_bytes)

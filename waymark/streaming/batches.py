@@ -2,62 +2,124 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymark.operators.tables import dedupe_frontier, next_batch, retried, upsert
+from waymark.operators.tables import append_unique, dedupe_frontier, next_batch, retried, upsert
 
 
 class Versions:
-    """A table kept as numbered Parquet versions under a path that all executors share; the newest whole one counts."""
+    """A table kept as numbered Parquet versions under a path that all executors share; the newest whole one counts.
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path, self.at = spark, path.rstrip("/"), 0
+    A version is whole once its writer has committed it, so a job that dies leaves the version before. A new object, in this
+    session or after a restart, goes on from what the path holds.
+    """
 
-    def write(self, rows: DataFrame) -> DataFrame:
-        """Write the next version and read it: lineage ends here, and the version read before is not touched."""
-        target = f"{self.path}/v={self.at + 1:06d}"
-        rows.write.mode("overwrite").parquet(target)
-        self.at += 1
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+        self.at = max(self.numbers(), default=0)
+
+    def numbers(self) -> list[int]:
+        """The numbers of all whole versions."""
+        root = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        files = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        found = files.globStatus(self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/v=*/_SUCCESS")) or []
+        return sorted(int(m[1]) for f in found if (m := re.search(r"/v=(\d+)/_SUCCESS$", f.getPath().toString())))
+
+    def write(self, rows: DataFrame, number: int | None = None) -> DataFrame:
+        """Write the next version, or the one of that number, and read it: lineage ends here, and the version read before is not touched."""
+        number = self.at + 1 if number is None else number
+        rows.write.mode("overwrite").parquet(f"{self.path}/v={number:06d}")
+        self.at = number
         return self.read()
 
-    def read(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/v={self.at:06d}")
+    def read(self, number: int | None = None) -> DataFrame:
+        return self.spark.read.parquet(f"{self.path}/v={self.at if number is None else number:06d}")
+
+    def drop_before(self, keep: int = 2) -> None:
+        """Delete all but the newest `keep` versions."""
+        for n in self.numbers()[:-keep]:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/v={n:06d}")
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def crawl(frontier: Versions, visit: Callable[[DataFrame], DataFrame], size: int, rounds: int, max_depth: int = 3) -> DataFrame:
+def numbered(rows: DataFrame, above: int) -> DataFrame:
+    """Rows without seq get one above all that were given before; the order among them is that of their partitions."""
+    return rows.withColumn("seq", F.lit(above + 1).cast("bigint") + F.monotonically_increasing_id())
+
+
+def crawl(frontier: Versions, visit: Callable[[DataFrame], DataFrame], size: int, rounds: int, max_depth: int = 3, gaps: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Run batches: take the best candidates, visit them, and put children, retries and the rest back.
 
-    visit returns the batch's rows with outcome (done, failed) and children (array of struct<kind, value, source, priority>).
-    Children are one deeper; a candidate once visited does not come back but as a retry.
+    visit returns the batch's rows with outcome (done, failed) and children (array of struct<kind, value, source, priority>); a
+    batch is one distributed job, so its candidates are visited side by side. gaps, if given, gets the visits' rows and
+    returns candidates (kind, source, value, priority) that the found entities ask for: they join the same queue at depth 0.
+    Children are one deeper; a candidate once visited does not come back but as a retry. Visited keys and those that may not be
+    retried are kept as tables beside the frontier, so a later run, in this session or after a restart, knows them.
     """
-    rows, seen = frontier.read(), None
+    spark = frontier.spark
+    rows = frontier.read()
+    seen, failed = Versions(spark, f"{frontier.path}-seen"), Versions(spark, f"{frontier.path}-failed")
     for _ in range(rounds):
         pending = dedupe_frontier(rows)
         batch = next_batch(pending, size, max_depth)
-        result = Versions(frontier.spark, f"{frontier.path}-visits-{frontier.at}").write(visit(batch))
+        result = Versions(spark, f"{frontier.path}-visits-{frontier.at}").write(visit(batch), 1)
         if result.isEmpty():
             break
-        done = result.select("kind", "source", F.lower("value").alias("key"))
-        seen = done if seen is None else seen.unionByName(done)
-        again = retried(result.where("outcome = 'failed'").select(pending.columns))
+        key = F.lower("value").alias("key")
+        done = result.select("kind", "source", key).distinct()
+        known = seen.write(append_unique(seen.read(), done, ["kind", "source", "key"]) if seen.at else done)
+        lost = result.where("outcome = 'failed'").select(pending.columns)
+        again = retried(lost)
+        final = lost.join(again.select("kind", "source", key), [lost.kind == again.kind, lost.source == again.source, F.lower(lost.value) == F.col("key")], "left_anti")
+        failed.write(failed.read().unionByName(final) if failed.at else final)
         top = pending.agg(F.coalesce(F.max("seq"), F.lit(0)).alias("top")).collect()[0]["top"]
-        kids = result.where("outcome = 'done'").select("seq", "depth", F.posexplode("children").alias("i", "c"))
-        kids = kids.select(F.col("c.kind").alias("kind"), F.col("c.source").alias("source"), F.col("c.value").alias("value"), F.col("c.priority").alias("priority"),
-                           (F.col("depth") + 1).cast("int").alias("depth"), F.lit(0).alias("retry_count"), (F.lit(top) + F.col("seq") * 1000 + F.col("i") + 1).alias("seq"))
+        kids = result.where("outcome = 'done'").select("depth", F.explode("children").alias("c"))
+        kids = kids.select("c.kind", "c.source", "c.value", "c.priority", (F.col("depth") + 1).cast("int").alias("depth"), F.lit(0).alias("retry_count"))
+        if gaps is not None:
+            kids = kids.unionByName(gaps(result).select("kind", "source", "value", "priority", F.lit(0).alias("depth"), F.lit(0).alias("retry_count")))
+        fresh = kids.where(F.col("depth") <= max_depth).withColumn("key", F.lower("value")).join(known, ["kind", "source", "key"], "left_anti").drop("key")
         left = pending.withColumn("key", F.lower("value")).join(done, ["kind", "source", "key"], "left_anti").drop("key")
-        kids = kids.where(F.col("depth") <= max_depth).withColumn("key", F.lower("value")).join(seen, ["kind", "source", "key"], "left_anti").drop("key")
-        rows = frontier.write(left.unionByName(again.select(left.columns)).unionByName(kids.select(left.columns)))
+        rows = frontier.write(left.unionByName(again.select(left.columns)).unionByName(numbered(fresh, int(top)).select(left.columns)))
     return rows
 
 
 def stream_upserts(stream: DataFrame, table: Versions, key: str, checkpoint: str, keep: list[str] = ()):
-    """Upsert micro-batches into a versioned table: of rows with one key in a batch the last by time wins. Returns the query."""
+    """Upsert micro-batches into a versioned table: of rows with one key in a batch the last by time wins. Returns the query.
+
+    A batch is the version of its own number over what the batch before left, so a batch that is played again after a restart gives
+    the same version and loses nothing. The numbers of a checkpoint start above the versions that the table had when it was first
+    used, so a table with other writers, or whose checkpoint was lost, goes on from its newest version.
+    """
+    base = table.at
+    name = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
+
+    def first_number() -> int:
+        marker = Versions(table.spark, f"{table.path}-base-{name}")
+        return marker.read().collect()[0]["base"] if marker.at else marker.write(table.spark.createDataFrame([(base,)], "base long")).collect()[0]["base"]
 
-    def apply(batch: DataFrame, _: int) -> None:
+    def apply(batch: DataFrame, number: int) -> None:
+        own = first_number() + number + 1
         last = batch.groupBy(key).agg(F.max_by(F.struct(*batch.columns), "ts").alias("r")).select("r.*")
-        table.write(upsert(table.read(), last, key, keep) if table.at else last)
+        before = max((n for n in table.numbers() if n < own), default=0)
+        table.write(upsert(table.read(before), last, key, keep) if before else last, own)
 
     return stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def first_frontier(spark: SparkSession) -> DataFrame:
+    """The candidates of a new frontier: map categories, knowledge bases, web queries."""
+    from waymark.functions import lexicons as lex
+
+    rows = [("query", "openstreetmap", c, 1.0) for c in lex.SEED_CATEGORIES] + [("query", s, "Hyderabad", 0.9) for s in ("wikipedia", "wikidata")] + [("query", "google_search", q, 0.85) for q in lex.SEED_QUERIES]
+    return spark.createDataFrame([(*r, 0, 0, i + 1) for i, r in enumerate(rows)], "kind string, source string, value string, priority double, depth int, retry_count int, seq long")
+
+
+def seeded(frontier: DataFrame, seeds: DataFrame) -> DataFrame:
+    """Seeds joined to a frontier, keep-best by kind, source and value; of equal priority the frontier's own stay."""
+    top = frontier.agg(F.coalesce(F.max("seq"), F.lit(0)).alias("top")).collect()[0]["top"]
+    return dedupe_frontier(frontier.unionByName(seeds.withColumn("seq", F.col("seq") + int(top)).select(frontier.columns)))
