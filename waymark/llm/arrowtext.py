@@ -34,6 +34,7 @@ def sliced(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = BATC
             end = max(at + 1, int(np.searchsorted(total, base + max_bytes, side="right")))
             yield batch.slice(at, end - at)
             at = end
+    pa.default_memory_pool().release_unused()  # the worker lives on for other stages' tasks
 
 
 def flat(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

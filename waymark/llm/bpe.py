@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waymark.llm.arrowtext import distinct_spans, flat, mixed, ragged, sliced
+from waymark.llm.runtime import prepared
 from waymark.llm.tokens import Encoder, byte_letters, encoder
 
 #: Bits of the rolling hash that are 0 at a cut: chunks of 2 KiB on average. The hash sees the last 32 bytes.
@@ -286,7 +287,7 @@ class Shared:
 
 
 def handed_out(documents: DataFrame, vocabulary: str, ranks: str, pattern: str) -> Shared | None:
-    found = shared_chunks(documents, vocabulary, ranks, pattern)
+    found = shared_chunks(prepared(documents), vocabulary, ranks, pattern)
     return found and Shared(documents.sparkSession.sparkContext.broadcast(found), uuid.uuid4().hex)
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from waymark.llm.arrowtext import LOWER, flat, mixed, signed, sliced, word_hashes, words
 from waymark.llm.graph import components
-from waymark.llm.runtime import salted, written
+from waymark.llm.runtime import prepared, salted, written
 
 #: A pair at similarity 0.8 shares no band with probability (1 - 0.8 ** ROWS) ** BANDS = 3e-6.
 BANDS, ROWS = 32, 5
@@ -325,7 +325,7 @@ def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80) -> Data
     stand for one document each and share its component. Other columns are ignored. An empty table gives no rows.
     """
     threshold = percent / 100
-    documents = documents.select("doc_id", "text").where("doc_id is not null")
+    documents = prepared(documents).select("doc_id", "text").where("doc_id is not null")
     sketch = written(documents.mapInArrow(lambda it: sketched(it, k), SKETCH), "sketch")
     classes = written(sketch.where("k1 is not null").groupBy("k1", "k2").agg(F.min("doc_id").alias("id"), F.first("sig").alias("sig")), "classes")
     sigs = classes.select("id", "sig")

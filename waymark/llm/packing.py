@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waymark.llm.arrowtext import sliced
-from waymark.llm.runtime import written
+from waymark.llm.runtime import prepared, written
 from waymark.llm.tokens import encoder
 
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
@@ -115,7 +115,7 @@ def pack(documents: DataFrame, vocabulary: str, capacity: int = 4096, end_id: in
     Null or empty text: end_id alone. A null doc_id stays null. Repeated rows are packed each. Other columns are ignored.
     An empty table gives no rows. sequence_id is the group's number shifted left by 32 bits plus the bin.
     """
-    cut = written(documents.select("doc_id", "text").mapInArrow(lambda it: pieces(it, vocabulary, capacity, end_id), PIECES), "pieces")
+    cut = written(prepared(documents).select("doc_id", "text").mapInArrow(lambda it: pieces(it, vocabulary, capacity, end_id), PIECES), "pieces")
     groups = max(1, -(-cut.count() // group))
     # Rows that are alike in every column differ by a number, so that a group of copies is spread as well.
     dealt = cut.withColumn("copy", F.monotonically_increasing_id()).withColumn("group", F.pmod(F.xxhash64(F.lit(seed), "doc_id", "start", "ids_crc32", "copy"), F.lit(groups)).cast("int"))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StructType
 
 from waymark.llm.arrowtext import Spans, by_document, distinct_words, flat, sliced, words
-from waymark.llm.runtime import written
+from waymark.llm.runtime import prepared, written
 
 #: Most documents of which the scorer's training set holds features (a uniform sample by hash of doc_id).
 SAMPLE = 12_000
@@ -188,7 +188,7 @@ def classify(documents: DataFrame, sample: int = SAMPLE, seed: int = 11, least:
     Null or empty text: score 0, not kept. Null doc_id: scored too. Repeated rows are scored each. Columns of documents,
     whatever their names, stay; the three new names replace columns of the same name. An empty table gives no rows.
     """
-    documents = documents.drop("weak_posterior", "quality_score", "keep")
+    documents = prepared(documents).drop("weak_posterior", "quality_score", "keep")
     share = min(1.0, sample / max(1, documents.count()))
     drawn = (F.pmod(F.xxhash64(F.lit(seed), "doc_id", F.length("text")), F.lit(1_000_000)) < int(share * 1_000_000)).alias("sampled")
     seen = written(documents.select("text", drawn).mapInArrow(observed, "votes bigint, features array<int>, weights array<float>"), "votes")

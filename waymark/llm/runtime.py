@@ -9,6 +9,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SETTING = "spark.checkpoint.dir"
+#: Size of the Arrow batches between the JVM and Python workers, of which a task holds several on either side, and the session's default.
+BATCHES, BATCH_BYTES, USUAL = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20, 64 << 20
+
+
+def prepared(df: DataFrame) -> DataFrame:
+    """The same rows; a session that has chosen no size of Arrow batches gets one of 8 MB, as whole texts fill batches of ten thousand rows."""
+    conf = df.sparkSession.conf
+    if conf.get(BATCHES, "").rstrip("b") == str(USUAL):
+        conf.set(BATCHES, str(BATCH_BYTES))
+    return df
 
 
 def shared_dir(spark: SparkSession) -> str:

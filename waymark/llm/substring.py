@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from pyspark.sql.types import StructType
 
 from waymark.llm.arrowtext import BASES, Spans, flat, ragged, signed, sliced, word_hashes, words
-from waymark.llm.runtime import written
+from waymark.llm.runtime import prepared, written
 
 #: Words of an anchor. Of the windows of `length` words, each picks the least of its length - ANCHOR + 1 anchors.
 ANCHOR = 8
@@ -290,7 +290,7 @@ def remove_repeats(documents: DataFrame, length: int = 20) -> DataFrame:
     an id precede one another only by their start; each loses what any of them repeats. Other columns stay; the five new names
     and found replace columns of the same names. An empty table gives no rows.
     """
-    documents = documents.drop("n_words", "n_removed", "kept_sha256", "kept_text", "repeats", "found")
+    documents = prepared(documents).drop("n_words", "n_removed", "kept_sha256", "kept_text", "repeats", "found")
     known = documents.where("doc_id is not null").select("doc_id", "text")
     parts = ("start", "windows", "of_doc", "of_start")
     ranges = repeats(known, length).groupBy("doc_id").agg(F.collect_list(F.struct(*parts)).alias("found"))

@@ -10,6 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from waymark.llm.arrowtext import sliced
+from waymark.llm.runtime import prepared
 from waymark.llm.tokens import Encoder, encoder
 
 #: Characters from which a document is huge, of a chunk's own part, and of the first overlap.
@@ -86,4 +87,4 @@ def count_tokens(documents: DataFrame, vocabulary: str, limit: int = 2048, huge:
 
     Null or empty text: 0 bytes, 0 tokens. A null doc_id stays null; repeated rows count each; other columns are ignored.
     """
-    return documents.select("doc_id", "text").mapInArrow(lambda it: counted(it, vocabulary, limit, huge, chunk, overlap), COLUMNS)
+    return prepared(documents).select("doc_id", "text").mapInArrow(lambda it: counted(it, vocabulary, limit, huge, chunk, overlap), COLUMNS)

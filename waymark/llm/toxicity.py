@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructType
 
 from waymark.llm.arrowtext import LOWER, Spans, distinct_words, flat, ragged, sliced, words
+from waymark.llm.runtime import prepared
 
 #: Most training documents of either label, drawn by hash of doc_id.
 SAMPLE = 1_000
@@ -202,7 +203,7 @@ def classify(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> D
     Null or empty text: the score of a document without evidence. Null doc_id: scored too. Repeated rows are scored each.
     A doc_id trains once, however often its row is repeated. Columns of documents stay, but for any named score or predicted. Labels without both values: score 0. Empty table: no rows.
     """
-    documents = documents.drop("score", "predicted")
+    documents = prepared(documents).drop("score", "predicted")
     model = train(documents, labels, sample)
     schema = StructType([*documents.schema.fields]).add("score", DoubleType()).add("predicted", IntegerType())
     return documents.mapInArrow(lambda it: scored(it, model), schema)
