@@ -16,7 +16,7 @@ BATCHES, BATCH_BYTES, USUAL = "spark.sql.execution.arrow.maxBytesPerBatch", 8 <<
 def prepared(df: DataFrame) -> DataFrame:
     """The same rows; a session that has chosen no size of Arrow batches gets one of 8 MB, as whole texts fill batches of ten thousand rows."""
     conf = df.sparkSession.conf
-    if conf.get(BATCHES, "").rstrip("b") == str(USUAL):
+    if conf.get(BATCHES).rstrip("b") == str(USUAL):
         conf.set(BATCHES, str(BATCH_BYTES))
     return df
 
