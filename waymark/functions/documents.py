@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from waymark.functions import lexicons as lex
 from waymark.functions.names import holds, host, known, named_locality, whole
-from waymark.functions.text import bounded, clean, date_hint, fingerprint, found, has_term, keywords, price_level, sentences, tags
+from waymark.functions.text import bounded, clean, date_hint, fingerprint, found, has_term, keywords, price_level, sentences, tags, term_count
+from waymark.operators.quality import suitability
 
 Named = dict[str, Column]
 
@@ -249,6 +250,21 @@ def engine_tags(text: Column) -> Column:
     return F.when(F.size(t) > 0, t).otherwise(F.array(F.lit("explore")))
 
 
+def polarity(text: Column) -> Column:
+    """positive or negative where the hits of one list are more than 1.3 times the other's, else mixed."""
+    p, n = term_count(text, lex.POSITIVE), term_count(text, lex.NEGATIVE)
+    return F.when(p > n * 1.3, "positive").when(n > p * 1.3, "negative").otherwise("mixed")
+
+
+def engine_scores(text: Column, rating_share: Column, reviews: Column) -> Column:
+    """Tag -> suitability of the engine's tags that the text has: hits of their terms, mean share of the best rating, number of reviews."""
+    low, scored = F.lower(text), []
+    for tag, terms in lex.INTENT_TERMS.items():
+        hits = term_count(low, terms)
+        scored.append(F.when(hits > 0, F.struct(F.lit(tag).alias("key"), suitability(hits, rating_share, reviews).alias("value"))))
+    return F.map_from_entries(F.array_compact(F.array(*scored)))
+
+
 def engine_metadata(category: Column, locality: Column, text: Column, branches: Column, contexts: Column) -> Named:
     """Tags, crowd, atmosphere, branch and context keys from an entity's text; branches and contexts are those it has."""
     low = F.lower(text)

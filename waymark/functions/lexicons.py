@@ -81,7 +81,6 @@ NON_SERVING_NAMES = [
     r"^(?:tech|startup|business|ai|data|web|webinar|workshop|founder|investor)\s+(?:meetups?|events?|conferences?|summits?)$",
     r"^(?:free\s+)?(?:workshop|hackathon|rave party|party night|user group)$",
 ]
-REQUIRED = ["name", "category", "locality", "address", "latitude", "longitude", "image", "source", "not_source_page"]
 BRANCHES = ["build", "network", "explore", "date"]
 BRANCH_BY_CATEGORY = {
     "restaurant": "date", "cafe": "date", "pub": "date", "bar": "date", "nightlife": "date", "bakery": "date",

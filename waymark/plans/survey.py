@@ -12,7 +12,7 @@ from waymark.functions import text as tx
 from waymark.operators import quality as ql
 from waymark.operators import refine as rf
 from waymark.operators import tables as tb
-from waymark.plans.fixtures import CANDIDATES, MAP_ELEMENTS, NAMES, PHRASES, SITES, TEXTS, WEB_PAGES, any_in, any_match, bounded_any, candidates, chain, first_case, keys_where, map_elements, pick, quoted, served, sidecars, sql_list, sql_pick, texts, web_pages
+from waymark.plans.fixtures import CANDIDATES, MAP_ELEMENTS, NAMES, PHRASES, SITES, TEXTS, WEB_PAGES, any_in, any_match, bounded_any, candidates, chain, doubled, first_case, keys_where, map_elements, pick, quoted, served, sidecars, sql_list, sql_pick, texts, web_pages
 from waymark.plans.registry import query
 from waymark.plans.views import ENTITIES, entities, metres, table
 
@@ -805,3 +805,30 @@ def merged_entities(spark, sf):
     a, b = e.where("id % 2 = 0").select(whole.alias("a"), "id"), e.select(whole.alias("b"), (F.col("id") - 1).alias("id"))
     m = tb.merged_entities(a.join(b, "id"))
     return m.select("id", "name", "address", "latitude", "longitude", "aliases", "subcategories", "confidence_score", F.transform("media", lambda x: x.id).alias("media_ids"), F.col("pricing")["fee"].alias("fee"), "last_seen_at")
+
+
+def _counted(terms: list[str]) -> str:
+    return "(" + " + ".join(f"len(regexp_extract_all(hay, '[^a-z0-9]{doubled(t)}[^a-z0-9]'))" for t in terms) + ")"
+
+
+def _inside(terms: list[str]) -> str:
+    return "(" + " + ".join(f"(length(low) - length(replace(low, {quoted(t)}, ''))) / {len(t)}::double" for t in terms) + ")"
+
+
+@query(TEXTS + f""", n as (select doc_id, {_counted(lex.POSITIVE)} as p, {_counted(lex.NEGATIVE)} as n, {_inside(lex.SIGNAL_POSITIVE)} as sp, {_inside(lex.SIGNAL_NEGATIVE)} as sn from c)
+select doc_id, case when p > n * 1.3::double then 'positive' when n > p * 1.3::double then 'negative' else 'mixed' end as sentiment, case when sp + sn = 0 then 0 else round((sp - sn) / (sp + sn), 3) end as score from n""")
+def document_sentiment(spark, sf):
+    """A18 in both forms, with their own lists."""
+    t = texts(spark, sf).select("doc_id", tx.clean(F.col("text")).alias("text"))
+    return t.select("doc_id", dc.polarity(F.col("text")).alias("sentiment"), tx.substring_sentiment(F.col("text"), lex.SIGNAL_POSITIVE, lex.SIGNAL_NEGATIVE).alias("score"))
+
+
+_SUITED_BY = "list_filter([" + ", ".join(f"case when {_counted(t)} > 0 then {quoted(k)} || '=' || (round(least(1.0::double, 0.25::double + 0.12::double * {_counted(t)} + 0.35::double * (id % 5 / 5::double) + least(id % 30, 20) / 100::double)::decimal(18, 9), 3)::double)::varchar end" for k, t in lex.INTENT_TERMS.items()) + "], lambda x: x is not null)"
+
+
+@query(_DESCRIBED + f"select id, {_SUITED_BY} as scores from c")
+def engine_suitability(spark, sf):
+    """A15, A16 with the engine's terms."""
+    d = described(spark, sf)
+    m = dc.engine_scores(tx.clean(F.col("text")), F.col("id") % 5 / F.lit(5.0), F.col("id") % 30)
+    return d.select("id", F.transform(F.map_entries(m), lambda e: F.concat(e.key, F.lit("="), e.value.cast("string"))).alias("scores"))
