@@ -90,7 +90,7 @@ def test_landed_payloads(spark):
     rows = [("q", '{"data":{"web":[{"url":"u1","title":" A  b"}],"news":[{"url":"u2"}]}}'), ("r", '{"items":[{"link":"u3","title":"T"}]}'), ("s", "{bad"), ("t", None)]
     got = landed.search_hits(spark.createDataFrame(rows, "query string, payload string")).orderBy("query", "rank").collect()
     assert [(r.query, r.url, r.title, r.priority) for r in got] == [("q", "u1", "A b", 0.8), ("q", "u2", "", 0.77), ("r", "u3", "T", 0.8)]
-    elements = [(1, 17.4, 78.4, None, {"name": "Cup", "amenity": "cafe"}), (2, None, None, None, {"name": "X", "amenity": "cafe"}), (3, 17.4, 78.4, None, {"name": "P", "amenity": "police"}), (4, 1.0, 1.0, None, {}), (5, 1.0, 1.0, None, {"amenity": "cafe"})]
+    elements = [(1, 17.4, 78.4, None, {"name": "Cup", "amenity": "cafe"}), (2, None, None, None, {"name": "Xyz", "amenity": "cafe"}), (3, 17.4, 78.4, None, {"name": "Pol", "amenity": "police"}), (4, 1.0, 1.0, None, {}), (5, 1.0, 1.0, None, {"amenity": "cafe"})]
     df = spark.createDataFrame(elements, "id long, lat double, lon double, center struct<lat: double, lon: double>, tags map<string,string>")
     assert [r.reject_reason for r in landed.map_entities(df).orderBy("element_id").collect()] == [None, "missing_coordinates", "non_serving_category", "missing_tags", "missing_name"]
     assert landed.registry(spark).count() == 21
@@ -158,7 +158,7 @@ def test_query_matches_sql(spark, name):
     import duckdb
 
     con = duckdb.connect()
-    for t in ("nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "pages"):
+    for t in ("nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "pages", "conversations"):
         con.execute(f"create view {t} as select * from read_parquet('{SF}/{t}.parquet')")
     got, want = QUERIES[name](spark, SF).toPandas(), con.execute(SQL[name]).df()
     columns = sorted(want.columns)
