@@ -87,6 +87,27 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), k=2, percent=80)
 
 
+def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from waymark.llm.mixing import mix
+
+    return mix(table(spark, sf_dir, "documents"))
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from waymark.llm.align import align
+
+    files = (vocabulary("byte_bpe_50k.json"), vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, vocabulary("piece_bpe_32k.model"))
+    return align(table(spark, sf_dir, "documents"), *files)
+
+
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from waymark.llm.phrases import collocations
+
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_warc_index": op2_warc_index,
@@ -98,6 +119,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring": op8_substring,
     "op9_hamming": op9_hamming,
     "op10_minhash": op10_minhash,
+    "op11_mixing": op11_mixing,
+    "op12_alignment": op12_alignment,
+    "op13_phrases": op13_phrases,
 }
 OP9 = """
 with codes as (
@@ -112,4 +136,42 @@ with codes as (
 select query_id, place::int as rank, vec_id, distance from placed where place <= 20
 """
 
-SQL: dict[str, str] = {"op9_hamming": OP9}
+OP13 = r"""
+with texts as (
+  select row_number() over () as d, coalesce(lang, 'und') as lang,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t
+  from documents
+), pieces as (
+  select lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) as piece from texts
+), lists as (
+  select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces
+), totals as (
+  select lang, sum(len(w))::bigint as n from lists group by lang
+), grams as (
+  select lang, k, array_to_string(w[i:i + k - 1], ' ') as phrase
+  from (select lang, w, k, unnest(range(1, len(w) - k + 2)) as i from lists, (values (1), (2), (3), (4)) as sizes(k) where len(w) >= k)
+), f as (
+  select lang, k, phrase, count(*)::bigint as a from grams group by all having count(*) >= 30
+), parts as (
+  select lang, k, phrase, a, string_split(phrase, ' ') as w, unnest(range(1, k)) as c from f where k > 1
+), cuts as (
+  select p.lang, p.k, p.phrase, p.a, p.c, x.a as l, y.a as r, (2000000 * p.a::hugeint // (x.a::hugeint + y.a::hugeint))::bigint as score
+  from parts p
+  join f x on x.lang = p.lang and x.phrase = array_to_string(p.w[1:p.c], ' ')
+  join f y on y.lang = p.lang and y.phrase = array_to_string(p.w[p.c + 1:], ' ')
+), lowest as (
+  select * from cuts qualify row_number() over (partition by lang, phrase order by score, c) = 1
+), inner_parts as (
+  select lang, a, k, string_split(phrase, ' ') as w, unnest(range(2, k)) as size from f where k > 2
+), held as (
+  select lang, array_to_string(w[i:i + size - 1], ' ') as phrase, max(a) as longer
+  from (select *, unnest(range(1, k - size + 2)) as i from inner_parts) group by all
+), kept as (
+  select x.* from lowest x left join held h using (lang, phrase) where h.longer is null or 100 * h.longer::hugeint < 80 * x.a::hugeint
+), ranked as (
+  select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from kept
+)
+select lang, rank, phrase, a, l, r, n, score from ranked join totals using (lang) where rank <= 2000
+"""
+
+SQL: dict[str, str] = {"op9_hamming": OP9, "op13_phrases": OP13}
