@@ -38,16 +38,17 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the smallest doc_id, of each component of 5-word shingle similarity 0.8 or more.
 
-    Rows that repeat a doc_id and its text are one document: the smallest row by all columns stays. Rows of one doc_id with different texts
-    stay or go together, each text once. Rows without a doc_id are compared too, under a number of 2 ** 62 or more from a hash of their text.
+    Rows that repeat a doc_id and its text are one document: the smallest row by its other columns as JSON stays. Rows of one doc_id with different
+    texts stay or go together, each text once. Rows without a doc_id are compared too, under a number of 2 ** 62 or more from a hash of their text.
     """
-    keyed = docs.withColumn("__row_key", F.coalesce("doc_id", F.lit(1 << 62) + F.xxhash64("text").bitwiseAND(F.lit((1 << 62) - 1))))
-    found = minhash.near_duplicates(keyed.select(F.col("__row_key").alias("doc_id"), "text"), k=5, percent=80)
-    gone = written(found.where("not kept").select(F.col("doc_id").alias("__row_key")).distinct(), "gone")
-    again = written(keyed.groupBy("__row_key").agg(F.count("*").alias("n")).where("n > 1").select("__row_key").join(gone, "__row_key", "left_anti"), "again")
-    once = keyed.join(gone.unionByName(again), "__row_key", "left_anti").select(docs.columns)
-    least = keyed.join(again, "__row_key", "left_semi").groupBy("__row_key", "text").agg(F.min(F.struct(*docs.columns)).alias("least"))
-    return once.unionByName(least.select("least.*"))
+    keyed = beside(docs).withColumn("row_key", F.coalesce("doc_id", F.lit(1 << 62) + F.xxhash64("text").bitwiseAND(F.lit((1 << 62) - 1))))
+    found = minhash.near_duplicates(keyed.select(F.col("row_key").alias("doc_id"), "text"), k=5, percent=80)
+    gone = written(found.where("not kept").select(F.col("doc_id").alias("row_key")).distinct(), "gone")
+    again = written(keyed.groupBy("row_key").agg(F.count("*").alias("n")).where("n > 1").select("row_key").join(gone, "row_key", "left_anti"), "again")
+    once = keyed.join(gone.unionByName(again), "row_key", "left_anti").drop("row_key")
+    own = F.struct("doc_id", "text", "row")
+    least = keyed.join(again, "row_key", "left_semi").groupBy("row_key", "text").agg(F.min_by(own, F.to_json("row")).alias("least"))
+    return as_before(once.unionByName(least.select("least.*")), docs)
 
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
