@@ -14,6 +14,8 @@ DEGREE, PROPOSE, BEAM, SLACK, SHARD = 24, 48, 64, 1.2, 16_384
 #: Points inserted against one state of the graph; points that searches start from beside the medoid, so that a tight
 #: group of points around it cannot fill the beam of a query from elsewhere; nodes of the beam whose edges are followed at a time.
 INSERT, ENTRIES, AHEAD = 256, 40, 4
+#: Vectors of a shard with norms of their own that are compared one by one, without a graph.
+SMALL = 256
 
 
 class Graph:
@@ -127,20 +129,65 @@ class Graph:
                 self.edges[full] = self.pruned(full, both[~room], self.distance(self.points[full], both[~room]), slack)
 
 
-def shard_search(ids: np.ndarray, vectors: np.ndarray, largest: float, k: int, beam: int = BEAM):
-    """Index a shard and return its search. Largest inner product becomes least distance by one more coordinate: with norms
-    brought to the corpus's largest, |x - q|^2 = largest^2 + |q|^2 - 2 x.q."""
+def norms_of(vectors: np.ndarray) -> np.ndarray:
+    """Euclidean norms, also where squares leave the range of double precision."""
+    most = np.abs(vectors).max(1)
+    return most * np.sqrt(((vectors / most[:, None]) ** 2).sum(1))
+
+
+def bands(norms: np.ndarray) -> list[np.ndarray]:
+    """Places of the vectors by norm: a band's largest norm is less than twice its least, and the first band has the longest vectors."""
+    order = np.argsort(-norms, kind="stable")
+    out, at = [], 0
+    while at < len(order):
+        end = at + int(np.searchsorted(-norms[order[at:]], -norms[order[at]] / 2, side="left"))
+        out.append(order[at:end])
+        at = end
+    return out
+
+
+def shard_search(ids: np.ndarray, vectors: np.ndarray, k: int, beam: int = BEAM):
+    """Index a shard and return its search.
+
+    Vectors of alike norms share a graph, so that no long one drowns the others' distances. Largest inner product becomes least distance by
+    one more coordinate: with norms brought to 1, the band's largest, |x - q|^2 = 2 - 2 x.q for queries of norm 1. Bands are searched from
+    the longest vectors down; a band whose largest norm cannot bring a product into a query's best ones is passed over.
+    """
     vectors = vectors.astype(np.float64)
-    lifted = np.concatenate([vectors, np.sqrt(np.maximum(largest**2 - (vectors**2).sum(1, keepdims=True), 0))], 1)
-    graph = Graph(lifted)
+    norms, parts = norms_of(vectors), []
+    for places in bands(norms):
+        graph = None
+        if len(places) > SMALL:
+            short = vectors[places] / norms[places[0]]
+            graph = Graph(np.concatenate([short, np.sqrt(np.maximum(1 - (short**2).sum(1, keepdims=True), 0))], 1))
+        parts.append((places, norms[places[0]], graph))
+    wanted = k + 2  # the k + 1 classes that can matter, and the query itself
 
     def search(query_ids: np.ndarray, queries: np.ndarray) -> tuple:
         queries = queries.astype(np.float64)
-        flat = np.concatenate([queries, np.zeros((len(queries), 1))], 1).astype(np.float32)
-        near = graph.search(flat, max(beam, 2 * k))[0][:, : k + 2]  # the k + 1 classes that can matter, and the query itself
-        row, column = np.nonzero(near >= 0)
-        found = near[row, column]
-        score = np.einsum("nd,nd->n", queries[row], vectors[found])
+        length = norms_of(queries)
+        flat = np.concatenate([queries / length[:, None], np.zeros((len(queries), 1))], 1).astype(np.float32)
+        best = np.full((len(queries), wanted), -np.inf)
+        rows, columns, scores = [], [], []
+        for places, longest, graph in parts:
+            able = np.flatnonzero(longest * length * (1 + 1e-9) >= best[:, -1])
+            if not len(able):
+                continue
+            if graph is None:
+                near = np.broadcast_to(np.arange(len(places)), (len(able), len(places)))
+            else:
+                near = graph.search(flat[able], max(beam, 2 * k))[0][:, :wanted]
+            row, column = np.nonzero(near >= 0)
+            found = places[near[row, column]]
+            score = np.einsum("nd,nd->n", queries[able[row]], vectors[found])
+            table = np.full(near.shape, -np.inf)
+            table[row, column] = score
+            best[able] = -np.sort(-np.concatenate([best[able], table], 1), 1)[:, :wanted]
+            enter = score >= best[able[row], -1]
+            rows.append(able[row[enter]])
+            columns.append(found[enter])
+            scores.append(score[enter])
+        row, found, score = (np.concatenate(x) if x else np.empty(0, t) for x, t in ((rows, np.int64), (columns, np.int64), (scores, np.float64)))
         own = ids[found] != query_ids[row]
         return query_ids[row][own], ids[found][own], score[own]
 
@@ -151,8 +198,8 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20, shard: int = SHARD,
     """The k rows of largest inner product for each row whose vec_id is divisible by `every`: query_id, rank, vec_id, score.
 
     Equal vectors are one class of which the k + 1 smallest ids are enough. Classes are dealt to shards of about `shard` vectors; a task builds
-    its shard's graph and streams all queries past it, in blocks. The graph holds one node for each distinct vector and orders them in single
-    precision; scores are exact inner products in double precision. Recall is not 1 by nature: a wider beam finds more, and a larger
+    its shard's graphs, one for each doubling of the norms, and streams all queries past them, in blocks. A graph holds one node for each distinct
+    vector and orders them in single precision, scaled to its band; scores are exact inner products in double precision. Recall is not 1 by nature: a wider beam finds more, and a larger
     shard compares less: a query's distances in a shard grow far slower than the shard. A task holds 8 * width + 200 bytes
     a vector, and a byte for each of its vectors and 512 queries.
 
@@ -161,18 +208,17 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20, shard: int = SHARD,
     """
     whole = F.expr("size(embedding) > 0 and forall(embedding, x -> x is not null and not isnan(x) and abs(x) < double('infinity')) and exists(embedding, x -> x <> 0)")
     rows = vectors.select(F.col("vec_id").cast("bigint").alias("id"), F.col("embedding").cast("array<double>").alias("embedding")).where("id is not null and embedding is not null").where(whole)
-    norm = F.sqrt(F.expr("aggregate(embedding, 0D, (s, x) -> s + x * x)"))
-    sizes = rows.groupBy(F.size("embedding").alias("d")).agg(F.count("*").alias("n"), F.max(norm).alias("largest")).orderBy(F.desc("n"), "d").limit(1).collect()
+    sizes = rows.groupBy(F.size("embedding").alias("d")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "d").limit(1).collect()
     if not sizes:
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    width, n, largest = sizes[0]["d"], sizes[0]["n"], sizes[0]["largest"]
+    width, n = sizes[0]["d"], sizes[0]["n"]
     rows = one_for_each_id(rows.where(F.size("embedding") == width), "embedding")
     queries = rows.where(F.col("id") % every == 0)
     few = written(smallest_of_class(rows, F.xxhash64("embedding"), k + 1).withColumn("class", F.struct(F.xxhash64("embedding"), F.hash("embedding"))), "vectors")
     heads = few.groupBy("class").agg(F.min("id").alias("id"), F.first("embedding").alias("embedding"))
     shards = max(1, -(-n // shard))
     found = deal(heads.select("id", "embedding"), queries, shards, seed).mapInArrow(
-        lambda it: sharded(it, "embedding", lambda ids, v: shard_search(ids, v, largest, k, beam), ["query_id", "id", "score"]), "query_id bigint, id bigint, score double"
+        lambda it: sharded(it, "embedding", lambda ids, v: shard_search(ids, v, k, beam), ["query_id", "id", "score"]), "query_id bigint, id bigint, score double"
     )
     best = nearest(found, F.desc("score"), k + 1)
     # Members of the classes found; a query's own class is found through its head, or is looked up when the query is the head.
