@@ -5,12 +5,14 @@ Each function takes Columns and gives named Columns; enriched() applies them all
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from waymark.functions import lexicons as lex
 from waymark.functions.names import holds, host, known, named_locality, whole
-from waymark.functions.text import bounded, clean, date_hint, fingerprint, found, has_term, keywords, price_level, sentences, tags, term_count
+from waymark.functions.text import clean, date_hint, fingerprint, found, has_term, keywords, matched, price_level, sentences, tag_sets, tags
 from waymark.operators.quality import suitability
 
 Named = dict[str, Column]
@@ -82,17 +84,29 @@ def rating(text: Column) -> Named:
 
 
 def intents(text: Column) -> Named:
-    return {"context_keys": F.array_sort(tags(text, lex.CONTEXTS)), "branch_ids": F.array_sort(tags(text, lex.TEXT_BRANCHES)), "intent_tags": F.array_sort(tags(text, lex.SIGNAL_INTENTS)), "negative_intent_tags": F.array_sort(tags(text, lex.NEGATIVE_TAGS))}
+    sets = {"context_keys": lex.CONTEXTS, "branch_ids": lex.TEXT_BRANCHES, "intent_tags": lex.SIGNAL_INTENTS, "negative_intent_tags": lex.NEGATIVE_TAGS}
+    all_ = tag_sets(text, sets)
+    return {name: F.array_sort(all_[name]) for name in sets}
+
+
+def scored_tags(text: Column, rules: dict[str, list[str]], score: Callable[[list[Column]], tuple[Column, Column]]) -> Column:
+    """Tag -> score of the tags with hits; score gives hits and score from the numbers of hits of a tag's terms. One pass over the text."""
+
+    def told(count: Callable[[str], Column]) -> Column:
+        found = [(tag, *score([count(t) for t in terms])) for tag, terms in rules.items()]
+        return F.map_from_entries(F.array_compact(F.array(*[F.when(hits > 0, F.struct(F.lit(tag).alias("key"), value.alias("value"))) for tag, hits, value in found])))
+
+    return matched(text, [t for terms in rules.values() for t in terms], told)
 
 
 def suitability_scores(text: Column) -> Column:
     """Tag -> score of every intent tag of the text."""
-    low = F.lower(text)
-    scored = []
-    for tag, terms in lex.SIGNAL_INTENTS.items():
-        hits = sum((low.rlike(bounded(t)).cast("int") for t in terms), F.lit(0))
-        scored.append(F.when(hits > 0, F.struct(F.lit(tag).alias("key"), F.round(F.least(F.lit(1.0), 0.35 + hits * 0.15), 3).alias("value"))))
-    return F.map_from_entries(F.array_compact(F.array(*scored)))
+
+    def score(counts: list[Column]) -> tuple[Column, Column]:
+        hits = sum(((c > 0).cast("int") for c in counts), F.lit(0))
+        return hits, F.round(F.least(F.lit(1.0), 0.35 + hits * 0.15), 3)
+
+    return scored_tags(text, lex.SIGNAL_INTENTS, score)
 
 
 def tri_state(low: Column, positive: list[str], negative: list[str]) -> Column:
@@ -252,17 +266,19 @@ def engine_tags(text: Column) -> Column:
 
 def polarity(text: Column) -> Column:
     """positive or negative where the hits of one list are more than 1.3 times the other's, else mixed."""
-    p, n = term_count(text, lex.POSITIVE), term_count(text, lex.NEGATIVE)
+    both = matched(text, [*lex.POSITIVE, *lex.NEGATIVE], lambda count: F.struct(*[sum(map(count, terms), F.lit(0)).alias(name) for name, terms in (("p", lex.POSITIVE), ("n", lex.NEGATIVE))]))
+    p, n = both["p"], both["n"]
     return F.when(p > n * 1.3, "positive").when(n > p * 1.3, "negative").otherwise("mixed")
 
 
 def engine_scores(text: Column, rating_share: Column, reviews: Column) -> Column:
     """Tag -> suitability of the engine's tags that the text has: hits of their terms, mean share of the best rating, number of reviews."""
-    low, scored = F.lower(text), []
-    for tag, terms in lex.INTENT_TERMS.items():
-        hits = term_count(low, terms)
-        scored.append(F.when(hits > 0, F.struct(F.lit(tag).alias("key"), suitability(hits, rating_share, reviews).alias("value"))))
-    return F.map_from_entries(F.array_compact(F.array(*scored)))
+
+    def score(counts: list[Column]) -> tuple[Column, Column]:
+        hits = sum(counts, F.lit(0))
+        return hits, suitability(hits, rating_share, reviews)
+
+    return scored_tags(text, lex.INTENT_TERMS, score)
 
 
 def engine_metadata(category: Column, locality: Column, text: Column, branches: Column, contexts: Column) -> Named:

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import unicodedata
+from collections.abc import Callable
+from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from waymark.functions import lexicons as lex
 
@@ -29,12 +28,6 @@ def plain(x: Column) -> Column:
     return F.trim(F.lower(F.regexp_replace(ascii_form(F.coalesce(x, F.lit(""))), "[^a-zA-Z0-9]+", " ")))
 
 
-@F.pandas_udf(StringType())
-def folded(x: pd.Series) -> pd.Series:
-    """ASCII form of accented text (NFKD, other characters dropped); the JVM has no function for it."""
-    return x.map(lambda s: None if s is None else unicodedata.normalize("NFKD", s).encode("ascii", "ignore").decode())
-
-
 def fingerprint(x: Column) -> Column:
     return F.nullif(F.regexp_replace(F.lower(x), "[^a-z0-9]+", ""), F.lit(""))
 
@@ -70,17 +63,54 @@ def has_term(x: Column, terms: list[str]) -> Column:
     return F.lower(x).rlike("|".join(bounded(t) for t in terms))
 
 
+def _parts(term: str) -> list[str]:
+    import re
+
+    return re.findall("[a-z0-9]+", term)
+
+
+def matched(x: Column, terms: list[str], told: Callable[[Callable[[str], Column]], Column]) -> Column:
+    """told(count), where count(term) is the number of non-overlapping hits of a term at word boundaries, in one pass over the text.
+
+    The text becomes its runs of letters and digits once, of which those that stand in a term are kept. A term of one run is counted among
+    these; the text is searched only for a term of several, all of whose runs are there.
+    """
+    low, words = F.lower(x), sorted({w for t in terms for w in _parts(t)})
+    if not words:
+        return told(lambda t: F.regexp_count(low, F.lit(bounded(t))))
+    runs = F.filter(F.split(low, "[^a-z0-9]+"), lambda w: w.isin(words))
+
+    def body(some: Column) -> Column:
+        def count(term: str) -> Column:
+            parts = _parts(term)
+            if parts == [term]:
+                return F.size(F.filter(some, lambda w: w == term))
+            there = F.size(F.array_except(F.array(*map(F.lit, parts)), some)) == 0 if parts else F.lit(True)
+            return F.when(there, F.regexp_count(low, F.lit(bounded(term)))).otherwise(0)
+
+        return told(count)
+
+    return F.get(F.transform(F.array(runs), body), F.lit(0))  # the runs are bound, so they are found once
+
+
 def term_count(x: Column, terms: list[str]) -> Column:
     """Non-overlapping hits of all terms, each counted alone."""
-    total = F.lit(0)
-    for t in terms:
-        total = total + F.regexp_count(F.lower(x), F.lit(bounded(t)))
-    return total
+    return matched(x, terms, lambda count: reduce(lambda a, b: a + b, map(count, terms)))
+
+
+def tag_sets(x: Column, sets: dict[str, dict[str, list[str]]]) -> Column:
+    """A struct with the tags of each set of rules, all found in one pass over the text."""
+
+    def told(count: Callable[[str], Column]) -> Column:
+        there = lambda terms: reduce(lambda a, b: a | b, [count(t) > 0 for t in terms])
+        return F.struct(*[F.array_compact(F.array(*[F.when(there(terms), F.lit(tag)) for tag, terms in rules.items()])).alias(name) for name, rules in sets.items()])
+
+    return matched(x, [t for rules in sets.values() for terms in rules.values() for t in terms], told)
 
 
 def tags(x: Column, rules: dict[str, list[str]]) -> Column:
     """Keys of the rules of which a term is found, in the rules' order."""
-    return F.array_compact(F.array(*[F.when(has_term(x, terms), F.lit(tag)) for tag, terms in rules.items()]))
+    return tag_sets(x, {"tags": rules})["tags"]
 
 
 def keyword_score(x: Column, terms: list[str]) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waymark.functions import lexicons as lex
-from waymark.functions.text import bounded, haversine_m
+from waymark.functions.text import bounded, haversine_m, tags
 
 
 @dataclass(frozen=True)
@@ -64,7 +64,7 @@ def whole_terms(entities: DataFrame, query: Query) -> DataFrame:
     hay = F.lower(F.concat_ws(" ", *[F.array_join(c, " ") if kinds[c].startswith("array") else F.col(c) for c in SEARCHED if c in kinds]))
     none = F.array().cast("array<string>")
     own = F.concat(*[F.coalesce(c, none) for c in ("intent_tags", "atmosphere") if c in kinds], none)
-    told = F.array_compact(F.array(*[F.when(hay.rlike("|".join(bounded(k) for k in words)), F.lit(m)) for m, words in lex.MOOD_TERMS.items()]))
+    told = tags(hay, lex.MOOD_TERMS)
     walks = F.when(F.col("category").isin(WALKS), F.array(F.lit("outdoor"), F.lit("good_for_walking"))).otherwise(none)
     out = entities.withColumns({"__hay": hay, "mood_tags": F.array_sort(F.array_distinct(F.concat(own, told, walks)))})
 
