@@ -83,10 +83,16 @@ def rating(text: Column) -> Named:
     return {"rating": first_match(low, lex.RATING).try_cast("double"), "rating_count": whole(first_match(low, lex.RATING_COUNT))}
 
 
-def intents(text: Column) -> Named:
-    sets = {"context_keys": lex.CONTEXTS, "branch_ids": lex.TEXT_BRANCHES, "intent_tags": lex.SIGNAL_INTENTS, "negative_intent_tags": lex.NEGATIVE_TAGS}
-    all_ = tag_sets(text, sets)
-    return {name: F.array_sort(all_[name]) for name in sets}
+INTENTS = {"context_keys": lex.CONTEXTS, "branch_ids": lex.TEXT_BRANCHES, "intent_tags": lex.SIGNAL_INTENTS, "negative_intent_tags": lex.NEGATIVE_TAGS}
+
+
+def intent_sets(text: Column) -> Column:
+    """A struct of the tags that intents() sorts; as a column of its own it is computed once for all of them."""
+    return tag_sets(text, INTENTS)
+
+
+def intents(found: Column) -> Named:
+    return {name: F.array_sort(found[name]) for name in INTENTS}
 
 
 def scored_tags(text: Column, rules: dict[str, list[str]], score: Callable[[list[Column]], tuple[Column, Column]]) -> Column:
@@ -216,8 +222,9 @@ def enriched(entities: DataFrame) -> DataFrame:
     text = clean(F.coalesce("text", F.lit("")))
     given = {c: F.col(c) for c in ("name", "category", "description", "locality", "address", "latitude", "longitude", "website")}
     out: Named = {}
-    for block in (contact, location, timings, pricing, rating, intents, mood, amenities, events):
+    for block in (contact, location, timings, pricing, rating, mood, amenities, events):
         out |= block(text)
+    out |= intents(F.col("__intents"))
     named = out["locality"]
     out["locality"] = F.coalesce(F.nullif(given["locality"], F.lit("")), named)
     first = F.get(sentences(text), F.lit(0))
@@ -226,7 +233,7 @@ def enriched(entities: DataFrame) -> DataFrame:
     out["suitability_scores"] = suitability_scores(text)
     out = beside(entities, out)
     # The longer expressions read the shorter ones as columns of the table before, so each is computed once.
-    step = entities.withColumns({**out, "named_locality": named, "text": text})  # locality reads the column of before
+    step = entities.withColumn("__intents", intent_sets(text)).withColumns({**out, "named_locality": named, "text": text}).drop("__intents")  # locality reads the column of before
     e = {**{c: F.col(c) for c in step.columns}}
     derived = fingerprints(e["name"], e["address"], e["website"], e["phone_numbers"], e["latitude"], e["longitude"], e["text"])
     derived |= {"card": card(e), "event_topics": F.when(e["is_event"], united(e["intent_tags"], e["branch_ids"])), "event_audience": F.when(e["is_event"], e["crowd_type"]), "community_topics": F.when(e["is_community"], e["intent_tags"])}

@@ -75,22 +75,20 @@ def matched(x: Column, terms: list[str], told: Callable[[Callable[[str], Column]
     The text becomes its runs of letters and digits once, of which those that stand in a term are kept. A term of one run is counted among
     these; the text is searched only for a term of several, all of whose runs are there.
     """
-    low, words = F.lower(x), sorted({w for t in terms for w in _parts(t)})
-    if not words:
-        return told(lambda t: F.regexp_count(low, F.lit(bounded(t))))
-    runs = F.filter(F.split(low, "[^a-z0-9]+"), lambda w: w.isin(words))
+    words = sorted({w for t in terms for w in _parts(t)})
+    bound = lambda value, body: F.get(F.transform(F.array(value), body), F.lit(0))  # noqa: E731  the value is computed once
 
-    def body(some: Column) -> Column:
+    def body(low: Column, some: Column) -> Column:
         def count(term: str) -> Column:
             parts = _parts(term)
             if parts == [term]:
                 return F.size(F.filter(some, lambda w: w == term))
             there = F.size(F.array_except(F.array(*map(F.lit, parts)), some)) == 0 if parts else F.lit(True)
-            return F.when(there, F.regexp_count(low, F.lit(bounded(term)))).otherwise(0)
+            return F.when(there, F.when(F.contains(low, F.lit(term)), F.regexp_count(low, F.lit(bounded(term)))).otherwise(0)).otherwise(0)
 
         return told(count)
 
-    return F.get(F.transform(F.array(runs), body), F.lit(0))  # the runs are bound, so they are found once
+    return bound(F.lower(x), lambda low: bound(F.filter(F.split(low, "[^a-z0-9]+"), lambda w: w.isin(words)), lambda some: body(low, some)))
 
 
 def term_count(x: Column, terms: list[str]) -> Column:

@@ -270,7 +270,8 @@ _SCORED = "list_filter([" + ", ".join(f"case when ({h}) > 0 then {quoted(k)} ||
 @query(TEXTS + f"select doc_id, {_tagged(lex.CONTEXTS)} as context_keys, {_tagged(lex.TEXT_BRANCHES)} as branch_ids, {_tagged(lex.SIGNAL_INTENTS)} as intent_tags, {_tagged(lex.NEGATIVE_TAGS)} as negative_intent_tags from c")
 def document_tags(spark, sf):
     """J10 and E13 with their own rules."""
-    return documents_with(spark, sf, dc.intents)
+    t = texts(spark, sf).select("doc_id", dc.intent_sets(tx.clean(F.col("text"))).alias("found"))
+    return t.select("doc_id", *[c.alias(k) for k, c in dc.intents(F.col("found")).items()])
 
 
 @query(TEXTS + f"select doc_id, {_SCORED} as scores from c")
