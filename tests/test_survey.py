@@ -264,7 +264,7 @@ def test_engine_publishes_and_searches(spark, engine):
     reviews = spark.createDataFrame([("r1", "x-1", "web", 4.0, "quiet", "positive", 1.0, ["a"])], "id string, entity_id string, source string, rating double, text string, sentiment string, sentiment_score double, topics array<string>")
     first = engine.publish(reviews, pages_, images)
     counts = {name: engine.published(name).count() for name in publish.SCHEMAS}
-    assert counts["crawler_entities_raw"] == 3 == counts["crawler_entity_quality"] and counts["city_entities"] == 1 == counts["entity_media"] and counts["entity_reviews"] == 0 and counts["crawler_source_pages"] == 1
+    assert counts["entities_raw"] == 3 == counts["entity_quality"] and counts["city_entities"] == 1 == counts["entity_media"] and counts["entity_reviews"] == 0 and counts["source_pages"] == 1
     assert counts["entity_intents"] > 2 and engine.published("city_entities").collect()[0].primary_image_id.endswith(":i1")
     assert engine.publish(reviews, pages_, images) != first
     card = engine.search("quiet places to walk near Begumpet").collect()

@@ -19,15 +19,15 @@ from waymark.operators.tables import keep_first
 
 #: Columns of the served tables: keys first.
 SCHEMAS = {
-    "crawler_entities_raw": "id string, canonical_name string, entity_type string, primary_category string, locality string, address string, latitude double, longitude double, website string, has_media boolean, production_ready boolean, quality_score double, quality_blockers array<string>, quality_missing_fields array<string>",
-    "crawler_entity_quality": "entity_id string, name string, production_ready boolean, score double, missing_fields array<string>, blockers array<string>, warnings array<string>, enrichment_queries array<string>",
+    "entities_raw": "id string, canonical_name string, entity_type string, primary_category string, locality string, address string, latitude double, longitude double, website string, has_media boolean, production_ready boolean, quality_score double, quality_blockers array<string>, quality_missing_fields array<string>",
+    "entity_quality": "entity_id string, name string, production_ready boolean, score double, missing_fields array<string>, blockers array<string>, warnings array<string>, enrichment_queries array<string>",
     "city_entities": "id string, canonical_name string, entity_type string, primary_category string, secondary_categories array<string>, context_keys array<string>, branch_ids array<string>, intent_tags array<string>, description string, locality string, address string, latitude double, longitude double, website string, rating double, rating_count int, confidence_score double, source_count int, status string, primary_image_id string",
     "entity_intents": "entity_id string, intent_tag string, score double, evidence string",
     "entity_sources": "source_key string, entity_id string, source string, source_url string, source_type string, raw_path string, extraction_confidence double",
     "entity_reviews": "id string, entity_id string, source string, rating double, text string, sentiment string, sentiment_score double, topics array<string>",
     "entity_media": "id string, entity_id string, source_url string, mime_type string, byte_size bigint, content_hash string, caption string, labels array<string>, source string, is_primary boolean",
     "entity_relationships": "from_entity_id string, relation_type string, to_entity_id string, target_name string, weight double, evidence string, source_url string",
-    "crawler_source_pages": "url string, title string, description string, source string, source_type string, raw_path string, is_source_page boolean, search_query string, search_rank int",
+    "source_pages": "url string, title string, description string, source string, source_type string, raw_path string, is_source_page boolean, search_query string, search_rank int",
 }
 
 
@@ -81,7 +81,7 @@ def served_tables(entities: DataFrame, reviews: DataFrame, pages: DataFrame, ima
     """The nine tables. An entity without a landed picture is not served; children are those of served entities alone.
 
     reviews: id, entity_id, source, rating, text, sentiment, sentiment_score, topics; rows without id are left out, of equal ids the largest text stays.
-    pages: url and the columns of crawler_source_pages, raw_path deciding between rows of one url. images: url, mime_type, byte_size, content_hash.
+    pages: url and the columns of source_pages, raw_path deciding between rows of one url. images: url, mime_type, byte_size, content_hash.
     """
     c = F.col
     e = entities.withColumn("id", c("id").cast("string"))
@@ -94,9 +94,9 @@ def served_tables(entities: DataFrame, reviews: DataFrame, pages: DataFrame, ima
     raw = rated.select("id", c("name").alias("canonical_name"), "entity_type", c("own_category").alias("primary_category"), "locality", "address", "latitude", "longitude", "website", (F.size("media") > 0).alias("has_media"), "production_ready", "quality_score", c("blockers").alias("quality_blockers"), c("missing").alias("quality_missing_fields"))
     quality = rated.select(c("id").alias("entity_id"), "name", "production_ready", c("quality_score").alias("score"), c("missing").alias("missing_fields"), "blockers", "warnings", "enrichment_queries")
     city = served.select("id", c("name").alias("canonical_name"), "entity_type", kind.alias("primary_category"), c("subcategories").alias("secondary_categories"), "context_keys", "branch_ids", "intent_tags", "description", "locality", "address", "latitude", "longitude", "website", "rating", "rating_count", c("confidence").alias("confidence_score"), F.size("sources").alias("source_count"), F.when(c("production_ready"), "PRODUCTION_READY").otherwise("NEEDS_ENRICHMENT").alias("status"), "primary_image_id")
-    scored = served.select(c("id").alias("entity_id"), F.explode("suitability_scores").alias("intent_tag", "score"), F.lit("crawler suitability score").alias("evidence"))
+    scored = served.select(c("id").alias("entity_id"), F.explode("suitability_scores").alias("intent_tag", "score"), F.lit("suitability score").alias("evidence"))
     unscored = F.array_except(F.array_distinct("intent_tags"), F.coalesce(F.map_keys("suitability_scores"), F.array().cast("array<string>")))
-    plain = served.select(c("id").alias("entity_id"), F.explode(unscored).alias("intent_tag"), F.lit(0.5).alias("score"), F.lit("crawler intent tag").alias("evidence"))
+    plain = served.select(c("id").alias("entity_id"), F.explode(unscored).alias("intent_tag"), F.lit(0.5).alias("score"), F.lit("intent tag").alias("evidence"))
     sources = served.select(c("id").alias("entity_id"), F.posexplode("sources").alias("pos", "s"))
     some = lambda x: F.coalesce(x, F.lit(""))
     sources = sources.withColumn("source_key", F.concat_ws(":", "entity_id", "s.source", some(c("s.url")), some(c("s.raw_path"))))
@@ -106,8 +106,8 @@ def served_tables(entities: DataFrame, reviews: DataFrame, pages: DataFrame, ima
     own = reviews.withColumn("entity_id", c("entity_id").cast("string")).where("id is not null and id <> ''").join(served.select(c("id").alias("entity_id")), "entity_id", "left_semi")
     latest = keep_first(pages.where("url is not null and url <> ''"), [c("url")], [F.desc_nulls_last("raw_path")]).withColumn("is_source_page", F.coalesce("is_source_page", F.lit(True)))
     out = {
-        "crawler_entities_raw": raw, "crawler_entity_quality": quality, "city_entities": city, "entity_intents": scored.unionByName(plain), "entity_sources": sources, "entity_reviews": keep_first(own, [c("id")], [F.desc("text")]),
-        "entity_media": media, "entity_relationships": edges, "crawler_source_pages": latest,
+        "entities_raw": raw, "entity_quality": quality, "city_entities": city, "entity_intents": scored.unionByName(plain), "entity_sources": sources, "entity_reviews": keep_first(own, [c("id")], [F.desc("text")]),
+        "entity_media": media, "entity_relationships": edges, "source_pages": latest,
     }
     return {name: shaped(df, name) for name, df in out.items()}
 

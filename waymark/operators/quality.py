@@ -25,13 +25,19 @@ def recommendable(name: Column, category: Column, status: Column | None = None)
 
 
 def with_quality(entities: DataFrame) -> DataFrame:
-    """missing, blockers, warnings, quality_score and production_ready of each entity."""
-    c = F.col
+    """missing, blockers, warnings, quality_score and production_ready of each entity.
+
+    status, primary_category and extraction_mode count where entities have them: a rejected page fragment is never ready, the primary
+    category goes before the category, and what a page mentions is no title of a list.
+    """
+    c, there = F.col, entities.columns
+    own = F.coalesce(F.nullif("primary_category", F.lit("")), "category") if "primary_category" in there else c("category")
+    status, mode = (c(x) if x in there else None for x in ("status", "extraction_mode"))
     no_place = c("latitude").isNull() | c("longitude").isNull()
     flags = {"name": is_blank(c("name")), "category": is_blank(c("category")), "locality": is_blank(c("locality")), "address": is_blank(c("address")),
              "latitude": c("latitude").isNull(), "longitude": c("longitude").isNull(), "image": is_blank(c("image_id")), "source": c("n_sources") == 0}
-    listy = source_like(c("name"), c("latitude"), c("longitude"))
-    blocks = {"source_or_article_title": listy, "not_recommendation_entity": ~recommendable(c("name"), c("category")), "missing_coordinates": no_place, "missing_image": flags["image"],
+    listy = source_like(c("name"), c("latitude"), c("longitude"), mode)
+    blocks = {"source_or_article_title": listy, "not_recommendation_entity": ~recommendable(c("name"), own, status), "missing_coordinates": no_place, "missing_image": flags["image"],
               "missing_locality": flags["locality"], "missing_address": flags["address"], "missing_source_provenance": flags["source"], "low_confidence": c("confidence") < 0.35}
     warns = {"missing_rating": c("rating").isNull(), "missing_timings": is_blank(c("timings")), "missing_intent_tags": F.size("intent_tags") == 0}
     listed = lambda rules: F.array_sort(F.array_compact(F.array(*[F.when(F.coalesce(v, F.lit(False)), F.lit(k)) for k, v in rules.items()])))

@@ -13,13 +13,23 @@ def keep_first(df: DataFrame, keys: list[Column], order: list[Column]) -> DataFr
     return df.withColumn("__place", place).where("__place = 1").drop("__place")  # a group limit runs before the shuffle
 
 
+def one_of_key(df: DataFrame, key: str, order: list[Column] = ()) -> DataFrame:
+    """Of the rows with one key the first by the order given, then by all columns as JSON, the largest first. Rows with a null key share none: all stay."""
+    own = F.when(F.col(key).isNull(), F.monotonically_increasing_id())
+    return keep_first(df, [F.col(key), own], [*order, F.desc(F.to_json(F.struct(*df.columns)))])
+
+
 def append_unique(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """Old rows, and the new ones whose keys are not there yet, each once."""
     return old.unionByName(new.dropDuplicates(keys).join(old.select(*keys), keys, "left_anti"))
 
 
 def upsert(old: DataFrame, new: DataFrame, key: str, keep: list[str] = ()) -> DataFrame:
-    """New rows replace old ones of the same key, but for the columns in keep, where an old value stays."""
+    """New rows replace old ones of the same key, but for the columns in keep, where an old value stays.
+
+    Of new rows with one key the first of one_of_key counts. Rows with a null key replace none and are all added.
+    """
+    new = one_of_key(new, key)
     kept = old.select(key, *[F.col(c).alias(f"__{c}") for c in keep])
     fresh = new.join(kept, key, "left").select(*[F.coalesce(f"__{c}", c).alias(c) if c in keep else F.col(c) for c in new.columns])
     return old.join(new.select(key), key, "left_anti").unionByName(fresh)

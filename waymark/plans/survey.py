@@ -493,7 +493,7 @@ _STOPS = lex.SERVING_STOPS
 _SERVED = ENTITIES + f""", b as (select id, 'Place ' || (id % 200)::varchar || case when id % 2 = 0 then ' near the Golkonda' else '' end as name, category, locality, address, latitude, longitude, case when id % 53 = 0 then 'REJECTED_PAGE_FRAGMENT' else 'ACTIVE' end as status,
   confidence, rating, rating_count, timings, intent_tags, image_id, n_sources, description from e),
 r as (select *, list_sort(list_filter([case when locality is null then 'locality' end, case when address is null then 'address' end, case when latitude is null then 'latitude' end, case when longitude is null then 'longitude' end, case when image_id is null then 'image' end, case when n_sources = 0 then 'source' end], lambda x: x is not null)) as missing,
-  list_sort(list_filter([case when latitude is null then 'missing_coordinates' end, case when image_id is null then 'missing_image' end, case when locality is null then 'missing_locality' end, case when address is null then 'missing_address' end, case when n_sources = 0 then 'missing_source_provenance' end, case when confidence < 0.35 then 'low_confidence' end], lambda x: x is not null)) as blockers,
+  list_sort(list_filter([case when latitude is null then 'missing_coordinates' end, case when image_id is null then 'missing_image' end, case when locality is null then 'missing_locality' end, case when address is null then 'missing_address' end, case when n_sources = 0 then 'missing_source_provenance' end, case when confidence < 0.35 then 'low_confidence' end, case when status <> 'ACTIVE' then 'not_recommendation_entity' end], lambda x: x is not null)) as blockers,
   list_sort(list_filter([case when rating is null then 'missing_rating' end, case when timings is null then 'missing_timings' end, case when len(intent_tags) = 0 then 'missing_intent_tags' end], lambda x: x is not null)) as warnings from b),
 q as (select *, round(least(1.0::double, greatest(0.0::double, 1 - 0.18::double * len(missing) - 0.25::double * len(blockers) - 0.04::double * len(warnings) + case when address is null then 0 else 0.05::double end + case when image_id is null then 0 else 0.05::double end
   + case when rating is null then 0 else 0.05::double end + case when len(intent_tags) = 0 then 0 else 0.05::double end)), 3) as quality_score, len(blockers) = 0 and len(missing) = 0 as ready from r),
@@ -515,7 +515,7 @@ def published(spark, sf, name: str):
 @query(_SERVED + "select id::varchar as id, name as canonical_name, 'place' as entity_type, category as primary_category, locality, address, latitude, longitude, 'http://w' || id::varchar as website, image_id is not null as has_media, ready as production_ready, quality_score, blockers as quality_blockers, missing as quality_missing_fields from q")
 def served_raw(spark, sf):
     """K10."""
-    return published(spark, sf, "crawler_entities_raw")
+    return published(spark, sf, "entities_raw")
 
 
 _AT = "name || ' ' || coalesce(nullif(locality, ''), 'Hyderabad')"
@@ -524,7 +524,7 @@ _AT = "name || ' ' || coalesce(nullif(locality, ''), 'Hyderabad')"
 @query(_SERVED + f"select id::varchar as entity_id, name, ready as production_ready, quality_score as score, missing as missing_fields, blockers, warnings, list_filter([case when latitude is null then {_AT} || ' exact location' end, case when latitude is null then {_AT} || ' address' end, case when address is null then {_AT} || ' address timings' end, case when image_id is null then {_AT} || ' photos' end, case when image_id is null then {_AT} || ' images' end], lambda x: x is not null) as enrichment_queries from q")
 def served_quality(spark, sf):
     """K11, J7."""
-    return published(spark, sf, "crawler_entity_quality")
+    return published(spark, sf, "entity_quality")
 
 
 _ID_OF = "case when pos = 0 then id::varchar || ':' || image_id else id::varchar || ':' || substr(hash, 1, 20) end"
@@ -536,7 +536,7 @@ def served_entities(spark, sf):
     return published(spark, sf, "city_entities")
 
 
-@query(_SERVED + "select id::varchar as entity_id, 'solo' as intent_tag, 0.25::double + (id % 4) / 10::double as score, 'crawler suitability score' as evidence from s where len(intent_tags) > 0 union all select id::varchar, unnest(list_filter(intent_tags, lambda x: x <> 'solo')), 0.5::double, 'crawler intent tag' from s")
+@query(_SERVED + "select id::varchar as entity_id, 'solo' as intent_tag, 0.25::double + (id % 4) / 10::double as score, 'suitability score' as evidence from s where len(intent_tags) > 0 union all select id::varchar, unnest(list_filter(intent_tags, lambda x: x <> 'solo')), 0.5::double, 'intent tag' from s")
 def served_intents(spark, sf):
     return published(spark, sf, "entity_intents")
 
@@ -564,7 +564,7 @@ def served_reviews(spark, sf):
 @query("with p as (select url, 't' || page_id::varchar as title, null::varchar as description, 'web_page' as source, 'source_page' as source_type, lpad(page_id::varchar, 9, '0') as raw_path, page_id % 3 <> 2 as is_source_page, 'q' as search_query, (page_id % 10)::int as search_rank from pages where coalesce(url, '') <> '') select * from p qualify row_number() over (partition by url order by raw_path desc) = 1")
 def served_pages(spark, sf):
     """K12, S3."""
-    return published(spark, sf, "crawler_source_pages")
+    return published(spark, sf, "source_pages")
 
 
 @query(ENTITIES + """, t as (select conv_id * 3 as id, case when turn % 2 = 0 then 0 else 1 end as kind, lpad(turn::varchar, 6, '0') as n, coalesce(text, '') as text from conversations),

@@ -6,10 +6,10 @@ import hashlib
 import re
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymark.operators.tables import append_unique, dedupe_frontier, next_batch, retried, upsert
+from waymark.operators.tables import append_unique, dedupe_frontier, next_batch, one_of_key, retried, upsert
 
 
 class Versions:
@@ -40,6 +40,11 @@ class Versions:
     def read(self, number: int | None = None) -> DataFrame:
         return self.spark.read.parquet(f"{self.path}/v={self.at if number is None else number:06d}")
 
+    def step(self, number: int, change: Callable[[DataFrame | None], DataFrame]) -> DataFrame:
+        """The version of that number, made from the newest one before it, or from None: the same when it is made again."""
+        before = max((n for n in self.numbers() if n < number), default=0)
+        return self.write(change(self.read(before) if before else None), number)
+
     def drop_before(self, keep: int = 2) -> None:
         """Delete all but the newest `keep` versions."""
         for n in self.numbers()[:-keep]:
@@ -52,6 +57,11 @@ def numbered(rows: DataFrame, above: int) -> DataFrame:
     return rows.withColumn("seq", F.lit(above + 1).cast("bigint") + F.monotonically_increasing_id())
 
 
+def candidate_key(kind: Column | str = "kind", source: Column | str = "source", value: Column | str = "value") -> Column:
+    """What two candidates must not share, as text; a null is a value like others."""
+    return F.to_json(F.struct(F.col(kind).alias("k"), F.col(source).alias("s"), F.lower(value).alias("v")), {"ignoreNullFields": "false"})
+
+
 def crawl(frontier: Versions, visit: Callable[[DataFrame], DataFrame], size: int, rounds: int, max_depth: int = 3, gaps: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Run batches: take the best candidates, visit them, and put children, retries and the rest back.
 
@@ -59,7 +69,9 @@ def crawl(frontier: Versions, visit: Callable[[DataFrame], DataFrame], size: int
     batch is one distributed job, so its candidates are visited side by side. gaps, if given, gets the visits' rows and
     returns candidates (kind, source, value, priority) that the found entities ask for: they join the same queue at depth 0.
     Children are one deeper; a candidate once visited does not come back but as a retry. Visited keys and those that may not be
-    retried are kept as tables beside the frontier, so a later run, in this session or after a restart, knows them.
+    retried are kept as tables beside the frontier, so a later run, in this session or after a restart, knows them. Their versions have
+    the number of the frontier that the batch leads to, so a batch that is run again after a crash writes them again, not twice.
+    A null kind, source or value is a value like others: such a candidate is visited once.
     """
     spark = frontier.spark
     rows = frontier.read()
@@ -70,26 +82,27 @@ def crawl(frontier: Versions, visit: Callable[[DataFrame], DataFrame], size: int
         result = Versions(spark, f"{frontier.path}-visits-{frontier.at}").write(visit(batch), 1)
         if result.isEmpty():
             break
-        key = F.lower("value").alias("key")
-        done = result.select("kind", "source", key).distinct()
-        known = seen.write(append_unique(seen.read(), done, ["kind", "source", "key"]) if seen.at else done)
+        number, key = frontier.at + 1, candidate_key().alias("key")
+        done = result.select(key).distinct()
+        known = seen.step(number, lambda before: append_unique(before, done, ["key"]) if before is not None else done)
         lost = result.where("outcome = 'failed'").select(pending.columns)
         again = retried(lost)
-        final = lost.join(again.select("kind", "source", key), [lost.kind == again.kind, lost.source == again.source, F.lower(lost.value) == F.col("key")], "left_anti")
-        failed.write(failed.read().unionByName(final) if failed.at else final)
+        final = lost.withColumn("key", key).join(again.select(key), "key", "left_anti").drop("key")
+        failed.step(number, lambda before: before.unionByName(final) if before is not None else final)
         top = pending.agg(F.coalesce(F.max("seq"), F.lit(0)).alias("top")).collect()[0]["top"]
         kids = result.where("outcome = 'done'").select("depth", F.explode("children").alias("c"))
         kids = kids.select("c.kind", "c.source", "c.value", "c.priority", (F.col("depth") + 1).cast("int").alias("depth"), F.lit(0).alias("retry_count"))
         if gaps is not None:
             kids = kids.unionByName(gaps(result).select("kind", "source", "value", "priority", F.lit(0).alias("depth"), F.lit(0).alias("retry_count")))
-        fresh = kids.where(F.col("depth") <= max_depth).withColumn("key", F.lower("value")).join(known, ["kind", "source", "key"], "left_anti").drop("key")
-        left = pending.withColumn("key", F.lower("value")).join(done, ["kind", "source", "key"], "left_anti").drop("key")
+        fresh = kids.where(F.col("depth") <= max_depth).withColumn("key", key).join(known, "key", "left_anti").drop("key")
+        left = pending.withColumn("key", key).join(done, "key", "left_anti").drop("key")
         rows = frontier.write(left.unionByName(again.select(left.columns)).unionByName(numbered(fresh, int(top)).select(left.columns)))
     return rows
 
 
 def stream_upserts(stream: DataFrame, table: Versions, key: str, checkpoint: str, keep: list[str] = ()):
-    """Upsert micro-batches into a versioned table: of rows with one key in a batch the last by time wins. Returns the query.
+    """Upsert micro-batches into a versioned table: of rows with one key in a batch the last by time wins, ties go to the largest
+    row as JSON, and rows without a time come before all others. Rows with a null key are all added. Returns the query.
 
     A batch is the version of its own number over what the batch before left, so a batch that is played again after a restart gives
     the same version and loses nothing. The numbers of a checkpoint start above the versions that the table had when it was first
@@ -104,9 +117,8 @@ def stream_upserts(stream: DataFrame, table: Versions, key: str, checkpoint: str
 
     def apply(batch: DataFrame, number: int) -> None:
         own = first_number() + number + 1
-        last = batch.groupBy(key).agg(F.max_by(F.struct(*batch.columns), "ts").alias("r")).select("r.*")
-        before = max((n for n in table.numbers() if n < own), default=0)
-        table.write(upsert(table.read(before), last, key, keep) if before else last, own)
+        last = one_of_key(batch, key, [F.desc_nulls_last("ts")])
+        table.step(own, lambda before: upsert(before, last, key, keep) if before is not None else last)
 
     return stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
