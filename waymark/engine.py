@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -14,21 +15,24 @@ from waymark.functions import text as tx
 from waymark.operators import publish as pb
 from waymark.operators import quality as ql
 from waymark.operators import refine as rf
+from waymark.operators import resolution as rs
 from waymark.operators import search as se
 from waymark.operators.extract import relations
 from waymark.operators.tables import keep_first, upsert
 from waymark.sources import landed
-from waymark.streaming.batches import Versions, crawl, first_frontier, seeded
+from waymark.streaming.batches import Versions, candidate_key, crawl, first_frontier, remove, seeded
+from waymark.streaming.buckets import Buckets
 
 
-#: Columns of an entity. The first ones tell what it is, the later ones where it comes from and what it has.
+#: Columns of an entity. The first ones tell what it is, the later ones where it comes from and what it has, the last two when it was saved:
+#: the version and the place in it, the order in which later ones meet it.
 ENTITY = (
-    "id string, name string, entity_type string, category string, primary_category string, subcategories array<string>, description string, text string, locality string, address string, latitude double, longitude double, "
+    "id string, name string, aliases array<string>, entity_type string, category string, primary_category string, subcategories array<string>, description string, text string, locality string, address string, latitude double, longitude double, "
     "geo_precision string, website string, status string, confidence double, rating double, rating_count bigint, timings string, opening_hours_raw string, price_level string, amenities array<string>, phone_numbers array<string>, "
     "intent_tags array<string>, context_keys array<string>, branch_ids array<string>, suitability_scores map<string,double>, extraction_mode string, has_contact boolean, has_social boolean, has_media boolean, event_known boolean, "
     "community_known boolean, source_names array<string>, source_types array<string>, sources array<struct<source: string, url: string, source_type: string, raw_path: string, extraction_confidence: double>>, "
     "media array<struct<id: string, url: string, source: string, caption: string, labels: array<string>, is_primary: boolean>>, "
-    "relationships array<struct<predicate: string, object_id: string, object_name: string, confidence: double, evidence: string, source_url: string>>"
+    "relationships array<struct<predicate: string, object_id: string, object_name: string, confidence: double, evidence: string, source_url: string>>, turn bigint, place bigint"
 )
 
 
@@ -60,6 +64,7 @@ class Settings:
     min_page_text: int = 500
     max_page_text: int = 12_000
     max_links: int = 20
+    buckets: int = 16
 
 
 class Engine:
@@ -69,7 +74,10 @@ class Engine:
         self.spark, self.root, self.settings = spark, root.rstrip("/"), settings
 
     def table(self, name: str) -> Versions:
-        return Versions(self.spark, f"{self.root}/{name}")
+        """A table: in `buckets` hash buckets by its key if batches change parts of it, else in whole versions."""
+        keys = {"entities": F.col("id"), "blocks": F.col("block"), "frontier": candidate_key()}
+        path = f"{self.root}/{name}"
+        return Buckets(self.spark, path, keys[name], self.settings.buckets) if name in keys else Versions(self.spark, path)
 
     def rows(self, name: str) -> DataFrame | None:
         t = self.table(name)
@@ -92,9 +100,11 @@ class Engine:
         t = self.table("frontier")
         return t.write(seeded(t.read(), seeds) if t.at else seeds)
 
-    def run(self, visit: Callable[[DataFrame], DataFrame], rounds: int = 1, gaps: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
-        """Crawl batches; visit lands what it finds and says what became of each candidate."""
-        return crawl(self.table("frontier"), visit, self.settings.batch, rounds, self.settings.max_depth, gaps)
+    def run(self, visit: Callable[[DataFrame], DataFrame], rounds: int = 1, gaps: Callable[[DataFrame], DataFrame] | None = None, found: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+        """Crawl batches; visit lands what it finds and says what became of each candidate. found gives the entities of a batch's visits: they are
+        resolved against those that are known before the frontier goes on, once for each batch, also where a run broke off between."""
+        land = (lambda result, number: self.resolve(found(result), f"batch {number}")) if found is not None else None
+        return crawl(self.table("frontier"), visit, self.settings.batch, rounds, self.settings.max_depth, gaps, land)
 
     def coverage(self) -> dict[str, list[tuple]]:
         """Counts of entities by category, locality and source, and how far the frontier lags behind."""
@@ -107,10 +117,53 @@ class Engine:
     # Entities ---------------------------------------------------------------------------------------------------------
 
     def add(self, entities: DataFrame) -> DataFrame:
-        """Entities replace those of the same id; new ones are added. Rows of one id count as the one with the most sources, then the largest name."""
-        t, fresh = self.table("entities"), as_entities(entities)
-        once = keep_first(fresh, [F.col("id")], [F.desc(F.size("sources")), F.desc("name")])
-        return t.write(upsert(t.read(), once, "id") if t.at else once)
+        """Entities replace those of the same id; new ones are added. Rows of one id count as the one with the most sources, then the largest name.
+
+        Nothing is compared: resolve() merges what is alike.
+        """
+        t = self.table("entities")
+        once = keep_first(as_entities(entities), [F.col("id")], [F.desc(F.size("sources")), F.desc("name")])
+        return self._save(t.at + 1, self._turned("added", once, t.at + 1))
+
+    def resolve(self, entities: DataFrame, step: str | None = None) -> DataFrame:
+        """Found entities, each merged into the known one that it matches best, or added: see operators.resolution. Returns all entities.
+
+        Only blocks and entities that the found ones reach are read and written. A step that has a name is done once.
+        """
+        t, steps = self.table("entities"), self.table("steps")
+        number = t.at + 1
+        if step is not None and any(n <= t.at and steps.read(n).first()["step"] == step for n in steps.numbers()):
+            return t.read()
+        steps.write(self.spark.createDataFrame([(step,)], "step string"), number)
+        own = self._turned("found", as_entities(entities), number)
+        facts, scratch = rs.facts(own, False), f"{self.root}/scratch/{number:06d}"
+        known = self.spark.createDataFrame([], facts.schema)
+        if t.at:
+            asked = rs.asked_blocks(facts).select("block").distinct()
+            known = self.table("blocks").holding(asked).join(asked, "block", "left_semi").select(facts.columns).dropDuplicates(["node"])
+        members = rs.resolved(facts, known, lambda df: Versions(self.spark, f"{scratch}/{uuid.uuid4().hex}").write(df))
+        rows = own.withColumn("node", rs.found_node())
+        if t.at:
+            met = members.where(F.startswith("node", F.lit("known:"))).select(F.expr("substr(node, 7)").alias("id")).distinct()
+            rows = rows.unionByName(t.holding(met).join(met, "id", "left_semi").withColumn("node", F.concat(F.lit("known:"), "id")))
+        out = self._save(number, rs.folded(members, rows).select(own.columns))
+        remove(self.spark, scratch)
+        return out
+
+    def _turned(self, name: str, rows: DataFrame, number: int) -> DataFrame:
+        """Rows as they are worked off, numbered, written so that the numbers stay."""
+        return self.table(name).write(rows.withColumns({"turn": F.lit(number).cast("bigint"), "place": F.monotonically_increasing_id()}), number)
+
+    def _save(self, number: int, changed: DataFrame) -> DataFrame:
+        """Entities of new content: blocks first, then the entities, whose version makes both count."""
+        t, blocks = self.table("entities"), self.table("blocks")
+        changed = self.table("changed").write(changed, number)
+        fresh = rs.own_blocks(rs.facts(changed, True))
+        gone = fresh.select("block", "id").limit(0)
+        if t.at:
+            gone = rs.own_blocks(rs.facts(t.holding(changed).join(changed.select("id"), "id", "left_semi"), True)).select("block", "id")
+        blocks.change(number, fresh.select("block").unionByName(gone.select("block")), lambda before: fresh if before is None else before.join(gone, ["block", "id"], "left_anti").unionByName(fresh.select(before.columns)))
+        return t.change(number, changed, lambda before: changed if before is None else upsert(before, changed.select(before.columns), "id"))
 
     def bulk(self, elements: DataFrame, group: str = "place") -> DataFrame:
         """Map elements as a table, with the reasons of those that are rejected."""
