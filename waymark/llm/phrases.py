@@ -15,7 +15,7 @@ from pyspark.sql.window import Window
 from waymark.llm.arrowtext import BASES, LOWER, U64, Spans, distinct_words, flat, hash128, mixed, sliced, words
 from waymark.llm.runtime import prepared, written
 
-BATCH = 8 << 20
+BATCH = 4 << 20
 #: Bits for each frequent phrase in what is broadcast, and at most: 32 MB however much the corpus holds.
 BITS, LEAST_BITS, MOST_BITS = 16, 1 << 12, 1 << 28
 #: Parts in which a language's phrases are ranked before the best of each meet.
@@ -37,11 +37,9 @@ class Phrases:
         raw, self.offsets = flat(texts)
         self.data = TEXT[raw]
         self.starts, self.ends, at = words(self.data, self.offsets)
-        stops = np.zeros(len(raw) + 1, np.int64)
-        np.cumsum(STOP[raw], out=stops[1:])
         of = np.repeat(np.arange(len(langs)), np.diff(at))
         # Words of one piece have as many stops before them, and stand in one document.
-        self.piece = stops[self.starts] + of
+        self.piece = np.searchsorted(np.flatnonzero(STOP[raw]), self.starts) + of
         self.form, self.forms = distinct_words(self.data, self.starts, self.ends)
         self.langs = sorted(set(langs))
         number = {x: i for i, x in enumerate(self.langs)}
