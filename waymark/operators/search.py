@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from waymark.functions import lexicons as lex
@@ -52,25 +52,35 @@ def hinted(query: Query, entities: DataFrame) -> Query:
 
 
 SEARCHED = ("name", "category", "subcategories", "locality", "address", "description", "amenities", "intent_tags", "atmosphere", "topics", "review_text")
+RADIUS_M = 6_371_008.8
 WALKS = ["park", "garden", "water", "viewpoint", "fitness_station"]
 
 
-def whole_terms(entities: DataFrame, query: Query) -> DataFrame:
-    """matched_terms and moods by all that entities say: all searched columns that they have, their own tags and their category.
-
-    A term is matched by the text, or by a mood that it asks for or names and that the entity has.
-    """
+def with_words(entities: DataFrame) -> DataFrame:
+    """Entities with __hay, all that they say in lower case, and mood_tags: their own tags, the moods of their words and those of their category."""
     kinds = dict(entities.dtypes)
     hay = F.lower(F.concat_ws(" ", *[F.array_join(c, " ") if kinds[c].startswith("array") else F.col(c) for c in SEARCHED if c in kinds]))
     none = F.array().cast("array<string>")
     own = F.concat(*[F.coalesce(c, none) for c in ("intent_tags", "atmosphere") if c in kinds], none)
     told = tags(hay, lex.MOOD_TERMS)
     walks = F.when(F.col("category").isin(WALKS), F.array(F.lit("outdoor"), F.lit("good_for_walking"))).otherwise(none)
-    out = entities.withColumns({"__hay": hay, "mood_tags": F.array_sort(F.array_distinct(F.concat(own, told, walks)))})
+    return entities.withColumns({"__hay": hay, "mood_tags": F.array_sort(F.array_distinct(F.concat(own, told, walks)))})
+
+
+def asked_moods(term: str) -> list[str]:
+    """Moods by which a term is matched: those that it asks for, and itself if it is one's name."""
+    return sorted({*moods_of((term,)), term})
+
+
+def whole_terms(entities: DataFrame, query: Query) -> DataFrame:
+    """matched_terms and moods by all that entities say: all searched columns that they have, their own tags and their category.
+
+    A term is matched by the text, or by a mood that it asks for or names and that the entity has.
+    """
+    out, none = with_words(entities), F.array().cast("array<string>")
 
     def met(term: str):
-        moods = [m for m in {*moods_of((term,)), term}]
-        return F.col("__hay").rlike(bounded(term)) | F.arrays_overlap("mood_tags", F.array(*map(F.lit, moods)))
+        return F.col("__hay").rlike(bounded(term)) | F.arrays_overlap("mood_tags", F.array(*map(F.lit, asked_moods(term))))
 
     terms = sorted(set(query.terms))
     matched = F.array_compact(F.array(*[F.when(met(t), F.lit(t)) for t in terms])) if terms else none
@@ -78,8 +88,21 @@ def whole_terms(entities: DataFrame, query: Query) -> DataFrame:
     return out.withColumns({"matched_terms": matched, "moods": F.array_sort(F.array_intersect("mood_tags", asked))}).drop("__hay")
 
 
+def standing(entities: DataFrame) -> dict[str, Column]:
+    """What a card is worth whatever is asked: beside a question, and where nothing is asked."""
+    flag = lambda x, w: F.when(x, w).otherwise(0.0)
+    asked = flag(F.col("latitude").isNotNull(), 0.5) + flag(F.col("address").isNotNull(), 0.25) + flag(F.col("image_id").isNotNull(), 0.25)
+    suited = F.lit(0.0)
+    if "suitability_scores" in entities.columns:
+        each = F.transform("intent_tags", lambda t: F.coalesce(F.try_element_at("suitability_scores", t).cast("double"), F.lit(0.0)))
+        suited = F.coalesce(F.aggregate(each, F.lit(0.0), lambda a, x: a + x), F.lit(0.0))
+    popular = F.coalesce(F.col("popularity").cast("double"), F.lit(0.0)) if "popularity" in entities.columns else F.lit(0.0)
+    return {"suited": suited, "shown": asked, "unasked": popular + 0.03 * F.col("n_sources")}
+
+
 def cards(entities: DataFrame, query: Query, whole: bool = False) -> DataFrame:
-    """Entities that match the query, with matched terms, distance and relevance.
+    """Entities that match the query, with matched terms, distance and relevance. A query without terms is met by all: with a hint they are
+    ranked by it and their distance, else by popularity (where entities have it) and sources.
 
     suitability_scores, a map that entities may have, counts with the sum over the intent tags; a tag without a score counts 0.
     whole: terms, moods and the hint by all that entities say (whole_terms); else by six columns and the text alone.
@@ -92,22 +115,18 @@ def cards(entities: DataFrame, query: Query, whole: bool = False) -> DataFrame:
     out = whole_terms(entities, query) if whole else out
     d = F.lit(None).cast("double")
     if query.centre:
-        d = F.round(haversine_m(F.lit(query.centre[0]), F.lit(query.centre[1]), F.col("latitude"), F.col("longitude"), 6_371_008.8) / 1000, 2)
+        d = F.round(haversine_m(F.lit(query.centre[0]), F.lit(query.centre[1]), F.col("latitude"), F.col("longitude"), RADIUS_M) / 1000, 2)
     out = out.withColumn("distance_km", d)
     where = F.lower(F.concat_ws(" ", "name", "locality", "address"))
     at_hint = (where.rlike(bounded(query.hint)) if whole else where.contains(query.hint)) if query.hint else F.lit(False)
+    worth = standing(entities)
     if query.terms or query.moods:
         out = out.where((F.size("matched_terms") > 0) | (F.size("moods") > 0) | (F.lit(bool(query.hint)) & F.coalesce(F.col("distance_km") <= 8, F.lit(False))))
+    if query.terms or query.moods or query.hint:
         near = F.coalesce(F.greatest(F.lit(0.0), 2.5 - 0.25 * F.least(F.col("distance_km"), F.lit(10.0))), F.lit(0.0))
-        flag = lambda x, w: F.when(x, w).otherwise(0.0)
-        score = 0.9 * F.size("matched_terms") + 1.4 * F.size("moods")
-        if "suitability_scores" in entities.columns:
-            each = F.transform("intent_tags", lambda t: F.coalesce(F.try_element_at("suitability_scores", t).cast("double"), F.lit(0.0)))
-            score = score + F.coalesce(F.aggregate(each, F.lit(0.0), lambda a, x: a + x), F.lit(0.0))
-        score = score + flag(at_hint, 3.0) + near
-        score = score + flag(F.col("latitude").isNotNull(), 0.5) + flag(F.col("address").isNotNull(), 0.25) + flag(F.col("image_id").isNotNull(), 0.25)
+        score = 0.9 * F.size("matched_terms") + 1.4 * F.size("moods") + worth["suited"] + F.when(at_hint, 3.0).otherwise(0.0) + near + worth["shown"]
     else:
-        score = F.coalesce(F.col("popularity"), F.lit(0.0)) + 0.03 * F.col("n_sources")
+        score = worth["unasked"]
     return out.withColumn("relevance_score", F.round(score, 3))
 
 
