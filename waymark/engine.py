@@ -17,8 +17,9 @@ from waymark.operators import quality as ql
 from waymark.operators import refine as rf
 from waymark.operators import resolution as rs
 from waymark.operators import search as se
+from waymark.operators import search_index as six
 from waymark.operators.extract import relations
-from waymark.operators.tables import keep_first, upsert
+from waymark.operators.tables import keep_first, top_tokens, upsert
 from waymark.sources import landed
 from waymark.streaming.batches import Versions, candidate_key, crawl, first_frontier, remove, seeded
 from waymark.streaming.buckets import Buckets
@@ -27,12 +28,12 @@ from waymark.streaming.buckets import Buckets
 #: Columns of an entity. The first ones tell what it is, the later ones where it comes from and what it has, the last two when it was saved:
 #: the version and the place in it, the order in which later ones meet it.
 ENTITY = (
-    "id string, name string, aliases array<string>, entity_type string, category string, primary_category string, subcategories array<string>, description string, text string, locality string, address string, latitude double, longitude double, "
-    "geo_precision string, website string, status string, confidence double, rating double, rating_count bigint, timings string, opening_hours_raw string, price_level string, amenities array<string>, phone_numbers array<string>, "
-    "intent_tags array<string>, context_keys array<string>, branch_ids array<string>, suitability_scores map<string,double>, extraction_mode string, has_contact boolean, has_social boolean, has_media boolean, event_known boolean, "
+    "id string, name string, display_name string, aliases array<string>, entity_type string, category string, primary_category string, subcategories array<string>, description string, summary string, text string, locality string, address string, latitude double, longitude double, "
+    "geo_precision string, website string, status string, confidence double, rating double, rating_count bigint, timings string, opening_hours_raw string, price_level string, amenities array<string>, phone_numbers array<string>, emails array<string>, "
+    "intent_tags array<string>, negative_intent_tags array<string>, topics array<string>, sentiment string, popularity double, hidden_gem double, review_count bigint, context_keys array<string>, branch_ids array<string>, suitability_scores map<string,double>, extraction_mode string, has_contact boolean, has_social boolean, has_media boolean, event_known boolean, "
     "community_known boolean, source_names array<string>, source_types array<string>, sources array<struct<source: string, url: string, source_type: string, raw_path: string, extraction_confidence: double>>, "
     "media array<struct<id: string, url: string, source: string, caption: string, labels: array<string>, is_primary: boolean>>, "
-    "relationships array<struct<predicate: string, object_id: string, object_name: string, confidence: double, evidence: string, source_url: string>>, turn bigint, place bigint"
+    "relationships array<struct<predicate: string, object_id: string, object_name: string, confidence: double, evidence: string, source_url: string>>, first_seen_at timestamp, last_seen_at timestamp, turn bigint, place bigint"
 )
 
 
@@ -53,6 +54,11 @@ def as_entities(rows: DataFrame) -> DataFrame:
                           "has_media": F.coalesce("has_media", F.lit(False)) | (F.size("media") > 0), "status": F.coalesce("status", F.lit("ACTIVE"))})
 
 
+#: What a card shows of an entity.
+CARD = ("id", "name", "category", "locality", "address", "latitude", "longitude", "image_id", "timings", "rating", "rating_count", "review_count", "review_snippets", "mood_tags", "intent_tags", "suitability_scores", "matched_terms", "moods", "distance_km",
+        "relevance_score", "source_count", "website")
+
+
 @dataclass(frozen=True)
 class Settings:
     """What a run may be told: bounds of batches and pages, and the goals of reports."""
@@ -152,7 +158,8 @@ class Engine:
 
     def _turned(self, name: str, rows: DataFrame, number: int) -> DataFrame:
         """Rows as they are worked off, numbered, written so that the numbers stay."""
-        return self.table(name).write(rows.withColumns({"turn": F.lit(number).cast("bigint"), "place": F.monotonically_increasing_id()}), number)
+        now = {c: F.coalesce(c, F.current_timestamp()) for c in ("first_seen_at", "last_seen_at")}
+        return self.table(name).write(rows.withColumns({**now, "turn": F.lit(number).cast("bigint"), "place": F.monotonically_increasing_id()}), number)
 
     def _save(self, number: int, changed: DataFrame) -> DataFrame:
         """Entities of new content: blocks first, then the entities, whose version makes both count."""
@@ -163,23 +170,27 @@ class Engine:
         if t.at:
             gone = rs.own_blocks(rs.facts(t.holding(changed).join(changed.select("id"), "id", "left_semi"), True)).select("block", "id")
         blocks.change(number, fresh.select("block").unionByName(gone.select("block")), lambda before: fresh if before is None else before.join(gone, ["block", "id"], "left_anti").unionByName(fresh.select(before.columns)))
-        return t.change(number, changed, lambda before: changed if before is None else upsert(before, changed.select(before.columns), "id"))
+        return t.change(number, changed, lambda before: changed if before is None else upsert(before, changed.select(before.columns), "id", ["first_seen_at"]))
 
     def bulk(self, elements: DataFrame, group: str = "place") -> DataFrame:
         """Map elements as a table, with the reasons of those that are rejected."""
         return self.table("bulk").write(landed.map_entities(elements, group))
 
     def refine(self, reviews: DataFrame | None = None, geocodes: DataFrame | None = None, evidence: DataFrame | None = None) -> DataFrame:
-        """Enrich from texts and reviews, decide, merge web evidence and decide again, and write entities, reviews and relations."""
-        e = self.needed("entities")
+        """Enrich from texts and reviews, decide, merge web evidence and decide again, and write entities, reviews and relations.
+
+        Beside what texts say, entities get the suitability of the engine's tags, topics, sentiment, popularity and the score of hidden gems.
+        """
+        e = self.needed("entities").withColumn("__reviews", F.lit(0))
         if reviews is not None:
-            said = reviews.groupBy("entity_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("id", "text"))), lambda r: F.coalesce(r.text, F.lit(""))), " ").alias("__said"))
-            e = e.join(said, e.id == said.entity_id, "left").drop("entity_id").withColumn("text", F.concat_ws(" ", "text", "__said")).drop("__said")
+            said = reviews.groupBy("entity_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("id", "text"))), lambda r: F.coalesce(r.text, F.lit(""))), " ").alias("__said"), F.count("*").alias("__n"))
+            e = e.join(said, e.id == said.entity_id, "left").drop("entity_id").withColumns({"text": F.concat_ws(" ", "text", "__said"), "__reviews": F.coalesce("__n", F.lit(0))}).drop("__said", "__n")
+            self.table("reviews").write(reviews.select(*[F.col(c).cast("string").alias(c) for c in ("id", "entity_id", "text")]))
         named = dc.enriched(e.withColumn("text", F.concat_ws(" ", "name", "category", "description", "locality", "address", "text")))
         meta = dc.engine_metadata(F.coalesce(F.nullif("primary_category", F.lit("")), "category"), F.col("locality"), F.col("text"), F.col("branch_ids"), F.col("context_keys"))
         named = named.withColumn("has_contact", F.coalesce("has_contact", F.lit(False)) | (F.size("emails") > 0) | (F.size("phone_numbers") > 0))
         tagged = named.withColumns({"branch_ids": meta["branch_ids"], "context_keys": meta["context_keys"], "intent_tags": dc.united(F.col("intent_tags"), meta["intent_tags"])})
-        done = rf.refined(tagged, geocodes)
+        done = rf.refined(self._scored(tagged), geocodes)
         if evidence is not None:
             merged = rf.merged_evidence(done.withColumn("subcategories", F.coalesce("subcategories", F.array().cast("array<string>"))), rf.best_evidence(evidence))
             done = rf.refined(merged.drop("decision", "decision_score", "decision_reasons", "strong_identity", "needs_human_review", "review_reason"), geocodes)
@@ -189,6 +200,19 @@ class Engine:
         self.table("relations").write(relations(out))
         return out
 
+    def _scored(self, e: DataFrame) -> DataFrame:
+        """Entities with what their text, their rating, the number of their reviews and their sources are worth."""
+        n, ratings, sources = F.col("__reviews"), F.coalesce("rating_count", F.lit(0)), F.size(F.array_distinct("source_names"))
+        share = F.coalesce(F.col("rating") / 5, F.lit(0.0))
+        found = dc.engine_scores(F.col("text"), share, n)
+        found = F.when(F.size(found) > 0, found).otherwise(F.create_map(F.lit("explore"), ql.suitability(F.lit(0), share, n)))  # what stands for no tag
+        had = F.map_filter("suitability_scores", lambda k, _: ~F.map_contains_key("__scores", k))
+        rows = e.withColumn("__scores", found).withColumns({
+            "suitability_scores": F.map_concat(had, "__scores"), "sentiment": dc.polarity(F.col("text")), "popularity": ql.popularity(ratings, n, sources), "hidden_gem": ql.hidden_gem(ratings, sources), "review_count": n.cast("bigint"),
+        }).drop("__scores", "__reviews", "topics")
+        said = top_tokens(rows, "id", "text").groupBy(F.col("id").alias("__id")).agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "token"))), lambda t: t.token).alias("topics"))
+        return rows.join(said, rows.id == said["__id"], "left").withColumn("topics", F.coalesce("topics", F.array().cast("array<string>"))).drop("__id")
+
     def validate(self) -> DataFrame:
         """Quality of each refined entity, as a table."""
         return self.table("quality").write(pb.validated(self.needed("refined")).select("id", "name", "missing", "blockers", "warnings", "quality_score", "production_ready", "enrichment_queries"))
@@ -230,10 +254,31 @@ class Engine:
         return landed.registry(self.spark)
 
     def search(self, query: str, limit: int = 100, lat: float | None = None, lon: float | None = None) -> DataFrame:
-        """The best cards of ready entities for a query, as a table of one version beside the others."""
-        ready = pb.validated(self.needed("refined")).where("production_ready").withColumns({"image_id": F.get("media", F.lit(0)).id, "n_sources": F.size("sources")})
-        found = se.top(se.cards(ready, se.hinted(se.compiled(query, lat, lon), ready), whole=True), limit)
-        return self.table("search").write(found.select("id", "name", "category", "locality", "address", "latitude", "longitude", "image_id", "rating", "matched_terms", "moods", "distance_km", "relevance_score", "website"))
+        """The best cards of ready entities for a query, as a table of one version beside the others: from the index of the refined entities where
+        there is one, else from themselves. Their reviews' words count."""
+        at = self.table("indexed")
+        index = None
+        if at.at and (row := at.read().first())["refined"] == self.table("refined").at:
+            index = six.Index(self.spark, row["path"])
+        ready = index.read("cards") if index else self._ready()
+        asked = se.hinted(se.compiled(query, lat, lon), ready)
+        found = six.search(index, asked, limit).cards if index else se.top(se.cards(ready, asked, whole=True), limit)
+        return self.table("search").write(found.select(*CARD))
+
+    def _ready(self) -> DataFrame:
+        """Ready entities as cards are made of them."""
+        ready = pb.validated(self.needed("refined")).where("production_ready").withColumns({"image_id": F.get("media", F.lit(0)).id, "n_sources": F.size("sources"), "source_count": F.size(F.array_distinct("source_names"))})
+        reviews = self.rows("reviews")
+        if reviews is None:
+            reviews = self.spark.createDataFrame([], "id string, entity_id string, text string")
+        return pb.with_reviews(ready.drop("review_count"), reviews, reviews.limit(0))
+
+    def index_cards(self) -> six.Index:
+        """Index the ready entities of the newest refined version for search()."""
+        marker = self.table("indexed")
+        index = six.Index.write(self._ready(), f"{self.root}/index/n={marker.at + 1:06d}")
+        marker.write(self.spark.createDataFrame([(index.path, self.table("refined").at)], "path string, refined long"))
+        return index
 
     def publish(self, reviews: DataFrame, pages: DataFrame, images: DataFrame) -> str:
         """Write the nine served tables as one version, and only then name it as the published one. Returns its folder."""

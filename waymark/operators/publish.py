@@ -21,7 +21,7 @@ from waymark.operators.tables import keep_first
 SCHEMAS = {
     "entities_raw": "id string, canonical_name string, entity_type string, primary_category string, locality string, address string, latitude double, longitude double, website string, has_media boolean, production_ready boolean, quality_score double, quality_blockers array<string>, quality_missing_fields array<string>",
     "entity_quality": "entity_id string, name string, production_ready boolean, score double, missing_fields array<string>, blockers array<string>, warnings array<string>, enrichment_queries array<string>",
-    "city_entities": "id string, canonical_name string, entity_type string, primary_category string, secondary_categories array<string>, context_keys array<string>, branch_ids array<string>, intent_tags array<string>, description string, locality string, address string, latitude double, longitude double, website string, rating double, rating_count int, confidence_score double, source_count int, status string, primary_image_id string",
+    "city_entities": "id string, canonical_name string, display_name string, entity_type string, primary_category string, secondary_categories array<string>, context_keys array<string>, branch_ids array<string>, intent_tags array<string>, negative_intent_tags array<string>, description string, summary string, locality string, address string, latitude double, longitude double, geo_precision string, website string, phone_numbers array<string>, emails array<string>, price_level string, rating double, rating_count int, review_count int, popularity_score double, hidden_gem_score double, confidence_score double, source_count int, status string, primary_image_url string, primary_image_id string, card string, first_seen_at timestamp, last_seen_at timestamp, updated_at timestamp",
     "entity_intents": "entity_id string, intent_tag string, score double, evidence string",
     "entity_sources": "source_key string, entity_id string, source string, source_url string, source_type string, raw_path string, extraction_confidence double",
     "entity_reviews": "id string, entity_id string, source string, rating double, text string, sentiment string, sentiment_score double, topics array<string>",
@@ -93,7 +93,15 @@ def served_tables(entities: DataFrame, reviews: DataFrame, pages: DataFrame, ima
     kind = F.coalesce("own_category", F.lit(""))
     raw = rated.select("id", c("name").alias("canonical_name"), "entity_type", c("own_category").alias("primary_category"), "locality", "address", "latitude", "longitude", "website", (F.size("media") > 0).alias("has_media"), "production_ready", "quality_score", c("blockers").alias("quality_blockers"), c("missing").alias("quality_missing_fields"))
     quality = rated.select(c("id").alias("entity_id"), "name", "production_ready", c("quality_score").alias("score"), c("missing").alias("missing_fields"), "blockers", "warnings", "enrichment_queries")
-    city = served.select("id", c("name").alias("canonical_name"), "entity_type", kind.alias("primary_category"), c("subcategories").alias("secondary_categories"), "context_keys", "branch_ids", "intent_tags", "description", "locality", "address", "latitude", "longitude", "website", "rating", "rating_count", c("confidence").alias("confidence_score"), F.size("sources").alias("source_count"), F.when(c("production_ready"), "PRODUCTION_READY").otherwise("NEEDS_ENRICHMENT").alias("status"), "primary_image_id")
+    had = lambda name, kind: c(name) if name in served.columns else F.lit(None).cast(kind)
+    lists = lambda name: F.coalesce(had(name, "array<string>"), F.array().cast("array<string>")).alias(name)
+    text = lambda name: had(name, "string").alias(name)
+    more = [
+        F.coalesce(F.nullif(had("display_name", "string"), F.lit("")), c("name")).alias("display_name"), lists("negative_intent_tags"), text("summary"), text("geo_precision"), lists("phone_numbers"), lists("emails"), text("price_level"), F.coalesce(had("review_count", "int"), F.lit(0)).alias("review_count"),
+        had("popularity", "double").alias("popularity_score"), had("hidden_gem", "double").alias("hidden_gem_score"), F.lit(None).cast("string").alias("primary_image_url"), (F.to_json("card") if "card" in served.columns else F.lit("{}")).alias("card"), had("first_seen_at", "timestamp").alias("first_seen_at"),
+        had("last_seen_at", "timestamp").alias("last_seen_at"), F.coalesce(had("last_seen_at", "timestamp"), F.current_timestamp()).alias("updated_at"),
+    ]
+    city = served.select("id", *more, c("name").alias("canonical_name"), "entity_type", kind.alias("primary_category"), c("subcategories").alias("secondary_categories"), "context_keys", "branch_ids", "intent_tags", "description", "locality", "address", "latitude", "longitude", "website", "rating", "rating_count", c("confidence").alias("confidence_score"), F.size("sources").alias("source_count"), F.when(c("production_ready"), "PRODUCTION_READY").otherwise("NEEDS_ENRICHMENT").alias("status"), "primary_image_id")
     scored = served.select(c("id").alias("entity_id"), F.explode("suitability_scores").alias("intent_tag", "score"), F.lit("suitability score").alias("evidence"))
     unscored = F.array_except(F.array_distinct("intent_tags"), F.coalesce(F.map_keys("suitability_scores"), F.array().cast("array<string>")))
     plain = served.select(c("id").alias("entity_id"), F.explode(unscored).alias("intent_tag"), F.lit(0.5).alias("score"), F.lit("intent tag").alias("evidence"))

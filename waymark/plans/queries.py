@@ -310,6 +310,18 @@ def search_cards_whole(spark, sf):
     return se.top(se.cards(e, se.hinted(ASKED, e), whole=True), 10).select("id", "name", "matched_terms", "moods", "mood_tags", "distance_km", "relevance_score")
 
 
+@query(SQL["search_cards_whole"])
+def search_indexed(spark, sf):
+    """search_cards_whole from an inverted index over all entities, of which only blocks that can enter are read."""
+    from waymark.operators.scratch import folder
+    from waymark.operators.search_index import Index, search
+
+    scores = F.create_map(*[x for t in _SUITED for x in (F.lit(t), tx.keyword_score(F.col("description"), lex.INTENT_TERMS[t]))])
+    index = Index.write(entities(spark, sf).withColumn("suitability_scores", scores), folder(spark, "index"))
+    found = search(index, se.hinted(ASKED, index.read("cards")), 10)
+    return found.cards.select("id", "name", "matched_terms", "moods", "mood_tags", "distance_km", "relevance_score")
+
+
 @query(_CARDS + "select count(*) as total_cards from s")
 def search_total(spark, sf):
     return se.cards(entities(spark, sf), ASKED).agg(F.count("*").alias("total_cards"))
@@ -362,6 +374,27 @@ def old_new(spark, sf):
     return o.where("o_orderkey % 2 = 0"), o.where("o_orderkey % 3 = 0").withColumn("o_totalprice", F.col("o_totalprice") + 1)
 
 
+_WHOLE = "with o as (select o_orderkey as k, o_totalprice as v from orders), n as (select l_orderkey + 3 as k, max(l_extendedprice) as v from lineitem group by 1) "
+
+
+def whole_sides(spark, sf):
+    """All orders, and all orders of line items under keys of which some are an order's."""
+    old = table(spark, sf, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_totalprice").alias("v"))
+    return old, table(spark, sf, "lineitem").groupBy((F.col("l_orderkey") + 3).alias("k")).agg(F.max("l_extendedprice").alias("v"))
+
+
+@query(_WHOLE + "select * from o union all select * from n where k not in (select k from o)")
+def append_whole(spark, sf):
+    """K3, J14 over whole sides."""
+    return tb.append_unique(*whole_sides(spark, sf), ["k"])
+
+
+@query(_WHOLE + "select * from o where k not in (select k from n) union all select * from n")
+def upsert_whole(spark, sf):
+    """K1, K5 over whole sides."""
+    return tb.upsert(*whole_sides(spark, sf), "k")
+
+
 @query(f"with o as ({_OLD}), n as ({_NEW}) select * from o union all select * from n where o_orderkey not in (select o_orderkey from o)")
 def append_unique(spark, sf):
     return tb.append_unique(*old_new(spark, sf), ["o_orderkey"])

@@ -14,7 +14,7 @@ from waymark.operators import refine as rf
 from waymark.operators import tables as tb
 from waymark.plans.fixtures import CANDIDATES, MAP_ELEMENTS, NAMES, PHRASES, SITES, TEXTS, WEB_PAGES, any_in, any_match, bounded_any, candidates, chain, doubled, first_case, keys_where, map_elements, pick, quoted, served, sidecars, sql_list, sql_pick, texts, web_pages
 from waymark.plans.registry import query
-from waymark.plans.views import ENTITIES, entities, metres, table
+from waymark.plans.views import ENTITIES, FRONTIER, entities, frontier, metres, table
 
 CLEAN = "trim(regexp_replace({x}, '\\s+', ' ', 'g'))"
 
@@ -521,7 +521,7 @@ def served_raw(spark, sf):
 _AT = "name || ' ' || coalesce(nullif(locality, ''), 'Hyderabad')"
 
 
-@query(_SERVED + f"select id::varchar as entity_id, name, ready as production_ready, quality_score as score, missing as missing_fields, blockers, warnings, list_filter([case when latitude is null then {_AT} || ' exact location' end, case when latitude is null then {_AT} || ' address' end, case when address is null then {_AT} || ' address timings' end, case when image_id is null then {_AT} || ' photos' end, case when image_id is null then {_AT} || ' images' end], lambda x: x is not null) as enrichment_queries from q")
+@query(_SERVED + f"select id::varchar as entity_id, name, ready as production_ready, quality_score as score, missing as missing_fields, blockers, warnings, list_filter(case when status <> 'ACTIVE' then []::varchar[] else [case when latitude is null then {_AT} || ' exact location' end, case when latitude is null then {_AT} || ' address' end, case when address is null then {_AT} || ' address timings' end, case when image_id is null then {_AT} || ' photos' end, case when image_id is null then {_AT} || ' images' end] end, lambda x: x is not null) as enrichment_queries from q")
 def served_quality(spark, sf):
     """K11, J7."""
     return published(spark, sf, "entity_quality")
@@ -533,7 +533,35 @@ _ID_OF = "case when pos = 0 then id::varchar || ':' || image_id else id::varchar
 @query(_SERVED + f"select s.id::varchar as id, name as canonical_name, 'place' as entity_type, category as primary_category, [category] as secondary_categories, list_sort(list_distinct(list_append(intent_tags, category))) as context_keys, ['places'] as branch_ids, intent_tags, description, locality, address, latitude, longitude, 'http://w' || s.id::varchar as website, rating, rating_count, confidence as confidence_score, n_sources as source_count, 'PRODUCTION_READY' as status, (select arg_min({_ID_OF}, pos) from m where m.id = s.id) as primary_image_id from s")
 def served_entities(spark, sf):
     """Gated, one for each name and position, with a landed picture."""
-    return published(spark, sf, "city_entities")
+    kept = "id canonical_name entity_type primary_category secondary_categories context_keys branch_ids intent_tags description locality address latitude longitude website rating rating_count confidence_score source_count status primary_image_id"
+    return published(spark, sf, "city_entities").select(*kept.split())
+
+
+def shown(spark, sf):
+    """Served places with what texts and reviews have told of them."""
+    seen = "timestamp'2020-01-01 00:00:00' + make_interval(0, 0, 0, cast(id % 1000 as int))"
+    more = {
+        "display_name": "if(id % 4 = 0, '', if(id % 4 = 1, null, concat('The ', name)))", "negative_intent_tags": "if(id % 3 = 0, array('crowded'), null)", "summary": "if(id % 2 = 0, concat('About ', name), null)", "geo_precision": "if(id % 5 = 0, 'exact', null)",
+        "phone_numbers": "array(concat('+91-', id))", "emails": "if(id % 6 = 0, array(concat('a', id, '@b.example')), null)", "price_level": "if(id % 7 = 0, 'budget', null)", "review_count": "if(id % 8 = 0, null, id % 40)", "popularity": "id % 100 / 100D", "hidden_gem": "if(id % 9 = 0, null, 0.5D)",
+        "card": "named_struct('title', name, 'place', locality)", "first_seen_at": seen, "last_seen_at": seen + " + interval 1 hour",
+    }
+    return served(spark, sf).withColumns({k: F.expr(x) for k, x in more.items()})
+
+
+_SEEN = "timestamp '2020-01-01 00:00:00' + to_days((s.id % 1000)::int)"
+
+
+@query(_SERVED + f"""select s.id::varchar as id, name as canonical_name, case when s.id % 4 > 1 then 'The ' || name else name end as display_name, 'place' as entity_type, category as primary_category, [category] as secondary_categories, list_sort(list_distinct(list_append(intent_tags, category))) as context_keys, ['places'] as branch_ids, intent_tags,
+ case when s.id % 3 = 0 then ['crowded'] else []::varchar[] end as negative_intent_tags, description, case when s.id % 2 = 0 then 'About ' || name end as summary, locality, address, latitude, longitude, case when s.id % 5 = 0 then 'exact' end as geo_precision, 'http://w' || s.id::varchar as website, ['+91-' || s.id::varchar] as phone_numbers,
+ case when s.id % 6 = 0 then ['a' || s.id::varchar || '@b.example'] else []::varchar[] end as emails, case when s.id % 7 = 0 then 'budget' end as price_level, rating, rating_count, case when s.id % 8 = 0 then 0 else s.id % 40 end::int as review_count, s.id % 100 / 100::double as popularity_score, (case when s.id % 9 = 0 then null else 0.5 end)::double as hidden_gem_score,
+ confidence as confidence_score, n_sources as source_count, 'PRODUCTION_READY' as status, null::varchar as primary_image_url, (select arg_min({_ID_OF}, pos) from m where m.id = s.id) as primary_image_id, '{{"title":"' || name || '","place":"' || locality || '"}}' as card,
+ epoch({_SEEN})::double as first_seen, epoch({_SEEN} + interval 1 hour)::double as last_seen, epoch({_SEEN} + interval 1 hour)::double as updated from s""")
+def served_entities_whole(spark, sf):
+    """All columns of a served entity but the raw one; times as seconds."""
+    from waymark.operators.publish import served_tables
+
+    t = served_tables(shown(spark, sf), *sidecars(spark, sf))["city_entities"]
+    return t.withColumns({k: F.unix_micros(f"{k}_at") / 1e6 for k in ("first_seen", "last_seen", "updated")}).drop("first_seen_at", "last_seen_at", "updated_at")
 
 
 @query(_SERVED + "select id::varchar as entity_id, 'solo' as intent_tag, 0.25::double + (id % 4) / 10::double as score, 'suitability score' as evidence from s where len(intent_tags) > 0 union all select id::varchar, unnest(list_filter(intent_tags, lambda x: x <> 'solo')), 0.5::double, 'intent tag' from s")
@@ -721,12 +749,40 @@ def evidence_images(spark, sf):
 _SEEDS = [("query", "openstreetmap", c, 1.0) for c in lex.SEED_CATEGORIES] + [("query", x, "Hyderabad", 0.9) for x in ("wikipedia", "wikidata")] + [("query", "google_search", q, 0.85) for q in lex.SEED_QUERIES]
 
 
-@query("select kind, source, value, priority, 0 as depth, 0 as retry_count, seq::bigint as seq from (values " + ", ".join(f"({quoted(k)}, {quoted(x)}, {quoted(v)}, {p}::double, {i + 1})" for i, (k, x, v, p) in enumerate(_SEEDS)) + ") s(kind, source, value, priority, seq)")
+_OWN = f"case when seq % 7 = 0 then upper({sql_pick(lex.SEED_CATEGORIES, 'seq')}) else value end"
+
+
+@query(FRONTIER + f""", g as (select case when seq % 7 = 0 then 'query' else kind end as kind, case when seq % 7 = 0 then 'openstreetmap' else source end as source, {_OWN} as value, priority, depth, retry_count, seq from f),
+s as (select kind, source, value, priority, 0 as depth, 0 as retry_count, (select coalesce(max(seq), 0) from g) + seq as seq from (values """ + ", ".join(f"({quoted(k)}, {quoted(x)}, {quoted(v)}, {p}::double, {i + 1})" for i, (k, x, v, p) in enumerate(_SEEDS)) + """) s(kind, source, value, priority, seq)),
+u as (select * from g union all select * from s) select kind, source, value, priority, depth, retry_count, seq::bigint as seq from u qualify row_number() over (partition by kind, source, lower(value) order by priority desc, seq) = 1""")
 def seed_frontier(spark, sf):
-    """S28."""
-    from waymark.streaming.batches import first_frontier
+    """The seeds joined to the frontier of events, of which some are the seeds' own in capitals; the better ones stay."""
+    from waymark.streaming.batches import first_frontier, seeded
+
+    own = F.col("seq") % 7 == 0
+    g = frontier(spark, sf).withColumns({"kind": F.when(own, "query").otherwise(F.col("kind")), "source": F.when(own, "openstreetmap").otherwise(F.col("source")), "value": F.when(own, F.upper(pick(lex.SEED_CATEGORIES, "seq"))).otherwise(F.col("value"))})
+    return seeded(g, first_frontier(spark))
+
 
-    return first_frontier(spark)
+def visited_places(spark, sf, name: str, key: str):
+    """Rows of a table as things that are found at a thousand places: names alike or not, some without a position, a site or an address."""
+    t, k = table(spark, sf, name), f"({key} % 1000)"
+    return t.select(
+        F.lit(1).cast("bigint").alias("turn"), F.col(key).cast("bigint").alias("place"), F.concat(F.lit(f"{name}-"), F.col(key).cast("string")).alias("id"), F.concat(F.element_at(F.array(*map(F.lit, NAMES)), F.expr(f"cast({k} % {len(NAMES)} + 1 as int)")), F.expr(f"if({key} % 7 = 3, ' Gate', '')")).alias("name"),
+        F.expr(f"if({key} % 13 = 0, null, 17.2D + ({k} * 37 % 1000) / 2000D + {key} % 3 / 5000D)").alias("latitude"), F.expr(f"if({key} % 13 = 0, null, 78.2D + ({k} * 53 % 1000) / 2500D)").alias("longitude"), F.expr(f"if({key} % 4 = 0, concat('https://site', cast({k} as string), '.example'), null)").alias("website"),
+        F.expr(f"if({key} % 5 = 0, null, concat(cast({k} as string), ' lake road'))").alias("address"),
+    )
+
+
+@query()
+def resolved_places(spark, sf):
+    """J1, J5, X-S4: all customers, found in turn, against all suppliers and each other: the place that each has entered, and as which one."""
+    from waymark.operators import resolution as rs
+    from waymark.operators.scratch import kept
+
+    known, found = visited_places(spark, sf, "supplier", "s_suppkey"), visited_places(spark, sf, "customer", "c_custkey").withColumn("turn", F.lit(2).cast("bigint"))
+    members = rs.resolved(rs.facts(found, False), rs.facts(known, True), kept)
+    return members.select("node", "root", F.col("seq").cast("bigint").alias("seq"))
 
 
 _FROM = ["openstreetmap", "web_page", "firecrawl_page", "reddit", "google_search", "wikipedia", "firecrawl_search", None]
