@@ -54,6 +54,16 @@ def test_bounds_hold_for_every_card(spark, places, index):
         assert scored.join(bounds(index, query, 10), "block", "left").where("bound is null or bound < best").count() == 0
 
 
+def test_many_blocks_are_joined(spark, places, index, monkeypatch):
+    from waymark.operators import search_index
+
+    query = se.compiled("lake park food")
+    want = search(index, query, 10)
+    monkeypatch.setattr(search_index, "FEW", 1)
+    got = search(index, query, 10)
+    assert got.cards.collect() == want.cards.collect() and got.read == want.read > 1
+
+
 def test_queries_without_words(spark, places):
     ranked = se.top(se.cards(places, se.compiled(""), whole=True), 3).collect()
     assert ranked[0].relevance_score == max(round((r.popularity or 0) + 0.03 * r.n_sources, 3) for r in places.collect())

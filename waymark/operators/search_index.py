@@ -20,6 +20,8 @@ from waymark.operators import search as se
 
 #: Entities of a block, a bit of a long for each.
 BLOCK = 64
+#: Blocks that are read by their numbers; more of them are joined.
+FEW = 1000
 #: What rounding of distances and scores can change of a score.
 ROUNDING = 0.005
 #: Parquet row groups of the cards are small, so that the block's statistics let whole ones be skipped.
@@ -29,9 +31,14 @@ ROW_GROUP = 1 << 20
 def zorder(lat: Column, lon: Column, bits: int = 20) -> Column:
     """Position on a space-filling curve; null without a position."""
     cell = lambda x, span: F.least(F.lit((1 << bits) - 1), F.greatest(F.lit(0), F.floor((x / span + 0.5) * (1 << bits)))).cast("bigint")
-    a, b = cell(lat, 180.0), cell(lon, 360.0)
-    spread = lambda x: sum((F.shiftleft(F.shiftright(x, i).bitwiseAND(F.lit(1)), 2 * i) for i in range(bits)), F.lit(0).cast("bigint"))
-    return spread(a) * 2 + spread(b)
+
+    def spread(x: Column) -> Column:
+        """The bits of x at every other place (a well-known sequence of shifts and masks)."""
+        for shift, mask in ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F), (2, 0x3333333333333333), (1, 0x5555555555555555)):
+            x = x.bitwiseOR(F.shiftleft(x, shift)).bitwiseAND(F.lit(mask))
+        return x
+
+    return spread(cell(lat, 180.0)) * 2 + spread(cell(lon, 360.0))
 
 
 def keys_of(entities: DataFrame) -> Column:
@@ -133,7 +140,10 @@ def search(index: Index, query: se.Query, limit: int) -> Found:
     able = bounds(index, query, limit)
     reached = [r[0] for r in able.select(F.explode("least").alias("x")).orderBy(F.desc("x")).limit(limit).collect()]
     chosen = able.where(F.col("bound") >= reached[-1]) if len(reached) == limit else able
-    span = chosen.agg(F.count("*").alias("n"), F.min("block").alias("lo"), F.max("block").alias("hi")).first()
-    # The range of blocks is pushed to the files' statistics, the join leaves the blocks themselves.
-    cards = index.read("cards").where(F.col("block").between(span["lo"] or 0, span["hi"] or 0)).join(chosen.select("block"), "block", "left_semi")
-    return Found(se.top(se.cards(cards, query, whole=True), limit), span["n"], index.read("blocks").count())
+    few = [r["block"] for r in chosen.select("block").limit(FEW + 1).collect()]
+    cards, count = index.read("cards"), len(few)
+    if count <= FEW:  # the numbers are pushed to the files' statistics
+        cards = cards.where(F.col("block").isin(few))
+    else:
+        count, cards = chosen.count(), cards.join(chosen.select("block"), "block", "left_semi")
+    return Found(se.top(se.cards(cards, query, whole=True), limit), count, index.read("blocks").count())
