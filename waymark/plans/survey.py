@@ -744,6 +744,54 @@ def evidence_images(spark, sf):
     return rf.best_images(c, o.groupBy("id", "url").agg(F.max("confidence").alias("confidence")))
 
 
+# Requests ------------------------------------------------------------------------------------------------------------
+
+#: Robots files that hosts may have, with their status; what the query's agent is forbidden by each.
+ROBOTS = [(200, "User-agent: *\nDisallow: /p\n"), (200, "User-agent: *\nAllow: /page\nDisallow: /\n\nUser-agent: other\nDisallow: /\n"), (404, None), (403, None), (None, None), (503, None), (200, "User-agent: waymark\nDisallow:\n\nUser-agent: *\nDisallow: /\n"), (200, "# nothing\n")]
+_ORIGIN = "nullif(regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]+)', 1), '')"
+_FILE = f"(length({_ORIGIN}) + ascii(right({_ORIGIN}, 5))) % {len(ROBOTS)}"
+_PATH = "regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+([^#]*)', 1)"
+
+
+@query(f"""with u as (select page_id, url, {_ORIGIN} as origin, {_FILE} as file, case when {_PATH} = '' then '/' else {_PATH} end as path from pages)
+select page_id, case when file is null then true when file = 0 then not starts_with(path, '/p') when file = 1 then starts_with(path, '/page') or not starts_with(path, '/') when file in (3, 5) then false else true end::varchar as may_fetch from u""")
+def robots_allowed(spark, sf):
+    """pages' urls by the robots files of their hosts."""
+    from waymark.operators.fetching import allowed
+
+    p = table(spark, sf, "pages").select("page_id", "url")
+    origin = F.expr(_ORIGIN)
+    files = F.array(*[F.struct(F.lit(s).cast("int").alias("status"), F.lit(b).cast("string").alias("body")) for s, b in ROBOTS])
+    robots = p.select(origin.alias("origin")).where("origin is not null").distinct().withColumn("f", F.element_at(files, ((F.length("origin") + F.ascii(F.expr("right(origin, 5)"))) % len(ROBOTS) + 1).cast("int"))).select("origin", "f.status", "f.body")
+    return plainly(allowed(p, robots, "waymark/1.0"), "page_id").drop("url")
+
+
+@query("""with recursive r as (select event_id as id, 'h' || (user_id % 40)::varchar as host, (event_id % 5000)::double as arrival, case when event_id % 11 = 0 then 20.0::double when event_id % 7 = 0 then 0.5::double end as hold from events),
+n as (select *, row_number() over (partition by host order by arrival, id) as i, greatest(1.25::double, coalesce(hold, 0)) as gap from r),
+g as (select *, coalesce(sum(gap) over (partition by host order by i rows between unbounded preceding and 1 preceding), 0) as before from n)
+select id, host, before + max(arrival - before) over (partition by host order by i) as start from g""")
+def request_schedule(spark, sf):
+    """The earliest start of each request, with its host's spacing and the times that hosts are closed for."""
+    from waymark.operators.fetching import request_starts
+
+    r = table(spark, sf, "events").selectExpr("event_id as id", "concat('h', cast(user_id % 40 as string)) as host", "cast(event_id % 5000 as double) as arrival", "case when event_id % 11 = 0 then 20D when event_id % 7 = 0 then 0.5D end as hold")
+    return request_starts(r, 1.25).select("id", "host", "start")
+
+
+_STATUS = "case event_id % 6 when 0 then 429 when 1 then 500 when 2 then 404 when 3 then 503 when 4 then 200 end"
+_SAID = "case event_id % 5 when 0 then '7' when 1 then '0' when 2 then '900' when 3 then 'soon' end"
+
+
+@query(f"""with r as (select event_id, {_STATUS} as status, (event_id // 7 % 5)::int as attempt, {_SAID} as said from events)
+select event_id, case when attempt < 3 and (status is null or status in (429, 500, 503)) then case when status = 429 then case said when '7' then 7 when '0' then 1 when '900' then 120 else 30 end else least(120, pow(2, attempt) + 0.25) end end::double as delay from r""")
+def retry_delays(spark, sf):
+    """S22."""
+    from waymark.operators.fetching import retry_delay
+
+    r = table(spark, sf, "events").selectExpr("event_id", f"{_STATUS} as status", "cast(event_id div 7 % 5 as int) as attempt", f"{_SAID} as said")
+    return r.select("event_id", retry_delay(F.col("status"), F.col("attempt"), F.col("said"), F.lit(0.0), F.lit(0.25)).alias("delay"))
+
+
 # Frontier, mentions and merges ---------------------------------------------------------------------------------------
 
 _SEEDS = [("query", "openstreetmap", c, 1.0) for c in lex.SEED_CATEGORIES] + [("query", x, "Hyderabad", 0.9) for x in ("wikipedia", "wikidata")] + [("query", "google_search", q, 0.85) for q in lex.SEED_QUERIES]
