@@ -322,3 +322,12 @@ def test_engine_merges_web_evidence(spark, tmp_path):
     got = {r.id: r for r in e.refine(evidence=scored).collect()}
     assert (got["1"].address, got["1"].latitude, got["1"].status, got["1"].evidence_count) == ("12 Lake Road, Alwal, Hyderabad 500010", 17.4447, "ACTIVE", 1)
     assert (got["2"].address, got["2"].evidence_count) == (None, 0)
+
+
+def test_names_in_scripts_without_case(spark):
+    """Letters that have no case are no lower-case name; a name all in lower case is none."""
+    from waymark.functions import names
+
+    rows = [("హైదరాబాద్ కోట", True), ("حیدرآباد قلعہ", True), ("old fort gate", False), ("Old Fort Gate", True), ("123 456", False)]
+    got = {r.x: r.v for r in spark.createDataFrame([(x,) for x, _ in rows], "x string").select("x", names.valid_name(F.col("x")).alias("v")).collect()}
+    assert got == dict(rows)

@@ -54,6 +54,8 @@ def as_entities(rows: DataFrame) -> DataFrame:
                           "has_media": F.coalesce("has_media", F.lit(False)) | (F.size("media") > 0), "status": F.coalesce("status", F.lit("ACTIVE"))})
 
 
+#: Number of the refinement's rules: a new one makes all entities go through them again.
+RULES = 3
 #: What a card shows of an entity.
 CARD = ("id", "name", "category", "locality", "address", "latitude", "longitude", "image_id", "timings", "rating", "rating_count", "review_count", "review_snippets", "mood_tags", "intent_tags", "suitability_scores", "matched_terms", "moods", "distance_km",
         "relevance_score", "source_count", "website")
@@ -176,9 +178,12 @@ class Engine:
         """Map elements as a table, with the reasons of those that are rejected."""
         return self.table("bulk").write(landed.map_entities(elements, group))
 
-    def refine(self, reviews: DataFrame | None = None, geocodes: DataFrame | None = None, evidence: DataFrame | None = None) -> DataFrame:
+    def refine(self, reviews: DataFrame | None = None, geocodes: DataFrame | None = None, evidence: DataFrame | None = None, everything: bool = False) -> DataFrame:
         """Enrich from texts and reviews, decide, merge web evidence and decide again, and write entities, reviews and relations.
 
+        Only entities whose inputs (their own row, reviews, geocoder's answer, evidence, and the number of the rules) differ from those
+        that the newest refined version was made of go through; the others are carried over. everything: all go through.
+
         Beside what texts say, entities get the suitability of the engine's tags, topics, sentiment, popularity and the score of hidden gems.
         """
         e = self.needed("entities").withColumn("__reviews", F.lit(0))
@@ -186,6 +191,11 @@ class Engine:
             said = reviews.groupBy("entity_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("id", "text"))), lambda r: F.coalesce(r.text, F.lit(""))), " ").alias("__said"), F.count("*").alias("__n"))
             e = e.join(said, e.id == said.entity_id, "left").drop("entity_id").withColumns({"text": F.concat_ws(" ", "text", "__said"), "__reviews": F.coalesce("__n", F.lit(0))}).drop("__said", "__n")
             self.table("reviews").write(reviews.select(*[F.col(c).cast("string").alias(c) for c in ("id", "entity_id", "text")]))
+        e = self._with_inputs(e, geocodes, evidence)
+        before, same = self.rows("refined"), None
+        if before is not None and "inputs" in before.columns and not everything:
+            same = before.join(e.select("id", "inputs"), ["id", "inputs"], "left_semi")
+            e = e.join(before.select("id", "inputs"), ["id", "inputs"], "left_anti")
         named = dc.enriched(e.withColumn("text", F.concat_ws(" ", "name", "category", "description", "locality", "address", "text")))
         meta = dc.engine_metadata(F.coalesce(F.nullif("primary_category", F.lit("")), "category"), F.col("locality"), F.col("text"), F.col("branch_ids"), F.col("context_keys"))
         named = named.withColumn("has_contact", F.coalesce("has_contact", F.lit(False)) | (F.size("emails") > 0) | (F.size("phone_numbers") > 0))
@@ -194,12 +204,24 @@ class Engine:
         if evidence is not None:
             merged = rf.merged_evidence(done.withColumn("subcategories", F.coalesce("subcategories", F.array().cast("array<string>"))), rf.best_evidence(evidence))
             done = rf.refined(merged.drop("decision", "decision_score", "decision_reasons", "strong_identity", "needs_human_review", "review_reason"), geocodes)
-        out = self.table("refined").write(done)
+        out = self.table("refined").write(done if same is None else done.unionByName(same, allowMissingColumns=True))
         signals = out.select("id", F.explode(tx.review_signals(F.col("id"), F.col("text"))).alias("s")).select("s.id", F.col("id").alias("entity_id"), "s.idx", "s.text")
         self.table("signals").write(signals)
         self.table("relations").write(relations(out))
         return out
 
+    def _with_inputs(self, e: DataFrame, *more: DataFrame | None) -> DataFrame:
+        """Entities with a fingerprint of all that their refinement reads; more: tables with rows for ids, in any order."""
+        own = [c for c in e.columns if c not in ("turn", "place")]
+        e = e.withColumn("inputs", F.xxhash64(F.lit(RULES), F.to_json(F.struct(*own))))
+        for rows in more:
+            if rows is None:
+                e = e.withColumn("inputs", F.xxhash64("inputs", F.lit(None).cast("bigint")))
+                continue
+            sums = rows.groupBy(F.col("id").alias("__of")).agg(F.sum(F.xxhash64(F.to_json(F.struct(*rows.columns))).cast("decimal(20,0)")).alias("__sum"))
+            e = e.join(sums, e.id == sums["__of"], "left").withColumn("inputs", F.xxhash64("inputs", F.coalesce("__sum", F.lit(0)).cast("string"))).drop("__of", "__sum")
+        return e
+
     def _scored(self, e: DataFrame) -> DataFrame:
         """Entities with what their text, their rating, the number of their reviews and their sources are worth."""
         n, ratings, sources = F.col("__reviews"), F.coalesce("rating_count", F.lit(0)), F.size(F.array_distinct("source_names"))

@@ -135,7 +135,7 @@ def valid_name(x: Column) -> Column:
     w = F.regexp_extract_all(x, F.lit("[A-Za-z0-9]+"), F.lit(0))
     tour = meets(F.transform(w, F.lower), lex.TOUR_WORDS) & ~holds(low, lex.TOUR_HINTS)
     bad = low.rlike(lex.MENTION_LABEL) | low.isin(lex.BAD_MENTIONS) | holds(low, lex.MENTION_NOISE) | low.rlike(lex.MENTION_FILE) | holds(low, lex.ARTICLE_TERMS)
-    shape = F.length(x).between(3, 80) & (F.size(w) <= 8) & ((F.size(w) != 1) | low.isin(lex.ONE_WORD_NAMES)) & x.rlike(r"\p{L}") & (low != x)
+    shape = F.length(x).between(3, 80) & (F.size(w) <= 8) & ((F.size(w) != 1) | low.isin(lex.ONE_WORD_NAMES)) & x.rlike(r"\p{L}") & ~(x.rlike(r"\p{Ll}") & ~x.rlike(r"[\p{Lu}\p{Lt}]"))
     return F.coalesce(shape & ~bad & ~tour, F.lit(False))
 
 
