@@ -21,11 +21,16 @@ def clean(x: Column) -> Column:
     return F.trim(F.regexp_replace(x, r"(?U)\s+", " "))
 
 
+def folded(x: Column) -> Column:
+    """ASCII form of accented text."""
+    from waymark.functions import names  # which reads this module
+
+    return names.folded(x)
+
+
 def plain(x: Column) -> Column:
     """Lower-case words of letters and digits, accents and other marks folded."""
-    from waymark.functions.names import folded as ascii_form
-
-    return F.trim(F.lower(F.regexp_replace(ascii_form(F.coalesce(x, F.lit(""))), "[^a-zA-Z0-9]+", " ")))
+    return F.trim(F.lower(F.regexp_replace(folded(F.coalesce(x, F.lit(""))), "[^a-zA-Z0-9]+", " ")))
 
 
 def fingerprint(x: Column) -> Column:
