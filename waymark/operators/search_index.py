@@ -145,5 +145,5 @@ def search(index: Index, query: se.Query, limit: int) -> Found:
     if count <= FEW:  # the numbers are pushed to the files' statistics
         cards = cards.where(F.col("block").isin(few))
     else:
-        count, cards = chosen.count(), cards.join(chosen.select("block"), "block", "left_semi")
+        count, cards = chosen.count(), cards.join(chosen.select("block"), "block", "left_semi").select(cards.columns)
     return Found(se.top(se.cards(cards, query, whole=True), limit), count, index.read("blocks").count())
