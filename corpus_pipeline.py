@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from waymark.llm import minhash, packing, quality, substring, toxicity
 from waymark.llm.queries import table, vocabulary
-from waymark.llm.runtime import scratch, written
+from waymark.llm.runtime import large, scratch, written
 
 # All stages: columns of documents, whatever they are, stay in their order and types; an empty table gives an empty one. n_chars is only
 # rewritten where it is there. Rows whose doc_id is null go through like others, each on its own unless a stage says so.
@@ -44,10 +44,10 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     keyed = beside(docs).withColumn("row_key", F.coalesce("doc_id", F.lit(1 << 62) + F.xxhash64("text").bitwiseAND(F.lit((1 << 62) - 1))))
     found = minhash.near_duplicates(keyed.select(F.col("row_key").alias("doc_id"), "text"), k=5, percent=80)
     gone = written(found.where("not kept").select(F.col("doc_id").alias("row_key")).distinct(), "gone")
-    again = written(keyed.groupBy("row_key").agg(F.count("*").alias("n")).where("n > 1").select("row_key").join(gone, "row_key", "left_anti"), "again")
-    once = keyed.join(gone.unionByName(again), "row_key", "left_anti").drop("row_key")
+    again = written(keyed.groupBy("row_key").agg(F.count("*").alias("n")).where("n > 1").select("row_key").join(large(gone), "row_key", "left_anti"), "again")
+    once = keyed.join(large(gone.unionByName(again)), "row_key", "left_anti").drop("row_key")
     own = F.struct("doc_id", "text", "row")
-    least = keyed.join(again, "row_key", "left_semi").groupBy("row_key", "text").agg(F.min_by(own, F.to_json("row")).alias("least"))
+    least = keyed.join(large(again), "row_key", "left_semi").groupBy("row_key", "text").agg(F.min_by(own, F.to_json("row")).alias("least"))
     return as_before(once.unionByName(least.select("least.*")), docs)
 
 

@@ -61,3 +61,16 @@ def test_stages_take_odd_tables(spark):
     assert cut == {(1, "x"): text, (2, "y"): other, (None, "z"): text, (3, "w"): None, (4, "v"): ""}
     packed = corpus_pipeline.packing_stage(spark, docs, SF).collect()
     assert len(packed) == 6 and sorted(r.length for r in packed)[:2] == [1, 1] and corpus_pipeline.packing_stage(spark, docs.limit(0), SF).count() == 0
+
+
+def test_dedup_stages_broadcast_no_table(spark):
+    """Tables that grow with the documents stay out of the driver, however small they are."""
+    texts = [" ".join(f"{'abc'[d % 3]}{i * (d % 7 + 1)}" for i in range(40)) + f" shared {' '.join(f's{i}' for i in range(30))} {d % 5}" for d in range(60)]
+    docs = spark.createDataFrame([(d, t if d % 4 else texts[0] + " x" * (d % 3), "x") for d, t in enumerate(texts)], "doc_id long, text string, lang string").repartition(3)
+    store = spark._jsparkSession.sharedState().statusStore()
+    for stage in (corpus_pipeline.near_duplicate_stage, corpus_pipeline.substring_stage):
+        before = store.executionsCount()
+        assert 0 < stage(spark, docs, SF).count() <= 60
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+        plans = [store.executionsList().apply(i).physicalPlanDescription() for i in range(before, store.executionsCount())]
+        assert any("SortMergeJoin" in p for p in plans) and not any("BroadcastExchange" in p for p in plans), stage.__name__

@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waymark.llm.runtime import written
+from waymark.llm.runtime import large, written
 
 #: Edges up to which one task joins them all in memory (about 100 MB); more go through distributed rounds.
 ONE_TASK = 400_000
@@ -53,9 +53,9 @@ def components(edges: DataFrame, one_task: int = ONE_TASK) -> DataFrame:
     both = written(forest.union(forest.select(F.col("b"), F.col("a"))).distinct(), "edges")
     labels = written(both.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.first("a")).alias("label")), "labels")
     while True:
-        near = both.join(labels, both.b == labels.id).groupBy(F.col("a").alias("id")).agg(F.min("label").alias("near"))
+        near = both.join(large(labels), both.b == labels.id).groupBy(F.col("a").alias("id")).agg(F.min("label").alias("near"))
         jump = labels.select(F.col("id").alias("label"), F.col("label").alias("far"))
-        new = labels.join(near, "id").join(jump, "label", "left").select("id", F.least("label", "near", "far").alias("new"), "label")
+        new = labels.join(large(near), "id").join(large(jump), "label", "left").select("id", F.least("label", "near", "far").alias("new"), "label")
         new = written(new, "labels")
         if new.where("new <> label").isEmpty():
             return labels

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from waymark.llm.arrowtext import LOWER, flat, mixed, signed, sliced, word_hashes, words
 from waymark.llm.graph import components
-from waymark.llm.runtime import prepared, salted, written
+from waymark.llm.runtime import large, prepared, salted, written
 
 #: A pair at similarity 0.8 shares no band with probability (1 - 0.8 ** ROWS) ** BANDS = 3e-6.
 BANDS, ROWS = 32, 5
@@ -285,10 +285,10 @@ def exact(pairs: DataFrame, documents: DataFrame, k: int, percent: int) -> DataF
     """Those pairs (a, b) whose full shingle sets are similar enough. a is the centre; one with many partners gets several copies."""
     split = F.greatest(F.lit(1), F.ceil(F.col("n") / BESIDE)).cast("int")
     size = pairs.groupBy("a").agg(F.count("*").alias("n")).select("a", split.alias("parts"))
-    members = salted(pairs, size, ["a"], F.col("b"), "inner").select(F.col("b").alias("id"), F.col("a").alias("grp"), F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("role"))
+    members = salted(pairs, large(size), ["a"], F.col("b"), "inner").select(F.col("b").alias("id"), F.col("a").alias("grp"), F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("role"))
     centres = size.select(F.col("a").alias("id"), F.col("a").alias("grp"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("role"))
     rows = members.unionByName(centres)
-    texts = documents.select(F.col("doc_id").alias("id"), "text").join(rows, "id").select("grp", "part", "role", "id", "text")
+    texts = documents.select(F.col("doc_id").alias("id"), "text").join(large(rows), "id").select("grp", "part", "role", "id", "text")
     sets = texts.mapInArrow(lambda it: sets_of(it, k), "grp bigint, part int, role int, id bigint, hashes binary")
     return sets.repartition("grp", "part").sortWithinPartitions("grp", "part", "role", "id").mapInArrow(lambda it: verified(it, percent), "a bigint, b bigint")
 
@@ -298,10 +298,10 @@ def family_links(families: DataFrame, labels: DataFrame, sigs: DataFrame, docume
 
     A family's members go to blocks; those outside its largest component, the stragglers, go to every block, with their sets.
     """
-    of = written(families.select("id", F.col("label").alias("family")).join(labels, "id", "left").select("id", "family", F.coalesce("label", "id").alias("label")), "families")
+    of = written(families.select("id", F.col("label").alias("family")).join(large(labels), "id", "left").select("id", "family", F.coalesce("label", "id").alias("label")), "families")
     parts = of.groupBy("family", "label").agg(F.count("*").alias("size")).groupBy("family").agg(F.max_by("label", F.struct("size", -F.col("label"))).alias("largest"), F.sum("size").alias("n"))
-    rows = salted(of, parts.where("n > 1"), ["family"], F.col("id"), "inner").withColumn("straggler", F.expr("label <> largest")).withColumn("blocks", F.ceil(F.col("n") / FAMILY).cast("int"))
-    texts = documents.select(F.col("doc_id").alias("id"), "text").join(rows, "id").join(sigs, "id").select("family", "id", "label", "straggler", "blocks", "sig", "text")
+    rows = salted(of, large(parts.where("n > 1")), ["family"], F.col("id"), "inner").withColumn("straggler", F.expr("label <> largest")).withColumn("blocks", F.ceil(F.col("n") / FAMILY).cast("int"))
+    texts = documents.select(F.col("doc_id").alias("id"), "text").join(large(rows), "id").join(large(sigs), "id").select("family", "id", "label", "straggler", "blocks", "sig", "text")
     sets = texts.mapInArrow(lambda it: sets_of(it, k), "family bigint, id bigint, label bigint, straggler boolean, blocks int, sig binary, hashes binary")
     own = F.array(F.struct(F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"), F.lit(0).alias("role")))
     every = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda i: F.struct(i.alias("block"), F.lit(1).alias("role")))
@@ -319,6 +319,8 @@ def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80) -> Data
        against all others. Those that pruning leaves connected are a family, whose components are compared again in blocks that hold the full
        sets, until they are joined or every survivor is verified. No bucket, candidate or partner is capped.
 
+    All joins sort both sides; no table that grows with the documents goes through the driver.
+
     Losses: a pair at the threshold shares no band with probability 3e-6, and is pruned with one below 1e-9 a batch.
 
     Null or empty text: no shingles, linked with nothing, its own component. A null doc_id is ignored. Rows that repeat an id
@@ -332,18 +334,18 @@ def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80) -> Data
     bands = written(sigs.mapInArrow(banded, "bucket bigint, id bigint"), "bands")
     shared = bands.groupBy("bucket").agg(F.min("id").alias("least"), F.max("id").alias("most"), F.count("*").alias("n")).where("least < most")
     shared = written(shared.select("bucket", "least", "n"), "buckets")
-    stars = salted(bands, shared, ["bucket"], F.col("id"), "inner").where("id <> least").select(F.col("least").alias("a"), F.col("id").alias("b")).distinct()
-    with_sigs = lambda p: p.join(sigs.select(F.col("id").alias("b"), F.col("sig").alias("sig_b")), "b").join(sigs.select(F.col("id").alias("a"), F.col("sig").alias("sig_a")), "a")
+    stars = salted(bands, large(shared), ["bucket"], F.col("id"), "inner").where("id <> least").select(F.col("least").alias("a"), F.col("id").alias("b")).distinct()
+    with_sigs = lambda p: p.join(large(sigs.select(F.col("id").alias("b"), F.col("sig").alias("sig_b"))), "b").join(large(sigs.select(F.col("id").alias("a"), F.col("sig").alias("sig_a"))), "a")
     found = with_sigs(stars).select("a", "b", "sig_a", "sig_b").mapInArrow(lambda it: likely(it, threshold), "a bigint, b bigint, matches bigint")
     best = found.groupBy("b").agg(F.max_by("a", F.struct("matches", -F.col("a"))).alias("a")).select("a", "b")
     edges = written(exact(written(best, "pairs"), documents, k, percent), "links")
     labels = components(edges)
 
-    named = bands.join(shared.select("bucket", "n"), "bucket").join(labels, "id", "left").select("bucket", "id", "n", F.coalesce("label", "id").alias("label"))
+    named = bands.join(large(shared.select("bucket", "n")), "bucket").join(large(labels), "id", "left").select("bucket", "id", "n", F.coalesce("label", "id").alias("label"))
     parts = named.groupBy("bucket", "label").agg(F.count("*").alias("size"), F.first("n").alias("n"))
     several = parts.groupBy("bucket").agg(F.max_by("label", F.struct("size", -F.col("label"))).alias("largest"), F.min("label").alias("lo"), F.max("label").alias("hi"), F.first("n").alias("n")).where("lo < hi")
     several = written(several.select("bucket", "largest", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "mixed")
-    open_ = salted(bands, several, ["bucket"], F.col("id"), "inner").join(labels, "id", "left").join(sigs, "id")
+    open_ = salted(bands, large(several), ["bucket"], F.col("id"), "inner").join(large(labels), "id", "left").join(large(sigs), "id")
     open_ = open_.select("bucket", "id", "sig", "largest", "blocks", F.coalesce("label", "id").alias("label"))
     own = open_.select("bucket", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"), F.lit(0).alias("role"), "id", "label", "sig")
     others = open_.where("label <> largest").select("bucket", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(1).alias("role"), "id", "label", "sig")
@@ -351,7 +353,7 @@ def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80) -> Data
     near = written(dealt.mapInArrow(lambda it: crossed(it, threshold), "a bigint, b bigint").distinct(), "near")
     if not near.isEmpty():
         labels = components(edges.unionByName(written(family_links(components(near), labels, sigs, documents, k, percent), "links")))
-    named = classes.select("k1", "k2", "id").join(labels, "id", "left").select("k1", "k2", F.coalesce("label", "id").alias("component_id"))
-    with_sets = salted(sketch.where("k1 is not null").select("doc_id", "n_shingles", "k1", "k2"), named, ["k1", "k2"], F.col("doc_id"), "inner").select("doc_id", "n_shingles", "component_id")
+    named = classes.select("k1", "k2", "id").join(large(labels), "id", "left").select("k1", "k2", F.coalesce("label", "id").alias("component_id"))
+    with_sets = salted(sketch.where("k1 is not null").select("doc_id", "n_shingles", "k1", "k2"), large(named), ["k1", "k2"], F.col("doc_id"), "inner").select("doc_id", "n_shingles", "component_id")
     without = sketch.where("k1 is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return with_sets.unionByName(without).withColumn("kept", F.expr("doc_id = component_id"))

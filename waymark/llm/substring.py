@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from pyspark.sql.types import StructType
 
 from waymark.llm.arrowtext import BASES, Spans, flat, ragged, signed, sliced, word_hashes, words
-from waymark.llm.runtime import prepared, written
+from waymark.llm.runtime import large, prepared, written
 
 #: Words of an anchor. Of the windows of `length` words, each picks the least of its length - ANCHOR + 1 anchors.
 ANCHOR = 8
@@ -270,7 +270,7 @@ def repeats(documents: DataFrame, length: int) -> DataFrame:
     dealt = seeds.repartition(F.coalesce("anchor", F.xxhash64("doc_id", "start"))).sortWithinPartitions("anchor", "extent", "doc_id", "start")
     ranges = written(dealt.mapInArrow(extended, RANGES), "ranges")
     open_ = ranges.where(F.col("kind") == OPEN).groupBy("doc_id").agg(F.collect_list(F.struct("start", "windows")).alias("r"))
-    with_text = documents.join(open_, "doc_id").select("doc_id", "text", F.col("r.start").alias("starts"), F.col("r.windows").alias("counts"))
+    with_text = documents.join(large(open_), "doc_id").select("doc_id", "text", F.col("r.start").alias("starts"), F.col("r.windows").alias("counts"))
     windows = written(with_text.mapInArrow(lambda it: opened(it, length), WINDOWS), "windows")
     own = windows.where("w1 is null").select("doc_id", "start", "of_doc", "of_start")
     over = windows.where("w1 is not null").select("w1", "w2", "doc_id", "start").repartition("w1", "w2").sortWithinPartitions("w1", "w2", "doc_id", "start").mapInArrow(settled, MATCHES)
@@ -295,6 +295,6 @@ def remove_repeats(documents: DataFrame, length: int = 20) -> DataFrame:
     parts = ("start", "windows", "of_doc", "of_start")
     ranges = repeats(known, length).groupBy("doc_id").agg(F.collect_list(F.struct(*parts)).alias("found"))
     none = F.array().cast("array<struct<start: bigint, windows: int, of_doc: bigint, of_start: bigint>>")
-    joined = documents.join(ranges, "doc_id", "left").select(*documents.columns, F.coalesce("found", none).alias("found"))
+    joined = documents.join(large(ranges), "doc_id", "left").select(*documents.columns, F.coalesce("found", none).alias("found"))
     added = T._parse_datatype_string(f"n_words bigint, n_removed bigint, kept_sha256 string, kept_text string, repeats {REPEATS}")
     return joined.mapInArrow(lambda it: cut(it, length), StructType([*documents.schema.fields, *added.fields]))
