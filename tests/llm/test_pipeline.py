@@ -2,12 +2,14 @@
 
 import os
 import re
+import tracemalloc
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
 import corpus_pipeline
-from waymark.llm import quality, toxicity
+from waymark.llm import minhash, quality, substring, toxicity
 
 SF = "/root/testdata/sf0.001"
 WORDS = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -74,3 +76,20 @@ def test_dedup_stages_broadcast_no_table(spark):
         spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
         plans = [store.executionsList().apply(i).physicalPlanDescription() for i in range(before, store.executionsCount())]
         assert any("SortMergeJoin" in p for p in plans) and not any("BroadcastExchange" in p for p in plans), stage.__name__
+
+
+def test_a_worker_holds_few_arrays_at_once():
+    """Two tasks of an executor share what its heap leaves: a batch of 8 MB of text takes far less than 100 MB in each stage's function."""
+    words_of = np.random.default_rng(1).integers(0, 3000, (3800, 400))
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(3800)), "text": [" ".join(f"w{x}" for x in row) for row in words_of.tolist()]})
+    match = pa.struct([("start", pa.int64()), ("windows", pa.int32()), ("of_doc", pa.int64()), ("of_start", pa.int64())])
+    found = batch.append_column("found", pa.array([[{"start": 5, "windows": 3, "of_doc": 0, "of_start": 0}]] * 3800, pa.list_(match)))
+    for name, rows in (
+        ("seeds", substring.seeded(iter([batch]), 20, np.empty(0, np.int64))), ("cut", substring.cut(iter([found]), 20)), ("sketches", minhash.sketched(iter([batch]), 5)),
+        ("quality", quality.scored(iter([batch]), np.zeros(quality.FEATURES + 1), {}, 0.5, 0.25)),
+    ):
+        tracemalloc.start()
+        assert sum(r.num_rows for r in rows) >= 3800, name
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 70e6, name

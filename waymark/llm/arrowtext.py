@@ -6,6 +6,7 @@ A batch of texts is one flat byte buffer plus document offsets. Words are the ma
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,7 +14,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 
-BATCH_BYTES = 4 << 20
+#: Text that is looked at at once: its words, hashes and spans are some 30 arrays of 8 bytes for each word or byte.
+BATCH_BYTES = 1 << 20
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc alone
 IS_SPACE = np.zeros(256, dtype=bool)
 IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
@@ -35,6 +38,8 @@ def sliced(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = BATC
             yield batch.slice(at, end - at)
             at = end
     pa.default_memory_pool().release_unused()  # the worker lives on for other stages' tasks
+    if _TRIM:
+        _TRIM(0)
 
 
 def flat(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
