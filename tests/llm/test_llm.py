@@ -333,6 +333,14 @@ def test_archives_of_repeated_pages_and_many_ranges(spark, monkeypatch):
     assert len(keys) == 300 and keys == sorted(keys) and len({r.position >> 32 for r in index}) >= 10
 
 
+def test_payloads_are_hashed_once_where_they_are_read(spark):
+    """The three reads of the pages (sizes of groups, their members, payloads) take one SHA-1 each, and its base32 form is right."""
+    html = [None, "", "a", "a", "é" * 999] + [f"x{i}" for i in range(300)]
+    found = warc.records(spark.createDataFrame(list(enumerate(html)), "page_id long, html string").withColumn("url", F.lit("u")), 0)
+    assert {r.page_id: r.digest for r in found.collect()} == {i: base64.b32encode(hashlib.sha1((h or "").encode()).digest()).decode() for i, h in enumerate(html)}
+    assert 1 <= found._jdf.queryExecution().optimizedPlan().toString().count("sha1(") <= 3
+
+
 def test_loser_tree_merges():
     rng = random.Random(2)
     runs = [sorted((rng.randrange(50),) for _ in range(rng.randrange(0, 20))) for _ in range(7)]

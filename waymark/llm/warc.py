@@ -23,14 +23,10 @@ CAPTURES = (
 )
 
 
-def base32_sha1(payload: Column) -> Column:
-    """Upper-case base32 of the payload's SHA-1: each 5 hex digits are 4 letters."""
-    digest = F.sha1(payload)
-    letters = []
-    for i in range(8):
-        bits = F.conv(F.substring(digest, 5 * i + 1, 5), 16, 10).cast("int")
-        letters += [F.substring(F.lit(ALPHABET), F.shiftright(bits, s).bitwiseAND(31) + 1, F.lit(1)) for s in (15, 10, 5, 0)]
-    return F.concat(*letters)
+def base32(sha: Column) -> Column:
+    """Upper-case base32 of a digest of 40 hex digits: each 10 of them are 8 letters."""
+    digits = F.concat(*[F.lpad(F.conv(F.substring(sha, 10 * i + 1, 10), 16, 32), 8, "0") for i in range(4)])
+    return F.translate(digits, "0123456789ABCDEFGHIJKLMNOPQRSTUV", ALPHABET)
 
 
 def url_key(url: Column) -> Column:
@@ -53,13 +49,17 @@ def page_of(urn: str) -> int:
 
 
 def records(pages: DataFrame, least: int) -> DataFrame:
-    """Pages with digest, record_type and refers_to. Of equal payloads of at least `least` bytes the smallest page_id is the response."""
+    """Pages with digest, record_type and refers_to. Of equal payloads of at least `least` bytes the smallest page_id is the response.
+
+    Payloads are compared by their SHA-1 in hex, taken once wherever it is read; its base32 form is made of the joined column.
+    """
     body = F.coalesce(F.col("html"), F.lit(""))
-    rows = pages.select("page_id", F.coalesce("url", F.lit("")).alias("url"), body.alias("html"), base32_sha1(body.cast("binary")).alias("digest"), F.octet_length(body).alias("size"))
-    slim = rows.select("page_id", "digest", "size")
-    first = slim.where(F.col("size") >= least).groupBy("digest").agg(F.min("page_id").alias("refers_to"), F.count("*").alias("n")).where("n > 1").select("digest", "refers_to")
-    found = salted(slim.select("page_id", "digest"), first, ["digest"], F.col("page_id"), "inner").where("page_id <> refers_to").select("page_id", "digest", "refers_to").distinct()
-    return rows.join(found, ["page_id", "digest"], "left").withColumn("record_type", F.when(F.col("refers_to").isNull(), "response").otherwise("revisit"))
+    rows = pages.select("page_id", F.coalesce("url", F.lit("")).alias("url"), body.alias("html"), F.sha1(body.cast("binary")).alias("sha"), F.octet_length(body).alias("size"))
+    slim = rows.select("page_id", "sha", "size")
+    first = slim.where(F.col("size") >= least).groupBy("sha").agg(F.min("page_id").alias("refers_to"), F.count("*").alias("n")).where("n > 1").select("sha", "refers_to")
+    found = salted(slim.select("page_id", "sha"), first, ["sha"], F.col("page_id"), "inner").where("page_id <> refers_to").select("page_id", "sha", "refers_to").distinct()
+    joined = rows.join(found, ["page_id", "sha"], "left").withColumn("digest", base32(F.col("sha"))).drop("sha")
+    return joined.withColumn("record_type", F.when(F.col("refers_to").isNull(), "response").otherwise("revisit"))
 
 
 def write_archives(pages: DataFrame, path: str, captured: Column, least: int = 0) -> None:
